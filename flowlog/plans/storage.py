@@ -1,0 +1,29 @@
+"""Where a run keeps the tables it stages."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import SparkSession
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """Folder all executors see: the session's ``spark.checkpoint.dir``.
+
+    Only a local session, which has a single machine, may go without that setting.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if spark.sparkContext.master.startswith("local"):
+        return _local_dir()
+    raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+
+
+_LOCAL: list[str] = []
+
+
+def _local_dir() -> str:
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="flowlog-"))
+    return _LOCAL[0]

@@ -1,0 +1,113 @@
+"""Streaming source over the listing of a container.
+
+Spark's file stream reads a path once and never again, while log files grow for an hour. This
+source emits ``path, last_modified, length`` whenever a file was modified, also for a path emitted
+before; contents are read by Spark afterwards. Listing is done by the tasks, a subtree each.
+"""
+
+from __future__ import annotations
+
+import time
+from collections.abc import Iterator
+from datetime import datetime, timezone
+
+from pyspark.sql import SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+
+LISTING_FORMAT = "log_listing"
+
+
+def register_listing_source(spark: SparkSession) -> None:
+    spark.dataSource.register(ListingSource)
+
+
+class Subtree(InputPartition):
+    """Directory one task lists, for files modified from ``start`` to ``end`` (microseconds)."""
+
+    def __init__(self, path: str, recursive: bool, start: int, end: int):
+        super().__init__((path, recursive))
+        self.path, self.recursive, self.start, self.end = path, recursive, start, end
+
+
+class ListingSource(DataSource):
+    """Options: ``path``, the container root; ``prefix``, a directory below it; ``lookbackSeconds``,
+    how far behind the last batch files are listed again (default 60), for stores whose clock or
+    listing lags; ``partitions``, how many subtrees to aim for (default 64)."""
+
+    @classmethod
+    def name(cls) -> str:
+        return LISTING_FORMAT
+
+    def schema(self) -> str:
+        return "path STRING, last_modified TIMESTAMP, length BIGINT"
+
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return ListingReader(self.options)
+
+
+class ListingReader(DataSourceStreamReader):
+    """Offsets are wall-clock times. A batch lists files modified between two of them, both ends
+    included, plus the lookback; a file listed twice unchanged is dropped by the status join."""
+
+    def __init__(self, options):
+        root, prefix = options["path"].rstrip("/"), options.get("prefix", "").strip("/")
+        self.root = f"{root}/{prefix}" if prefix else root
+        self.lookback = int(float(options.get("lookbackSeconds", "60")) * 1_000_000)
+        self.subtrees = int(options.get("partitions", "64"))
+
+    def initialOffset(self) -> dict:
+        return {"until": 0}
+
+    def latestOffset(self) -> dict:
+        return {"until": time.time_ns() // 1000}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        since = max(0, start["until"] - self.lookback)
+        return [Subtree(p, deep, since, end["until"]) for p, deep in self._subtrees()]
+
+    def _subtrees(self) -> list[tuple[str, bool]]:
+        """Directories to list: level by level down until there are enough of them. Directories
+        passed on the way are listed flat, for files lying beside their subdirectories."""
+        fs, root = _filesystem(self.root)
+        passed: list[tuple[str, bool]] = []
+        level = [root]
+        while level and len(level) < self.subtrees:
+            below = [info.path for path in level for info in _entries(fs, path, False) if not info.is_file]
+            if not below:
+                break
+            passed += [(path, False) for path in level]
+            level = below
+        return passed + [(path, True) for path in level]
+
+    def read(self, partition: Subtree) -> Iterator[tuple]:
+        fs, _ = _filesystem(self.root)
+        for info in _entries(fs, partition.path, partition.recursive):
+            if not info.is_file or info.mtime_ns is None:
+                continue
+            modified = info.mtime_ns // 1000
+            if partition.start <= modified <= partition.end:
+                when = datetime.fromtimestamp(modified // 1_000_000, timezone.utc)
+                yield _uri(self.root, info.path), when.replace(microsecond=modified % 1_000_000), info.size
+
+
+def _filesystem(root: str):
+    """Arrow file system of a root and the root's path in it; the URI scheme decides."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+
+
+def _entries(fs, path: str, recursive: bool):
+    from pyarrow.fs import FileSelector
+
+    return fs.get_file_info(FileSelector(path, allow_not_found=True, recursive=recursive))
+
+
+def _uri(root: str, path: str) -> str:
+    """Path of a listed file as Spark reads it: with the scheme of the root."""
+    if "://" not in root or root.startswith("file://"):
+        return path
+    scheme, rest = root.split("://", 1)
+    if scheme in ("hdfs", "viewfs"):
+        return f"{scheme}://{rest.split('/', 1)[0]}{path}"
+    return f"{scheme}://{path}"
