@@ -50,9 +50,8 @@ def short_name(name: Column, time: Column) -> Column:
 
 def blob_name(path: Column) -> Column:
     """Name of a file inside its container: the path from ``resourceId=`` on."""
-    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    name = F.regexp_extract(decoded, "(resourceId=.*)$", 1)
-    return F.when(name != "", name).otherwise(decoded)
+    name = F.regexp_extract(path, "(?s)(resourceId=.*)$", 1)
+    return F.when(name != "", name).otherwise(path)
 
 
 def split_nsg_resource(resource_id: Column) -> dict[str, Column]:

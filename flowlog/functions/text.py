@@ -210,23 +210,23 @@ def extension_text(extension: Column) -> Column:
     return _join_pairs(F.array_join(pairs, " "))
 
 
-def extension_map(pairs: dict[str, Column]) -> Column:
-    """Extension map from named columns, in key order; a NULL column means the key is absent."""
-    entries = [x for key in sorted(pairs) for x in (F.lit(key), pairs[key])]
-    return F.map_filter(F.create_map(*entries), lambda _, v: v.isNotNull())
+def extension_map(pairs: dict[str, str]) -> Column:
+    """Extension map in key order, from a SQL expression per key; NULL means the key is absent."""
+    entries = ", ".join(f"'{key}', {pairs[key]}" for key in sorted(pairs))
+    return F.expr(f"map_filter(map({entries}), (k, v) -> v IS NOT NULL)")
 
 
-def pairs_text(pairs: dict[str, Column]) -> Column:
+def pairs_text(pairs: dict[str, str]) -> Column:
     """Same text as ``extension_text(extension_map(pairs))`` without building the map.
 
     The keys are known when the plan is made, so the sort happens here and the whole text is one
     generated-code expression.
     """
-    shown = [
-        F.when(pairs[key] != "", F.concat(F.lit(f"{key}="), cef_escape(pairs[key])))
+    shown = ", ".join(
+        f"CASE WHEN {pairs[key]} <> '' THEN concat('{key}=', replace({pairs[key]}, '=', r'\\=')) END"
         for key in sorted(pairs)
-    ]
-    return _join_pairs(F.concat_ws(" ", *shown))
+    )
+    return _join_pairs(F.expr(f"concat_ws(' ', {shown})"))
 
 
 def _join_pairs(joined: Column) -> Column:

@@ -26,14 +26,15 @@ def event_rows(
     class_id: Column,
     name: Column,
     severity: Column,
-    pairs: dict[str, Column],
+    pairs: dict[str, Column | str],
 ) -> DataFrame:
-    """Event rows from flattened input.
+    """Event rows from flattened input. A value of ``pairs`` is a column or a fixed text.
 
     ``extension`` and ``extension_text`` say the same thing as map and as text. Both are plain
     projections, so a query that reads one of them never computes the other.
     """
-    return rows.select(
+    named = {k: f"'{v}'" if isinstance(v, str) else f"`ext {k}`" for k, v in pairs.items()}
+    valued = rows.select(
         "file",
         pos.alias("pos"),
         epoch.alias("epoch"),
@@ -45,8 +46,15 @@ def event_rows(
         time.alias("time"),
         X.text(name).alias("name"),
         severity.cast("int").alias("severity"),
-        X.extension_map(pairs).alias("extension"),
-        X.pairs_text(pairs).alias("extension_text"),
+        *[v.alias(f"ext {k}") for k, v in pairs.items() if not isinstance(v, str)],
+    )
+    return valued.select(
+        "file",
+        "pos",
+        "epoch",
+        *EVENT_COLUMNS[:-1],
+        X.extension_map(named).alias("extension"),
+        X.pairs_text(named).alias("extension_text"),
     )
 
 

@@ -35,13 +35,13 @@ def flow_events(records: DataFrame, after=None) -> DataFrame:
     pairs = {
         "deviceExternalId": X.text(F.col("systemId")),
         "cs1": F.col("rule"),
-        "cs1label": F.lit("Rule Name"),
+        "cs1label": "Rule Name",
         "cs2": F.col("resource_name"),
-        "cs2label": F.lit("Azure NSG"),
+        "cs2label": "Azure NSG",
         "cs3": F.col("subscription_id"),
-        "cs3label": F.lit("Subscription ID"),
+        "cs3label": "Subscription ID",
         "cs4": F.col("resource_group"),
-        "cs4label": F.lit("Resource Group"),
+        "cs4label": "Resource Group",
         "start": X.start_millis(F.col("epoch")),
         "src": tokens[1],
         "dst": tokens[2],
@@ -141,46 +141,46 @@ def _is_typed(records: DataFrame) -> bool:
 
 
 def _flows(records: DataFrame) -> Column:
+    return F.expr(_flows_sql(records))
+
+
+def _flows_sql(records: DataFrame) -> str:
     if _is_typed(records):
-        return F.col("properties.flows").cast(FLOWS_TYPE)
-    return F.try_variant_get("properties", "$.flows", FLOWS_TYPE)
+        return f"CAST(properties.flows AS {FLOWS_TYPE})"
+    return f"try_variant_get(properties, '$.flows', '{FLOWS_TYPE}')"
 
 
 def _accepted(records: DataFrame) -> Column:
+    flows = _flows_sql(records)
     if _is_typed(records):
-        return _well_formed(_flows(records), F.isnotnull, F.isnotnull, X.token_count)
+        return F.expr(_well_formed(flows, "{} IS NOT NULL", "{} IS NOT NULL", "{}"))
     # Reading leaves as text is fast but also turns numbers and nested values into text. Leaves
     # that cannot have been anything but text settle most records; the others are read again with
     # their JSON types.
-    typed = F.try_variant_get("properties", "$.flows", FLOWS_VARIANT_TYPE)
-    return _well_formed(_flows(records), _surely_text, _surely_tuple, X.token_count) | _well_formed(
-        typed, X.is_text, X.is_text, lambda t: X.token_count(F.try_variant_get(t, "$", "string"))
-    )
-
-
-def _well_formed(flows: Column, is_text, is_tuple_text, tokens) -> Column:
-    def group_ok(group: Column) -> Column:
-        tuples = group["flowTuples"]
-        # A group without a mac is harmless until a tuple needs it.
-        needs_mac = F.exists(tuples, lambda t: tokens(t) == X.TUPLE_TOKENS)
-        return _true(
-            tuples.isNotNull() & F.forall(tuples, is_tuple_text) & (is_text(group["mac"]) | ~needs_mac)
-        )
+    surely = _well_formed(flows, _SURELY_TEXT, _SURELY_TUPLE, "{}")
+    typed = f"try_variant_get(properties, '$.flows', '{FLOWS_VARIANT_TYPE}')"
+    exact = _well_formed(typed, _IS_TEXT, _IS_TEXT, "try_variant_get({}, '$', 'string')")
+    return F.expr(f"({surely}) OR ({exact})")
 
-    def flow_ok(flow: Column) -> Column:
-        return _true(is_text(flow["rule"]) & flow["flows"].isNotNull() & F.forall(flow["flows"], group_ok))
 
-    return _true(flows.isNotNull() & F.forall(flows, flow_ok))
+_IS_TEXT = "coalesce(schema_of_variant({}) = 'STRING', false)"
+# Not how a JSON number, boolean, object or array would read as text.
+_SURELY_TEXT = (
+    r"coalesce(NOT {} RLIKE r'^(-?(0|[1-9]\d*)(\.\d+)?(E-?\d+)?$|true$|false$|[\[{{])', false)"
+)
+_SURELY_TUPLE = "coalesce(instr({0}, ',') > 0 AND left({0}, 1) NOT IN ('[', '{{'), false)"
 
 
-def _true(condition: Column) -> Column:
-    return F.coalesce(condition, F.lit(False))
+def _well_formed(flows: str, is_text: str, is_tuple_text: str, as_text: str) -> str:
+    """SQL condition that the nested arrays are all there and their leaves are text.
 
-
-def _surely_text(value: Column) -> Column:
-    """The text is not how a JSON number, boolean, object or array would read."""
-    return _true(~value.rlike(r"^(-?(0|[1-9]\d*)(\.\d+)?(E-?\d+)?$|true$|false$|[\[{])"))
-
-
-def _surely_tuple(value: Column) -> Column:
-    return _true((F.instr(value, ",") > 0) & ~F.left(value, F.lit(1)).isin("[", "{"))
+    The templates say, for a leaf, whether it is text and how to read it as text. A group without a
+    mac is harmless until an 8-token tuple needs it.
+    """
+    tokens = f"size(split({as_text.format('t')}, ',', -1))"
+    group_ok = f"""
+        coalesce(forall(g.flowTuples, t -> {is_tuple_text.format("t")}), false)
+        AND ({is_text.format("g.mac")} OR NOT exists(g.flowTuples, t -> {tokens} = {X.TUPLE_TOKENS}))
+    """
+    flow_ok = f"{is_text.format('f.rule')} AND coalesce(forall(f.flows, g -> {group_ok}), false)"
+    return f"coalesce(forall({flows}, f -> {flow_ok}), false)"

@@ -17,14 +17,14 @@ FIREWALL_TEXTS = ["clientIp", "requestUri", "action", "message", "instanceId"]
 def access_events(records: DataFrame, after=None) -> DataFrame:
     """Events of gateway access records later than ``after``."""
 
-    def pairs(p: Column) -> dict[str, Column]:
+    def pairs(p: Column) -> dict[str, Column | str]:
         uri, method = X.property_text(p, "requestUri"), X.property_text(p, "httpMethod")
         return {
             "src": X.property_text(p, "clientIP"),
             "spt": X.access_port(p),
             "request": uri,
             "cs1": uri,
-            "cs1label": F.lit("requestUri"),
+            "cs1label": "requestUri",
             "requestMethod": method,
             "act": method,
             "msg": X.properties_json(p),
@@ -36,17 +36,17 @@ def access_events(records: DataFrame, after=None) -> DataFrame:
 def firewall_events(records: DataFrame, after=None) -> DataFrame:
     """Events of gateway firewall records later than ``after``."""
 
-    def pairs(p: Column) -> dict[str, Column]:
+    def pairs(p: Column) -> dict[str, Column | str]:
         return {
             "src": X.property_text(p, "clientIp"),
             "spt": X.firewall_port(p),
             "cs1": X.property_text(p, "requestUri"),
-            "cs1label": F.lit("requestUri"),
+            "cs1label": "requestUri",
             "act": X.property_text(p, "action"),
             "cs5": X.property_text(p, "message"),
-            "cs5label": F.lit("message"),
+            "cs5label": "message",
             "cs6": X.property_text(p, "instanceId"),
-            "cs6label": F.lit("instanceId"),
+            "cs6label": "instanceId",
             "msg": X.properties_json(p),
         }
 
@@ -94,11 +94,11 @@ def _gateway_events(accepted: DataFrame, pairs) -> DataFrame:
     rows = accepted.select("*", *[c.alias(n) for n, c in resource.items()])
     skeleton = {
         "cs2": F.col("resource_name"),
-        "cs2label": F.lit("Azure Application Gateway"),
+        "cs2label": "Azure Application Gateway",
         "cs3": F.col("subscription_id"),
-        "cs3label": F.lit("Subscription ID"),
+        "cs3label": "Subscription ID",
         "cs4": F.col("resource_group"),
-        "cs4label": F.lit("Resource Group"),
+        "cs4label": "Resource Group",
     }
     return event_rows(
         rows,

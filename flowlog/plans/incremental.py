@@ -11,15 +11,16 @@ from itertools import islice
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.paths import CONTAINERS, NSG_FLOW_OPERATION
 from ..operators.events import union_events
 from ..operators.families import family_events, rejects
 from ..operators.progress import file_progress
+from ..schemas import SELECTED_COLUMNS, SELECTED_DDL
 from ..sources.logs import (
     family_of,
     file_rejects,
+    glob_literal,
     list_log_files,
     log_records,
     log_rows,
@@ -31,15 +32,6 @@ from ..sources.logs import (
 from .status import StatusTable, begin_time_filter, unprocessed_files
 from .storage import shared_dir
 
-# A file to process, with its earlier progress.
-SELECTED_DDL = (
-    "path STRING, name STRING, etag STRING, last_modified TIMESTAMP, length BIGINT, "
-    "nsg_name STRING, log_time TIMESTAMP, last_processed_record TIMESTAMP, "
-    "last_processed_range STRUCT<Start: BIGINT, End: BIGINT>, known_count INT"
-)
-SELECTED_COLUMNS = T.StructType.fromDDL(SELECTED_DDL).names
-
-
 @dataclass(frozen=True)
 class Batch:
     """What a sink may need beside the events: ``version`` is the same when a batch is replayed,
@@ -107,8 +99,7 @@ class Job:
         selected = unprocessed_files(due, self.status.read()).select(SELECTED_COLUMNS)
         for rows in _batches(selected.orderBy("log_time", "name"), self.files_per_batch):
             version = self.status.next_version()
-            self._stage(rows, version)
-            self._emit(version, run)
+            self._emit(version, run, self._stage(rows, version))
         run.end_time, run.state = datetime.now(timezone.utc), "COMPLETE"
         return run
 
@@ -117,18 +108,19 @@ class Job:
     # staged but not committed is finished from the same rows, so a sink that overwrites by version
     # or name writes the same output again.
 
-    def _stage(self, selected: list[Row], version: int) -> None:
+    def _stage(self, selected: list[Row], version: int) -> DataFrame:
         known = self.spark.createDataFrame(selected, SELECTED_DDL)
         since = known.select(
             F.col("name").alias("file"), F.col("last_processed_record").alias("after"), "known_count"
         )
-        rows = log_rows(read_log_files(self.spark, [row["path"] for row in selected]))
+        rows = log_rows(read_log_files(self.spark, [glob_literal(row["path"]) for row in selected]))
         # ``since`` has at most ``files_per_batch`` short rows.
         rows = rows.join(F.broadcast(since), "file")
         rows.write.mode("overwrite").parquet(self._staged("rows"))
 
         staged = self._staged_rows()
-        progress = file_progress(staged.where("error IS NULL"), self._events(staged))
+        events = self._events(staged)
+        progress = file_progress(staged.where("error IS NULL"), events)
         status = known.join(progress.withColumnRenamed("file", "name"), "name").select(
             "name",
             "etag",
@@ -149,14 +141,15 @@ class Job:
         )
         # Written last, this table says that the staged rows are whole.
         status.write.mode("overwrite").parquet(self._staged("progress"))
+        return events
 
-    def _emit(self, version: int, run: Run) -> None:
+    def _emit(self, version: int, run: Run, events: DataFrame | None = None) -> None:
         staged = self._staged_rows()
         progress = self.spark.read.parquet(self._staged("progress"))
         bounds = progress.where("event_count > 0").select(
             F.col("name").alias("file"), "first_epoch", "last_epoch", "event_count"
         )
-        self.sink(self._events(staged), Batch(version, bounds))
+        self.sink(self._events(staged) if events is None else events, Batch(version, bounds))
         bad = union_events(
             file_rejects(staged), rejects(self._due(staged), self.family, self._after())
         )

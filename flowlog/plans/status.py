@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.records import timestamp_column
-from ..schemas import STATUS_COLUMNS, STATUS_FIELDS
+from ..schemas import STATUS_COLUMNS, STATUS_DDL
 from ..sources.logs import path_not_found
 
-_COMMIT_DDL = f"{STATUS_FIELDS}, event_count BIGINT, version BIGINT"
+_COMMIT_DDL = f"{STATUS_DDL}, event_count BIGINT, version BIGINT"
 
 
 class StatusTable:
@@ -68,9 +68,9 @@ def read_status(spark: SparkSession, path: str) -> DataFrame:
         documents = spark.read.text(path, wholetext=True)
     except AnalysisException as error:
         if path_not_found(error):
-            return spark.createDataFrame([], STATUS_FIELDS)
+            return spark.createDataFrame([], STATUS_DDL)
         raise
-    entries = F.from_json("value", f"MAP<STRING, STRUCT<{STATUS_FIELDS}>>", {"mode": "FAILFAST"})
+    entries = F.from_json("value", f"MAP<STRING, STRUCT<{STATUS_DDL}>>", {"mode": "FAILFAST"})
     # A status without its own name takes that of its key.
     rows = documents.select(F.explode(entries).alias("key", "status"))
     fields = [F.coalesce("status.name", "key").alias("name")]
@@ -88,7 +88,7 @@ def status_json(status: DataFrame, entries_per_document: int = 10_000) -> DataFr
     document = F.map_from_entries(F.sort_array(F.collect_list(entry)))
     return (
         status.groupBy(F.pmod(F.xxhash64("name"), F.lit(parts)).alias("part"))
-        .agg(F.to_json(document).alias("value"))
+        .agg(F.to_json(document, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}).alias("value"))
         .select("value")
     )
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
+
+def ddl(types: dict[str, str]) -> str:
+    return ", ".join(f"{name} {kind}" for name, kind in types.items())
+
 
 # One log record of any family. ``properties`` is schemaless, so it stays VARIANT; gateway
 # records carry no ``systemId``.
@@ -24,37 +27,55 @@ FLOWS_VARIANT_TYPE = (
 )
 
 # The event row every family is flattened to.
-EVENT_COLUMNS = [
-    "cef_version",
-    "device_vendor",
-    "device_product",
-    "device_version",
-    "device_event_class_id",
-    "time",
-    "name",
-    "severity",
-    "extension",
-]
-EVENT_DDL = (
-    "cef_version INT, device_vendor STRING, device_product STRING, device_version STRING, "
-    "device_event_class_id STRING, time TIMESTAMP, name STRING, severity INT, "
-    "extension MAP<STRING, STRING>"
-)
+EVENT_TYPES = {
+    "cef_version": "INT",
+    "device_vendor": "STRING",
+    "device_product": "STRING",
+    "device_version": "STRING",
+    "device_event_class_id": "STRING",
+    "time": "TIMESTAMP",
+    "name": "STRING",
+    "severity": "INT",
+    "extension": "MAP<STRING, STRING>",
+}
+EVENT_COLUMNS = list(EVENT_TYPES)
+EVENT_DDL = ddl(EVENT_TYPES)
 
 # Where an event came from inside its file; structs compare field by field, so ``pos`` sorts events
 # into file order.
 POS_TYPE = "STRUCT<record_pos: BIGINT, flow_pos: INT, group_pos: INT, tuple_pos: INT>"
 
-# One rejected tuple, record or file.
-REJECT_DDL = f"file STRING, pos {POS_TYPE}, kind STRING, message STRING, raw STRING"
-
 # Files of a container, before and after path parsing.
 LISTING_DDL = "path STRING, name STRING, etag STRING, last_modified TIMESTAMP, length BIGINT"
 
 # Per-file progress, with the JSON names of the exchange format.
-STATUS_FIELDS = (
-    "name STRING, etag STRING, last_modified TIMESTAMP, last_processed TIMESTAMP, "
-    "last_processed_record TIMESTAMP, last_processed_timestamp BIGINT, last_count INT, "
-    "last_processed_range STRUCT<Start: BIGINT, End: BIGINT>, log_time TIMESTAMP, nsg_name STRING"
-)
-STATUS_COLUMNS = [f.name for f in T.StructType.fromDDL(STATUS_FIELDS)]
+STATUS_TYPES = {
+    "name": "STRING",
+    "etag": "STRING",
+    "last_modified": "TIMESTAMP",
+    "last_processed": "TIMESTAMP",
+    "last_processed_record": "TIMESTAMP",
+    "last_processed_timestamp": "BIGINT",
+    "last_count": "INT",
+    "last_processed_range": "STRUCT<Start: BIGINT, End: BIGINT>",
+    "log_time": "TIMESTAMP",
+    "nsg_name": "STRING",
+}
+STATUS_COLUMNS = list(STATUS_TYPES)
+STATUS_DDL = ddl(STATUS_TYPES)
+
+# A file to process, with its earlier progress.
+SELECTED_TYPES = {
+    "path": "STRING",
+    "name": "STRING",
+    "etag": "STRING",
+    "last_modified": "TIMESTAMP",
+    "length": "BIGINT",
+    "nsg_name": "STRING",
+    "log_time": "TIMESTAMP",
+    "last_processed_record": "TIMESTAMP",
+    "last_processed_range": "STRUCT<Start: BIGINT, End: BIGINT>",
+    "known_count": "INT",
+}
+SELECTED_COLUMNS = list(SELECTED_TYPES)
+SELECTED_DDL = ddl(SELECTED_TYPES)

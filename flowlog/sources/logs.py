@@ -42,23 +42,27 @@ def path_not_found(error: AnalysisException) -> bool:
 
 def list_log_files(spark: SparkSession, root: str, prefix: str | None = None) -> DataFrame:
     """All files under ``root`` whose name starts with ``prefix``, without reading any of them."""
-    location = root.rstrip("/") + (f"/{_glob_literal(prefix)}*" if prefix else "")
+    location = root.rstrip("/") + (f"/{glob_literal(prefix)}*" if prefix else "")
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(location)
     except AnalysisException as error:
         if path_not_found(error):
             return spark.createDataFrame([], LISTING_DDL)
         raise
-    meta = F.col("_metadata")
     return listing_rows(
         files.select(
-            meta["file_path"].alias("path"),
-            meta["file_modification_time"].alias("last_modified"),
-            meta["file_size"].alias("length"),
+            read_path().alias("path"),
+            F.col("_metadata.file_modification_time").alias("last_modified"),
+            F.col("_metadata.file_size").alias("length"),
         )
     )
 
 
+def read_path():
+    """Path of the file a row was read from. Its metadata column holds the path URL-encoded."""
+    return F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+
+
 def listing_rows(files: DataFrame) -> DataFrame:
     """Listing columns from ``path, last_modified, length``; the etag changes whenever they do."""
     etag = F.hex(F.xxhash64("path", "last_modified", "length"))
@@ -91,8 +95,9 @@ def rejected_paths(listing: DataFrame) -> DataFrame:
     )
 
 
-def _glob_literal(prefix: str) -> str:
-    return "".join(f"\\{ch}" if ch in "*?[]{}\\" else ch for ch in prefix)
+def glob_literal(path: str) -> str:
+    """Path text with nothing left for Spark to expand."""
+    return "".join(f"\\{ch}" if ch in "*?[]{}\\" else ch for ch in path)
 
 
 # --- whole files --------------------------------------------------------------------------------
@@ -111,7 +116,7 @@ def read_log_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         .json(paths)
     )
     return files.select(
-        blob_name(F.col("_metadata.file_path")).alias("file"), "records", "_corrupt_record"
+        blob_name(read_path()).alias("file"), "records", "_corrupt_record"
     ).select("*", _file_error().alias("error"))
 
 
@@ -208,7 +213,7 @@ def read_log_tail(spark: SparkSession, listing: DataFrame, paths: str | list[str
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(paths)
-        .select(blob_name(F.col("_metadata.file_path")).alias("file"), "content")
+        .select(blob_name(read_path()).alias("file"), "content")
     )
     ends = listing.select(F.col("name").alias("file"), F.coalesce("last_end", F.lit(0)).alias("start"))
     tails = content.join(ends, "file").select(
