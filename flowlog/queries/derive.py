@@ -195,3 +195,126 @@ def firewall_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(FIREWALL_OPERATION).alias("operationName"),
         F.to_variant_object(text).alias("properties"),
     )
+
+
+def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Container listing: one file per customer group and order day. One group has an impossible
+    month, one no log paths at all."""
+    group, day = c("o_custkey") % 50, F.to_date("o_orderdate")
+    files = (
+        table(spark, sf_dir, "orders")
+        .groupBy(group.alias("k"), day.alias("day"))
+        .agg(F.max("o_orderkey").alias("last_order"), F.count("*").alias("orders"))
+    )
+    k = c("k")
+    month = F.when(k == 49, "13").otherwise(F.date_format("day", "MM"))
+    hour = _text(
+        "/y=", F.date_format("day", "yyyy"), "/m=", month, "/d=", F.date_format("day", "dd"),
+        "/h=", F.lpad((c("last_order") % 24).cast("string"), 2, "0"), "/m=00/PT1H.json",
+    )
+    log_path = F.concat(F.lit("resourceId="), nsg_resource_id(k), hour)
+    name = F.when(k == 48, _text("notes/", F.date_format("day", "yyyyMMdd"), ".txt")).otherwise(log_path)
+    modified = F.unix_date("day").cast("bigint") * 86400 + c("last_order") % 86400
+    return files.select(
+        F.concat(F.lit("/container/"), name).alias("path"),
+        name.alias("name"),
+        _text("etag-", c("last_order")).alias("etag"),
+        F.timestamp_seconds(modified).alias("last_modified"),
+        (c("orders") * 100).alias("length"),
+    )
+
+
+def status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Earlier progress of every third customer group, recorded before, at or after the files' last
+    change."""
+    known = listing(spark, sf_dir).where("name LIKE 'resourceId=%'")
+    group = F.regexp_extract("name", "NSG-([0-9]+)", 1).cast("int")
+    seconds = F.unix_seconds("last_modified")
+    shift = (seconds % 3 - 1) * 3600
+    return known.where(group % 3 == 0).select(
+        "name",
+        "etag",
+        F.timestamp_seconds(seconds + shift).alias("last_modified"),
+        F.timestamp_seconds(seconds + shift + 60).alias("last_processed"),
+        F.timestamp_seconds(seconds - 7200).alias("last_processed_record"),
+        (seconds - 7190).alias("last_processed_timestamp"),
+        (c("length") / 100).cast("int").alias("last_count"),
+        F.struct(F.lit(0).cast("bigint").alias("Start"), (c("length") - 50).alias("End")).alias(
+            "last_processed_range"
+        ),
+        F.timestamp_seconds(seconds - seconds % 3600).alias("log_time"),
+        _text("NSG-", group).alias("nsg_name"),
+    )
+
+
+def log_documents(spark: SparkSession, sf_dir: str, hours: int = 1, grown: bool = False) -> DataFrame:
+    """Flow log documents, one per ``supplier`` row and hour: ``name`` and JSON ``text``.
+
+    A file has 2 to 6 records a minute apart, three more once it has ``grown``; every record has one
+    group of three tuples, the second without its last token in some.
+    """
+    k, h = c("s_suppkey"), c("h")
+    start = F.lit(1500000000 - 1500000000 % 3600).cast("bigint") + h * 3600
+    resource_id = _text(
+        "/SUBSCRIPTIONS/SUB", k % 3, "/RESOURCEGROUPS/RG", k % 5,
+        "/PROVIDERS/MICROSOFT.NETWORK/NETWORKSECURITYGROUPS/NSG-", k,
+    )
+    last = 1 + k % 5 + (3 if grown else 0)
+
+    def record(i: Column) -> Column:
+        epoch = start + i * 60
+
+        def flow_tuple(t: int) -> Column:
+            short = ((k + i) % 4 == 0) & F.lit(t == 1)
+            return F.concat_ws(
+                ",",
+                (epoch + t).cast("string"),
+                _text("10.", k % 256, ".", i, ".1"),
+                F.lit("172.16.0.9"),
+                (1024 + k * 7 % 60000).cast("string"),
+                F.lit("443"),
+                F.lit("T" if t else "U"),
+                F.lit("O" if t == 2 else "I"),
+                F.when(~short, "A" if t == 0 else "D"),
+            )
+
+        group = F.struct(
+            F.lpad(F.hex(k), 12, "0").alias("mac"),
+            F.array(*[flow_tuple(t) for t in range(3)]).alias("flowTuples"),
+        )
+        flow = F.struct(_text("Rule_", i % 2).alias("rule"), F.array(group).alias("flows"))
+        return F.struct(
+            F.timestamp_seconds(epoch).alias("time"),
+            _text("sys-", k).alias("systemId"),
+            F.lit("NetworkSecurityGroupFlowEvent").alias("category"),
+            resource_id.alias("resourceId"),
+            F.lit(NSG_FLOW_OPERATION).alias("operationName"),
+            F.struct(F.lit(1).alias("Version"), F.array(flow).alias("flows")).alias("properties"),
+        )
+
+    records = F.transform(F.sequence(F.lit(0).cast("bigint"), last.cast("bigint")), record)
+    return (
+        table(spark, sf_dir, "supplier")
+        .select("s_suppkey", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(hours)])).alias("h"))
+        .select(
+            source_path(resource_id, F.timestamp_seconds(start)).alias("name"),
+            F.to_json(F.struct(records.alias("records"))).alias("text"),
+        )
+    )
+
+
+def write_documents(documents: DataFrame, root: str) -> None:
+    """Write ``name, text`` rows as files below ``root``, at exactly these names, which no Spark
+    writer can choose."""
+
+    def write(rows) -> None:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+        for row in rows:
+            path = f"{base}/{row['name']}"
+            store.create_dir(path.rsplit("/", 1)[0])
+            with store.open_output_stream(path) as out:
+                out.write(row["text"].encode("utf-8"))
+
+    documents.foreachPartition(write)
