@@ -5,6 +5,8 @@ Everything here is a ``Column`` built from Spark functions; nothing runs in Pyth
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,8 +66,10 @@ def text(col: Column) -> Column:
 
 def lookup(col: Column, mapping: dict, default=None) -> Column:
     """Value of ``col`` in a fixed mapping, ``default`` where it has no entry."""
-    entries = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
-    return F.coalesce(F.try_element_at(entries, col), F.lit(default))
+    out = F
+    for key, value in mapping.items():
+        out = out.when(col == key, value)
+    return out.otherwise(default)
 
 
 # --- flow tuples --------------------------------------------------------------------------------
@@ -207,31 +211,55 @@ def extension_text(extension: Column) -> Column:
         sorted_entries(drop_empty(extension)),
         lambda e: F.concat(e["key"], F.lit("="), cef_escape(e["value"])),
     )
-    return _join_pairs(F.array_join(pairs, " "))
+    # A bar goes in front of any text but the empty one.
+    return _trim(F.regexp_replace(F.array_join(pairs, " "), "(?s)^(?=.)", "|"))
+
+
+class Either(NamedTuple):
+    """A value that goes under one key or another: ``condition`` and ``value`` as SQL."""
+
+    key: str
+    other: str
+    condition: str
+    value: str
+
+    def pairs(self) -> dict[str, str]:
+        return {
+            self.key: f"CASE WHEN {self.condition} THEN {self.value} END",
+            self.other: f"CASE WHEN NOT {self.condition} THEN {self.value} END",
+        }
 
 
-def extension_map(pairs: dict[str, str]) -> Column:
-    """Extension map in key order, from a SQL expression per key; NULL means the key is absent."""
-    entries = ", ".join(f"'{key}', {pairs[key]}" for key in sorted(pairs))
-    return F.expr(f"map_filter(map({entries}), (k, v) -> v IS NOT NULL)")
+def extension_map(pairs: dict[str, str], either: Either | None = None) -> Column:
+    """Extension map from a SQL expression per key."""
+    entries = [f"'{key}', {pairs[key]}" for key in sorted(pairs)]
+    if either is not None:
+        key = f"CASE WHEN {either.condition} THEN '{either.key}' ELSE '{either.other}' END"
+        entries.append(f"{key}, {either.value}")
+    return F.expr(f"map({', '.join(entries)})")
 
 
-def pairs_text(pairs: dict[str, str]) -> Column:
-    """Same text as ``extension_text(extension_map(pairs))`` without building the map.
+def pairs_text(pairs: dict[str, str], either: Either | None = None, trim: bool = True) -> Column:
+    """Same text as ``extension_text(extension_map(pairs, either))`` without building the map, for
+    pairs of which at least one is a fixed text. ``trim=False`` is for a last value that is never empty and
+    never ends in white space.
 
     The keys are known when the plan is made, so the sort happens here and the whole text is one
     generated-code expression.
     """
+    pairs = pairs if either is None else {**pairs, **either.pairs()}
     shown = ", ".join(
-        f"CASE WHEN {pairs[key]} <> '' THEN concat('{key}=', replace({pairs[key]}, '=', r'\\=')) END"
+        f"'{key}={pairs[key][1:-1]}'"
+        if pairs[key].startswith("'")
+        else f"CASE WHEN {pairs[key]} <> '' THEN concat('{key}=', replace({pairs[key]}, '=', r'\\=')) END"
         for key in sorted(pairs)
     )
-    return _join_pairs(F.expr(f"concat_ws(' ', {shown})"))
+    joined = F.expr(f"concat_ws(' ', {shown})")
+    return F.concat(F.lit("|"), _trim(joined) if trim else joined)
 
 
-def _join_pairs(joined: Column) -> Column:
-    trimmed = F.btrim(joined, F.lit(UNICODE_SPACE))
-    return F.when(joined == "", "").otherwise(F.concat(F.lit("|"), trimmed))
+def _trim(joined: Column) -> Column:
+    return F.btrim(joined, F.lit(UNICODE_SPACE))
 
 
 def cef_text(

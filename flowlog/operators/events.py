@@ -27,8 +27,12 @@ def event_rows(
     name: Column,
     severity: Column,
     pairs: dict[str, Column | str],
+    either: X.Either | None = None,
+    extra: tuple[str, ...] = (),
+    trim: bool = True,
 ) -> DataFrame:
-    """Event rows from flattened input. A value of ``pairs`` is a column or a fixed text.
+    """Event rows from flattened input. A value of ``pairs`` is a column or a fixed text; ``either``
+    is over these columns, by the names ``ext <key>``, and over the columns ``extra`` of ``rows``.
 
     ``extension`` and ``extension_text`` say the same thing as map and as text. Both are plain
     projections, so a query that reads one of them never computes the other.
@@ -47,14 +51,15 @@ def event_rows(
         X.text(name).alias("name"),
         severity.cast("int").alias("severity"),
         *[v.alias(f"ext {k}") for k, v in pairs.items() if not isinstance(v, str)],
+        *extra,
     )
     return valued.select(
         "file",
         "pos",
         "epoch",
         *EVENT_COLUMNS[:-1],
-        X.extension_map(named).alias("extension"),
-        X.pairs_text(named).alias("extension_text"),
+        X.extension_map(named, either).alias("extension"),
+        X.pairs_text(named, either, trim).alias("extension_text"),
     )
 
 

@@ -15,7 +15,7 @@ from .records import records_after
 
 def flow_events(records: DataFrame, after=None) -> DataFrame:
     """Events of flow records later than ``after``, one per 8-token tuple of an accepted record."""
-    tokens = F.col("tokens")
+    tokens = [F.get("tokens", F.lit(i)) for i in range(X.TUPLE_TOKENS)]
     tuples = flow_tuples(records, after).where(F.size("tokens") == X.TUPLE_TOKENS)
     rows = tuples.select(
         "file",
@@ -31,7 +31,6 @@ def flow_events(records: DataFrame, after=None) -> DataFrame:
         "tokens",
         X.event_epoch(tokens[0]).alias("epoch"),
     )
-    direction = X.device_direction(tokens[6])
     pairs = {
         "deviceExternalId": X.text(F.col("systemId")),
         "cs1": F.col("rule"),
@@ -48,11 +47,7 @@ def flow_events(records: DataFrame, after=None) -> DataFrame:
         "spt": tokens[3],
         "dpt": tokens[4],
         "proto": X.protocol_name(tokens[5]),
-        "deviceDirection": direction.cast("string"),
-        # The address is that of the virtual machine: the target of inbound flows, the source of
-        # outbound ones.
-        "dmac": F.when(direction == 0, F.col("mac")),
-        "smac": F.when(direction == 1, F.col("mac")),
+        "deviceDirection": X.device_direction(tokens[6]).cast("string"),
         "categoryOutcome": X.outcome_name(tokens[7]),
     }
     return event_rows(
@@ -65,6 +60,12 @@ def flow_events(records: DataFrame, after=None) -> DataFrame:
         name=F.col("category"),
         severity=X.outcome_severity(tokens[7]),
         pairs=pairs,
+        # The address is that of the virtual machine: the target of inbound flows, the source of
+        # outbound ones.
+        either=X.Either("dmac", "smac", "`ext deviceDirection` = '0'", "mac"),
+        extra=("mac",),
+        # The last pair is ``start``, digits.
+        trim=False,
     )
 
 
@@ -78,13 +79,15 @@ def flow_tuples(records: DataFrame, after=None) -> DataFrame:
     due = records_after(records.where(F.col("operationName") == NSG_FLOW_OPERATION), after)
     resource = split_nsg_resource(F.col("resourceId"))
     kept = ["file", "record_pos", "category", "operationName", "systemId"]
-    # What is the same for all tuples of a record, flow or group is computed above its explode.
-    flows = due.where(_accepted(due)).select(
-        *kept,
-        *[c.alias(n) for n, c in resource.items()],
-        F.posexplode(_flows(due)).alias("flow_pos", "flow"),
-    )
-    kept += list(resource) + ["flow_pos"]
+    # What is the same for all tuples of a record, flow or group is computed below its explode.
+    # Acceptance is a filter on a one-element array, so that the nested arrays are read once for the
+    # check and the explode together.
+    accepted = f"filter(array({_flows_sql(due)}), flows -> {_accepted_sql(due, 'flows')})"
+    named = due.select(*kept, *[c.alias(n) for n, c in resource.items()], "properties")
+    kept += list(resource)
+    records = named.select(*kept, F.explode(F.expr(accepted)).alias("flows"))
+    flows = records.select(*kept, F.posexplode("flows").alias("flow_pos", "flow"))
+    kept += ["flow_pos"]
     groups = flows.select(
         *kept, F.col("flow.rule").alias("rule"), F.posexplode("flow.flows").alias("group_pos", "group")
     )
@@ -108,7 +111,7 @@ def flow_tuple_errors(records: DataFrame, after=None) -> DataFrame:
     beside its event.
     """
     tuples = flow_tuples(records, after)
-    epoch = F.col("tokens")[0]
+    epoch = F.get("tokens", F.lit(0))
     wrong_size = F.size("tokens") != X.TUPLE_TOKENS
     bad = tuples.where(wrong_size | X.parse_epoch(epoch).isNull())
     return bad.select(
@@ -140,10 +143,6 @@ def _is_typed(records: DataFrame) -> bool:
     return isinstance(records.schema["properties"].dataType, T.StructType)
 
 
-def _flows(records: DataFrame) -> Column:
-    return F.expr(_flows_sql(records))
-
-
 def _flows_sql(records: DataFrame) -> str:
     if _is_typed(records):
         return f"CAST(properties.flows AS {FLOWS_TYPE})"
@@ -151,16 +150,20 @@ def _flows_sql(records: DataFrame) -> str:
 
 
 def _accepted(records: DataFrame) -> Column:
-    flows = _flows_sql(records)
+    return F.expr(_accepted_sql(records, _flows_sql(records)))
+
+
+def _accepted_sql(records: DataFrame, flows: str) -> str:
+    """Condition that a record is accepted; ``flows`` is its nested arrays."""
     if _is_typed(records):
-        return F.expr(_well_formed(flows, "{} IS NOT NULL", "{} IS NOT NULL", "{}"))
+        return _well_formed(flows, "{} IS NOT NULL", "{} IS NOT NULL", "{}")
     # Reading leaves as text is fast but also turns numbers and nested values into text. Leaves
     # that cannot have been anything but text settle most records; the others are read again with
     # their JSON types.
     surely = _well_formed(flows, _SURELY_TEXT, _SURELY_TUPLE, "{}")
     typed = f"try_variant_get(properties, '$.flows', '{FLOWS_VARIANT_TYPE}')"
     exact = _well_formed(typed, _IS_TEXT, _IS_TEXT, "try_variant_get({}, '$', 'string')")
-    return F.expr(f"({surely}) OR ({exact})")
+    return f"(({surely}) OR ({exact}))"
 
 
 _IS_TEXT = "coalesce(schema_of_variant({}) = 'STRING', false)"
