@@ -24,7 +24,7 @@ from flowlog.queries import derive as D
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
+REPEATS = int(os.environ.get("BENCH_REPEATS", "2"))
 
 
 def session(folder: str) -> SparkSession:

@@ -10,8 +10,9 @@ from .text import lookup, text, wall_clock
 # --- fixed values -------------------------------------------------------------------------------
 # (?d): only a newline ends a line.
 LOG_PATH = r"(?d).*/(.*)/y=([0-9]{4})/m=([0-9]{2})/d=([0-9]{2})/h=([0-9]{2})/m=([0-9]{2}).*"
-NSG_RESOURCE = r"(?d).*SUBSCRIPTIONS/(.*)/RESOURCEGROUPS/(.*)/PROVIDERS/.*NETWORKSECURITYGROUPS/(.*)/?"
-GATEWAY_RESOURCE = r"(?d).*SUBSCRIPTIONS/(.*)/RESOURCEGROUPS/(.*)/PROVIDERS/.*APPLICATIONGATEWAYS/(.*)/?"
+RESOURCE_MARKERS = ["SUBSCRIPTIONS/", "/RESOURCEGROUPS/", "/PROVIDERS/"]
+NSG_MARKER = "NETWORKSECURITYGROUPS/"
+GATEWAY_MARKER = "APPLICATIONGATEWAYS/"
 NSG_FLOW_OPERATION = "NetworkSecurityGroupFlowEvents"
 NSG_RULE_OPERATION = "NetworkSecurityGroupEvents"
 ACCESS_OPERATION = "ApplicationGatewayAccess"
@@ -27,6 +28,15 @@ CONTAINERS = {
 NSG, ACCESS, FIREWALL = "nsg", "access", "firewall"
 
 
+def path_tokens(path: Column) -> Column:
+    """Source, year, month, day, hour and minute of a log path, NULL for any other path.
+
+    One pattern match gives all six; several uses of a path should share this column.
+    """
+    tokens = F.split(F.regexp_replace(path, LOG_PATH, "$1\n$2\n$3\n$4\n$5\n$6"), "\n", -1)
+    return F.when(path.rlike(LOG_PATH), tokens)
+
+
 def is_log_path(path: Column) -> Column:
     return path.rlike(LOG_PATH)
 
@@ -38,10 +48,12 @@ def resource_name(path: Column) -> Column:
 
 def log_time(path: Column) -> Column:
     """Hour a log path stands for, NULL for an impossible date or another path."""
-    year, month, day, hour, minute = (
-        F.regexp_extract(path, LOG_PATH, i).try_cast("int") for i in range(2, 7)
-    )
-    return F.try_make_timestamp(year, month, day, hour, minute, F.lit(0), F.lit("UTC"))
+    return tokens_time(path_tokens(path))
+
+
+def tokens_time(tokens: Column) -> Column:
+    parts = [F.get(tokens, F.lit(i)).try_cast("int") for i in range(1, 6)]
+    return F.try_make_timestamp(*parts, F.lit(0), F.lit("UTC"))
 
 
 def short_name(name: Column, time: Column) -> Column:
@@ -56,16 +68,36 @@ def blob_name(path: Column) -> Column:
 
 def split_nsg_resource(resource_id: Column) -> dict[str, Column]:
     """Subscription, resource group and NSG of a resource id, all ``''`` where it does not match."""
-    return _split_resource(resource_id, NSG_RESOURCE)
+    return _split_resource(resource_id, NSG_MARKER)
 
 
 def split_gateway_resource(resource_id: Column) -> dict[str, Column]:
-    return _split_resource(resource_id, GATEWAY_RESOURCE)
+    return _split_resource(resource_id, GATEWAY_MARKER)
+
+
+def _split_resource(resource_id: Column, kind: str) -> dict[str, Column]:
+    """Each marker counts where it occurs last in front of the next one; all four must be there."""
+    subscriptions, groups, providers = RESOURCE_MARKERS
+    to_kind = _before(resource_id, kind)
+    to_providers = _before(to_kind, providers)
+    to_groups = _before(to_providers, groups)
+    found = (
+        F.contains(resource_id, F.lit(kind))
+        & F.contains(to_kind, F.lit(providers))
+        & F.contains(to_providers, F.lit(groups))
+        & F.contains(to_groups, F.lit(subscriptions))
+    )
+    parts = {
+        "subscription_id": F.substring_index(to_groups, subscriptions, -1),
+        "resource_group": F.substring_index(to_providers, groups, -1),
+        "resource_name": F.substring_index(resource_id, kind, -1),
+    }
+    return {name: F.when(found, part).otherwise("") for name, part in parts.items()}
 
 
-def _split_resource(resource_id: Column, pattern: str) -> dict[str, Column]:
-    names = ["subscription_id", "resource_group", "resource_name"]
-    return {n: text(F.regexp_extract(resource_id, pattern, i)) for i, n in enumerate(names, 1)}
+def _before(col: Column, marker: str) -> Column:
+    """What stands before the last occurrence of a marker."""
+    return F.left(col, F.length(col) - F.length(F.substring_index(col, marker, -1)) - len(marker))
 
 
 def source_path(resource_id: Column, time: Column) -> Column:
@@ -87,16 +119,15 @@ def log_family(container: Column) -> Column:
 
 def output_name(path: Column, first_epoch: Column, last_epoch: Column) -> Column:
     """Name of the event file made from a log file, NULL for a path that is not a log path."""
-    hour = F.concat(*[F.regexp_extract(path, LOG_PATH, i) for i in range(2, 7)])
-    name = F.concat(
-        F.concat_ws(
-            "-",
-            F.lit("nsgLog"),
-            resource_name(path),
-            hour,
-            first_epoch.cast("string"),
-            last_epoch.cast("string"),
-        ),
+    tokens = path_tokens(path)
+    return F.concat(
+        F.lit("nsgLog-"),
+        F.get(tokens, F.lit(0)),
+        F.lit("-"),
+        F.array_join(F.slice(tokens, 2, 5), ""),
+        F.lit("-"),
+        first_epoch.cast("string"),
+        F.lit("-"),
+        last_epoch.cast("string"),
         F.lit(".json"),
     )
-    return F.when(is_log_path(path), name)

@@ -92,8 +92,13 @@ def syslog_column(events: DataFrame, tz: str = "UTC") -> Column:
 
 def syslog_lines(events: DataFrame, host: str, now: Column | None = None, tz: str = "UTC") -> DataFrame:
     """Framed syslog lines: ``file``, ``pos``, ``line``."""
-    content = events.select("file", "pos", syslog_column(events, tz).alias("content"))
-    return content.select("file", "pos", X.syslog_frame(F.col("content"), host, now, tz).alias("line"))
+    cef = events.select("file", "pos", "time", cef_column(events).alias("cef"))
+    # A timed message of one line that holds no second message is framed from its parts.
+    plain = F.col("time").isNotNull() & ~F.contains("cef", F.lit("\n")) & ~F.contains("cef", F.lit("|CEF"))
+    parts = F.concat(X.syslog_time(F.col("time"), tz), F.lit(f" {host} "), F.col("cef"))
+    content = X.syslog_text(F.col("time"), F.col("cef"), tz)
+    line = F.when(plain, parts).otherwise(X.syslog_frame(content, host, now, tz))
+    return cef.select("file", "pos", line.alias("line"))
 
 
 def event_json(events: DataFrame, compat: bool = False) -> Column:

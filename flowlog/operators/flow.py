@@ -91,12 +91,9 @@ def flow_tuples(records: DataFrame, after=None) -> DataFrame:
     groups = flows.select(
         *kept, F.col("flow.rule").alias("rule"), F.posexplode("flow.flows").alias("group_pos", "group")
     )
-    kept += ["rule", "group_pos"]
-    tuples = groups.select(
-        *kept,
-        X.format_mac(F.col("group.mac")).alias("mac"),
-        F.posexplode("group.flowTuples").alias("tuple_pos", "tuple"),
-    )
+    kept += ["rule", "group_pos", "mac"]
+    macs = groups.select(*kept[:-1], X.format_mac(F.col("group.mac")).alias("mac"), "group.flowTuples")
+    tuples = macs.select(*kept, F.posexplode("flowTuples").alias("tuple_pos", "tuple"))
     return tuples.select(
         "*",
         position("record_pos", "flow_pos", "group_pos", "tuple_pos").alias("pos"),

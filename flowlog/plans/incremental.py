@@ -32,6 +32,10 @@ from ..sources.logs import (
 from .status import StatusTable, begin_time_filter, unprocessed_files
 from .storage import shared_dir
 
+# Largest batch whose file list is sent to every executor; a larger one is joined by shuffle.
+MAX_BROADCAST_FILES = 100_000
+
+
 @dataclass(frozen=True)
 class Batch:
     """What a sink may need beside the events: ``version`` is the same when a batch is replayed,
@@ -114,8 +118,10 @@ class Job:
             F.col("name").alias("file"), F.col("last_processed_record").alias("after"), "known_count"
         )
         rows = log_rows(read_log_files(self.spark, [glob_literal(row["path"]) for row in selected]))
-        # ``since`` has at most ``files_per_batch`` short rows.
-        rows = rows.join(F.broadcast(since), "file")
+        # One short row per file of the batch.
+        if len(selected) <= MAX_BROADCAST_FILES:
+            since = F.broadcast(since)
+        rows = rows.join(since, "file")
         rows.write.mode("overwrite").parquet(self._staged("rows"))
 
         staged = self._staged_rows()

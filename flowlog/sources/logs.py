@@ -15,9 +15,9 @@ from ..functions.paths import (
     NSG,
     blob_name,
     is_log_path,
-    log_time,
-    resource_name,
+    path_tokens,
     short_name,
+    tokens_time,
 )
 from ..schemas import LISTING_DDL, LOG_DDL, POS_TYPE
 
@@ -78,13 +78,13 @@ def listing_rows(files: DataFrame) -> DataFrame:
 def parse_listing(listing: DataFrame) -> DataFrame:
     """Listing with what the path says: source, hour and short name. Files that are no log files
     are left out; ``rejected_paths`` has them."""
-    name = F.col("name")
-    return listing.where(is_log_path(name)).select(
-        "*",
-        resource_name(name).alias("nsg_name"),
-        log_time(name).alias("log_time"),
-        short_name(resource_name(name), log_time(name)).alias("short_name"),
+    tokens = listing.select("*", path_tokens(F.col("name")).alias("tokens"))
+    named = tokens.where("tokens IS NOT NULL").select(
+        *listing.columns,
+        F.get("tokens", F.lit(0)).alias("nsg_name"),
+        tokens_time(F.col("tokens")).alias("log_time"),
     )
+    return named.select("*", short_name(F.col("nsg_name"), F.col("log_time")).alias("short_name"))
 
 
 def rejected_paths(listing: DataFrame) -> DataFrame:

@@ -364,3 +364,21 @@ def test_file_bounds_follow_file_order(spark):
     assert fl.last_processed_timestamp(records, events).first()["last_processed_timestamp"] == 5
     none = fl.last_processed_timestamp(records, events.where("false")).first()
     assert none["last_processed_timestamp"] == 1497038820
+
+
+def test_resource_split_agrees_with_a_greedy_pattern(spark):
+    pieces = ["SUBSCRIPTIONS/", "/RESOURCEGROUPS/", "/PROVIDERS/", "NETWORKSECURITYGROUPS/", "a", "/", "b/c"]
+    import random
+
+    rng = random.Random(7)
+    ids = ["".join(rng.choice(pieces) for _ in range(rng.randint(3, 12))) for _ in range(3000)]
+    ids += ["x/SUBSCRIPTIONS/s/RESOURCEGROUPS/r/PROVIDERS/P/NETWORKSECURITYGROUPS/n" + "/" * i for i in range(3)]
+    pattern = re.compile(".*SUBSCRIPTIONS/(.*)/RESOURCEGROUPS/(.*)/PROVIDERS/.*NETWORKSECURITYGROUPS/(.*)")
+    frame = spark.createDataFrame([(i,) for i in ids], "id string")
+    split = P.split_nsg_resource(F.col("id"))
+    matches = 0
+    for row in frame.select("id", *[v.alias(k) for k, v in split.items()]).collect():
+        match = pattern.search(row["id"])
+        matches += bool(match)
+        assert tuple(row)[1:] == (match.groups() if match else ("", "", "")), row["id"]
+    assert matches > 20
