@@ -9,7 +9,7 @@ from .text import lookup, text, wall_clock
 
 # --- fixed values -------------------------------------------------------------------------------
 # (?d): only a newline ends a line.
-LOG_PATH = r"(?d).*/(.*)/y=([0-9]{4})/m=([0-9]{2})/d=([0-9]{2})/h=([0-9]{2})/m=([0-9]{2}).*"
+LOG_PATH = r"(?d).*/([^/\n]*)/y=([0-9]{4})/m=([0-9]{2})/d=([0-9]{2})/h=([0-9]{2})/m=([0-9]{2}).*"
 RESOURCE_MARKERS = ["SUBSCRIPTIONS/", "/RESOURCEGROUPS/", "/PROVIDERS/"]
 NSG_MARKER = "NETWORKSECURITYGROUPS/"
 GATEWAY_MARKER = "APPLICATIONGATEWAYS/"

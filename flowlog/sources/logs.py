@@ -78,8 +78,9 @@ def listing_rows(files: DataFrame) -> DataFrame:
 def parse_listing(listing: DataFrame) -> DataFrame:
     """Listing with what the path says: source, hour and short name. Files that are no log files
     are left out; ``rejected_paths`` has them."""
-    tokens = listing.select("*", path_tokens(F.col("name")).alias("tokens"))
-    named = tokens.where("tokens IS NOT NULL").select(
+    # Exploding a one-element array keeps later filters on the time from matching the path again.
+    found = F.filter(F.array(path_tokens(F.col("name"))), F.isnotnull)
+    named = listing.select("*", F.explode(found).alias("tokens")).select(
         *listing.columns,
         F.get("tokens", F.lit(0)).alias("nsg_name"),
         tokens_time(F.col("tokens")).alias("log_time"),
