@@ -22,7 +22,6 @@ from ..sources.logs import (
     file_rejects,
     glob_literal,
     list_log_files,
-    log_records,
     log_rows,
     parse_listing,
     path_not_found,

@@ -144,7 +144,9 @@ def access_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One gateway access record per ``events`` row; a port given as text rejects the record."""
     ev = table(spark, sf_dir, "events")
     event, user, kind = c("event_id"), c("user_id"), c("event_type")
-    time = F.date_trunc("second", c("ts").cast("timestamp"))
+    # The column has no zone; its wall clock is UTC whatever zone the session has.
+    instant = F.from_utc_timestamp(c("ts").cast("timestamp"), F.current_timezone())
+    time = F.timestamp_seconds(F.unix_seconds(instant))
     port = 1024 + event % 60000
     method = F.when(kind == "purchase", "POST").when(kind == "signup", "PUT").otherwise("GET")
     properties = F.to_variant_object(

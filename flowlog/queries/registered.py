@@ -40,7 +40,6 @@ from .sql import (
     json_escaped,
     mac,
     nsg_rid,
-    rid,
     stamp,
     with_,
 )

@@ -184,7 +184,8 @@ files AS (
   FROM orders GROUP BY ALL
 ),
 listing AS (
-  SELECT k, day, last_order, CASE WHEN k = 48 THEN 'notes/' || strftime(day, '%Y%m%d') || '.txt' ELSE 'resourceId=' || {nsg_rid("k")}
+  SELECT k, day, last_order,
+    CASE WHEN k = 48 THEN 'notes/' || strftime(day, '%Y%m%d') || '.txt' ELSE 'resourceId=' || {nsg_rid("k")}
       || '/y=' || strftime(day, '%Y') || '/m=' || CASE WHEN k = 49 THEN '13' ELSE strftime(day, '%m') END
       || '/d=' || strftime(day, '%d') || '/h=' || lpad(CAST(last_order % 24 AS VARCHAR), 2, '0')
       || '/m=00/PT1H.json' END AS name,

@@ -10,6 +10,7 @@ import flowlog as fl
 from flowlog.functions import paths as P
 from flowlog.functions import text as X
 from flowlog.operators.events import cef_column, event_json, syslog_column
+from flowlog.schemas import FLOWS_TYPE
 
 GOOD = "1497038814,10.193.160.4,40.85.232.72,46010,443,T,O,A"
 
@@ -133,8 +134,9 @@ def test_good_records_are_accepted(spark):
 
 
 def test_typed_properties_give_the_same_events(spark):
-    records = to_records(spark, [flow_record(tuples=[GOOD, "1,2", "abcde" + GOOD[10:]]), flow_record(mac=None, tuples=[GOOD])])
-    typed = "STRUCT<Version: INT, flows: ARRAY<STRUCT<rule: STRING, flows: ARRAY<STRUCT<mac: STRING, flowTuples: ARRAY<STRING>>>>>>"
+    mixed = flow_record(tuples=[GOOD, "1,2", "abcde" + GOOD[10:]])
+    records = to_records(spark, [mixed, flow_record(mac=None, tuples=[GOOD])])
+    typed = f"STRUCT<Version: INT, flows: {FLOWS_TYPE}>"
     other = records.withColumn("properties", F.try_variant_get("properties", "$", typed))
     for f in (fl.flow_events, fl.flow_tuple_errors):
         a, b = (f(r).drop("extension").orderBy("pos").collect() for r in (records, other))
@@ -316,7 +318,8 @@ def test_format_mac(spark):
 
 
 def test_paths(spark):
-    path = "resourceId=/SUBSCRIPTIONS/S/RESOURCEGROUPS/R/PROVIDERS/MICROSOFT.NETWORK/NETWORKSECURITYGROUPS/N/y=2017/m=06/d=09/h=21/m=00/PT1H.json"
+    resource = "/SUBSCRIPTIONS/S/RESOURCEGROUPS/R/PROVIDERS/MICROSOFT.NETWORK/NETWORKSECURITYGROUPS/N"
+    path = f"resourceId={resource}/y=2017/m=06/d=09/h=21/m=00/PT1H.json"
     assert one(spark, P.resource_name(F.lit(path))) == "N"
     assert one(spark, P.resource_name(F.lit("x/PT1H.json"))) == ""
     assert one(spark, P.log_time(F.lit(path))).hour == 21
@@ -325,7 +328,7 @@ def test_paths(spark):
     assert one(spark, P.log_time(F.lit(path.replace("d=09", "d=31")))) is None
     assert one(spark, P.output_name(F.lit(path), F.lit(5), F.lit(9))) == "nsgLog-N-201706092100-5-9.json"
     assert one(spark, P.output_name(F.lit("x"), F.lit(5), F.lit(9))) is None
-    resource = "/SUBSCRIPTIONS/S/RESOURCEGROUPS/R/PROVIDERS/MICROSOFT.NETWORK/NETWORKSECURITYGROUPS/N/"
+    resource += "/"
     split = {k: one(spark, v) for k, v in P.split_nsg_resource(F.lit(resource)).items()}
     assert split == {"subscription_id": "S", "resource_group": "R", "resource_name": "N/"}
     assert set(one(spark, v) for v in P.split_gateway_resource(F.lit(resource)).values()) == {""}

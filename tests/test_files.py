@@ -5,7 +5,6 @@ import os
 
 import pytest
 from conftest import GATEWAY_ID, access_record, blob_path, flow_record, write_log
-from pyspark.sql import functions as F
 
 import flowlog as fl
 from flowlog.sources import logs
@@ -355,9 +354,3 @@ def test_listing_stream_finds_every_file_once_per_change(spark, tmp_path):
         assert len(found) == len(set(found)) == 6
         parts = reader.partitions({"until": 1_002_000_000}, {"until": 1_003_000_000})
         assert len([row for p in parts for row in reader.read(p)]) == 2
-
-
-def test_no_paths_left_out_by_listing_and_stream(spark, tmp_path):
-    grow(tmp_path, 1, None)
-    listed = {r["path"] for r in fl.list_log_files(spark, str(tmp_path / "in")).collect()}
-    assert all(F.col is not None and p.startswith("file:") for p in listed)
