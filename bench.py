@@ -57,10 +57,13 @@ def main() -> None:
     folder = tempfile.mkdtemp(prefix="run-")
     spark = session(folder)
     flows = landed(spark, folder, "flows", D.flow_records(spark, SF_DIR))
+    dense = landed(spark, folder, "dense", D.dense_flow_records(spark, SF_DIR))
     access = landed(spark, folder, "access", D.access_records(spark, SF_DIR))
     firewall = landed(spark, folder, "firewall", D.firewall_records(spark, SF_DIR))
     events = fl.flow_events(flows)
     tuples = events.count() + fl.flow_tuple_errors(flows).where("kind = 'token_count'").count()
+    dense_events = fl.flow_events(dense)
+    dense_tuples = dense_events.count()
     root = f"{folder}/container"
     D.write_documents(D.log_documents(spark, SF_DIR), root)
     files = fl.list_log_files(spark, root).count()
@@ -85,6 +88,10 @@ def main() -> None:
         "flow_event_maps": lambda: run(events.select("file", "pos", "time", "severity", "extension")),
         "cef_lines": lambda: run(events.select(E.cef_column(events))),
         "syslog_lines": lambda: run(fl.syslog_lines(events, "host")),
+        "dense_flow_events": lambda: run(
+            dense_events.select("file", "pos", "time", "severity", "extension_text")
+        ),
+        "dense_cef_lines": lambda: run(dense_events.select(E.cef_column(dense_events))),
         "rejects": lambda: run(fl.rejects(flows, P.NSG)),
         "file_progress": lambda: run(fl.file_progress(flows, events)),
         "access_events": lambda: run(fl.access_events(access).select("file", "pos", "time", "extension_text")),
@@ -123,6 +130,8 @@ def main() -> None:
                 "flow_tuples": tuples,
                 "flow_tuples_per_sec": round(tuples / seconds["flow_events"]),
                 "cef_lines_per_sec": round(tuples / seconds["cef_lines"]),
+                "dense_tuples_per_sec": round(dense_tuples / seconds["dense_flow_events"]),
+                "dense_cef_lines_per_sec": round(dense_tuples / seconds["dense_cef_lines"]),
                 "files": files,
                 "files_per_sec": round(files / seconds["read_log_files"]),
             }

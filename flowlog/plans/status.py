@@ -80,8 +80,9 @@ def read_status(spark: SparkSession, path: str) -> DataFrame:
 def status_json(status: DataFrame, entries_per_document: int = 10_000) -> DataFrame:
     """Status rows as JSON documents, each a map from name to status: one ``value`` column.
 
-    A status of up to ``entries_per_document`` files is one document. A larger one is spread by
-    name over several, since no single row should hold them all; ``read_status`` takes the folder.
+    A status of up to ``entries_per_document`` files is one document. A larger one is spread by a
+    hash of the name over documents of about that size, since no single row should hold them all;
+    ``read_status`` takes the folder.
     """
     parts = max(1, -(-status.count() // entries_per_document))
     entry = F.struct(F.col("name").alias("key"), F.struct(*STATUS_COLUMNS).alias("value"))

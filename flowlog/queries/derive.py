@@ -140,6 +140,58 @@ def flow_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dense_flow_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One clean flow record per ``orders`` row: two rules of two groups of five tuples, nearer to the
+    size records have in real logs."""
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
+    order, k = c("o_orderkey"), c("o_custkey")
+    epoch = F.unix_date(F.to_date("o_orderdate")).cast("bigint") * 86400 + order % 86400
+
+    def flow_tuple(r: int, g: int, t: int) -> Column:
+        n = r * 10 + g * 5 + t
+        return F.concat_ws(
+            ",",
+            (epoch + n).cast("string"),
+            _text("10.", k % 256, f".{n}.1"),
+            F.lit("172.16.0.9"),
+            (1024 + (order + n) % 60000).cast("string"),
+            F.lit("443"),
+            F.lit("T" if t % 2 else "U"),
+            F.lit("O" if g else "I"),
+            F.when((order + n) % 7 == 0, "D").otherwise("A"),
+        )
+
+    flows = F.array(
+        *[
+            F.struct(
+                F.lit(f"Rule_{r}").alias("rule"),
+                F.array(
+                    *[
+                        F.struct(
+                            F.lpad(F.hex(k * 2 + g), 12, "0").alias("mac"),
+                            F.array(*[flow_tuple(r, g, t) for t in range(5)]).alias("flowTuples"),
+                        )
+                        for g in range(2)
+                    ]
+                ).alias("flows"),
+            )
+            for r in range(2)
+        ]
+    )
+    resource_id = nsg_resource_id(k)
+    time = F.timestamp_seconds(epoch)
+    return orders.select(
+        source_path(resource_id, time).alias("file"),
+        order.alias("record_pos"),
+        time.alias("time"),
+        _text("sys-", k).alias("systemId"),
+        F.lit("NetworkSecurityGroupFlowEvent").alias("category"),
+        resource_id.alias("resourceId"),
+        F.lit(NSG_FLOW_OPERATION).alias("operationName"),
+        F.to_variant_object(F.struct(F.lit(1).alias("Version"), flows.alias("flows"))).alias("properties"),
+    )
+
+
 def access_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One gateway access record per ``events`` row; a port given as text rejects the record."""
     ev = table(spark, sf_dir, "events")

@@ -113,6 +113,34 @@ def flow_event_report(spark, sf_dir):
     )
 
 
+@query(
+    """SELECT o_custkey % 50 AS source_group, (o_orderkey + n) % 7 = 0 AS denied,
+  n % 5 % 2 = 1 AS tcp, n // 5 % 2 AS direction, 'Rule_' || (n // 10) AS rule, count(*) AS events,
+  CAST(sum(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) * 86400 + o_orderkey % 86400 + n)
+    AS BIGINT) AS epoch_sum,
+  CAST(sum(1024 + (o_orderkey + n) % 60000) AS BIGINT) AS port_sum
+FROM orders, (SELECT UNNEST(range(20)) AS n) ns GROUP BY ALL"""
+)
+def dense_flow_report(spark, sf_dir):
+    """Records of twenty tuples in two flows and four groups."""
+    events = flow.flow_events(D.dense_flow_records(spark, sf_dir))
+    ext = c("extension")
+    rows = events.select(
+        (F.regexp_extract("file", "NSG-([0-9]+)", 1).cast("bigint") % 50).alias("source_group"),
+        (c("severity") == 6).alias("denied"),
+        (ext["proto"] == "TCP").alias("tcp"),
+        ext["deviceDirection"].cast("bigint").alias("direction"),
+        ext["cs1"].alias("rule"),
+        "epoch",
+        ext["spt"].cast("bigint").alias("port"),
+    )
+    return rows.groupBy("source_group", "denied", "tcp", "direction", "rule").agg(
+        F.count("*").alias("events"),
+        F.sum("epoch").alias("epoch_sum"),
+        F.sum("port").alias("port_sum"),
+    )
+
+
 TUPLE_TEXT = (
     "concat_ws(',', tok0, src_ip, dst_ip, spt, dpt, proto_code, dir_code, "
     "CASE WHEN whole THEN decision END)"
