@@ -358,3 +358,22 @@ def test_listing_stream_finds_every_file_once_per_change(spark, tmp_path):
         assert len(found) == len(set(found)) == 6
         parts = reader.partitions({"until": 1_002_000_000}, {"until": 1_003_000_000})
         assert len([row for p in parts for row in reader.read(p)]) == 2
+
+
+def test_a_hot_file_is_written_by_several_tasks_in_order(spark, tmp_path):
+    records = [
+        flow_record(time=f"2017-06-09T20:{i:02d}:00Z", tuples=tuples(1497038400 + 60 * i, 20)) for i in range(40)
+    ]
+    write_log(blob_path(tmp_path / "in"), records)
+    events = fl.flow_events(fl.read_nsg_log(spark, str(tmp_path / "in")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        fl.write_event_files(events, str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    (folder,) = [d for d in os.listdir(tmp_path / "out") if d.startswith("output_name")]
+    parts = sorted(f for f in os.listdir(tmp_path / "out" / folder) if f.startswith("part"))
+    assert len(parts) > 1
+    lines = [line for f in parts for line in (tmp_path / "out" / folder / f).read_text().splitlines()]
+    starts = [int(json.loads(line)["extension"]["start"]) for line in lines]
+    assert starts == sorted(starts) and len(starts) == 800
