@@ -8,9 +8,11 @@ sketch; members that look alike are then confirmed on their full sets, recompute
 at the threshold keeps meeting with a chance that falls only slowly with depth, and independent trees
 bring the chance of never meeting down to ``1 - recall``.
 
-Links are only followed to tell classes apart: inside a node a pair already connected is not compared
+Links are only followed to tell classes apart: inside a node a member already connected is not compared
 again, and a node passes on a spanning forest of its links, never all pairs of a group. Nodes with more
-members than a task should hold are branched by shuffle; smaller ones in the task that has them.
+members than a task should hold are branched by shuffle; smaller ones in the task that has them. A large
+node whose members are as alike on average as linked ones would never end branching: it is cut by hash into small nodes
+that share its ``CENTRAL`` most alike members, and independent trees cut it in other ways.
 
 Defined results: null texts and texts without words have the empty set and link with nothing; null ids are
 never the smallest id of a component unless it has no other, then its id is null and all its rows are
@@ -21,7 +23,7 @@ is equality of 64-bit hashes.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,6 +38,8 @@ from flowlog.llm.words import Words, hashed_words, mix, stream, windows
 SHINGLE_WORDS = 5
 COORDINATES = 64
 _LAST = 2**63 - 1
+#: Members that all parts of a dense node share.
+CENTRAL = 64
 _TOKENS = stream(17, COORDINATES) | np.uint64(1)
 _EMPTY = -1
 
@@ -46,13 +50,15 @@ class Join:
 
     ``percent``: link if 100 * intersection >= percent * union. ``recall``: chance that a linked pair at
     the threshold meets. ``leaf``: members a node may have to be compared exhaustively. ``local``: members
-    a node may have to be branched inside one task, a sketch of 256 bytes each.
+    a node may have to be branched inside one task, a sketch of 256 bytes each. ``far`` and ``depth``:
+    levels branched by shuffle and inside a task, after which a node counts as dense.
     """
 
     percent: int = 85
     recall: float = 0.999
-    leaf: int = 64
+    leaf: int = 1024
     local: int = 50_000
+    far: int = 8
     depth: int = 48
 
     @property
@@ -207,45 +213,64 @@ def leaves(tokens: np.ndarray, node: int, join: Join) -> Iterator[np.ndarray]:
         at, key, depth = pending.pop()
         if len(at) <= join.leaf:
             yield at
-        elif depth >= join.depth:
-            # so many equal tokens on one path: nearly one set; each meets the first and its neighbours
-            for begin in range(1, len(at), join.leaf - 1):
-                yield np.append(at[:1], at[begin : begin + join.leaf - 1])
-        else:
-            for j in chosen(key, join.threshold):
-                own = tokens[at, j]
-                order = np.argsort(own, kind="stable")
-                edges = np.flatnonzero(np.diff(own[order]) != 0) + 1
-                for group in np.split(order, edges):
-                    if len(group) > 1:
-                        child = children(np.array([key], np.uint64), j, own[group[:1]])
-                        pending.append((at[np.sort(group)], int(child[0]), depth + 1))
-
-
-def _forest(n: int, pairs: np.ndarray) -> np.ndarray:
-    """Smallest member of each member's component."""
-    root = list(range(n))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    for x, y in pairs.tolist():
-        x, y = find(x), find(y)
-        if x != y:
-            root[max(x, y)] = min(x, y)
-    return np.array([find(x) for x in range(n)])
-
-
-def _alike(tokens: np.ndarray, least: int) -> np.ndarray:
-    """Pairs of rows with ``least`` equal tokens."""
-    found = []
-    for i in range(len(tokens) - 1):
-        j = np.flatnonzero((tokens[i + 1 :] == tokens[i]).sum(1) >= least) + i + 1
-        found.append(np.stack([np.full(len(j), i), j], 1))
-    return np.concatenate(found) if found else np.empty((0, 2), np.int64)
+            continue
+        alike = np.zeros(len(at))  # mean share of a member's tokens that another member has
+        for j in range(COORDINATES):
+            _, own, n = np.unique(tokens[at, j], return_inverse=True, return_counts=True)
+            alike += (n[own] - 1) / (len(at) - 1) / COORDINATES
+        if depth >= join.depth or alike.mean() >= join.threshold:
+            shared = min(CENTRAL, join.leaf // 2)
+            order = np.argsort(-alike, kind="stable")
+            others = at[order[shared:]]
+            others = others[np.argsort(mix(stream(key & 0xFFFFFFFF, len(others))), kind="stable")]
+            for begin in range(0, len(others), join.leaf - shared):
+                yield np.append(at[order[:shared]], others[begin : begin + join.leaf - shared])
+            continue
+        for j in chosen(key, join.threshold):
+            own = tokens[at, j]
+            order = np.argsort(own, kind="stable")
+            edges = np.flatnonzero(np.diff(own[order]) != 0) + 1
+            for group in np.split(order, edges):
+                if len(group) > 1:
+                    child = children(np.array([key], np.uint64), j, own[group[:1]])
+                    pending.append((at[np.sort(group)], int(child[0]), depth + 1))
+
+
+def _cut(large: DataFrame, local: int) -> DataFrame:
+    """Dense nodes of more than ``local`` members, cut by hash into parts that share ``CENTRAL`` members."""
+    parts = F.ceil(F.col("size") / (local // 2))
+    draw = F.xxhash64("node", "cls")
+    # by hash too: about CENTRAL members in all, each copied to every part
+    central = F.pmod(F.xxhash64("cls", "node"), F.col("size")) < CENTRAL
+    every = F.sequence(F.lit(0).cast("long"), parts - 1)
+    part = F.explode(F.when(central, every).otherwise(F.array(F.pmod(draw, parts))))
+    return large.select("node", "cls", "size", part.alias("part")).select(
+        F.xxhash64("node", "part").alias("node"), "cls", "size"
+    )
+
+
+def grouped(n: int, linked: Callable[[int, np.ndarray], np.ndarray]) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Component of each of ``n`` members, and links that span them.
+
+    ``linked(u, rest)`` tells which members of ``rest`` link with ``u``. Every member is asked once, for
+    those that no other has reached yet.
+    """
+    component = np.full(n, -1)
+    rest = np.arange(n)
+    spanning: list[tuple[int, int]] = []
+    while len(rest):
+        start, rest = int(rest[0]), rest[1:]
+        component[start] = start
+        queue = [start]
+        while queue and len(rest):
+            u = queue.pop()
+            yes = linked(u, rest)
+            if yes.any():
+                reached, rest = rest[yes].tolist(), rest[~yes]
+                component[reached] = start
+                spanning += [(u, v) for v in reached]
+                queue += reached
+    return component, spanning
 
 
 def _clusters(join: Join):
@@ -264,11 +289,10 @@ def _clusters(join: Join):
         groups = list(np.stack([cls[twos], cls[twos + 1]], 1))
         for a, b in zip(bounds[:-1][sizes > 2], bounds[1:][sizes > 2], strict=True):
             for leaf in leaves(tokens[a:b], int(node[a]) % 2**64, join):
-                pairs = _alike(tokens[a:b][leaf], likely)
-                if len(pairs):
-                    roots = _forest(len(leaf), pairs)
-                    for root in np.unique(roots[pairs[:, 0]]):
-                        groups.append(cls[a:b][leaf[roots == root]])
+                own = tokens[a:b][leaf]
+                component, spanning = grouped(len(leaf), lambda u, rest, own=own: (own[rest] == own[u]).sum(1) >= likely)
+                for root in {component[u] for u, _ in spanning}:
+                    groups.append(cls[a:b][leaf[component == root]])
         if not groups:
             return pa.table({"cluster": pa.array([], pa.int64()), "cls": pa.array([], pa.int64())})
         names = [int(mix(np.add.reduce(mix(g.view(np.uint64)), keepdims=True)).view(np.int64)[0]) for g in groups]
@@ -279,20 +303,26 @@ def _clusters(join: Join):
     return compare
 
 
-def shared_sizes(sets: list[np.ndarray], columns: int = 1 << 14) -> np.ndarray:
-    """Sizes of all pairwise intersections, over as many shingles at a time as ``columns``."""
-    joined = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    _, place = np.unique(joined, return_inverse=True)
-    order = np.argsort(place, kind="stable")
-    place, owner = place[order], owner[order]
-    total = np.zeros((len(sets), len(sets)))
-    for low in range(0, int(place[-1]) + 1, columns):
-        a, b = np.searchsorted(place, [low, low + columns])
-        has = np.zeros((len(sets), columns), np.float32)
-        has[owner[a:b], place[a:b] - low] = 1
-        total += has @ has.T
-    return np.rint(total).astype(np.int64)
+def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links that span the components of some sets, each confirmed on its two whole sets."""
+    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    parts = np.split(codes, np.cumsum(size)[:-1])
+    mark = np.zeros(int(codes.max()) + 1, np.int32)
+
+    def linked(u: int, rest: np.ndarray) -> np.ndarray:
+        yes = np.zeros(len(rest), bool)
+        fits = np.flatnonzero(100 * np.minimum(size[rest], size[u]) >= percent * np.maximum(size[rest], size[u]))
+        if len(fits):
+            others = rest[fits]
+            mark[parts[u]] = 1
+            begin = np.cumsum(size[others]) - size[others]
+            both = np.add.reduceat(mark[np.concatenate([parts[i] for i in others])], begin)
+            mark[parts[u]] = 0
+            yes[fits] = 100 * both >= percent * (size[u] + size[others] - both)
+        return yes
+
+    return grouped(len(sets), linked)[1]
 
 
 def _confirm(join: Join):
@@ -311,14 +341,9 @@ def _confirm(join: Join):
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             if b - a < 2:
                 continue
-            both = shared_sizes(sets[a:b])
-            size = np.diag(both)
-            union = size[:, None] + size[None, :] - both
-            pairs = np.argwhere(np.triu(100 * both >= join.percent * union, 1))
-            roots = _forest(b - a, pairs)
-            for i in np.flatnonzero(roots != np.arange(b - a)):
-                left.append(cls[a + roots[i]])
-                right.append(cls[a + i])
+            for u, v in spanning_links(sets[a:b], join.percent):
+                left.append(cls[a + u])
+                right.append(cls[a + v])
         return pa.table({"u": pa.array(left, pa.int64()), "v": pa.array(right, pa.int64())})
 
     return links
@@ -345,13 +370,14 @@ def _links(docs: DataFrame, classes: DataFrame, join: Join, doc_id: str, text: s
     nodes = _shared(sketched.mapInArrow(_roots(join.trees, join.threshold), "node long, cls long"))
     small = nodes.where(F.col("size") <= join.local)
     large = nodes.where(F.col("size") > join.local)
-    for _ in range(join.depth):
+    for _ in range(join.far):
         if large.isEmpty():
             break
         below = large.join(sketched, "cls").mapInArrow(_deeper(join.threshold), "node long, cls long")
         nodes = _shared(below.distinct())
         small = small.unionByName(nodes.where(F.col("size") <= join.local))
         large = nodes.where(F.col("size") > join.local)
+    small = small.unionByName(_cut(large, join.local))
     lots = F.lit(8 * partitions(spark))
     clusters = (
         small.join(sketched, "cls")
@@ -359,10 +385,7 @@ def _links(docs: DataFrame, classes: DataFrame, join: Join, doc_id: str, text: s
         .applyInArrow(_clusters(join), "cluster long, cls long")
         .distinct()
     )
-    # what is left of a node after so many levels is nearly one set: each meets a member chosen for all
-    rest = large.groupBy("node").agg(F.min("cls").alias("pivot")).join(large, "node").where("cls <> pivot")
-    meets = rest.select(F.xxhash64("pivot", "cls").alias("cluster"), F.explode(F.array("cls", "pivot")).alias("cls"))
-    clusters = stored(clusters.unionByName(meets.distinct()), "clusters")
+    clusters = stored(clusters, "clusters")
     wanted = classes.select("cls", "first_doc").join(clusters.select("cls").distinct(), "cls", "left_semi")
     texts = _texts_of(docs, wanted, doc_id, text)
     once = texts.join(wanted.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text"))
