@@ -1,5 +1,63 @@
-"""The corpus pipeline."""
-STAGES = []
+"""The corpus pipeline: from ``documents`` to a decontaminated, deduplicated mix.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as
+the next stage's ``docs``. All but the last return the columns of ``documents``; the last adds ``copies``, how often the
+mix takes a document. Nulls, empty texts, repeated rows, extra columns and empty tables are handled as the
+operators' modules state; a null or empty text does not pass the quality rules.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from flowlog.llm import decontaminate, mixing, neardup, quality, substrings
+from flowlog.llm.storage import stored
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that no rule of the cascade rejects."""
+    return quality.quality_filter(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that with the smallest id."""
+    return neardup.drop_near_duplicates(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without the words of passages that a smaller id has, ``n_chars`` counted anew."""
+    cut = substrings.remove_duplicates(docs)
+    if "n_chars" not in docs.columns:
+        return cut
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents in which no benchmark item is found."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents of the mix, with how often each is taken."""
+    return mixing.mixed(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("substring_dedup", substring_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("mix_sources", mix_sources),
+]
+
+#: Near duplicates, edit distances and spans of other documents are beyond one SQL statement at full size.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, a written table between each two."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
