@@ -105,7 +105,7 @@ def main() -> None:
             )
         ),
         "status_latest": lambda: run(latest_status(D.status(spark, SF_DIR).withColumn("version", F.lit(1)))),
-        "read_log_files": lambda: run(fl.flow_events(fl.read_nsg_log(spark, root)).select("epoch")),
+        "read_log_files": lambda: run(fl.flow_events(fl.read_log(spark, fl.NSG, root)).select("epoch")),
         "incremental_first_run": first_run,
         "incremental_idle_run": idle_run,
     }

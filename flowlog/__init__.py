@@ -1,7 +1,7 @@
 """Network-security logs to security events, as Spark DataFrames."""
 
 from .functions.paths import ACCESS, FIREWALL, NSG
-from .operators.events import ordered_event_array, syslog_lines, union_events
+from .operators.events import event_array_rows, ordered_event_array, syslog_lines, union_events
 from .operators.families import (
     Handler,
     accepted_records,
@@ -41,20 +41,19 @@ from .plans.status import (
     write_status,
 )
 from .sinks.files import file_sink, write_event_files
-from .sinks.syslog import socket_sender, syslog_sink, write_syslog
+from .sinks.syslog import syslog_sink, write_syslog
 from .sources.events import read_cef_json
 from .sources.logs import (
+    RESOURCE_FOLDERS,
+    impossible_hours,
     list_log_files,
     parse_listing,
-    read_access_log,
-    read_firewall_log,
+    read_log,
     read_log_tail,
     read_logs,
-    read_nsg_log,
     rejected_paths,
     split_corrupt,
 )
-from .streaming.listing import register_listing_source
-from .streaming.stream import listing_stream, start_stream
+from .streaming.stream import start_stream
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -66,6 +68,23 @@ def blob_name(path: Column) -> Column:
     return F.when(name != "", name).otherwise(path)
 
 
+def relative_name(path: Column, root: str) -> Column:
+    """Name of a file below ``root``: its path relative to the root, or ``blob_name`` for other paths.
+
+    Scheme and authority are left out of the comparison, so ``/in`` and ``file:///in`` are one root.
+    """
+    base = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).strip("/")
+    place = F.ltrim(F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), F.lit("/"))
+    return F.when(F.startswith(place, F.lit(base + "/")), F.substr(place, F.lit(len(base) + 2))).otherwise(
+        blob_name(path)
+    )
+
+
+def source_hash(path: Column) -> Column:
+    """Short name of the resource a log file belongs to, by everything in front of its hour."""
+    return F.hex(F.xxhash64(F.regexp_extract(path, r"(?s)^(.*)/y=[0-9]{4}/", 1)))
+
+
 def split_nsg_resource(resource_id: Column) -> dict[str, Column]:
     """Subscription, resource group and NSG of a resource id, all ``''`` where it does not match."""
     return _split_resource(resource_id, NSG_MARKER)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -104,7 +104,8 @@ def syslog_lines(events: DataFrame, host: str, now: Column | None = None, tz: st
 def event_json(events: DataFrame, compat: bool = False) -> Column:
     """JSON object of each event, keys in event order and the extension sorted by key.
 
-    ``compat`` leaves out product and version, which the exchange format lacks.
+    ``compat`` leaves out product and version, which the exchange format lacks, and escapes the
+    characters that format does.
     """
     # Seconds fraction without trailing zeros, always in UTC.
     utc = F.concat(F.replace(X.wall_clock(F.col("time")).cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
@@ -112,28 +113,44 @@ def event_json(events: DataFrame, compat: bool = False) -> Column:
     values = {c: F.col(c) for c in EVENT_COLUMNS if c not in dropped}
     values["time"] = utc
     values["extension"] = F.map_from_entries(X.sorted_entries(F.col("extension")))
-    return F.to_json(F.struct(*[v.alias(c) for c, v in values.items()]))
+    text = F.to_json(F.struct(*[v.alias(c) for c, v in values.items()]))
+    if compat:
+        for char in "<>&\u2028\u2029":
+            text = F.replace(text, F.lit(char), F.lit(f"\\u{ord(char):04x}"))
+    return text
+
+
+def event_array_rows(
+    events: DataFrame, records_per_document: int | None = None, compat: bool = False, extra: tuple[str, ...] = ()
+) -> DataFrame:
+    """JSON arrays of events in file order, an event per row: ``file``, ``document``, ``pos``, ``value``.
+
+    The values of a document, one after another, are one JSON array, however many events it has; no
+    row holds more than one of them. A log file makes one document, or one for every
+    ``records_per_document`` records.
+    """
+    of = F.lit(0) if records_per_document is None else F.floor(F.col("pos.record_pos") / records_per_document)
+    rows = events.withColumn("document", of.cast("int"))
+    order = Window.partitionBy("file", "document").orderBy("pos")
+    placed = rows.withColumn("nth", F.row_number().over(order)).withColumn("next", F.lead("pos").over(order))
+    value = F.concat(
+        F.when(F.col("nth") == 1, "[").otherwise(","),
+        event_json(placed, compat),
+        F.when(F.col("next").isNull(), "]").otherwise(""),
+    )
+    return placed.select("file", "document", "pos", *extra, value.alias("value"))
 
 
 def ordered_event_array(
-    events: DataFrame, records_per_array: int = 60, compat: bool = False
+    events: DataFrame, records_per_array: int | None = None, compat: bool = False
 ) -> DataFrame:
-    """JSON arrays of events in file order: ``file``, ``chunk``, ``event_count``, ``events``.
+    """JSON arrays of events as one text each: ``file``, ``chunk``, ``event_count``, ``events``.
 
-    An hour file holds a record per minute, so its events normally form one array. A longer file is
-    cut every ``records_per_array`` records, which keeps each array bounded however large the file;
-    its arrays, by ``chunk``, follow one another without gap.
+    One array per log file, or one for every ``records_per_array`` records. It holds an array in one
+    row; ``event_array_rows`` gives the same text in as many rows as events.
     """
-    chunk = F.floor(F.col("pos.record_pos") / records_per_array).cast("int")
-    item = F.struct("pos", event_json(events, compat).alias("event"))
-    ordered = F.transform(F.sort_array("items"), lambda x: x["event"])
-    return (
-        events.groupBy("file", chunk.alias("chunk"))
-        .agg(F.collect_list(item).alias("items"))
-        .select(
-            "file",
-            "chunk",
-            F.size("items").alias("event_count"),
-            F.concat(F.lit("["), F.array_join(ordered, ","), F.lit("]")).alias("events"),
-        )
+    rows = event_array_rows(events, records_per_array, compat)
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("pos", "value"))), lambda x: x["value"])
+    return rows.groupBy("file", F.col("document").alias("chunk")).agg(
+        F.count("*").cast("int").alias("event_count"), F.array_join(ordered, "").alias("events")
     )

@@ -27,12 +27,14 @@ class Handler(NamedTuple):
     events: Callable[..., DataFrame]
     rejected: Callable[..., DataFrame] | None = None
     tuple_errors: Callable[..., DataFrame] | None = None
+    #: Rejected records and tuple errors together, as reject rows, in fewer passes.
+    rejects: Callable[..., DataFrame] | None = None
 
 
 HANDLERS: dict[str, dict[str, Handler]] = {
     NSG: {
         NSG_FLOW_OPERATION: Handler(
-            flow.flow_events, flow.rejected_flow_records, flow.flow_tuple_errors
+            flow.flow_events, flow.rejected_flow_records, flow.flow_tuple_errors, flow.flow_rejects
         ),
         NSG_RULE_OPERATION: Handler(flow.rule_counter_events),
     },
@@ -76,8 +78,16 @@ def rejected_records(records: DataFrame, family: str, after=None) -> DataFrame:
 
 def rejects(records: DataFrame, family: str, after=None) -> DataFrame:
     """Everything that did not become a clean event: bad tuples and rejected records."""
-    errors = [h.tuple_errors(records, after) for h in HANDLERS[family].values() if h.tuple_errors]
-    return union_events(rejected_records(records, family, after), *errors)
+    parts = []
+    for handler in HANDLERS[family].values():
+        if handler.rejects is not None:
+            parts.append(handler.rejects(records, after))
+            continue
+        if handler.rejected is not None:
+            parts.append(_record_reject(handler.rejected(records, after)))
+        if handler.tuple_errors is not None:
+            parts.append(handler.tuple_errors(records, after))
+    return union_events(*parts)
 
 
 def _record_reject(records: DataFrame) -> DataFrame:
@@ -85,6 +95,6 @@ def _record_reject(records: DataFrame) -> DataFrame:
         "file",
         position("record_pos").alias("pos"),
         F.lit("record").alias("kind"),
-        F.lit("a required field is missing or has another type").alias("message"),
+        F.lit(flow.RECORD_MESSAGE).alias("message"),
         F.to_json("properties").alias("raw"),
     )

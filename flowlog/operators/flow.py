@@ -13,6 +13,10 @@ from .events import event_rows, position
 from .records import records_after
 
 
+#: Why a record yields nothing.
+RECORD_MESSAGE = "a required field is missing or has another type"
+
+
 def flow_events(records: DataFrame, after=None) -> DataFrame:
     """Events of flow records later than ``after``, one per 8-token tuple of an accepted record."""
     tokens = [F.get("tokens", F.lit(i)) for i in range(X.TUPLE_TOKENS)]
@@ -86,14 +90,17 @@ def flow_tuples(records: DataFrame, after=None) -> DataFrame:
     named = due.select(*kept, *[c.alias(n) for n, c in resource.items()], "properties")
     kept += list(resource)
     records = named.select(*kept, F.explode(F.expr(accepted)).alias("flows"))
-    flows = records.select(*kept, F.posexplode("flows").alias("flow_pos", "flow"))
-    kept += ["flow_pos"]
-    groups = flows.select(
-        *kept, F.col("flow.rule").alias("rule"), F.posexplode("flow.flows").alias("group_pos", "group")
-    )
-    kept += ["rule", "group_pos", "mac"]
-    macs = groups.select(*kept[:-1], X.format_mac(F.col("group.mac")).alias("mac"), "group.flowTuples")
-    tuples = macs.select(*kept, F.posexplode("flowTuples").alias("tuple_pos", "tuple"))
+    return _exploded(records, kept, F.posexplode)
+
+
+def _exploded(records: DataFrame, kept: list[str], explode) -> DataFrame:
+    """The tuples in the ``flows`` of records; an outer ``explode`` keeps records without tuples."""
+    flows = records.select(*kept, explode("flows").alias("flow_pos", "flow"))
+    kept = [*kept, "flow_pos"]
+    groups = flows.select(*kept, F.col("flow.rule").alias("rule"), explode("flow.flows").alias("group_pos", "group"))
+    kept += ["rule", "group_pos"]
+    macs = groups.select(*kept, X.format_mac(F.col("group.mac")).alias("mac"), "group.flowTuples")
+    tuples = macs.select(*kept, "mac", explode("flowTuples").alias("tuple_pos", "tuple"))
     return tuples.select(
         "*",
         position("record_pos", "flow_pos", "group_pos", "tuple_pos").alias("pos"),
@@ -107,18 +114,50 @@ def flow_tuple_errors(records: DataFrame, after=None) -> DataFrame:
     A tuple with another number of tokens gives an error and no event; a bad epoch gives an error
     beside its event.
     """
-    tuples = flow_tuples(records, after)
-    epoch = F.get("tokens", F.lit(0))
+    return flow_tuples(records, after).where(_is_bad()).select("file", "pos", *_tuple_error(), F.col("tuple").alias("raw"))
+
+
+def _is_bad() -> Column:
+    wrong_size = F.size("tokens") != X.TUPLE_TOKENS
+    return wrong_size | X.parse_epoch(F.get("tokens", F.lit(0))).isNull()
+
+
+def _tuple_error() -> list[Column]:
     wrong_size = F.size("tokens") != X.TUPLE_TOKENS
-    bad = tuples.where(wrong_size | X.parse_epoch(epoch).isNull())
+    message = F.when(wrong_size, X.token_count_message(F.col("tuple"))).otherwise(
+        X.epoch_message(F.get("tokens", F.lit(0)))
+    )
+    return [F.when(wrong_size, "token_count").otherwise("epoch").alias("kind"), message.alias("message")]
+
+
+def flow_rejects(records: DataFrame, after=None) -> DataFrame:
+    """Tuple errors of accepted flow records and the rejected records, from one pass over the records.
+
+    Whether a record is accepted is decided once; a rejected record goes through the explodes as one
+    row without a tuple.
+    """
+    due = records_after(records.where(F.col("operationName") == NSG_FLOW_OPERATION), after)
+    judged = f"transform(array({_flows_sql(due)}), flows -> struct(flows, {_accepted_sql(due, 'flows')} AS accepted))"
+    one = due.select("file", "record_pos", "properties", F.explode(F.expr(judged)).alias("judged"))
+    accepted = F.col("judged.accepted")
+    kept = ["file", "record_pos", "accepted", "record_raw"]
+    rows = one.select(
+        "file",
+        "record_pos",
+        accepted.alias("accepted"),
+        F.when(~accepted, F.to_json("properties")).alias("record_raw"),
+        F.when(accepted, F.col("judged.flows")).alias("flows"),
+    )
+    tuples = _exploded(rows, kept, F.posexplode_outer)
+    bad = tuples.where(~F.col("accepted") | (F.col("tuple").isNotNull() & _is_bad()))
+    kind, message = _tuple_error()
+    whole = ~F.col("accepted")
     return bad.select(
         "file",
-        "pos",
-        F.when(wrong_size, "token_count").otherwise("epoch").alias("kind"),
-        F.when(wrong_size, X.token_count_message(F.col("tuple")))
-        .otherwise(X.epoch_message(epoch))
-        .alias("message"),
-        F.col("tuple").alias("raw"),
+        F.when(whole, position("record_pos")).otherwise(F.col("pos")).alias("pos"),
+        F.when(whole, "record").otherwise(kind).alias("kind"),
+        F.when(whole, RECORD_MESSAGE).otherwise(message).alias("message"),
+        F.when(whole, F.col("record_raw")).otherwise(F.col("tuple")).alias("raw"),
     )
 
 

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..schemas import POS_TYPE
+
 
 def file_record_counts(records: DataFrame) -> DataFrame:
     return records.groupBy("file").agg(F.count("record_pos").cast("int").alias("last_count"))
@@ -32,30 +34,38 @@ def file_event_bounds(events: DataFrame) -> DataFrame:
 
 
 def last_record_time(records: DataFrame) -> DataFrame:
-    """Time of the last record in file order, which need not be the latest."""
-    return records.groupBy("file").agg(F.max_by("time", "record_pos").alias("last_processed_record"))
+    """Time of the last record in file order that has one, which need not be the latest."""
+    return records.groupBy("file").agg(_last_time().alias("last_processed_record"))
+
+
+def _last_time():
+    # A record without time must not set a file's progress back to its start.
+    return F.max_by("time", F.when(F.col("time").isNotNull(), F.col("record_pos")))
 
 
 def file_progress(records: DataFrame, events: DataFrame) -> DataFrame:
     """One row per file of ``records``: counts, bounds and the time the next run continues after.
 
-    A file without records has a row with ``record_pos`` NULL and gets count 0.
+    A file without records has a row with ``record_pos`` NULL and gets count 0. Records and events
+    are counted in one aggregation, without a join.
     """
-    per_file = records.groupBy("file").agg(
+    none = F.lit(None)
+    heads = records.select(
+        "file", "record_pos", "time", none.cast(POS_TYPE).alias("pos"), none.cast("bigint").alias("epoch")
+    )
+    tails = events.select(
+        "file", none.cast("bigint").alias("record_pos"), none.cast("timestamp").alias("time"), "pos", "epoch"
+    )
+    event = F.when(F.col("pos").isNotNull(), F.struct("pos", "epoch"))
+    found = heads.unionByName(tails).groupBy("file").agg(
         F.count("record_pos").cast("int").alias("last_count"),
-        F.max_by("time", "record_pos").alias("last_processed_record"),
+        _last_time().alias("last_processed_record"),
+        F.min(event)["epoch"].alias("first_epoch"),
+        F.max(event)["epoch"].alias("last_epoch"),
+        F.count(event).alias("event_count"),
     )
-    joined = per_file.join(file_event_bounds(events), "file", "left")
-    return joined.select(
-        "file",
-        "last_count",
-        "last_processed_record",
-        "first_epoch",
-        "last_epoch",
-        F.coalesce("event_count", F.lit(0)).alias("event_count"),
-        F.coalesce("last_epoch", F.unix_seconds("last_processed_record")).alias(
-            "last_processed_timestamp"
-        ),
+    return found.withColumn(
+        "last_processed_timestamp", F.coalesce("last_epoch", F.unix_seconds("last_processed_record"))
     )
 
 

@@ -67,11 +67,13 @@ def sort_records(records: DataFrame) -> DataFrame:
 
 
 def log_file_from_records(records: DataFrame, family: str) -> DataFrame:
-    """One listing row per file, made from its first record instead of a storage listing."""
+    """One listing row per file, made from its first record that has a time instead of a storage
+    listing; the position that record has does not matter."""
     split = split_nsg_resource if family == NSG else split_gateway_resource
-    first = records.where("record_pos = 0")
+    first = F.min_by(F.struct("resourceId", "time"), "record_pos").alias("first")
+    rows = records.where("time IS NOT NULL").groupBy("file").agg(first).select("file", "first.*")
     name = source_path(F.col("resourceId"), F.col("time"))
-    return first.select(
+    return rows.select(
         "file",
         name.alias("name"),
         F.col("time").alias("last_modified"),

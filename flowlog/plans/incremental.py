@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from itertools import islice
 
 from pyspark.errors import AnalysisException
@@ -16,23 +16,28 @@ from ..functions.paths import CONTAINERS, NSG_FLOW_OPERATION
 from ..operators.events import union_events
 from ..operators.families import family_events, rejects
 from ..operators.progress import file_progress
-from ..schemas import SELECTED_COLUMNS, SELECTED_DDL
+from ..schemas import EVENT_DDL, POS_TYPE, RECORD_FIELDS, SELECTED_COLUMNS, SELECTED_DDL, STATUS_DDL
 from ..sources.logs import (
     family_of,
     file_rejects,
     glob_literal,
+    impossible_hours,
     list_log_files,
     log_rows,
     parse_listing,
     path_not_found,
     read_log_files,
+    rejected_paths,
     unread_range,
 )
-from .status import StatusTable, begin_time_filter, unprocessed_files
-from .storage import shared_dir
+from .status import StatusTable, begin_time_filter, begin_time, unprocessed_files
 
-# Largest batch whose file list is sent to every executor; a larger one is joined by shuffle.
-MAX_BROADCAST_FILES = 100_000
+_STAGED_DDL = (
+    f"file STRING, error STRING, raw STRING, record_pos BIGINT, {RECORD_FIELDS}, after TIMESTAMP, known_count INT"
+)
+STAGED_EVENT_DDL = f"file STRING, pos {POS_TYPE}, epoch BIGINT, {EVENT_DDL}, extension_text STRING"
+_PROGRESS_DDL = f"{STATUS_DDL}, event_count BIGINT, first_epoch BIGINT, last_epoch BIGINT"
+_REJECT_DDL = f"file STRING, pos {POS_TYPE}, kind STRING, message STRING, raw STRING, version BIGINT"
 
 
 @dataclass(frozen=True)
@@ -67,7 +72,9 @@ class Job:
     can follow the same files.
 
     ``resume`` says what counts as new in a file read before: ``time`` takes records later than the
-    last one seen, ``position`` those past the number of records seen.
+    last one seen, ``position`` those past the number of records seen. ``root`` is what the names of
+    the listing are relative to. All a job keeps lies below ``state_path``: status, rejects and the
+    batch in work.
     """
 
     spark: SparkSession
@@ -78,6 +85,7 @@ class Job:
     begin: str | datetime | None = None
     resume: str = "time"
     files_per_batch: int = 20_000
+    root: str | None = None
     status: StatusTable = field(init=False)
 
     def __post_init__(self):
@@ -98,40 +106,56 @@ class Job:
         """
         run = Run(self.name, datetime.now(timezone.utc))
         self._finish_started_batch(run)
+        self._reject_paths(listing)
         due = begin_time_filter(parse_listing(listing), self.begin)
         selected = unprocessed_files(due, self.status.read()).select(SELECTED_COLUMNS)
         for rows in _batches(selected.orderBy("log_time", "name"), self.files_per_batch):
             version = self.status.next_version()
-            self._emit(version, run, self._stage(rows, version))
+            self._stage(rows, version)
+            self._emit(version, run)
         run.end_time, run.state = datetime.now(timezone.utc), "COMPLETE"
         return run
 
-    # A batch is read once, into staged tables; sink, rejects and progress are all made from these.
-    # A file that grows meanwhile cannot get ahead of its recorded progress, and a batch that was
-    # staged but not committed is finished from the same rows, so a sink that overwrites by version
-    # or name writes the same output again.
+    def _reject_paths(self, listing: DataFrame) -> None:
+        """Record the files no run will read, once each, under a version of their own."""
+        found = union_events(rejected_paths(listing), impossible_hours(listing))
+        known = self._read(self.rejects_path, _REJECT_DDL).where("kind IN ('path', 'hour')").select("file", "kind")
+        none = F.lit(None)
+        new = found.join(known, ["file", "kind"], "left_anti").select(
+            "file", none.cast(POS_TYPE).alias("pos"), "kind", "message", none.cast("string").alias("raw")
+        )
+        if not new.isEmpty():
+            version = self.status.next_version()
+            new.write.mode("overwrite").parquet(f"{self.rejects_path}/version={version}")
+            self.status.commit(version)
+
+    # A batch is read once, into staged tables below the state path: the rows of its files, the events
+    # made from them, and last the progress, whose folder says that all are whole. Sink and rejects
+    # are made from these. A file that grows meanwhile cannot get ahead of its recorded progress, and a
+    # batch that was staged but not committed is finished from the same rows, so a sink that
+    # overwrites by version or name writes the same output again.
 
-    def _stage(self, selected: list[Row], version: int) -> DataFrame:
+    def _stage(self, selected: list[Row], version: int) -> None:
         known = self.spark.createDataFrame(selected, SELECTED_DDL)
         since = known.select(
             F.col("name").alias("file"), F.col("last_processed_record").alias("after"), "known_count"
         )
-        rows = log_rows(read_log_files(self.spark, [glob_literal(row["path"]) for row in selected]))
-        # One short row per file of the batch.
-        if len(selected) <= MAX_BROADCAST_FILES:
-            since = F.broadcast(since)
-        rows = rows.join(since, "file")
-        rows.write.mode("overwrite").parquet(self._staged("rows"))
-
+        rows = log_rows(read_log_files(self.spark, [glob_literal(row["path"]) for row in selected], self.root))
+        rows.join(since, "file").write.mode("overwrite").parquet(self._staged("rows"))
         staged = self._staged_rows()
-        events = self._events(staged)
-        progress = file_progress(staged.where("error IS NULL"), events)
-        status = known.join(progress.withColumnRenamed("file", "name"), "name").select(
+        family_events(self._due(staged), self.family, self._after()).write.mode("overwrite").parquet(
+            self._staged("events")
+        )
+        progress = file_progress(staged.where("error IS NULL"), self._staged_events())
+        status = known.alias("k").join(progress.withColumnRenamed("file", "name"), "name").select(
             "name",
             "etag",
             "last_modified",
             F.current_timestamp().alias("last_processed"),
-            progress["last_processed_record"],
+            # A file whose new records all lack a time stays where it was.
+            F.coalesce(progress["last_processed_record"], F.col("k.last_processed_record")).alias(
+                "last_processed_record"
+            ),
             "last_processed_timestamp",
             "last_count",
             unread_range(F.col("length"), F.col("last_processed_range.End")).alias(
@@ -142,19 +166,19 @@ class Job:
             "event_count",
             "first_epoch",
             "last_epoch",
-            F.lit(version).cast("bigint").alias("version"),
         )
-        # Written last, this table says that the staged rows are whole.
         status.write.mode("overwrite").parquet(self._staged("progress"))
-        return events
+        # Written last, one row says which batch the staged tables are.
+        started = self.spark.createDataFrame([(version,)], "version BIGINT").coalesce(1)
+        started.write.mode("overwrite").parquet(self._staged("started"))
 
-    def _emit(self, version: int, run: Run, events: DataFrame | None = None) -> None:
+    def _emit(self, version: int, run: Run) -> None:
         staged = self._staged_rows()
-        progress = self.spark.read.parquet(self._staged("progress"))
+        progress = self._read(self._staged("progress"), _PROGRESS_DDL)
         bounds = progress.where("event_count > 0").select(
             F.col("name").alias("file"), "first_epoch", "last_epoch", "event_count"
         )
-        self.sink(self._events(staged) if events is None else events, Batch(version, bounds))
+        self.sink(self._staged_events(), Batch(version, bounds))
         bad = union_events(
             file_rejects(staged), rejects(self._due(staged), self.family, self._after())
         )
@@ -167,21 +191,27 @@ class Job:
         run.events += totals[2] or 0
 
     def _finish_started_batch(self, run: Run) -> None:
+        started = self._read(self._staged("started"), "version BIGINT").agg(F.max("version")).first()[0]
+        if started is not None and started == self.status.next_version():
+            self._emit(started, run)
+
+    def _read(self, path: str, ddl: str) -> DataFrame:
+        """A table that may not be there yet; a write that was cut short leaves it without rows."""
         try:
-            started = self.spark.read.parquet(self._staged("progress")).agg(F.max("version")).first()[0]
+            return self.spark.read.schema(ddl).parquet(path)
         except AnalysisException as error:
             if path_not_found(error):
-                return
+                return self.spark.createDataFrame([], ddl)
             raise
-        if started is not None and started == self.status.next_version():
-            self._emit(started, run)
 
     def _staged(self, table: str) -> str:
-        key = self.state_path.strip("/").replace("/", "-").replace(":", "")
-        return f"{shared_dir(self.spark)}/flowlog-stage/{key}/{self.name}/{table}"
+        return f"{self.state_path.rstrip('/')}/stage/{self.name}/{table}"
 
     def _staged_rows(self) -> DataFrame:
-        return self.spark.read.parquet(self._staged("rows"))
+        return self._read(self._staged("rows"), _STAGED_DDL)
+
+    def _staged_events(self) -> DataFrame:
+        return self._read(self._staged("events"), STAGED_EVENT_DDL)
 
     def _due(self, staged: DataFrame) -> DataFrame:
         records = staged.where("record_pos IS NOT NULL")
@@ -192,9 +222,6 @@ class Job:
     def _after(self) -> str | None:
         return "after" if self.resume == "time" else None
 
-    def _events(self, staged: DataFrame) -> DataFrame:
-        return family_events(self._due(staged), self.family, self._after())
-
 
 def _batches(selected: DataFrame, size: int) -> Iterator[list[Row]]:
     rows = selected.toLocalIterator()
@@ -211,11 +238,29 @@ def run_incremental(
     *,
     begin: str | datetime | None = None,
     prefix: str | None = None,
+    folders: str | None = None,
+    open_hours: float | None = None,
     **options,
 ) -> Run:
-    """Process everything new under ``root`` once."""
-    work = Job(spark, job, sink, state_path, begin=begin, **options)
-    return work.process(list_log_files(spark, root, prefix))
+    """Process everything new under ``root`` once.
+
+    ``folders``, a glob of the folders that hold the hours (``RESOURCE_FOLDERS`` for the usual layout), lets
+    the listing leave out the days before ``begin``. With ``open_hours`` it also leaves out days whose
+    hours lie further back than that from the newest hour in the status; files that turn up or grow
+    later than that are found by a run without ``open_hours`` only.
+    """
+    work = Job(spark, job, sink, state_path, begin=begin, root=root, **options)
+    return work.process(list_log_files(spark, root, prefix, _since(work, begin, open_hours), folders))
+
+
+def _since(work: Job, begin: str | datetime | None, open_hours: float | None) -> datetime | None:
+    since = begin_time(begin)
+    if open_hours is not None:
+        newest = work.status.read().agg(F.unix_seconds(F.max("log_time"))).first()[0]
+        if newest is not None:
+            oldest_open = datetime.fromtimestamp(newest, timezone.utc) - timedelta(hours=open_hours)
+            since = oldest_open if since is None else max(since, oldest_open)
+    return since
 
 
 def run_polling(

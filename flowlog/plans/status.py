@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.records import timestamp_column
@@ -17,38 +17,95 @@ _COMMIT_DDL = f"{STATUS_DDL}, event_count BIGINT, version BIGINT"
 
 
 class StatusTable:
-    """Progress of one job as a Parquet table that only ever grows by whole commits.
+    """Progress of one job: a snapshot of all files, and the commits after it.
 
-    A commit holds the new status of the files of one batch, so its size follows the batch and not
-    the number of files ever seen. The newest version of a name wins.
+    A commit holds the new status of the files of one batch, and counts once its marker is written, a
+    table of one row that comes last. Versions are taken from the markers, so a batch that changes no
+    status uses one up as well. After ``compact_every`` commits the whole status is written as a
+    snapshot, and what it replaces is removed: reading never meets more commits than that.
     """
 
-    def __init__(self, spark: SparkSession, path: str, job: str):
+    def __init__(self, spark: SparkSession, path: str, job: str, compact_every: int = 50):
         self.spark = spark
         self.job = job
-        self.path = f"{path.rstrip('/')}/status/{job}"
-
-    def commits(self) -> DataFrame:
-        """All status rows ever committed."""
+        self.compact_every = compact_every
+        base = path.rstrip("/")
+        self.path = f"{base}/status/{job}"
+        self.markers = f"{base}/commits/{job}"
+        self.snapshots = f"{base}/snapshots/{job}"
+        self.snapshot_markers = f"{base}/snapshot-commits/{job}"
+
+    def _table(self, path: str, ddl: str) -> DataFrame:
         try:
-            return self.spark.read.schema(_COMMIT_DDL).parquet(self.path)
+            return self.spark.read.schema(ddl).parquet(path)
         except AnalysisException as error:
             if path_not_found(error):
-                return self.spark.createDataFrame([], _COMMIT_DDL)
+                return self.spark.createDataFrame([], ddl)
             raise
 
+    def _marked(self, path: str) -> list[int]:
+        """Versions whose marker is whole; at most ``compact_every`` of them outlive a compaction."""
+        rows = self._table(path, "done BOOLEAN, version BIGINT").where("done").select("version").distinct()
+        return sorted(r["version"] for r in rows.collect())
+
+    def _mark(self, path: str, version: int) -> None:
+        marker = self.spark.createDataFrame([(True,)], "done BOOLEAN").coalesce(1)
+        marker.write.mode("overwrite").parquet(f"{path}/version={version}")
+
+    def commits(self) -> DataFrame:
+        """The newest snapshot's status rows and those of whole commits after it."""
+        snapshots = self._marked(self.snapshot_markers)
+        newest = snapshots[-1] if snapshots else -1
+        after = [v for v in self._marked(self.markers) if v > newest]
+        rows = self._table(self.path, _COMMIT_DDL).where(F.col("version").isin(after))
+        if not snapshots:
+            return rows
+        return rows.unionByName(self._table(self.snapshots, _COMMIT_DDL).where(F.col("version") == newest))
+
     def read(self) -> DataFrame:
         """Current status, one row per file name."""
         return latest_status(self.commits())
 
     def next_version(self) -> int:
-        last = self.commits().agg(F.max("version")).first()[0]
-        return 0 if last is None else last + 1
-
-    def commit(self, version: int, status: DataFrame) -> None:
-        """Record the status rows of one batch; ``event_count`` is the events it gave per file."""
-        rows = status.select(*STATUS_COLUMNS, "event_count")
-        rows.write.mode("overwrite").parquet(f"{self.path}/version={version}")
+        """One more than any version that was ever whole."""
+        return max([-1, *self._marked(self.markers), *self._marked(self.snapshot_markers)]) + 1
+
+    def commit(self, version: int, status: DataFrame | None = None) -> None:
+        """Record the status rows of one batch; ``event_count`` is the events it gave per file.
+
+        Without status only the version is used up.
+        """
+        if status is not None:
+            rows = status.select(*STATUS_COLUMNS, "event_count")
+            rows.write.mode("overwrite").parquet(f"{self.path}/version={version}")
+        self._mark(self.markers, version)
+        if len(self._marked(self.markers)) >= self.compact_every:
+            self.compact(version)
+
+    def compact(self, version: int) -> None:
+        """Write the whole status up to ``version``, the last one, and remove what it replaces."""
+        old = [*self._marked(self.markers), *self._marked(self.snapshot_markers)]
+        rows = status_with_events(self.commits()).select(*STATUS_COLUMNS, "event_count")
+        rows.write.mode("overwrite").parquet(f"{self.snapshots}/version={version}")
+        self._mark(self.snapshot_markers, version)
+        # Only now: until the snapshot counts, the commits do.
+        for v in {v for v in old if v <= version}:
+            self._remove(f"{self.markers}/version={v}")
+            self._remove(f"{self.path}/version={v}")
+            if v < version:
+                self._remove(f"{self.snapshot_markers}/version={v}")
+                self._remove(f"{self.snapshots}/version={v}")
+
+    def _remove(self, path: str) -> None:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def status_with_events(commits: DataFrame) -> DataFrame:
+    """Newest status of each name, and the events of all its commits."""
+    newest = F.max_by(F.struct(*STATUS_COLUMNS), "version").alias("status")
+    per_file = commits.groupBy("name").agg(newest, F.sum("event_count").alias("event_count"))
+    return per_file.select("status.*", "event_count")
 
 
 def latest_status(commits: DataFrame) -> DataFrame:
@@ -59,13 +116,14 @@ def latest_status(commits: DataFrame) -> DataFrame:
 # --- exchange form ------------------------------------------------------------------------------
 
 
-def read_status(spark: SparkSession, path: str) -> DataFrame:
-    """Status rows of a JSON status document (or a folder of them): a map from name to status.
+def read_status(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
+    """Status rows of JSON documents that map names to status, one document per line.
 
-    A missing file is an empty status; a document that does not parse fails the read.
+    ``whole`` reads each file as one document, however its lines are broken. A missing file is an
+    empty status; a document that does not parse fails the read.
     """
     try:
-        documents = spark.read.text(path, wholetext=True)
+        documents = spark.read.text(path, wholetext=whole)
     except AnalysisException as error:
         if path_not_found(error):
             return spark.createDataFrame([], STATUS_DDL)
@@ -77,25 +135,14 @@ def read_status(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(*fields, *[f"status.{c}" for c in STATUS_COLUMNS[1:]])
 
 
-def status_json(status: DataFrame, entries_per_document: int = 10_000) -> DataFrame:
-    """Status rows as JSON documents, each a map from name to status: one ``value`` column.
-
-    A status of up to ``entries_per_document`` files is one document. A larger one is spread by a
-    hash of the name over documents of about that size, since no single row should hold them all;
-    ``read_status`` takes the folder.
-    """
-    parts = max(1, -(-status.count() // entries_per_document))
-    entry = F.struct(F.col("name").alias("key"), F.struct(*STATUS_COLUMNS).alias("value"))
-    document = F.map_from_entries(F.sort_array(F.collect_list(entry)))
-    return (
-        status.groupBy(F.pmod(F.xxhash64("name"), F.lit(parts)).alias("part"))
-        .agg(F.to_json(document, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}).alias("value"))
-        .select("value")
-    )
+def status_json(status: DataFrame) -> DataFrame:
+    """Status rows as JSON documents, one ``value`` per file: a map from its name to its status."""
+    document = F.create_map("name", F.struct(*STATUS_COLUMNS))
+    return status.select(F.to_json(document, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}).alias("value"))
 
 
 def write_status(status: DataFrame, path: str, job: str) -> str:
-    """Write the JSON form of a job's status and return its folder."""
+    """Write the JSON form of a job's status, a line per file, and return its folder."""
     folder = f"{path.rstrip('/')}/status-{job}.json"
     status_json(status).write.mode("overwrite").text(folder)
     return folder
@@ -104,17 +151,17 @@ def write_status(status: DataFrame, path: str, job: str) -> str:
 # --- selection ----------------------------------------------------------------------------------
 
 
-def parse_begin(begin: str | datetime | None) -> Column | None:
-    """Begin time as ``yyyy-MM-dd-HH`` in UTC; text that is no such time is an error."""
-    if begin is None or isinstance(begin, datetime):
-        return None if begin is None else timestamp_column(begin)
-    return timestamp_column(datetime.strptime(begin, "%Y-%m-%d-%H"))
+def begin_time(begin: str | datetime | None) -> datetime | None:
+    """Begin time from ``yyyy-MM-dd-HH`` in UTC; text that is no such time is an error."""
+    if isinstance(begin, str):
+        begin = datetime.strptime(begin, "%Y-%m-%d-%H")
+    return begin.replace(tzinfo=timezone.utc) if begin is not None and begin.tzinfo is None else begin
 
 
 def begin_time_filter(listing: DataFrame, begin: str | datetime | None = None) -> DataFrame:
     """Files of hours strictly later than ``begin``; files without a valid hour never pass."""
-    bound = parse_begin(begin)
-    return listing.where("log_time IS NOT NULL" if bound is None else F.col("log_time") > bound)
+    bound = begin_time(begin)
+    return listing.where("log_time IS NOT NULL" if bound is None else F.col("log_time") > timestamp_column(bound))
 
 
 def join_status(listing: DataFrame, status: DataFrame) -> DataFrame:
@@ -150,8 +197,6 @@ def status_view(spark: SparkSession, path: str, jobs: list[str]) -> DataFrame:
     """Progress of several jobs by file, with the events each file gave so far."""
     parts = []
     for job in jobs:
-        commits = StatusTable(spark, path, job).commits()
-        newest = F.max_by(F.struct(*STATUS_COLUMNS), "version").alias("status")
-        per_file = commits.groupBy("name").agg(newest, F.sum("event_count").alias("event_count"))
-        parts.append(per_file.select(F.lit(job).alias("job"), "status.*", "event_count"))
+        rows = status_with_events(StatusTable(spark, path, job).commits())
+        parts.append(rows.select(F.lit(job).alias("job"), "*"))
     return reduce(DataFrame.unionByName, parts)

@@ -7,6 +7,8 @@ this package computes the flat answers from the same tables directly, without an
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,11 +27,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A table too small to give every core a split, over all cores. Deriving records costs far
-    more than moving the flat rows; a table of many files is left as it lies."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+def scratch(spark: SparkSession, name: str) -> str:
+    """An empty folder of this application that all executors reach, for what a query writes first.
+
+    A later call with the same name empties it, so a query leaves one folder behind, for its result to be
+    read from.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        base = tempfile.mkdtemp(prefix="flowlog-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    folder = f"{base.rstrip('/')}/flowlog-queries/{spark.sparkContext.applicationId}/{name}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return folder
 
 
 def _text(*parts) -> Column:
@@ -60,7 +73,7 @@ def flow_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One flow record per ``lineitem`` row: up to two flows, three groups and three tuples, with
     wrong tuples, wrong field types, other operations and missing times among them."""
     columns = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"]
-    li = spread(table(spark, sf_dir, "lineitem").select(*columns, "l_shipdate"))
+    li = (table(spark, sf_dir, "lineitem").select(*columns, "l_shipdate"))
     order, part, k, line = c("l_orderkey"), c("l_partkey"), c("l_suppkey"), c("l_linenumber")
     hour = order % 4
     epoch = F.unix_date(F.to_date("l_shipdate")).cast("bigint") * 86400 + hour * 3600 + 33
@@ -143,7 +156,7 @@ def flow_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dense_flow_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One clean flow record per ``orders`` row: two rules of two groups of five tuples, nearer to the
     size records have in real logs."""
-    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
+    orders = (table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
     order, k = c("o_orderkey"), c("o_custkey")
     epoch = F.unix_date(F.to_date("o_orderdate")).cast("bigint") * 86400 + order % 86400
 
@@ -309,21 +322,32 @@ def status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def log_documents(spark: SparkSession, sf_dir: str, hours: int = 1, grown: bool = False) -> DataFrame:
+def log_documents(
+    spark: SparkSession,
+    sf_dir: str,
+    hours: int = 1,
+    grown: bool = False,
+    long: bool = False,
+    timeless: bool = False,
+) -> DataFrame:
     """Flow log documents, one per ``supplier`` row and hour: ``name`` and JSON ``text``.
 
     A file has 2 to 6 records a minute apart, three more once it has ``grown``; every record has one
-    group of three tuples, the second without its last token in some.
+    group of three tuples, the second without its last token in some. Of ``long`` documents some have
+    76 or 521 records, and two resources each, in different groups, share a name. ``timeless`` ones end
+    with a record that has no time.
     """
     k, h = c("s_suppkey"), c("h")
     start = F.lit(1500000000 - 1500000000 % 3600).cast("bigint") + h * 3600
     resource_id = _text(
         "/SUBSCRIPTIONS/SUB", k % 3, "/RESOURCEGROUPS/RG", k % 5,
-        "/PROVIDERS/MICROSOFT.NETWORK/NETWORKSECURITYGROUPS/NSG-", k,
+        "/PROVIDERS/MICROSOFT.NETWORK/NETWORKSECURITYGROUPS/NSG-", k - k % 2 if long else k,
     )
     last = 1 + k % 5 + (3 if grown else 0)
+    if long:
+        last = F.when(k % 25 == 0, 520).when(k % 10 == 5, 75).otherwise(last)
 
-    def record(i: Column) -> Column:
+    def record(i: Column, timed: bool = True) -> Column:
         epoch = start + i * 60
 
         def flow_tuple(t: int) -> Column:
@@ -346,7 +370,7 @@ def log_documents(spark: SparkSession, sf_dir: str, hours: int = 1, grown: bool
         )
         flow = F.struct(_text("Rule_", i % 2).alias("rule"), F.array(group).alias("flows"))
         return F.struct(
-            F.timestamp_seconds(epoch).alias("time"),
+            F.when(F.lit(timed), F.timestamp_seconds(epoch)).alias("time"),
             _text("sys-", k).alias("systemId"),
             F.lit("NetworkSecurityGroupFlowEvent").alias("category"),
             resource_id.alias("resourceId"),
@@ -354,7 +378,9 @@ def log_documents(spark: SparkSession, sf_dir: str, hours: int = 1, grown: bool
             F.struct(F.lit(1).alias("Version"), F.array(flow).alias("flows")).alias("properties"),
         )
 
-    records = F.transform(F.sequence(F.lit(0).cast("bigint"), last.cast("bigint")), record)
+    records = F.transform(F.sequence(F.lit(0).cast("bigint"), last.cast("bigint")), lambda i: record(i))
+    if timeless:
+        records = F.concat(records, F.array(record(last.cast("bigint") + 1, timed=False)))
     return (
         table(spark, sf_dir, "supplier")
         .select("s_suppkey", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(hours)])).alias("h"))
@@ -365,9 +391,45 @@ def log_documents(spark: SparkSession, sf_dir: str, hours: int = 1, grown: bool
     )
 
 
+def gateway_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gateway log documents, one per ``supplier`` row, whose records are access and firewall records in turns."""
+    k = c("s_suppkey")
+    resource_id = gateway_resource_id(k)
+    start = F.lit(1500000000 - 1500000000 % 3600).cast("bigint")
+
+    def record(i: Column) -> Column:
+        access = i % 2 == 0
+        address, uri = _text("10.", k % 256, ".", i, ".1"), _text("/p", i, "?u=", k)
+        port = 1024 + k * 7 % 60000
+        properties = F.struct(
+            F.when(access, address).alias("clientIP"),
+            F.when(~access, address).alias("clientIp"),
+            port.alias("clientPort"),
+            uri.alias("requestUri"),
+            F.when(access, "GET").alias("httpMethod"),
+            F.when(~access, "Blocked").alias("action"),
+            F.when(~access, _text("rule ", i)).alias("message"),
+            F.when(~access, "gw_0").alias("instanceId"),
+        )
+        return F.struct(
+            F.timestamp_seconds(start + i * 60).alias("time"),
+            F.when(access, ACCESS_OPERATION).otherwise("ApplicationGatewayFirewall").alias("operationName"),
+            F.when(access, "ApplicationGatewayAccessLog").otherwise("ApplicationGatewayFirewallLog").alias("category"),
+            resource_id.alias("resourceId"),
+            properties.alias("properties"),
+        )
+
+    records = F.transform(F.sequence(F.lit(0).cast("bigint"), 1 + k % 5), record)
+    return table(spark, sf_dir, "supplier").select(
+        source_path(resource_id, F.timestamp_seconds(start)).alias("name"),
+        F.to_json(F.struct(records.alias("records"))).alias("text"),
+    )
+
+
 def write_documents(documents: DataFrame, root: str) -> None:
     """Write ``name, text`` rows as files below ``root``, at exactly these names, which no Spark
-    writer can choose."""
+    writer can choose. Test data for the queries over files, written a file at a time by the tasks; the
+    library itself writes with Spark's writers only."""
 
     def write(rows) -> None:
         from pyarrow import fs

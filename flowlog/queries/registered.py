@@ -6,11 +6,10 @@ query covers the whole of its tables.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import paths as P
@@ -19,13 +18,13 @@ from ..operators import events as E
 from ..operators import families, flow, gateway, progress
 from ..operators import records as R
 from ..plans import status as S
-from ..plans.incremental import job_summary, run_incremental
-from ..plans.storage import shared_dir
+from ..plans.incremental import job_summary, run_incremental, run_polling
 from ..schemas import LOG_DDL
 from ..sinks.files import file_sink
 from ..sinks.syslog import syslog_sink, write_syslog
 from ..sources import logs
 from ..sources.events import read_cef_json
+from ..streaming.stream import start_stream
 from . import derive as D
 from .sql import (
     ACCESS,
@@ -40,6 +39,7 @@ from .sql import (
     json_escaped,
     mac,
     nsg_rid,
+    rid,
     stamp,
     with_,
 )
@@ -693,7 +693,8 @@ def file_event_bounds(spark, sf_dir):
     return progress.file_event_bounds(flow.flow_events(D.flow_records(spark, sf_dir)))
 
 
-LAST_RECORD = "SELECT file, arg_max_null(time_epoch, record_pos) AS last_record_epoch FROM rec GROUP BY file"
+LAST_RECORD = """SELECT file, arg_max(time_epoch, record_pos) FILTER (WHERE time_epoch IS NOT NULL) AS last_record_epoch
+FROM rec GROUP BY file"""
 
 
 @query(with_(RECORDS, LAST_RECORD))
@@ -717,13 +718,23 @@ def last_processed_timestamp(spark, sf_dir):
 @query(
     with_(
         RECORDS,
-        """SELECT file, record_pos, time_epoch FROM rec
-ORDER BY time_epoch NULLS FIRST, file, record_pos""",
+        """SELECT row_number() OVER (ORDER BY time_epoch NULLS FIRST, file, record_pos) - 1 AS rank,
+  file, record_pos, time_epoch FROM rec""",
     )
 )
 def record_order(spark, sf_dir):
+    """The place of each record in the order: its partition's first place and its place there."""
     records = R.sort_records(D.flow_records(spark, sf_dir).drop("properties"))
-    return records.select("file", "record_pos", epoch("time").alias("time_epoch"))
+    path = D.scratch(spark, "record_order")
+    mid = F.monotonically_increasing_id()
+    numbered = records.select("file", "record_pos", epoch("time").alias("time_epoch"), mid.alias("mid"))
+    numbered.write.parquet(path)
+    stored = spark.read.parquet(path).withColumn("part", F.shiftrightunsigned("mid", 33))
+    parts = stored.groupBy("part").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = stored.join(parts.select("part", before.alias("before")), "part")
+    rank = c("before") + c("mid").bitwiseAND((1 << 33) - 1)
+    return placed.select(rank.alias("rank"), "file", "record_pos", "time_epoch")
 
 
 ARRAY_EVENT = """'{"cef_version":0,"device_vendor":"Microsoft","device_product":"Azure Application Gateway",'
@@ -745,7 +756,21 @@ ARRAY_EVENT = """'{"cef_version":0,"device_vendor":"Microsoft","device_product":
     )
 )
 def ordered_event_array(spark, sf_dir):
-    return E.ordered_event_array(gateway.firewall_events(D.firewall_records(spark, sf_dir)))
+    return E.ordered_event_array(gateway.firewall_events(D.firewall_records(spark, sf_dir)), 60)
+
+
+@query(
+    with_(
+        FIREWALL,
+        f"""SELECT file, doc AS record_pos, CASE WHEN row_number() OVER w = 1 THEN '[' ELSE ',' END || {ARRAY_EVENT}
+  || CASE WHEN lead(doc) OVER w IS NULL THEN ']' ELSE '' END AS value
+FROM firewall WINDOW w AS (PARTITION BY file ORDER BY doc)""",
+    )
+)
+def event_array_rows(spark, sf_dir):
+    """One array per log file, an event per row."""
+    rows = E.event_array_rows(gateway.firewall_events(D.firewall_records(spark, sf_dir)))
+    return rows.select("file", "pos.record_pos", "value")
 
 
 @query(
@@ -755,14 +780,13 @@ def ordered_event_array(spark, sf_dir):
   CASE WHEN rid LIKE 'UNMATCHED%' THEN ''
     ELSE 'NSG-' || k || CASE WHEN k % 11 = 0 THEN '/' ELSE '' END END AS nsg_name,
   'resourceId=' || rid || {hour_path(stamp("time_epoch"))} AS name, time_epoch - time_epoch % 3600 AS log_epoch
-FROM (SELECT *, row_number() OVER (PARTITION BY file, record_pos ORDER BY time_epoch) AS one FROM rec
-  WHERE time_epoch IS NOT NULL)""",
+FROM (SELECT *, row_number() OVER (PARTITION BY file ORDER BY record_pos) AS nth FROM rec
+  WHERE time_epoch IS NOT NULL) WHERE nth = 1""",
     )
 )
 def log_file_from_records(spark, sf_dir):
-    """Every record stands for a file of one record here."""
-    records = D.flow_records(spark, sf_dir).where("time IS NOT NULL").withColumn("record_pos", F.lit(0))
-    rows = R.log_file_from_records(records, P.NSG)
+    """The first record of a file that has a time, wherever it stands."""
+    rows = R.log_file_from_records(D.flow_records(spark, sf_dir), P.NSG)
     modified = F.date_format(X.wall_clock(c("last_modified")), "yyyy-MM-dd'T'HH:mm:ss")
     return rows.select(
         "file", modified.alias("last_modified"), "nsg_name", "name", epoch("log_time").alias("log_epoch")
@@ -773,14 +797,18 @@ def log_file_from_records(spark, sf_dir):
 # These write log documents derived from the tables to the shared folder and read them back.
 
 
-def _documents(spark, sf_dir, root=None, **options) -> str:
-    root = root or f"{shared_dir(spark)}/flowlog-queries/{uuid.uuid4()}"
+def _documents(spark, sf_dir, root, **options) -> str:
     D.write_documents(D.log_documents(spark, sf_dir, **options), root)
     return root
 
 
+def _container(spark, name: str) -> str:
+    return f"{D.scratch(spark, name)}/container"
+
+
 def _state(root: str) -> str:
-    return f"{root}-state"
+    """Beside the container of the query's documents, in the same scratch folder."""
+    return root.rsplit("/", 1)[0] + "/state"
 
 
 def _no_output(events, batch) -> None:
@@ -789,14 +817,14 @@ def _no_output(events, batch) -> None:
 
 @query(with_(documents(), "SELECT file, i AS record_pos, t AS tuple_pos, ext AS extension FROM dev"))
 def read_nsg_log(spark, sf_dir):
-    root = _documents(spark, sf_dir)
+    root = _documents(spark, sf_dir, _container(spark, "read_nsg_log"))
     events = flow.flow_events(logs.read_logs(spark, "insights-logs-networksecuritygroupflowevent", root))
     return events.select("file", "pos.record_pos", "pos.tuple_pos", c("extension_text").alias("extension"))
 
 
 @query(with_(documents(hours=2), "SELECT file AS name, 'NSG-' || k AS nsg_name, start_epoch AS log_epoch FROM doc"))
 def list_log_files(spark, sf_dir):
-    listing = logs.parse_listing(logs.list_log_files(spark, _documents(spark, sf_dir, hours=2), "resourceId="))
+    listing = logs.parse_listing(logs.list_log_files(spark, _documents(spark, sf_dir, _container(spark, "list_log_files"), hours=2), "resourceId="))
     return listing.where("length > 0").select("name", "nsg_name", epoch("log_time").alias("log_epoch"))
 
 
@@ -804,8 +832,11 @@ def list_log_files(spark, sf_dir):
     with_(documents(grown=True), "SELECT file, epoch, CASE WHEN i > base_last THEN 1 ELSE 0 END AS version, ext FROM dev")
 )
 def incremental_two_runs(spark, sf_dir):
-    """Two runs over files that grow in between: each event once, in the run that saw it first."""
-    root = _documents(spark, sf_dir)
+    """Two runs over files that grow in between: each event once, in the run that saw it first.
+
+    Every file ends with a record without time, which must not set its progress back.
+    """
+    root = _documents(spark, sf_dir, _container(spark, "incremental_two_runs"), timeless=True)
 
     def keep(events, batch):
         rows = events.select("file", "epoch", F.lit(batch.version).alias("version"), "extension_text")
@@ -813,7 +844,7 @@ def incremental_two_runs(spark, sf_dir):
 
     for grown in (False, True):
         if grown:
-            _documents(spark, sf_dir, root, grown=True)
+            _documents(spark, sf_dir, root, grown=True, timeless=True)
         run_incremental(spark, root, "queries", keep, _state(root), files_per_batch=100_000)
     return spark.read.parquet(f"{_state(root)}/out").select(
         "file", "epoch", "version", c("extension_text").alias("ext")
@@ -828,7 +859,7 @@ FROM doc d JOIN (SELECT file, epoch FROM dev) e ON e.file = d.file GROUP BY ALL"
 
 @query(with_(documents(), f"SELECT 'queries' AS job, * FROM ({DOC_STATUS})"))
 def status_view(spark, sf_dir):
-    root = _documents(spark, sf_dir)
+    root = _documents(spark, sf_dir, _container(spark, "status_view"))
     run_incremental(spark, root, "queries", _no_output, _state(root))
     view = S.status_view(spark, _state(root), ["queries"])
     return view.select(
@@ -840,7 +871,7 @@ def status_view(spark, sf_dir):
 @query(with_(documents(), f"SELECT name, last_count, record_epoch, last_processed_timestamp FROM ({DOC_STATUS})"))
 def status_documents(spark, sf_dir):
     """Status written as JSON documents and read back."""
-    root = _documents(spark, sf_dir)
+    root = _documents(spark, sf_dir, _container(spark, "status_documents"))
     run_incremental(spark, root, "queries", _no_output, _state(root))
     folder = S.write_status(S.StatusTable(spark, _state(root), "queries").read(), _state(root), "queries")
     return S.read_status(spark, folder).select(
@@ -856,26 +887,26 @@ def status_documents(spark, sf_dir):
     )
 )
 def run_summary(spark, sf_dir):
-    root = _documents(spark, sf_dir)
+    root = _documents(spark, sf_dir, _container(spark, "run_summary"))
     run = run_incremental(spark, root, "queries", _no_output, _state(root))
     return job_summary(spark, run).select("status", "files", "records", "events")
 
 
 @query(
     with_(
-        documents(),
-        f"""SELECT 'nsgLog-NSG-' || k || '-' || strftime({stamp("start_epoch")}, '%Y%m%d%H%M') || '-'
+        documents(long=True),
+        f"""SELECT 'nsgLog-NSG-' || nk || '-' || strftime({stamp("start_epoch")}, '%Y%m%d%H%M') || '-'
     || min(epoch) OVER (PARTITION BY k) || '-' || max(epoch) OVER (PARTITION BY k) || '.json' AS output_name,
   epoch, header || ext AS line FROM dev""",
     )
 )
 def event_files(spark, sf_dir):
-    """Event files in array form, read back as events."""
-    root = _documents(spark, sf_dir)
+    """Event files in array form, read back as events; long files, and resources that share a name."""
+    root = _documents(spark, sf_dir, _container(spark, "event_files"), long=True)
     out = f"{_state(root)}/events"
     run_incremental(spark, root, "file", file_sink(out, mode="array"), _state(root))
-    events = read_cef_json(spark, out)
-    name = F.regexp_extract("_metadata.file_path", "output_name=([^/]*)/", 1).alias("output_name")
+    events = read_cef_json(spark, out, file="path")
+    name = F.regexp_extract("path", "output_name=([^/]*)/", 1).alias("output_name")
     return events.select(name, epoch("time").alias("epoch"), E.cef_column(events).alias("line"))
 
 
@@ -886,7 +917,7 @@ def event_files(spark, sf_dir):
     )
 )
 def syslog_sink_lines(spark, sf_dir):
-    root = _documents(spark, sf_dir)
+    root = _documents(spark, sf_dir, _container(spark, "syslog_sink_lines"))
     out = f"{_state(root)}/syslog"
     run_incremental(spark, root, "syslog", syslog_sink("host1", out), _state(root))
     return spark.read.option("recursiveFileLookup", True).text(out).select(c("value").alias("line"))
@@ -899,14 +930,18 @@ def syslog_sink_lines(spark, sf_dir):
     )
 )
 def log_tail(spark, sf_dir):
-    """Only the bytes past what the short form of each file had are read from the grown form."""
-    root = _documents(spark, sf_dir)
-    listing = logs.list_log_files(spark, root).select("name", c("length").alias("last_end"))
-    # Fix the lengths before the files grow.
-    seen = f"{_state(root)}/seen"
-    listing.write.mode("overwrite").parquet(seen)
-    _documents(spark, sf_dir, root, grown=True)
-    rows = logs.log_rows(logs.read_log_tail(spark, spark.read.parquet(seen), root))
+    """Only the bytes past what the short form of each file had are read from the grown form, and none
+    that were appended after the second listing."""
+    root = _documents(spark, sf_dir, _container(spark, "log_tail"))
+    seen, listed = f"{_state(root)}/seen", f"{_state(root)}/listed"
+    # Fix the lengths before the files grow, and again before they grow once more.
+    logs.list_log_files(spark, root).select("name", c("length").alias("last_end")).write.parquet(seen)
+    grown = D.log_documents(spark, sf_dir, grown=True)
+    D.write_documents(grown, root)
+    logs.list_log_files(spark, root).select("path", "name", "length").write.parquet(listed)
+    D.write_documents(grown.withColumn("text", F.concat("text", F.lit(',{"time": "late"}]}'))), root)
+    listing = spark.read.parquet(listed).join(spark.read.parquet(seen), "name")
+    rows = logs.log_rows(logs.read_log_tail(spark, listing, root))
     events = flow.flow_events(logs.log_records(rows))
     return events.select(
         "file", "pos.record_pos", "pos.tuple_pos", "epoch", c("extension_text").alias("ext")
@@ -922,7 +957,7 @@ def log_tail(spark, sf_dir):
 )
 def split_corrupt(spark, sf_dir):
     """Every third document loses its end; it becomes a reject, the others all records."""
-    root = f"{shared_dir(spark)}/flowlog-queries/{uuid.uuid4()}"
+    root = D.scratch(spark, "split_corrupt")
     docs = D.log_documents(spark, sf_dir)
     broken = F.regexp_extract("name", "NSG-([0-9]+)", 1).cast("int") % 3 == 0
     cut = F.when(broken, F.expr("left(text, length(text) - 20)")).otherwise(c("text"))
@@ -945,6 +980,157 @@ def syslog_text_file(spark, sf_dir):
     )
     rows = parsed.select("file", F.posexplode("log.records").alias("record_pos", "r"))
     events = flow.flow_events(rows.select("file", c("record_pos").cast("bigint").alias("record_pos"), "r.*"))
-    out = f"{shared_dir(spark)}/flowlog-queries/{uuid.uuid4()}"
+    out = D.scratch(spark, "syslog_text_file")
     write_syslog(E.syslog_lines(events, "host1"), out)
     return spark.read.text(out).select(c("value").alias("line"))
+
+
+@query(
+    with_(
+        documents(hours=2),
+        """SELECT file AS name FROM doc WHERE k % 3 = 1""",
+    )
+)
+def list_log_files_prefix(spark, sf_dir):
+    """A prefix that leaves out the other subscriptions."""
+    root = _documents(spark, sf_dir, _container(spark, "list_log_files_prefix"), hours=2)
+    return logs.list_log_files(spark, root, "resourceId=/SUBSCRIPTIONS/SUB1/").select("name")
+
+
+@query(with_(documents(hours=48), f"SELECT file AS name FROM doc WHERE start_epoch >= 1500076800"))
+def list_log_files_since(spark, sf_dir):
+    """Days before the one of the given time are not listed: here, those before 2017-07-15."""
+    root = _documents(spark, sf_dir, _container(spark, "list_log_files_since"), hours=48)
+    since = datetime(2017, 7, 15, 22)
+    return logs.list_log_files(spark, root, since=since, folders=logs.RESOURCE_FOLDERS).select("name")
+
+
+GATEWAY_RECORDS = f"""
+grec AS (
+  SELECT s_suppkey AS k, UNNEST(range(2 + s_suppkey % 5)) AS i,
+    'resourceId=' || {rid("s_suppkey", "APPLICATIONGATEWAYS/GW")} || {hour_path(stamp("1499997600"))} AS file
+  FROM supplier
+)"""
+GATEWAY_EVENT = """SELECT file, i AS record_pos, 1499997600 + i * 60 AS epoch, '10.' || (k % 256) || '.' || i || '.1' AS src,
+  CAST(1024 + k * 7 % 60000 AS VARCHAR) AS spt"""
+
+
+def _gateway_events(spark, sf_dir, name, operation, convert):
+    root = _container(spark, name)
+    D.write_documents(D.gateway_documents(spark, sf_dir), root)
+    return convert(logs.read_logs(spark, P.CONTAINERS[operation], root)), c("extension")
+
+
+@query(with_(GATEWAY_RECORDS, f"{GATEWAY_EVENT}, '/p' || i || '?u=' || k AS request FROM grec WHERE i % 2 = 0"))
+def read_access_log(spark, sf_dir):
+    """Access records of files that hold firewall records as well."""
+    events, ext = _gateway_events(spark, sf_dir, "read_access_log", P.ACCESS_OPERATION, gateway.access_events)
+    return events.select(
+        "file", "pos.record_pos", "epoch", ext["src"].alias("src"), ext["spt"].alias("spt"),
+        ext["request"].alias("request"),
+    )
+
+
+@query(with_(GATEWAY_RECORDS, f"{GATEWAY_EVENT}, 'rule ' || i AS message FROM grec WHERE i % 2 = 1"))
+def read_firewall_log(spark, sf_dir):
+    """Firewall records of files that hold access records as well."""
+    events, ext = _gateway_events(spark, sf_dir, "read_firewall_log", P.FIREWALL_OPERATION, gateway.firewall_events)
+    return events.select(
+        "file", "pos.record_pos", "epoch", ext["src"].alias("src"), ext["spt"].alias("spt"),
+        ext["cs5"].alias("message"),
+    )
+
+
+def _keep(out: str):
+    def keep(events, batch):
+        rows = events.select("file", "epoch", F.lit(batch.version).alias("version"), "extension_text")
+        rows.write.mode("overwrite").parquet(f"{out}/run={batch.version}")
+
+    return keep
+
+
+def _kept(spark, out: str) -> DataFrame:
+    return spark.read.parquet(out).select("file", "epoch", "version", c("extension_text").alias("ext"))
+
+
+TWO_ROUNDS = "SELECT file, epoch, CASE WHEN i > base_last THEN 1 ELSE 0 END AS version, ext FROM dev"
+
+
+@query(
+    with_(
+        documents(grown=True),
+        """SELECT file, epoch, CASE WHEN i > base_last OR k = (SELECT min(k) FROM doc) THEN 1 ELSE 0 END AS version, ext
+FROM dev""",
+    )
+)
+def stream_two_batches(spark, sf_dir):
+    """A stream stopped and started again over files that grow in between. One file shows up in between only, with a time long past."""
+    root = _container(spark, "stream_two_batches")
+    documents = D.log_documents(spark, sf_dir)
+    late = documents.orderBy(F.regexp_extract("name", "NSG-([0-9]+)", 1).cast("int")).first()["name"]
+    D.write_documents(documents.where(c("name") != late), root)
+    for grown in (False, True):
+        if grown:
+            _documents(spark, sf_dir, root, grown=True)
+            place = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{late}")
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(place, 1_000_000, -1)
+        run = start_stream(
+            spark, root, "queries", _keep(f"{_state(root)}/out"), _state(root), f"{_state(root)}/checkpoint",
+            poll_interval=None, files_per_batch=100_000,
+        )
+        run.awaitTermination()
+    return _kept(spark, f"{_state(root)}/out")
+
+
+@query(with_(documents(grown=True), TWO_ROUNDS))
+def polling_rounds(spark, sf_dir):
+    root = _documents(spark, sf_dir, _container(spark, "polling_rounds"))
+    keep = _keep(f"{_state(root)}/out")
+    for _ in run_polling(spark, root, "poll", keep, _state(root), poll_interval=0, rounds=2, files_per_batch=100_000):
+        _documents(spark, sf_dir, root, grown=True)
+    return _kept(spark, f"{_state(root)}/out")
+
+
+@query(
+    with_(
+        documents(grown=True),
+        f"""SELECT 'early' AS job, * FROM ({TWO_ROUNDS})
+UNION ALL SELECT 'late', file, epoch, 0, ext FROM dev""",
+    )
+)
+def two_jobs(spark, sf_dir):
+    """Two destinations follow one root under one state: the one that starts later sees it all at once."""
+    root = _documents(spark, sf_dir, _container(spark, "two_jobs"))
+    outs = {job: f"{_state(root)}/out-{job}" for job in ("early", "late")}
+    run_incremental(spark, root, "early", _keep(outs["early"]), _state(root), files_per_batch=100_000)
+    _documents(spark, sf_dir, root, grown=True)
+    for job, out in outs.items():
+        run_incremental(spark, root, job, _keep(out), _state(root), files_per_batch=100_000)
+    kept = [_kept(spark, out).select(F.lit(job).alias("job"), "*") for job, out in outs.items()]
+    return kept[0].unionByName(kept[1])
+
+
+@query(
+    with_(
+        documents(),
+        """SELECT file, 'token_count' AS kind, count(*) AS rejects FROM dtup WHERE short AND k % 4 > 1 GROUP BY ALL
+UNION ALL SELECT file, 'file', 1 FROM doc WHERE k % 4 = 0
+UNION ALL SELECT 'notes/' || k || '.json', 'path', 1 FROM doc WHERE k % 4 > 1
+UNION ALL SELECT replace(file, '/m=07/', '/m=13/'), 'hour', 1 FROM doc WHERE k % 4 = 1""",
+    )
+)
+def run_rejects(spark, sf_dir):
+    """What two runs turn away: files that are no logs by their path or hour, once; broken files; bad tuples."""
+    root = _container(spark, "run_rejects")
+    docs = D.log_documents(spark, sf_dir).withColumn("k", F.regexp_extract("name", "NSG-([0-9]+)", 1).cast("int"))
+    name = F.when(c("k") % 4 == 1, F.replace("name", F.lit("/m=07/"), F.lit("/m=13/"))).otherwise(c("name"))
+    text = F.when(c("k") % 4 == 0, F.expr("left(text, length(text) - 20)")).otherwise(c("text"))
+    D.write_documents(docs.select(name.alias("name"), text.alias("text")), root)
+    notes = docs.where("k % 4 > 1").select(F.concat(F.lit("notes/"), c("k"), F.lit(".json")).alias("name"), "text")
+    D.write_documents(notes, root)
+    for job in ("queries", "queries"):
+        run_incremental(spark, root, job, _no_output, _state(root), files_per_batch=100_000)
+    rejects = spark.read.parquet(f"{_state(root)}/rejects/queries")
+    # A broken file is tried by every run, and turned away by each.
+    once = rejects.groupBy("file", "kind", "version").agg(F.count("*").alias("rejects"))
+    return once.groupBy("file", "kind").agg(F.max("rejects").alias("rejects"))

@@ -205,14 +205,20 @@ known AS (
 )"""
 
 
-def documents(hours: int = 1, grown: bool = False) -> str:
+def documents(hours: int = 1, grown: bool = False, long: bool = False) -> str:
     """Records and events of ``derive.log_documents``."""
     start = 1500000000 - 1500000000 % 3600
+    shared = "(s_suppkey - s_suppkey % 2)" if long else "s_suppkey"
+    last = f"1 + s_suppkey % 5 + {3 if grown else 0}"
+    if long:
+        last = f"CASE WHEN s_suppkey % 25 = 0 THEN 520 WHEN s_suppkey % 10 = 5 THEN 75 ELSE {last} END"
     return f"""
 doc AS (
-  SELECT s_suppkey AS k, h, {start} + h * 3600 AS start_epoch, 1 + s_suppkey % 5 AS base_last,
-    'resourceId=' || {rid("s_suppkey")} || {hour_path(stamp(f"{start} + h * 3600"))} AS file,
-    1 + s_suppkey % 5 + {3 if grown else 0} AS last
+  SELECT s_suppkey AS k, {shared} AS nk, h, {start} + h * 3600 AS start_epoch, 1 + s_suppkey % 5 AS base_last,
+    'resourceId=/SUBSCRIPTIONS/SUB' || (s_suppkey % 3) || '/RESOURCEGROUPS/RG' || (s_suppkey % 5)
+      || '/PROVIDERS/MICROSOFT.NETWORK/NETWORKSECURITYGROUPS/NSG-' || {shared}
+      || {hour_path(stamp(f"{start} + h * 3600"))} AS file,
+    {last} AS last
   FROM supplier, (SELECT UNNEST(range({hours})) AS h) hs
 ),
 drec AS (SELECT doc.*, UNNEST(range(last + 1)) AS i FROM doc),
@@ -223,7 +229,7 @@ dtup AS (
 dev AS (
   SELECT *, {extension(
       categoryOutcome="CASE t WHEN 0 THEN 'Allow' ELSE 'Deny' END", cs1="'Rule_' || (i % 2)",
-      cs1label="'Rule Name'", cs2="'NSG-' || k", cs2label="'Azure NSG'", cs3="'SUB' || (k % 3)",
+      cs1label="'Rule Name'", cs2="'NSG-' || nk", cs2label="'Azure NSG'", cs3="'SUB' || (k % 3)",
       cs3label="'Subscription ID'", cs4="'RG' || (k % 5)", cs4label="'Resource Group'",
       deviceDirection="CASE t WHEN 2 THEN '1' ELSE '0' END", deviceExternalId="'sys-' || k",
       dmac=f"CASE WHEN t <> 2 THEN {mac("lpad(format('{:X}', k), 12, '0')")} ELSE '' END",

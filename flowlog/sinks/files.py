@@ -5,15 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import output_name
-from ..operators.events import event_json, ordered_event_array
+from ..functions.paths import output_name, source_hash
+from ..operators.events import event_array_rows, event_json
 from ..operators.progress import file_event_bounds
 
+#: Parts a file's events are spread over when their file's name is joined to them.
+_SALTS = 32
+
 
 def event_file_names(bounds: DataFrame) -> DataFrame:
-    """``file, output_name`` from ``file_event_bounds``: the event file each log file becomes."""
+    """``file, source, output_name`` from ``file_event_bounds``: the event file each log file becomes.
+
+    The name tells the resource's last part, hour and epochs only, so files of resources that share these
+    are told apart by ``source``.
+    """
     name = output_name(F.col("file"), F.col("first_epoch"), F.col("last_epoch"))
-    return bounds.select("file", name.alias("output_name")).where("output_name IS NOT NULL")
+    return bounds.select("file", source_hash(F.col("file")).alias("source"), name.alias("output_name")).where(
+        "output_name IS NOT NULL"
+    )
+
+
+def _named(events: DataFrame, names: DataFrame) -> DataFrame:
+    """Events with the name of their file. A file with very many events is met by several tasks."""
+    every = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt")
+    salted = events.withColumn("salt", F.pmod(F.hash("pos"), F.lit(_SALTS)))
+    return salted.join(names.select("*", every), ["file", "salt"]).drop("salt")
 
 
 def write_event_files(
@@ -22,39 +38,36 @@ def write_event_files(
     mode: str = "lines",
     bounds: DataFrame | None = None,
     compat: bool = False,
+    records_per_document: int | None = None,
 ) -> None:
-    """Write events under ``<data_path>/output_name=<event file name>/`` in file order.
+    """Write events under ``<data_path>/source=<hash>/output_name=<event file name>/`` in file order.
 
-    ``lines`` writes an event per line, ``array`` the JSON arrays of ``ordered_event_array``. Rows
-    are range-partitioned by name and position, so a large file is written by several tasks whose
-    part files follow one another. Writing the same events again replaces their files.
+    ``lines`` writes an event per line: rows are range-partitioned by name and position, so a large
+    file is written by several tasks whose part files follow one another. ``array`` writes one JSON array
+    per log file, in one part file with an event per line, or with ``records_per_document`` several
+    below ``document=<n>/``. Writing the same events again replaces their files.
     """
-    names = event_file_names(file_event_bounds(events) if bounds is None else bounds)
+    named = _named(events, event_file_names(file_event_bounds(events) if bounds is None else bounds))
+    folders = ["source", "output_name"]
     if mode == "lines":
-        rows = events.select("file", "pos", event_json(events, compat).alias("value"))
-        order = ["output_name", "pos"]
+        order = [*folders, "pos"]
+        placed = named.repartitionByRange(*order).sortWithinPartitions(*order)
+        rows = placed.select(*folders, event_json(placed, compat).alias("value"))
     elif mode == "array":
-        arrays = ordered_event_array(events, compat=compat)
-        rows = arrays.select("file", "chunk", F.col("events").alias("value"))
-        order = ["output_name", "chunk"]
+        if records_per_document is not None:
+            folders.append("document")
+        rows = event_array_rows(named, records_per_document, compat, extra=("source", "output_name"))
+        rows = rows.sortWithinPartitions(*folders, "pos").select(*folders, "value")
     else:
         raise ValueError(f"mode must be lines or array, not {mode}")
-    (
-        rows.join(names, "file")
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .select("output_name", "value")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("output_name")
-        .text(data_path)
-    )
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*folders).text(data_path)
 
 
-def file_sink(data_path: str, mode: str = "lines", compat: bool = False):
+def file_sink(data_path: str, mode: str = "lines", compat: bool = False, records_per_document: int | None = None):
     """Destination ``file`` for ``run_incremental`` and ``start_stream``."""
 
     def write(events: DataFrame, batch) -> None:
-        write_event_files(events, data_path, mode, batch.bounds, compat)
+        write_event_files(events, data_path, mode, batch.bounds, compat, records_per_document)
 
     return write

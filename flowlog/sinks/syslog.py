@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import socket
 from collections.abc import Callable, Iterable
-from contextlib import closing
 
 from pyspark.sql import DataFrame
 
@@ -14,14 +12,17 @@ from ..operators.events import syslog_lines
 Sender = Callable[[Iterable[str]], None]
 
 
-def write_syslog(lines: DataFrame, sink: str | Sender) -> None:
+def write_syslog(lines: DataFrame, sink: str | Sender, whole_files: bool = False) -> None:
     """Write ``syslog_lines`` in file order: to text files at a path, or through a sender.
 
     Lines are range-partitioned by position, so partitions follow one another and a large file is
-    sent by several tasks. A task that is retried sends its lines again: delivery through a sender
-    is at least once.
+    sent by several tasks. Part files keep that order. A sender sees partitions at the same time, so
+    lines of a file that is spread arrive in turns; with ``whole_files`` one task sends a file from
+    first to last line. A task that is retried sends its lines again: delivery through a sender is at
+    least once.
     """
-    ordered = lines.repartitionByRange("file", "pos").sortWithinPartitions("file", "pos").select("line")
+    spread = lines.repartition("file") if whole_files else lines.repartitionByRange("file", "pos")
+    ordered = spread.sortWithinPartitions("file", "pos").select("line")
     if isinstance(sink, str):
         ordered.write.mode("overwrite").text(sink)
         return
@@ -32,27 +33,11 @@ def write_syslog(lines: DataFrame, sink: str | Sender) -> None:
     ordered.foreachPartition(send)
 
 
-def socket_sender(host: str, port: int, protocol: str = "tcp", timeout: float = 10.0) -> Sender:
-    """Sender to a syslog receiver, one connection per partition."""
-    kinds = {"tcp": socket.SOCK_STREAM, "udp": socket.SOCK_DGRAM}
-    if protocol not in kinds:
-        raise ValueError(f"protocol must be tcp or udp, not {protocol}")
-
-    def send(lines: Iterable[str]) -> None:
-        with closing(socket.socket(socket.AF_INET, kinds[protocol])) as connection:
-            connection.settimeout(timeout)
-            connection.connect((host, port))
-            for line in lines:
-                connection.sendall((line if line.endswith("\n") else line + "\n").encode("utf-8"))
-
-    return send
-
-
-def syslog_sink(host: str, sink: str | Sender, tz: str = "UTC"):
+def syslog_sink(host: str, sink: str | Sender, tz: str = "UTC", whole_files: bool = False):
     """Destination ``syslog``; lines for a path go to one folder per batch."""
 
     def write(events: DataFrame, batch) -> None:
         target = f"{sink.rstrip('/')}/{batch.version}" if isinstance(sink, str) else sink
-        write_syslog(syslog_lines(events, host, tz=tz), target)
+        write_syslog(syslog_lines(events, host, tz=tz), target, whole_files)
 
     return write

@@ -3,11 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schemas import EVENT_COLUMNS, EVENT_DDL
 
 
-def read_cef_json(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
-    """Events of JSON files: arrays of events, or one event per line with ``multi_line`` off."""
-    reader = spark.read.schema(EVENT_DDL).option("multiLine", multi_line)
-    return reader.option("recursiveFileLookup", True).json(path).select(EVENT_COLUMNS)
+def read_cef_json(spark: SparkSession, path: str | list[str], file: str | None = None) -> DataFrame:
+    """Events of JSON files: an event per line, alone or as an item of an array, or a whole array per line.
+
+    Arrays may follow one another in a file; all are read. A line that is none of these, such as part
+    of an event, fails the read. ``file`` names a column for the path of the file.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(path).where("trim(value) <> ''")
+    # An item's line may begin or end its array and have a comma on either side.
+    items = F.regexp_replace("value", r"^\s*[\[,]?\s*|\s*[\],]?\s*$", "")
+    parsed = F.from_json(F.concat(F.lit("["), items, F.lit("]")), f"ARRAY<STRUCT<{EVENT_DDL}>>", {"mode": "FAILFAST"})
+    events = lines.select(F.col("_metadata.file_path").alias("path"), F.explode(parsed).alias("event"))
+    own = [] if file is None else [F.col("path").alias(file)]
+    return events.select(*[F.col(f"event.{c}").alias(c) for c in EVENT_COLUMNS], *own)

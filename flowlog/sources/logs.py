@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime, timedelta, timezone
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +17,13 @@ from ..functions.paths import (
     NSG,
     blob_name,
     is_log_path,
+    log_time,
     path_tokens,
+    relative_name,
     short_name,
     tokens_time,
 )
+from ..operators.records import dispatch_operation
 from ..schemas import LISTING_DDL, LOG_DDL, POS_TYPE
 
 RECORD_COLUMNS = [
@@ -40,9 +45,28 @@ def path_not_found(error: AnalysisException) -> bool:
 # --- listing ------------------------------------------------------------------------------------
 
 
-def list_log_files(spark: SparkSession, root: str, prefix: str | None = None) -> DataFrame:
-    """All files under ``root`` whose name starts with ``prefix``, without reading any of them."""
+#: Folders of the resources below a container, whose hours lie right below them.
+RESOURCE_FOLDERS = "resourceId=/SUBSCRIPTIONS/*/RESOURCEGROUPS/*/PROVIDERS/*/*/*"
+
+
+def list_log_files(
+    spark: SparkSession,
+    root: str,
+    prefix: str | None = None,
+    since: datetime | None = None,
+    folders: str | None = None,
+) -> DataFrame:
+    """All files under ``root`` whose name starts with ``prefix``, without reading any of them.
+
+    With ``since`` and ``folders``, a glob of the folders that hold the hours, only the days from then
+    on are listed, and the cost follows the resources and not the files ever kept. What lies elsewhere is
+    not found then.
+    """
     location = root.rstrip("/") + (f"/{glob_literal(prefix)}*" if prefix else "")
+    if since is not None and folders is not None:
+        if prefix:
+            raise ValueError("a listing of days has no prefix; narrow its folders instead")
+        location = f"{root.rstrip('/')}/{folders}/{{{','.join(_days(since, datetime.now(timezone.utc)))}}}"
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(location)
     except AnalysisException as error:
@@ -54,21 +78,46 @@ def list_log_files(spark: SparkSession, root: str, prefix: str | None = None) ->
             read_path().alias("path"),
             F.col("_metadata.file_modification_time").alias("last_modified"),
             F.col("_metadata.file_size").alias("length"),
-        )
+        ),
+        root,
     )
 
 
+def _days(since: datetime, now: datetime) -> list[str]:
+    """Path globs from the day of ``since`` to the day after ``now``: days, and whole months and years."""
+    if since.tzinfo is None:
+        since = since.replace(tzinfo=timezone.utc)
+    day, last = since.astimezone(timezone.utc).date(), max(now, since).date() + timedelta(days=1)
+    globs = []
+    while day <= last:
+        if day.month == day.day == 1 and date(day.year, 12, 31) <= last:
+            globs.append(f"y={day:%Y}")
+            day = date(day.year + 1, 1, 1)
+            continue
+        after = date(day.year + day.month // 12, day.month % 12 + 1, 1)
+        if day.day == 1 and after - timedelta(days=1) <= last:
+            globs.append(f"y={day:%Y}/m={day:%m}")
+            day = after
+            continue
+        globs.append(f"y={day:%Y}/m={day:%m}/d={day:%d}")
+        day += timedelta(days=1)
+    return globs
+
+
 def read_path():
     """Path of the file a row was read from. Its metadata column holds the path URL-encoded."""
     return F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
 
 
-def listing_rows(files: DataFrame) -> DataFrame:
-    """Listing columns from ``path, last_modified, length``; the etag changes whenever they do."""
+def listing_rows(files: DataFrame, root: str) -> DataFrame:
+    """Listing columns from ``path, last_modified, length``; the etag changes whenever they do.
+
+    The name is the path below ``root``, so files of two containers under one root stay apart.
+    """
     etag = F.hex(F.xxhash64("path", "last_modified", "length"))
     return files.select(
         "path",
-        blob_name(F.col("path")).alias("name"),
+        relative_name(F.col("path"), root).alias("name"),
         etag.alias("etag"),
         "last_modified",
         "length",
@@ -89,6 +138,7 @@ def parse_listing(listing: DataFrame) -> DataFrame:
 
 
 def rejected_paths(listing: DataFrame) -> DataFrame:
+    """Files that are no log files by their path."""
     return listing.where(~is_log_path(F.col("name"))).select(
         F.col("name").alias("file"),
         F.lit("path").alias("kind"),
@@ -96,6 +146,16 @@ def rejected_paths(listing: DataFrame) -> DataFrame:
     )
 
 
+def impossible_hours(listing: DataFrame) -> DataFrame:
+    """Log files whose path names an hour that does not exist."""
+    bad = is_log_path(F.col("name")) & log_time(F.col("name")).isNull()
+    return listing.where(bad).select(
+        F.col("name").alias("file"),
+        F.lit("hour").alias("kind"),
+        F.lit("no such hour in the path").alias("message"),
+    )
+
+
 def glob_literal(path: str) -> str:
     """Path text with nothing left for Spark to expand."""
     return "".join(f"\\{ch}" if ch in "*?[]{}\\" else ch for ch in path)
@@ -104,10 +164,11 @@ def glob_literal(path: str) -> str:
 # --- whole files --------------------------------------------------------------------------------
 
 
-def read_log_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def read_log_files(spark: SparkSession, paths: str | list[str], root: str | None = None) -> DataFrame:
     """One row per log file: its records as one array, and whether the document is broken.
 
-    The blob layout names two path levels ``m``, so partition discovery must stay off.
+    ``file`` is the path below ``root``, or from ``resourceId=`` on without a root. The blob layout
+    names two path levels ``m``, so partition discovery must stay off.
     """
     files = (
         spark.read.schema(LOG_DDL)
@@ -116,9 +177,8 @@ def read_log_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         .option("recursiveFileLookup", True)
         .json(paths)
     )
-    return files.select(
-        blob_name(read_path()).alias("file"), "records", "_corrupt_record"
-    ).select("*", _file_error().alias("error"))
+    file = blob_name(read_path()) if root is None else relative_name(read_path(), root)
+    return files.select(file.alias("file"), "records", "_corrupt_record").select("*", _file_error().alias("error"))
 
 
 def _file_error():
@@ -168,19 +228,13 @@ def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return log_records(rows), file_rejects(rows)
 
 
-def read_nsg_log(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return log_records(log_rows(read_log_files(spark, paths)))
-
+FAMILIES = (NSG, ACCESS, FIREWALL)
 
-def read_access_log(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return log_records(log_rows(read_log_files(spark, paths)))
 
-
-def read_firewall_log(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return log_records(log_rows(read_log_files(spark, paths)))
-
-
-READERS = {NSG: read_nsg_log, ACCESS: read_access_log, FIREWALL: read_firewall_log}
+def read_log(spark: SparkSession, family: str, paths: str | list[str], root: str | None = None) -> DataFrame:
+    """Records of the operations of a family in log files; other records of the files are left out."""
+    records = log_records(log_rows(read_log_files(spark, paths, root)))
+    return dispatch_operation(records, family)
 
 
 def family_of(container: str) -> str:
@@ -189,9 +243,9 @@ def family_of(container: str) -> str:
     return gateways.get(container, NSG)
 
 
-def read_logs(spark: SparkSession, container: str, paths: str | list[str]) -> DataFrame:
+def read_logs(spark: SparkSession, container: str, paths: str | list[str], root: str | None = None) -> DataFrame:
     """Records of the family a container holds."""
-    return READERS[family_of(container)](spark, paths)
+    return read_log(spark, family_of(container), paths, root)
 
 
 # --- tails --------------------------------------------------------------------------------------
@@ -203,23 +257,34 @@ def unread_range(length, last_end):
     return F.struct(start.alias("Start"), length.alias("End"))
 
 
-def read_log_tail(spark: SparkSession, listing: DataFrame, paths: str | list[str]) -> DataFrame:
-    """One row per file as ``read_log_files`` gives, from the bytes past ``last_end`` only.
+def read_log_tail(spark: SparkSession, listing: DataFrame, root: str) -> DataFrame:
+    """One row per file as ``read_log_files`` gives, from the bytes past ``last_end`` up to ``length``.
 
-    ``listing`` has ``name`` and ``last_end`` (NULL or 0 for a new file). Text starts at the first
-    ``"time"``: keys standing before it in that record are lost, which costs gateway logs, whose
-    records start with the resource id, the first record of every read. Whole-file reads do not.
+    ``listing`` is one batch of listed files: ``path``, ``name`` below ``root``, ``length`` and
+    ``last_end`` (NULL or 0 for a new file); the driver holds it, as it holds any batch of paths. Files
+    without new bytes are not read, and what was appended after the listing is left for the next
+    range. Text starts at the first ``"time"``: keys standing before it in that record are lost,
+    which costs gateway logs, whose records start with the resource id, the first record of every read.
+    Whole-file reads do not.
     """
+    start = F.coalesce("last_end", F.lit(0)).cast("bigint").alias("start")
+    due = listing.select("path", F.col("name").alias("file"), start, F.col("length").cast("bigint").alias("stop"))
+    rows = [tuple(r) for r in due.where("stop > start").collect()]
+    ends = spark.createDataFrame([r[1:] for r in rows], "file STRING, start BIGINT, stop BIGINT")
+    if not rows:
+        return ends.select(
+            "file", F.lit(None).cast(f"STRUCT<{LOG_DDL}>").alias("log"), F.lit(None).cast("string").alias("error")
+        ).select("file", "log.records", "log._corrupt_record", "error")
     content = (
         spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(paths)
-        .select(blob_name(read_path()).alias("file"), "content")
+        .load([glob_literal(r[0]) for r in rows])
+        .select(relative_name(read_path(), root).alias("file"), "content")
     )
-    ends = listing.select(F.col("name").alias("file"), F.coalesce("last_end", F.lit(0)).alias("start"))
-    tails = content.join(ends, "file").select(
-        "file",
-        F.decode(F.expr("substring(content, CAST(start AS INT) + 1)"), "UTF-8").alias("tail"),
+    # The ends are rows of the driver, so Spark knows their size and contents stay where they are read.
+    # Offsets count bytes, and bytes of an array are numbered by INT: both ends lie inside the content.
+    own = "substring(content, CAST(start + 1 AS INT), CAST(least(stop, octet_length(content)) - start AS INT))"
+    tails = content.join(ends, "file").where("start < octet_length(content)").select(
+        "file", F.decode(F.expr(own), "UTF-8").alias("tail")
     )
     first = F.instr("tail", '"time"')
     framed = tails.select(

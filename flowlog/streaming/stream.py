@@ -1,19 +1,11 @@
-"""Structured Streaming driver: the incremental run over a stream of modified files."""
+"""Structured Streaming driver: an incremental run at every trigger."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.incremental import Job, Sink
-from ..sources.logs import listing_rows
-from .listing import LISTING_FORMAT, register_listing_source
-
-
-def listing_stream(spark: SparkSession, root: str, **options) -> DataFrame:
-    """Stream of ``path, last_modified, length`` for files that appear or change under ``root``."""
-    register_listing_source(spark)
-    return spark.readStream.format(LISTING_FORMAT).options(path=root, **options).load()
+from ..plans.incremental import Sink, run_incremental
 
 
 def start_stream(
@@ -25,27 +17,24 @@ def start_stream(
     checkpoint: str,
     *,
     poll_interval: float | None = 60,
-    listing_options: dict | None = None,
     **options,
 ) -> StreamingQuery:
     """Follow growing files: every ``poll_interval`` seconds, or once over what there is for None.
 
-    Progress lives in the job's status table. A batch replayed after a crash finds files committed
-    before unchanged and skips them, and finishes a batch that was staged but not committed from
-    its staged rows. Sinks that overwrite by version or name thus write each event once; a sender
-    may repeat the lines of the batch that was interrupted.
+    The stream itself carries no files, only triggers: Spark's file stream reads a path once and never
+    again, while log files grow for an hour. Each trigger lists the container once, on any file
+    system Spark reads, and the status alone decides what is new, so a file that shows up late, with
+    whatever time, is taken. A batch replayed after a crash finds files committed before unchanged and
+    skips them, and finishes a batch that was staged but not committed from its staged rows. Sinks that
+    overwrite by version or name thus write each event once; a sender may repeat the lines of the batch
+    that was interrupted. ``options`` are those of ``run_incremental``.
     """
-    work = Job(spark, job, sink, state_path, **options)
 
-    def convert(files: DataFrame, _batch_id: int) -> None:
-        work.process(listing_rows(files))
+    def convert(_trigger: DataFrame, _batch_id: int) -> None:
+        run_incremental(spark, root, job, sink, state_path, **options)
 
-    writer = (
-        listing_stream(spark, root, **(listing_options or {}))
-        .writeStream.queryName(job)
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(convert)
-    )
+    ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1)
+    writer = ticks.load().writeStream.queryName(job).option("checkpointLocation", checkpoint).foreachBatch(convert)
     if poll_interval is None:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=f"{poll_interval} seconds").start()

@@ -12,7 +12,7 @@ from flowlog.functions import text as X
 from flowlog.operators.events import cef_column, event_json, syslog_column
 from flowlog.schemas import FLOWS_TYPE
 
-GOOD = "1497038814,10.193.160.4,40.85.232.72,46010,443,T,O,A"
+GOOD = "1551557214,10.20.30.40,198.51.100.7,50123,8443,T,O,A"
 
 
 def one(spark, column):
@@ -24,10 +24,10 @@ def events_of(spark, *records):
 
 
 def test_four_token_tuple_is_one_error_beside_one_event(spark):
-    records = to_records(spark, [flow_record(tuples=["1497038813,10.193.160.4,40.85.232.72,46010", GOOD])])
+    records = to_records(spark, [flow_record(tuples=["1551557213,10.20.30.40,198.51.100.7,50123", GOOD])])
     errors = fl.flow_tuple_errors(records).collect()
     assert [e["message"] for e in errors] == [
-        "unexpected # tokens in tuple 1497038813,10.193.160.4,40.85.232.72,46010. expected 8"
+        "unexpected # tokens in tuple 1551557213,10.20.30.40,198.51.100.7,50123. expected 8"
     ]
     assert fl.flow_events(records).count() == 1
 
@@ -36,7 +36,7 @@ def test_bad_epoch_is_an_error_and_an_event(spark):
     records = to_records(spark, [flow_record(tuples=["abcde" + GOOD[10:], GOOD])])
     errors = fl.flow_tuple_errors(records).collect()
     assert [e["message"] for e in errors] == ['strconv.ParseInt: parsing "abcde": invalid syntax']
-    assert sorted(e["epoch"] for e in fl.flow_events(records).collect()) == [0, 1497038814]
+    assert sorted(e["epoch"] for e in fl.flow_events(records).collect()) == [0, 1551557214]
 
 
 @pytest.mark.parametrize(
@@ -53,11 +53,11 @@ def test_parse_epoch(spark, token, epoch):
 def test_extension_of_a_flow_event(spark):
     event = events_of(spark, flow_record(tuples=[GOOD])).first()
     assert event["extension"] == {
-        "deviceExternalId": "fe485b0f", "cs1": "Rule_A", "cs1label": "Rule Name",
-        "cs2": "NSGNAME-NSG", "cs2label": "Azure NSG", "cs3": "SUBID", "cs3label": "Subscription ID",
-        "cs4": "RGNAME", "cs4label": "Resource Group", "start": "1497038814000",
-        "src": "10.193.160.4", "dst": "40.85.232.72", "spt": "46010", "dpt": "443", "proto": "TCP",
-        "deviceDirection": "1", "smac": "00:0D:3A:F3:38:54", "categoryOutcome": "Allow",
+        "deviceExternalId": "sys-77", "cs1": "Rule_A", "cs1label": "Rule Name",
+        "cs2": "WEB-TIER", "cs2label": "Azure NSG", "cs3": "SUB-7", "cs3label": "Subscription ID",
+        "cs4": "EDGE", "cs4label": "Resource Group", "start": "1551557214000",
+        "src": "10.20.30.40", "dst": "198.51.100.7", "spt": "50123", "dpt": "8443", "proto": "TCP",
+        "deviceDirection": "1", "smac": "0A:1B:2C:3D:4E:5F", "categoryOutcome": "Allow",
     }
     assert (event["severity"], event["name"]) == (0, "NetworkSecurityGroupFlowEvent")
 
@@ -159,7 +159,7 @@ def test_dispatch_and_time_filters(spark):
             flow_record(tuples=[GOOD], operationName="NetworkSecurityGroupEvents"),
             flow_record(tuples=[GOOD], operationName="Other"),
             flow_record(tuples=[GOOD], time=None),
-            flow_record(tuples=[GOOD], time="2017-06-09T20:08:33Z"),
+            flow_record(tuples=[GOOD], time="2019-03-02T20:08:33Z"),
         ],
     )
     assert fl.flow_events(records).count() == 2
@@ -168,10 +168,10 @@ def test_dispatch_and_time_filters(spark):
     assert fl.dispatch_operation(records, fl.NSG).count() == 4
     from datetime import datetime
 
-    at = datetime(2017, 6, 9, 20, 8, 33)
+    at = datetime(2019, 3, 2, 20, 8, 33)
     assert fl.records_after(records, at).count() == 0
     assert fl.records_before(records, at).count() == 3
-    assert fl.flow_events(records, datetime(2017, 6, 9, 20, 8)).count() == 1
+    assert fl.flow_events(records, datetime(2019, 3, 2, 20, 8)).count() == 1
     assert [r["time"] for r in fl.sort_records(records).collect()][0] is None
 
 
@@ -207,7 +207,7 @@ def test_access_records(spark):
     assert ext["msg"] == (
         '{"clientIP":"1.2.3.4","clientPort":8080,"httpMethod":"GET","requestUri":"/a?b=\\u003cc\\u003e\\u0026d"}'
     )
-    assert events[0]["name"] == ext["cs2"] == "APPGWNAME" and "deviceExternalId" not in ext
+    assert events[0]["name"] == ext["cs2"] == "FRONT-GW" and "deviceExternalId" not in ext
     assert events[0]["device_product"] == "Azure Application Gateway"
 
 
@@ -245,19 +245,19 @@ def named_event(spark, extension):
     )
     from datetime import datetime
 
-    row = (0, "Microsoft", "Azure NSG", "1", "nsg-flow", datetime(2017, 6, 21, 13, 5, 4), "nsg-flow", 0, extension)
+    row = (0, "Microsoft", "Azure NSG", "1", "nsg-flow", datetime(2019, 3, 21, 13, 5, 4), "nsg-flow", 0, extension)
     return spark.createDataFrame([row], schema)
 
 
-HEADER = "Jun 21 13:05:04|CEF:0|Microsoft|Azure NSG|1|nsg-flow|nsg-flow|0"
+HEADER = "Mar 21 13:05:04|CEF:0|Microsoft|Azure NSG|1|nsg-flow|nsg-flow|0"
 
 
 @pytest.mark.parametrize(
     "extension, text",
     [
-        ({"cs1": "UserRule_HTTP", "act": "check backslash \\"}, "|act=check backslash \\ cs1=UserRule_HTTP"),
-        ({"cs1": "UserRule_HTTP", "act": "check equals ="}, "|act=check equals \\= cs1=UserRule_HTTP"),
-        ({"cs1": "U", "act": "check multiline \n sadasd"}, "|act=check multiline \n sadasd cs1=U"),
+        ({"cs1": "Allow_Web", "act": "back\\"}, "|act=back\\ cs1=Allow_Web"),
+        ({"cs1": "Allow_Web", "act": "a=b"}, "|act=a\\=b cs1=Allow_Web"),
+        ({"cs1": "U", "act": "two\nlines"}, "|act=two\nlines cs1=U"),
         ({"cs1": "U", "act": ""}, "|cs1=U"),
         ({"b": "x", "B": "y", "a": "z  \n"}, "|B=y a=z  \n b=x"),
         ({"b": "x" + chr(0xA0) + chr(0x3000)}, "|b=x"),
@@ -273,7 +273,7 @@ def test_syslog_text(spark, extension, text):
 
 def test_syslog_text_zone_and_missing_time(spark):
     events = named_event(spark, {})
-    assert events.select(syslog_column(events, "America/Toronto")).first()[0].startswith("Jun 21 09:05:04|")
+    assert events.select(syslog_column(events, "America/Toronto")).first()[0].startswith("Mar 21 09:05:04|")
     untimed = events.withColumn("time", F.lit(None).cast("timestamp"))
     assert untimed.select(syslog_column(untimed)).first()[0] == HEADER.split("|", 1)[1]
 
@@ -283,11 +283,11 @@ def test_times_do_not_depend_on_the_session_zone(spark, zone):
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
         events = fl.flow_events(to_records(spark, [flow_record(tuples=[GOOD])]))
-        assert events.select(syslog_column(events)).first()[0].startswith("Jun 09 20:06:54|CEF")
-        assert '"time":"2017-06-09T20:06:54Z"' in events.select(event_json(events)).first()[0]
-        path = P.source_path(F.lit("/x"), F.timestamp_seconds(F.lit(1497038814)))
-        assert one(spark, path) == "resourceId=/x/y=2017/m=06/d=09/h=20/m=00/PT1H.json"
-        assert one(spark, F.unix_seconds(P.log_time(F.concat(F.lit("a/"), path)))) == 1497038400
+        assert events.select(syslog_column(events)).first()[0].startswith("Mar 02 20:06:54|CEF")
+        assert '"time":"2019-03-02T20:06:54Z"' in events.select(event_json(events)).first()[0]
+        path = P.source_path(F.lit("/x"), F.timestamp_seconds(F.lit(1551557214)))
+        assert one(spark, path) == "resourceId=/x/y=2019/m=03/d=02/h=20/m=00/PT1H.json"
+        assert one(spark, F.unix_seconds(P.log_time(F.concat(F.lit("a/"), path)))) == 1551556800
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
@@ -301,32 +301,32 @@ def frame_by_regex(content, host, now):
 @pytest.mark.parametrize(
     "content",
     [
-        "CEF", "Jan 02 15:04:05|CEF", "t|CEF:0|a|CEF b", "t|CEF:0\n|CEF x", "a\nt|CEF", "", "|CEF", "t|CE",
+        "CEF", "Feb 03 04:05:06|CEF", "t|CEF:0|a|CEF b", "t|CEF:0\n|CEF x", "a\nt|CEF", "", "|CEF", "t|CE",
         "é|CEF:0\rx" + chr(0x2028) + "y\nz", "t|CEF|CEFCEF",
     ],
 )
 def test_syslog_frame(spark, content):
-    now = F.timestamp_seconds(F.lit(1497038814))
-    out = one(spark, X.syslog_frame(F.lit(content), "hostname", now))
-    assert out == frame_by_regex(content, "hostname", "Jun 09 20:06:54")
+    now = F.timestamp_seconds(F.lit(1551557214))
+    out = one(spark, X.syslog_frame(F.lit(content), "host7", now))
+    assert out == frame_by_regex(content, "host7", "Mar 02 20:06:54")
 
 
 def test_format_mac(spark):
-    cases = {"000D3AF33854": "00:0D:3A:F3:38:54", "ABC": "AB:C", "AB": "AB", "A": "A", "": ""}
+    cases = {"0A1B2C3D4E5F": "0A:1B:2C:3D:4E:5F", "ABC": "AB:C", "AB": "AB", "A": "A", "": ""}
     for mac, text in cases.items():
         assert one(spark, X.format_mac(F.lit(mac))) == text
 
 
 def test_paths(spark):
     resource = "/SUBSCRIPTIONS/S/RESOURCEGROUPS/R/PROVIDERS/MICROSOFT.NETWORK/NETWORKSECURITYGROUPS/N"
-    path = f"resourceId={resource}/y=2017/m=06/d=09/h=21/m=00/PT1H.json"
+    path = f"resourceId={resource}/y=2019/m=03/d=02/h=21/m=00/PT1H.json"
     assert one(spark, P.resource_name(F.lit(path))) == "N"
     assert one(spark, P.resource_name(F.lit("x/PT1H.json"))) == ""
     assert one(spark, P.log_time(F.lit(path))).hour == 21
     for bad in ("/m=13/", "/m=00/"):
-        assert one(spark, P.log_time(F.lit(path.replace("/m=06/", bad)))) is None
-    assert one(spark, P.log_time(F.lit(path.replace("d=09", "d=31")))) is None
-    assert one(spark, P.output_name(F.lit(path), F.lit(5), F.lit(9))) == "nsgLog-N-201706092100-5-9.json"
+        assert one(spark, P.log_time(F.lit(path.replace("/m=03/", bad)))) is None
+    assert one(spark, P.log_time(F.lit(path.replace("d=02", "d=32")))) is None
+    assert one(spark, P.output_name(F.lit(path), F.lit(5), F.lit(9))) == "nsgLog-N-201903022100-5-9.json"
     assert one(spark, P.output_name(F.lit("x"), F.lit(5), F.lit(9))) is None
     resource += "/"
     split = {k: one(spark, v) for k, v in P.split_nsg_resource(F.lit(resource)).items()}
@@ -354,9 +354,9 @@ def test_file_bounds_follow_file_order(spark):
     records = to_records(
         spark,
         [
-            flow_record(time="2017-06-09T20:09:00Z", tuples=["7" + GOOD[10:], "1,2", "3" + GOOD[10:]]),
-            flow_record(time="2017-06-09T20:08:00Z", tuples=["9" + GOOD[10:], "5" + GOOD[10:]]),
-            flow_record(time="2017-06-09T20:07:00Z"),
+            flow_record(time="2019-03-02T20:09:00Z", tuples=["7" + GOOD[10:], "1,2", "3" + GOOD[10:]]),
+            flow_record(time="2019-03-02T20:08:00Z", tuples=["9" + GOOD[10:], "5" + GOOD[10:]]),
+            flow_record(time="2019-03-02T20:07:00Z"),
         ],
     )
     events = fl.flow_events(records)
@@ -366,7 +366,7 @@ def test_file_bounds_follow_file_order(spark):
     assert fl.file_record_counts(records).first()["last_count"] == 3
     assert fl.last_processed_timestamp(records, events).first()["last_processed_timestamp"] == 5
     none = fl.last_processed_timestamp(records, events.where("false")).first()
-    assert none["last_processed_timestamp"] == 1497038820
+    assert none["last_processed_timestamp"] == 1551557220
 
 
 def test_resource_split_agrees_with_a_greedy_pattern(spark):
