@@ -210,7 +210,6 @@ _LEAKS_DDL = "array<struct<item_id: long, distance: long, first_word: long, n_wo
 
 
 def _finder(shared):
-    @F.arrow_udf(_LEAKS_DDL)
     def find(texts: pa.Array) -> pa.Array:
         index = shared.value
         out: list[list[dict]] = [[] for _ in range(len(texts))]
@@ -222,7 +221,8 @@ def _finder(shared):
                 ]
         return pa.array(out, pa.list_(_LEAK))
 
-    return find
+    # So that the planner does not ask it twice, once for a filter on its result.
+    return F.arrow_udf(find, _LEAKS_DDL).asNondeterministic()
 
 
 def item_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[list[Item]]:
