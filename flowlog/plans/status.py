@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators.records import timestamp_column
 from ..schemas import STATUS_COLUMNS, STATUS_DDL
 from ..sources.logs import path_not_found
+from .files import file_names, remove, touch
 
 _COMMIT_DDL = f"{STATUS_DDL}, event_count BIGINT, version BIGINT"
 
@@ -19,8 +20,8 @@ _COMMIT_DDL = f"{STATUS_DDL}, event_count BIGINT, version BIGINT"
 class StatusTable:
     """Progress of one job: a snapshot of all files, and the commits after it.
 
-    A commit holds the new status of the files of one batch, and counts once its marker is written, a
-    table of one row that comes last. Versions are taken from the markers, so a batch that changes no
+    A commit holds the new status of the files of one batch, and counts once its marker is there, an
+    empty file that comes last. Versions are taken from the markers, so a batch that changes no
     status uses one up as well. After ``compact_every`` commits the whole status is written as a
     snapshot, and what it replaces is removed: reading never meets more commits than that.
     """
@@ -44,13 +45,12 @@ class StatusTable:
             raise
 
     def _marked(self, path: str) -> list[int]:
-        """Versions whose marker is whole; at most ``compact_every`` of them outlive a compaction."""
-        rows = self._table(path, "done BOOLEAN, version BIGINT").where("done").select("version").distinct()
-        return sorted(r["version"] for r in rows.collect())
+        """Versions that have a marker; at most ``compact_every`` of them outlive a compaction."""
+        names = file_names(self.spark, path)
+        return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
 
     def _mark(self, path: str, version: int) -> None:
-        marker = self.spark.createDataFrame([(True,)], "done BOOLEAN").coalesce(1)
-        marker.write.mode("overwrite").parquet(f"{path}/version={version}")
+        touch(self.spark, f"{path}/version={version}")
 
     def commits(self) -> DataFrame:
         """The newest snapshot's status rows and those of whole commits after it."""
@@ -90,15 +90,11 @@ class StatusTable:
         self._mark(self.snapshot_markers, version)
         # Only now: until the snapshot counts, the commits do.
         for v in {v for v in old if v <= version}:
-            self._remove(f"{self.markers}/version={v}")
-            self._remove(f"{self.path}/version={v}")
+            remove(self.spark, f"{self.markers}/version={v}")
+            remove(self.spark, f"{self.path}/version={v}")
             if v < version:
-                self._remove(f"{self.snapshot_markers}/version={v}")
-                self._remove(f"{self.snapshots}/version={v}")
-
-    def _remove(self, path: str) -> None:
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+                remove(self.spark, f"{self.snapshot_markers}/version={v}")
+                remove(self.spark, f"{self.snapshots}/version={v}")
 
 
 def status_with_events(commits: DataFrame) -> DataFrame:

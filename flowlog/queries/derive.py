@@ -19,6 +19,7 @@ from ..functions.paths import (
     NSG_RULE_OPERATION,
     source_path,
 )
+from ..plans.files import remove
 
 c = F.col
 
@@ -27,6 +28,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_local: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """An empty folder of this application that all executors reach, for what a query writes first.
 
@@ -35,13 +39,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="flowlog-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not _local:
+            _local.append(tempfile.mkdtemp(prefix="flowlog-"))
+        base = _local[0]
     folder = f"{base.rstrip('/')}/flowlog-queries/{spark.sparkContext.applicationId}/{name}"
-    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    remove(spark, folder)
     return folder
 
 

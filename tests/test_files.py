@@ -428,6 +428,15 @@ def crash_at(monkeypatch, folder):
     """The next write below a folder fails; what was written before it stays."""
     from pyspark.sql import DataFrameWriter
 
+    from flowlog.plans import status
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    if folder == "/commits/":
+        monkeypatch.setattr(status, "touch", lost)
+        return
+
     write = DataFrameWriter.parquet
 
     def failing(self, path, *args, **kwargs):
