@@ -8,16 +8,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; a local session that has none gets a temporary folder of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    folder = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not _local:
+        _local.append(tempfile.mkdtemp(prefix="run-"))
+    return _local[0]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
