@@ -4,7 +4,7 @@ An item is found in a document if some stretch of it has an edit distance of at
 words (A-Z read as a-z). Candidates come from the CGK random walk, which maps edit distance to Hamming distance: step
 ``t`` writes the word it stands on and moves on if bit ``t`` of that word's hash is set, so two walks over
 texts that differ in one word soon run in step again. Bit-sampling LSH keys a window by the words written at a
-few sampled steps. Windows are as long as two thirds of the item or somewhat less, by size class; all windows of an item
+few sampled steps, at which the walk is still inside the window for sure. Windows are as long as two thirds of the item or somewhat less, by size class; all windows of an item
 are indexed, and every fourth or eighth of a document is looked up, so each passage has a window in step. Independent walks are repeated until
 the target recall is met; every candidate is then verified by exact edit distance.
 
@@ -44,35 +44,38 @@ def window_words(n: int) -> int:
 
 
 def sampled_steps(walk: int, size: int) -> list[int]:
-    """Steps of a walk over ``size`` words whose words make its key."""
-    order = np.argsort(stream(1000 * walk + size, 2 * size), kind="stable")
+    """Steps of a walk over ``size`` words whose words make its key; no step takes it past the window."""
+    order = np.argsort(stream(1000 * walk + size, size), kind="stable")
     return sorted(order[:SAMPLES].tolist())
 
 
 def walk_keys(
     hashes: np.ndarray, starts: np.ndarray, sizes: list[int], walk: int
 ) -> dict[int, np.ndarray]:
-    """Keys of the windows of each size at ``starts``; all sizes share one walk, which ends in padding."""
-    steps = 2 * max(sizes)
-    padded = np.append(hashes, np.zeros(steps + 1, np.uint64))
-    seeds = stream(77 + walk, steps // 64 + 1)
-    moves = [mix(padded ^ s) for s in seeds]
+    """Keys of the windows of each size at ``starts``; all sizes share one walk."""
     sampled = {size: sampled_steps(walk, size) for size in sizes}
-    keys = {size: np.empty(len(starts), np.uint64) for size in sizes}
-    one = np.uint64(1)
+    steps = max(s[-1] for s in sampled.values()) + 1
+    padded = np.append(hashes, np.zeros(steps + 1, np.uint64))
+    moves = [mix(padded ^ seed) for seed in stream(77 + walk, (steps - 1) // 64 + 1)]
+    factor = stream(78, 1)[0] | np.uint64(1)
+    keys = {size: np.full(len(starts), size * WALKS + walk, np.uint64) for size in sizes}
+    bit = np.empty(_TOGETHER, np.uint64)
     for low in range(0, len(starts), _TOGETHER):
-        begin = starts[low : low + _TOGETHER]
-        at = begin.copy()
-        key = {size: np.full(len(begin), size * WALKS + walk, np.uint64) for size in sizes}
+        at = starts[low : low + _TOGETHER].copy()
+        own = bit[: len(at)]
         for t in range(steps):
-            for size in sizes:
-                if t in sampled[size]:
-                    word = np.where(at - begin < size, padded[at], np.uint64(0))
-                    key[size] = mix(key[size] ^ word)
-            at += ((moves[t >> 6][at] >> np.uint64(t & 63)) & one).view(np.int64)
-        for size in sizes:
-            keys[size][low : low + _TOGETHER] = key[size]
-    return keys
+            reading = [size for size in sizes if t in sampled[size]]
+            if reading:
+                word = padded[at]
+                for size in reading:
+                    key = keys[size][low : low + _TOGETHER]
+                    key *= factor
+                    key += word
+            np.take(moves[t >> 6], at, out=own, mode="clip")
+            own >>= np.uint64(t & 63)
+            own &= np.uint64(1)
+            at += own.view(np.int64)
+    return {size: mix(key) for size, key in keys.items()}
 
 
 def edit_end(item: list[int], text: list[int]) -> tuple[int, int]:
@@ -110,6 +113,9 @@ class Item:
     item_id: int | None
     words: list[int]
 
+    def __post_init__(self) -> None:
+        self.vocabulary = frozenset(self.words)
+
 
 class Index:
     """Keys of all windows of some items, for all walks."""
@@ -180,6 +186,8 @@ class Index:
             a, b = words.offsets[text : text + 2].tolist()
             low, high = max(a, a + begin - 2 * slack), min(b, a + begin + n + 2 * slack)
             region = words.hashes[low:high].tolist()
+            if sum(map(self.items[item].vocabulary.__contains__, region)) < n - slack:
+                continue  # each word of the item that the region lacks is an edit
             distance, end = edit_end(own, region)
             if distance > slack:
                 continue
