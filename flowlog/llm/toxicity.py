@@ -1,12 +1,14 @@
 """Toxicity scores of a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A word enters the network twice: by its own vector, if it is one of the training words, and by the mean of
-the vectors of its character trigrams, so that forms never seen are read by their letters. A gated
+A word enters the network twice: by its own vector, if it is one of the training words, and by the sum of
+the vectors of its character n-grams over the root of their number, so that forms never seen are read by their letters. The first
+component of these vectors starts from how much more often the word or n-gram stands in toxic training
+documents than in clean ones. A gated
 recurrent unit runs over a window of words in either direction, attention pools its states, and a logistic unit gives
 the window's score. A text is cut into windows of ``WINDOW`` words, each overlapping the next by half; all
 are scored and the highest counts, through a logistic curve fitted on the training documents.
 
-Training is multiple-instance learning on a bounded sample: at most ``TRAIN_DOCS`` documents of each label,
+Training is multiple-instance learning on a bounded sample: at most ``TRAIN_DOCS`` clean and toxic documents,
 the first by hash of their id, and of each at most ``TRAIN_WINDOWS`` windows spread evenly. A toxic document
 teaches by its highest window, a clean one by its two highest and a random one. Labels and texts are the only inputs;
 documents whose crc32(id) leaves 1 when divided by 3 are held out.
@@ -18,7 +20,7 @@ every score is 0. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,33 +29,56 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlog.llm.words import hashed_words, stream
+from flowlog.llm.words import Words, hash_texts, hashed_words, span_hashes, stream
 
 WINDOW, STRIDE = 48, 24
-TRAIN_DOCS, TRAIN_WINDOWS = 1500, 32
-#: Training words that have a vector of their own; trigrams share theirs by hash.
-WORD_VECTORS, TRIGRAM_VECTORS = 20_000, 4096
-WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 12, 12, 8, 8
-EPOCHS, BATCH, RATE = 10, 256, 0.01
+TRAIN_DOCS, TRAIN_WINDOWS = (2000, 1000), 16
+#: Training words that have a vector of their own; n-grams share theirs by hash.
+WORD_VECTORS, GRAM_VECTORS, GRAMS = 20_000, 1 << 17, (3, 4, 5)
+WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 8, 8, 8, 8
+EPOCHS, BATCH, RATE, VECTOR_RATE, DROPOUT = 8, 128, 0.01, 0.003, 0.3
 PREDICT_FROM = 0.7
-#: Words whose inputs a task keeps, and windows it scores together.
-REMEMBERED, TOGETHER = 200_000, 1024
-_EDGE = re.compile(rb"^[\x21-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]+|[\x21-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]+$")
-_BYTES = stream(41, 3 * 256).reshape(3, 256)
-
-
-def normal(word: bytes) -> bytes:
-    """Lower-cased, without ASCII punctuation at its ends."""
-    return _EDGE.sub(b"", word.lower())
-
-
-def trigrams(word: bytes) -> np.ndarray:
-    """Buckets of the word's character trigrams, its ends marked."""
-    marked = np.frombuffer(b"\x02" + word + b"\x03", np.uint8)
-    if len(marked) < 3:
-        marked = np.append(marked, np.uint8(3))
-    h = _BYTES[0][marked[:-2]] + _BYTES[1][marked[1:-1]] + _BYTES[2][marked[2:]]
-    return ((h ^ (h >> np.uint64(31))) % np.uint64(TRIGRAM_VECTORS)).astype(np.int64)
+#: Windows a task scores together.
+TOGETHER = 1024
+_PUNCTUATION = np.zeros(256, bool)
+_PUNCTUATION[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_BYTES = stream(41, max(GRAMS) * 256).reshape(-1, 256)
+#: Stand for the ends of a word.
+_BEGIN, _END = np.uint8(2), np.uint8(3)
+
+
+def cores(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words without ASCII punctuation at their ends, as starts and ends; empty if they are all punctuation."""
+    place = np.append(np.flatnonzero(~_PUNCTUATION[data]), len(data))
+    first = np.minimum(place[np.searchsorted(place, starts)], ends)
+    last = place[np.maximum(np.searchsorted(place, ends) - 1, 0)] + 1
+    return first, np.maximum(np.minimum(last, ends), first)
+
+
+#: n-grams of one length: the words that have any, their buckets word by word, and how many each has.
+Level = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def ngrams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[Level]:
+    """Buckets of the character n-grams of words, their ends marked; an empty word has one trigram."""
+    padded = np.append(data, np.full(max(GRAMS) + 1, _END))
+    levels = []
+    for size in GRAMS:
+        counts = np.maximum(ends - starts + 3 - size, int(size == 3))
+        word = np.flatnonzero(counts)
+        n = counts[word]
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) - 1  # -1 is the mark before the word
+        begin, length = np.repeat(starts[word], n), np.repeat((ends - starts)[word], n)
+        h = np.full(len(place), size, np.uint64)
+        for j in range(size):
+            at = place + j
+            byte = padded[np.maximum(begin + at, 0)]
+            h += _BYTES[j][np.where(at < 0, _BEGIN, np.where(at >= length, _END, byte))]
+        h ^= h >> np.uint64(31)
+        levels.append((word, (h % np.uint64(GRAM_VECTORS)).astype(np.int32), n))
+    return levels
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -62,9 +87,10 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Network:
-    """Parameters by name; ``vocabulary`` gives a training word's row in ``words``, 0 is any other word."""
+    """Parameters by name. Row ``i + 1`` of ``words`` is the vector of the word with hash ``vocabulary[i]``,
+    which are sorted; row 0, of any other word, stays zero."""
 
-    vocabulary: dict[bytes, int]
+    vocabulary: np.ndarray
     p: dict[str, np.ndarray]
     slope: float = 1.0
     shift: float = 0.0
@@ -72,7 +98,7 @@ class Network:
     _m: dict = field(default_factory=dict, repr=False)
 
     @classmethod
-    def new(cls, vocabulary: dict[bytes, int], seed: int = 0) -> Network:
+    def new(cls, vocabulary: np.ndarray, seed: int = 0) -> Network:
         rng = np.random.default_rng(seed)
         d = WORD_DIM + CHAR_DIM
 
@@ -81,7 +107,7 @@ class Network:
 
         p = {
             "words": normal_of(len(vocabulary) + 1, WORD_DIM, scale=0.1),
-            "chars": normal_of(TRIGRAM_VECTORS, CHAR_DIM, scale=0.3),
+            "chars": normal_of(GRAM_VECTORS, CHAR_DIM, scale=0.1),
             "attend": normal_of(2 * HIDDEN, ATTENTION, scale=0.3),
             "query": normal_of(ATTENTION, scale=0.3),
             "out": normal_of(2 * HIDDEN, scale=0.3),
@@ -92,23 +118,29 @@ class Network:
             p["w" + way] = normal_of(d, 3 * HIDDEN, scale=0.3)
             p["u" + way] = normal_of(HIDDEN, 3 * HIDDEN, scale=0.3)
             p["c" + way] = np.zeros(3 * HIDDEN, np.float32)
-        return cls(vocabulary, p)
+        return cls(np.sort(vocabulary), p)
 
     # words to inputs
 
-    def lookup(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Vector rows of normal words; trigram buckets of all, and where each word's begin."""
-        own = np.array([self.vocabulary.get(w, 0) for w in words], np.int64)
-        grams = [trigrams(w) for w in words]
-        sizes = np.array([len(g) for g in grams], np.int64)
-        return own, np.concatenate(grams) if grams else np.empty(0, np.int64), np.cumsum(sizes) - sizes
-
-    def inputs(self, own: np.ndarray, grams: np.ndarray, begin: np.ndarray) -> np.ndarray:
-        if not len(own):
-            return np.empty((0, WORD_DIM + CHAR_DIM), np.float32)
-        sizes = np.diff(begin, append=len(grams))
-        chars = np.add.reduceat(self.p["chars"][grams], begin) / sizes[:, None].astype(np.float32)
-        return np.concatenate([self.p["words"][own], chars], 1)
+    def lookup(
+        self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray
+    ) -> tuple[np.ndarray, list[Level]]:
+        """Vector rows of lower-cased words without edges, and their n-grams."""
+        if not len(self.vocabulary):
+            own = np.zeros(len(starts), np.int64)
+        else:
+            place = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
+            own = np.where(self.vocabulary[place] == hashes, place + 1, 0)
+        return own, ngrams(data, starts, ends)
+
+    def inputs(self, own: np.ndarray, levels: list[Level]) -> np.ndarray:
+        chars = np.zeros((len(own), CHAR_DIM), self.p["chars"].dtype)
+        total = np.zeros(len(own), np.float32)
+        for word, buckets, n in levels:
+            if len(word):
+                chars[word] += np.add.reduceat(self.p["chars"][buckets], np.cumsum(n) - n)
+                total[word] += n
+        return np.concatenate([self.p["words"][own], chars / np.sqrt(np.maximum(total, 1))[:, None]], 1)
 
     def gates(self, inputs: np.ndarray) -> np.ndarray:
         """What words add to the gates of both directions, and a last row that leaves a state as it is."""
@@ -217,27 +249,30 @@ def _ids(words: np.ndarray, begin: np.ndarray, end: np.ndarray, idle: int) -> np
 
 def train(windows: list[bytes], docs: np.ndarray, toxic: np.ndarray, seed: int = 0, epochs: int = EPOCHS) -> Network:
     """From windows as words joined by spaces, the document of each, and the label of each document."""
-    split = [[normal(w) for w in window.split()] for window in windows]
-    counts: dict[bytes, set[int]] = {}
-    for doc, words in zip(docs.tolist(), split, strict=True):
-        for word in words:
-            counts.setdefault(word, set()).add(doc)
-    often = sorted((w for w, d in counts.items() if len(d) > 1), key=lambda w: (-len(counts[w]), w))
-    network = Network.new({w: i for i, w in enumerate(often[:WORD_VECTORS], 1)}, seed)
-    every = sorted(counts)
-    row = {w: i for i, w in enumerate(every)}
-    idle = len(every)
-    ids = np.full((len(split), WINDOW), idle, np.int64)
-    for i, words in enumerate(split):
-        ids[i, : len(words)] = [row[w] for w in words]
-    own, grams, begin = network.lookup(every)
-    sizes = np.diff(begin, append=len(grams))
-    gram_word = np.repeat(np.arange(len(every)), sizes)
+    words = hash_texts(0, windows)
+    data = _LOWER[np.frombuffer(words.buffer, np.uint8)]
+    starts, ends = cores(data, words.starts, words.ends)
+    hashes, first_at, row = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    starts, ends = starts[first_at], ends[first_at]
+    idle = len(hashes)
+    doc_of_word = docs[words.text_of_word()]
+    # Words of two documents or more have a vector of their own, the most common ones if they are many.
+    in_docs = np.bincount(np.unique(row * len(toxic) + doc_of_word) // len(toxic), minlength=idle)
+    often = np.lexsort((hashes, -in_docs))[:WORD_VECTORS]
+    network = Network.new(hashes[often[in_docs[often] > 1]], seed)
+    counts = np.diff(words.offsets)
+    ids = np.full((len(windows), WINDOW), idle, np.int32)
+    ids[words.text_of_word(), np.arange(len(row)) - np.repeat(words.offsets[:-1], counts)] = row
+    own, levels = network.lookup(data, starts, ends, hashes)
+    network.p["words"][:, 0], network.p["chars"][:, 0] = evidence(network, own, levels, row, doc_of_word, toxic)
+    del own, levels, row, doc_of_word, words
     rng = np.random.default_rng(seed)
     t = 0
 
     def logits() -> np.ndarray:
-        gates = network.gates(network.inputs(own, grams, begin))
+        parts = [slice(low, low + 20_000) for low in range(0, idle, 20_000)]  # words worked out together
+        inputs = [network.inputs(*network.lookup(data, starts[x], ends[x], hashes[x])) for x in parts]
+        gates = network.gates(np.concatenate([np.empty((0, WORD_DIM + CHAR_DIM), np.float32), *inputs]))
         return np.concatenate([network.forward(gates, ids[i : i + TOGETHER]) for i in range(0, len(ids), TOGETHER)])
 
     def best(values: np.ndarray) -> np.ndarray:
@@ -262,9 +297,9 @@ def train(windows: list[bytes], docs: np.ndarray, toxic: np.ndarray, seed: int =
             used, local = np.unique(ids[batch], return_inverse=True)
             used = used[used < idle]
             local = local.reshape(len(batch), WINDOW)
-            taken = np.isin(gram_word, used)
-            part = grams[taken], np.cumsum(sizes[used]) - sizes[used]
-            inputs = network.inputs(own[used], *part)
+            seen, grams = network.lookup(data, starts[used], ends[used], hashes[used])
+            seen[rng.random(len(seen)) < DROPOUT] = 0  # so that words are learned by their letters as well
+            inputs = network.inputs(seen, grams)
             gates = network.gates(inputs)
             keep: dict = {}
             z = network.forward(gates, local, keep)
@@ -272,13 +307,18 @@ def train(windows: list[bytes], docs: np.ndarray, toxic: np.ndarray, seed: int =
             scale = (weight[low : low + BATCH] * len(chosen)).astype(np.float32) / len(batch)
             grads, d_inputs = network.backward(inputs, gates, local, keep, (_sigmoid(z) - y) * scale)
             g_words = np.zeros_like(network.p["words"])
-            np.add.at(g_words, own[used], d_inputs[:, :WORD_DIM])
+            np.add.at(g_words, seen, d_inputs[:, :WORD_DIM])
             g_words[0] = 0
             g_chars = np.zeros_like(network.p["chars"])
-            spread = d_inputs[:, WORD_DIM:] / sizes[used][:, None].astype(np.float32)
-            np.add.at(g_chars, part[0], np.repeat(spread, sizes[used], axis=0))
+            total = np.zeros(len(used), np.float32)
+            for word, _, n in grams:
+                total[word] += n
+            spread = d_inputs[:, WORD_DIM:] / np.sqrt(np.maximum(total, 1))[:, None]
+            for word, buckets, n in grams:
+                np.add.at(g_chars, buckets, np.repeat(spread[word], n, axis=0))
             t += 1
-            network.step(grads | {"words": g_words, "chars": g_chars}, rate, t)
+            network.step(grads, rate, t)
+            network.step({"words": g_words, "chars": g_chars}, rate * VECTOR_RATE / RATE, t)
     top = np.maximum.reduceat(logits(), first)
     network.lowest = float(top.min())
     network.slope, network.shift = _curve(top, toxic)
@@ -286,6 +326,42 @@ def train(windows: list[bytes], docs: np.ndarray, toxic: np.ndarray, seed: int =
     return network
 
 
+def evidence(
+    network: Network, own: np.ndarray, levels: list[Level], row: np.ndarray, doc: np.ndarray, toxic: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """For each word vector and each n-gram vector, between -2 and 2: how far the number of toxic documents with
+    it departs from what its number of documents lets expect."""
+    found = []
+    for size, of_word in ((len(network.vocabulary) + 1, None), (GRAM_VECTORS, levels)):
+        with_it = np.zeros((2, size))
+        order = np.argsort(doc, kind="stable")
+        bounds = np.searchsorted(doc[order], np.arange(len(toxic) + 1))
+        parts = [] if of_word is None else [(_begin_of(word, n, len(own)), buckets) for word, buckets, n in of_word]
+        for d in range(len(toxic)):
+            words = np.unique(row[order[bounds[d] : bounds[d + 1]]])
+            if of_word is None:
+                here = np.unique(own[words])
+            else:
+                here = np.unique(np.concatenate([_pieces(begin, buckets, words) for begin, buckets in parts]))
+            with_it[int(toxic[d]), here] += 1
+        share, n = toxic.mean(), with_it.sum(0)
+        found.append(2 * np.tanh((with_it[1] - n * share) / np.sqrt(n * share * (1 - share) + 1) / 6))
+    found[0][0] = 0
+    return found[0].astype(np.float32), found[1].astype(np.float32)
+
+
+def _begin_of(word: np.ndarray, n: np.ndarray, words: int) -> np.ndarray:
+    """Where each word's n-grams begin; the next word's begin is their end."""
+    sizes = np.zeros(words + 1, np.int64)
+    sizes[word + 1] = n
+    return np.cumsum(sizes)
+
+
+def _pieces(begin: np.ndarray, buckets: np.ndarray, words: np.ndarray) -> np.ndarray:
+    n = begin[words + 1] - begin[words]
+    return buckets[np.repeat(begin[words], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+
+
 def _curve(logits: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     """Logistic curve over documents' highest logits, both labels weighing the same, lightly smoothed."""
     slope, shift = 1.0, 0.0
@@ -305,16 +381,32 @@ def held_out(doc_id: Column) -> Column:
 def _spread_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist(), strict=True):
+        columns = batch["doc_id"].to_pylist(), batch["toxic"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist()
+        for doc, toxic, text in zip(*columns, strict=True):
             words = (text or b"").split()
             starts = window_starts(len(words))
             every = np.unique(np.linspace(0, len(starts) - 1, min(len(starts), TRAIN_WINDOWS)).astype(int)) if len(starts) else []
-            out += [{"doc_id": doc, "window": b" ".join(words[starts[i] : starts[i] + WINDOW])} for i in every]
-        yield pa.RecordBatch.from_pylist(out, pa.schema([("doc_id", pa.int64()), ("window", pa.binary())]))
+            for i in every:
+                window = b" ".join(words[starts[i] : starts[i] + WINDOW])
+                out.append({"doc_id": doc, "toxic": toxic, "window": window})
+        schema = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("window", pa.binary())])
+        yield pa.RecordBatch.from_pylist(out, schema)
+
+
+def _train_on_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = sorted({row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)})
+    number = {doc: i for i, doc in enumerate(dict.fromkeys(doc for doc, _, _ in rows))}
+    toxic = np.zeros(len(number), bool)
+    for doc, label, _ in rows:
+        toxic[number[doc]] = label
+    if toxic.any() and not toxic.all():
+        network = train([w for _, _, w in rows], np.array([number[doc] for doc, _, _ in rows]), toxic)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(network)], pa.binary())], ["network"])
 
 
 def train_on(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> Network | None:
-    """A network trained on a bounded sample of labelled documents that are not held out; None if a label is missing."""
+    """A network trained, in one task, on a bounded sample of labelled documents that are not held out; None if a
+    label is missing."""
     known = (
         labels.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{toxic}`").cast("int").alias("toxic"))
         .where("doc_id IS NOT NULL AND toxic IN (0, 1)")
@@ -322,73 +414,38 @@ def train_on(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    picked = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS) for y in (0, 1)]
-    chosen = {r["doc_id"]: bool(r["toxic"]) for part in picked for r in part.collect()}
-    if len(set(chosen.values())) < 2:
+    picked = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS[y]) for y in (0, 1)]
+    chosen = [tuple(r) for part in picked for r in part.collect()]
+    if len({y for _, y in chosen}) < 2:
         return None
-    spark = docs.sparkSession
-    ids = spark.createDataFrame(list(map(int, chosen)), "long").toDF("doc_id")
+    ids = docs.sparkSession.createDataFrame(chosen, "doc_id long, toxic int")
     texts = docs.select(
         F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")
-    ).join(F.broadcast(ids), "doc_id")  # at most 2 * TRAIN_DOCS ids
-    rows = texts.mapInArrow(_spread_windows, "doc_id long, window binary").distinct()
-    rows = sorted((r["doc_id"], bytes(r["window"])) for r in rows.collect())
-    order = sorted({d for d, _ in rows})
-    toxic_docs = np.array([chosen[d] for d in order])
-    if not len(order) or toxic_docs.all() or not toxic_docs.any():
-        return None
-    number = {d: i for i, d in enumerate(order)}
-    return train([w for _, w in rows], np.array([number[d] for d, _ in rows]), toxic_docs)
+    ).join(F.broadcast(ids), "doc_id")  # at most sum(TRAIN_DOCS) ids
+    windows = texts.select("doc_id", "toxic", "text").mapInArrow(_spread_windows, "doc_id long, toxic int, window binary")
+    found = windows.repartition(1).mapInArrow(_train_on_all, "network binary").collect()
+    return pickle.loads(found[0]["network"]) if found else None
 
 
 # scoring
 
 
-class _Inputs:
-    """Gate rows of words by hash, for as many words as ``REMEMBERED``."""
-
-    def __init__(self, network: Network) -> None:
-        self.network = network
-        self.clear()
-
-    def clear(self) -> None:
-        self.row: dict[int, int] = {}
-        self.table = np.empty((1024, 6 * HIDDEN), np.float32)
-
-    def rows(self, hashes: np.ndarray, buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Row in ``table`` of each word."""
-        found, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.row) + len(found) > REMEMBERED and len(self.row):
-            self.clear()
-        keys = found.tolist()
-        new = [i for i, h in enumerate(keys) if h not in self.row]
-        if new:
-            words = [normal(buffer[starts[first[i]] : ends[first[i]]]) for i in new]
-            rows = self.network.gates(self.network.inputs(*self.network.lookup(words)))[:-1]
-            base = len(self.row)
-            while base + len(rows) > len(self.table):
-                self.table = np.concatenate([self.table, np.empty_like(self.table)])
-            self.table[base : base + len(rows)] = rows
-            self.row.update((keys[i], base + j) for j, i in enumerate(new))
-        return np.array([self.row[h] for h in keys], np.int64)[inverse]
-
-    def gates(self) -> np.ndarray:
-        idle = self.network.gates(np.empty((0, WORD_DIM + CHAR_DIM), np.float32))
-        return np.concatenate([self.table[: len(self.row)], idle])
-
-
-_kept: dict[int, _Inputs] = {}
+def word_gates(network: Network, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Gate rows of the distinct words, an idle row last, and each word's row."""
+    _, first, row = np.unique(words.hashes, return_index=True, return_inverse=True)
+    data = _LOWER[np.frombuffer(words.buffer, np.uint8)]
+    starts, ends = cores(data, words.starts[first], words.ends[first])
+    inputs = network.inputs(*network.lookup(data, starts, ends, span_hashes(data, starts, ends)))
+    return network.gates(inputs), row
 
 
-def highest(network: Network, texts: pa.Array, inputs: _Inputs | None = None) -> np.ndarray:
+def highest(network: Network, texts: pa.Array) -> np.ndarray:
     """The highest window logit of each text; ``network.lowest`` for texts without words."""
-    inputs = inputs or _Inputs(network)
     out = np.full(len(texts), network.lowest)
     for words in hashed_words(texts):
         if not len(words.hashes):
             continue
-        rows = inputs.rows(words.hashes, words.buffer, words.starts, words.ends)
-        gates = inputs.gates()
+        gates, rows = word_gates(network, words)
         counts = np.diff(words.offsets)
         n = np.where(counts > 0, -(-np.maximum(counts - STRIDE, 1) // STRIDE), 0)
         text = np.repeat(np.arange(len(words)), n)
@@ -406,13 +463,10 @@ def highest(network: Network, texts: pa.Array, inputs: _Inputs | None = None) ->
     return out
 
 
-def _scorer(shared, key: int):
+def _scorer(shared):
     def score(texts: pa.Array) -> pa.Array:
-        if key not in _kept:
-            _kept.clear()
-            _kept[key] = _Inputs(shared.value)
-        inputs = _kept[key]
-        return pa.array(inputs.network.score(highest(inputs.network, texts, inputs)).astype(np.float64))
+        network = shared.value
+        return pa.array(network.score(highest(network, texts)).astype(np.float64))
 
     return F.arrow_udf(score, "double")
 
@@ -424,6 +478,6 @@ def scored(docs: DataFrame, network: Network | None, doc_id: str = "doc_id", tex
         score = F.lit(0.0)
     else:
         shared = docs.sparkSession.sparkContext.broadcast(network)
-        score = _scorer(shared, id(shared))("text")
+        score = _scorer(shared)("text")
     rows = own.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= PREDICT_FROM).cast("int"))

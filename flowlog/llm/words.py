@@ -89,18 +89,24 @@ class Words:
         return np.repeat(np.arange(len(self)), np.diff(self.offsets))
 
 
-def _hashed(first: int, texts: list[bytes], lower: bool) -> Words:
-    buffer = b"\n".join(texts) + b"\n"
-    data = np.frombuffer(buffer, np.uint8)
-    space = _SPACE[data]
-    edges = np.flatnonzero(np.diff(space.view(np.int8), prepend=1, append=1))
-    starts, ends = edges[0::2], edges[1::2]
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+    """Hashes of the bytes from each start up to its end; ``lower`` reads A-Z as a-z."""
     forward, inverse = _powers.upto(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     values = (_BYTE_LOWER if lower else _BYTE)[data]
     values *= forward[: len(data)]
     np.cumsum(values, out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * inverse[starts])
+    return mix((sums[ends] - sums[starts]) * inverse[starts])
+
+
+def hash_texts(first: int, texts: list[bytes], lower: bool = False) -> Words:
+    """The words of texts that are hashed together."""
+    buffer = b"\n".join(texts) + b"\n"
+    data = np.frombuffer(buffer, np.uint8)
+    space = _SPACE[data]
+    edges = np.flatnonzero(np.diff(space.view(np.int8), prepend=1, append=1))
+    starts, ends = edges[0::2], edges[1::2]
+    hashes = span_hashes(data, starts, ends, lower)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     bounds = np.zeros(len(texts) + 1, np.int64)
     np.cumsum(lengths, out=bounds[1:])
@@ -119,10 +125,10 @@ def hashed_words(column: pa.Array, lower: bool = False) -> Iterator[Words]:
         texts.append(value)
         size += len(value) + 1
         if size >= BUFFER_BYTES:
-            yield _hashed(first, texts, lower)
+            yield hash_texts(first, texts, lower)
             texts, first, size = [], i + 1, 0
     if texts:
-        yield _hashed(first, texts, lower)
+        yield hash_texts(first, texts, lower)
 
 
 def windows(hashes: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -430,7 +430,9 @@ def test_leaks_are_found_with_their_exact_distance(spark):
         docs.append((d, "\n".join(text).upper() if d % 2 else " ".join(text)))
     docs += [(None, items[1][1]), (900, None), (901, ""), (902, items[2][1]), (902, items[2][1])]
     benchmark = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, distance string")
-    got = decontaminate.contaminated(frame(spark, docs), benchmark).collect()
+    found = decontaminate.contaminated(frame(spark, docs), benchmark)
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    got = found.collect()
     low = lambda t: brute.words((t or "").translate(brute.LOWER))
     by_doc = dict(docs)
     for r in got:
@@ -484,17 +486,23 @@ def toxic_rows(n, seed):
 
 def test_network_gradients():
     rng = np.random.default_rng(1)
-    net = toxicity.Network.new({b"aa": 1, b"bb": 2})
+    found = words.hash_texts(0, [b"aa bb cc xyzzy ..."])
+    data = np.frombuffer(found.buffer, np.uint8)
+    starts, ends = toxicity.cores(data, found.starts, found.ends)
+    hashes = words.span_hashes(data, starts, ends)
+    net = toxicity.Network.new(hashes[:2])
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
-    own, grams, begin = net.lookup([b"aa", b"bb", b"cc", b"xyzzy", b""])
+    own, levels = net.lookup(data, starts, ends, hashes)
+    assert sorted(own.tolist()) == [0, 0, 0, 1, 2]
+    assert [n.tolist() for _, _, n in levels] == [[2, 2, 2, 5, 1], [1, 1, 1, 4], [3]]
     ids = rng.integers(0, 5, (3, 7))
     ids[0, 5:], ids[2, 2:] = 5, 5
     pull = np.array([1.0, -2.0, 0.5])
 
     def loss():
-        return float(pull @ net.forward(net.gates(net.inputs(own, grams, begin)), ids))
+        return float(pull @ net.forward(net.gates(net.inputs(own, levels)), ids))
 
-    inputs, keep = net.inputs(own, grams, begin), {}
+    inputs, keep = net.inputs(own, levels), {}
     gates = net.gates(inputs)
     net.forward(gates, ids, keep)
     grads, _ = net.backward(inputs, gates, ids, keep, pull)
@@ -510,6 +518,22 @@ def test_network_gradients():
             assert abs((up - down) / 2e-4 - g[i]) < 1e-4
 
 
+def test_cores_and_trigrams():
+    text = "Idiot, (idiot) ... a é! x.y -- \u00bfno? z"
+    found = words.hash_texts(0, [text.encode()])
+    data = np.frombuffer(found.buffer, np.uint8)
+    starts, ends = toxicity.cores(data, found.starts, found.ends)
+    own = [found.buffer[a:b].decode() for a, b in zip(starts, ends, strict=True)]
+    assert own == ["Idiot", "idiot", "", "a", "é", "x.y", "", "\u00bfno", "z"]
+    word, buckets, n = toxicity.ngrams(data, starts, ends)[0]
+    assert word.tolist() == list(range(9)) and n.tolist() == [max(1, len(w.encode())) for w in own]
+    parts = np.split(buckets, np.cumsum(n)[:-1])
+    assert parts[0][2:].tolist() == parts[1][2:].tolist() and parts[2].tolist() == parts[6].tolist()
+    assert len({tuple(p) for p in parts}) == 8
+    assert [len(w.encode()) for w in own if len(w.encode()) > 2] == [5, 5, 3, 4]
+    assert toxicity.ngrams(data, starts, ends)[2][2].tolist() == [3, 3, 1, 2]
+
+
 def test_windows_cover_and_overlap():
     for n in range(300):
         starts = list(toxicity.window_starts(n))
