@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlog.llm.storage import partitions
@@ -317,12 +317,13 @@ def factors(
     return dealt.groupBy("lot").applyInArrow(either, _FACTORS_DDL)
 
 
-def with_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """Each row as ``row``, its text, and its duplicate spans ``(first, n)`` of words, null if it has none."""
+def with_spans(docs: DataFrame, kept: list[Column], doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """Columns ``kept`` of each row, over ``row`` and ``text``, beside its duplicate spans ``(first, n)`` of words,
+    null if it has none. Nothing else of the row is dealt out for it."""
     unique = _is_unique(docs, doc_id)
     found = factors(docs, doc_id, text, spans_only=True, unique=unique, **options)
     spans = found.groupBy("key").agg(F.collect_set(F.struct("first", "n")).alias("spans"))
-    return _keyed(docs, doc_id, text, unique).join(spans, "key", "left").select("row", "text", "spans")
+    return _keyed(docs, doc_id, text, unique).select("key", *kept).join(spans, "key", "left").drop("key")
 
 
 def _mask(n: int, spans: list[dict]) -> np.ndarray:
@@ -370,15 +371,16 @@ def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
 def duplicate_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row per document: words, removed words, and the SHA-256 of the kept words joined by spaces."""
     digest = F.arrow_udf(_digest, "struct<n_words: long, n_removed: long, kept_sha256: string>")
-    judged = with_spans(docs, doc_id, text, **options)
-    return judged.select(F.col("row")[doc_id].alias("doc_id"), digest("text", "spans").alias("x")).select("doc_id", "x.*")
+    kept = [F.col("row")[doc_id].alias("doc_id"), F.col("text")]
+    judged = with_spans(docs, kept, doc_id, text, **options)
+    return judged.select("doc_id", digest("text", "spans").alias("x")).select("doc_id", "x.*")
 
 
 def remove_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents with their duplicate words cut out; one that loses all its words goes."""
-    judged = with_spans(docs, doc_id, text, **options)
-    judged = judged.withColumn("cut", F.arrow_udf(_cut, "string")("text", "spans"))
+    judged = with_spans(docs, [F.col("row")], doc_id, text, **options)
+    # So that the planner does not ask it twice, once for the filter on its result.
+    cut_once = F.arrow_udf(_cut, "string").asNondeterministic()
+    judged = judged.withColumn("cut", cut_once(F.col("row")[text].cast("string"), "spans"))
     left = judged.where(F.col("spans").isNull() | F.col("cut").rlike(WORD))
-    return left.select(
-        *[(F.col("cut") if c == text else F.col("row")[c]).alias(c) for c in docs.columns]
-    )
+    return left.select(*[(F.col("cut") if c == text else F.col("row")[c]).alias(c) for c in docs.columns])
