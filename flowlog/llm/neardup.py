@@ -11,8 +11,10 @@ bring the chance of never meeting down to ``1 - recall``.
 Links are only followed to tell classes apart: inside a node a member already connected is not compared
 again, and a node passes on a spanning forest of its links, never all pairs of a group. Nodes with more
 members than a task should hold are branched by shuffle; smaller ones in the task that has them. A large
-node whose members are as alike on average as linked ones would never end branching: it is cut by hash into small nodes
-that share its ``CENTRAL`` most alike members, and independent trees cut it in other ways.
+node whose members are as alike on average as linked ones would never end branching, and below ``Join.levels`` the
+trees no longer meet the recall: such a node is cut. It is first cut by hash into small nodes that share its
+``CENTRAL`` most alike members, which connects most of a group of copies. Then every two members of it that
+are still in different components are compared, in blocks of ``leaf`` members that cover all such pairs.
 
 Defined results: null texts and texts without words have the empty set and link with nothing; null ids are
 never the smallest id of a component unless it has no other, then its id is null and all its rows are
@@ -51,7 +53,7 @@ class Join:
     ``percent``: link if 100 * intersection >= percent * union. ``recall``: chance that a linked pair at
     the threshold meets. ``leaf``: members a node may have to be compared exhaustively. ``local``: members
     a node may have to be branched inside one task, a sketch of 256 bytes each. ``far`` and ``depth``:
-    levels branched by shuffle and inside a task, after which a node counts as dense.
+    levels branched by shuffle and inside a task, ``levels`` in all at most, after which a node is cut.
     """
 
     percent: int = 85
@@ -70,6 +72,24 @@ class Join:
         # a pair shares a first node with at least its similarity, and deeper ones about half as often
         return max(1, math.ceil(math.log(1 - self.recall) / math.log(1 - self.threshold / 1.5)))
 
+    @property
+    def levels(self) -> int:
+        """The deepest level at which a pair at the threshold still meets with ``recall`` in some tree.
+
+        All trees share the sketch, so the chance is a mean over the numbers of equal tokens that it may have.
+        """
+        s, two = self.threshold, 1 / self.threshold - 1
+        equal = range(self.likely, COORDINATES + 1)
+        weights = [math.comb(COORDINATES, k) * s**k * (1 - s) ** (COORDINATES - k) for k in equal]
+        never = [0.0] * len(weights)  # by equal tokens: chance that the pair meets at no node of a tree's level
+        for level in range(self.far + self.depth):
+            for i, k in enumerate(equal):
+                miss = 1 - k / COORDINATES * (1 - never[i])
+                never[i] = (1 - two) * miss + two * miss**2
+            if sum(w * (1 - x**self.trees) for w, x in zip(weights, never, strict=True)) < self.recall:
+                return max(1, level)
+        return self.far + self.depth
+
     @property
     def likely(self) -> int:
         """Equal tokens two sketches need to be looked at: 3.5 standard deviations below the threshold."""
@@ -206,25 +226,27 @@ def _shared(rows: DataFrame) -> DataFrame:
     return stored(rows.join(sizes, "node"), "nodes")
 
 
-def leaves(tokens: np.ndarray, node: int, join: Join) -> Iterator[np.ndarray]:
-    """Members of each small node that the branching below ``node`` ends in."""
+def leaves(tokens: np.ndarray, node: int, join: Join, level: int = 1) -> Iterator[tuple[np.ndarray, bool]]:
+    """Members of each small node that the branching below ``node`` ends in, and of each node that is cut (true)."""
+    deepest = min(join.depth, max(0, join.levels - level))
     pending = [(np.arange(len(tokens)), node, 0)]
     while pending:
         at, key, depth = pending.pop()
         if len(at) <= join.leaf:
-            yield at
+            yield at, False
             continue
         alike = np.zeros(len(at))  # mean share of a member's tokens that another member has
         for j in range(COORDINATES):
             _, own, n = np.unique(tokens[at, j], return_inverse=True, return_counts=True)
             alike += (n[own] - 1) / (len(at) - 1) / COORDINATES
-        if depth >= join.depth or alike.mean() >= join.threshold:
+        if depth >= deepest or alike.mean() >= join.threshold:
+            yield at, True
             shared = min(CENTRAL, join.leaf // 2)
             order = np.argsort(-alike, kind="stable")
             others = at[order[shared:]]
             others = others[np.argsort(mix(stream(key & 0xFFFFFFFF, len(others))), kind="stable")]
             for begin in range(0, len(others), join.leaf - shared):
-                yield np.append(at[order[:shared]], others[begin : begin + join.leaf - shared])
+                yield np.append(at[order[:shared]], others[begin : begin + join.leaf - shared]), False
             continue
         for j in chosen(key, join.threshold):
             own = tokens[at, j]
@@ -237,7 +259,7 @@ def leaves(tokens: np.ndarray, node: int, join: Join) -> Iterator[np.ndarray]:
 
 
 def _cut(large: DataFrame, local: int) -> DataFrame:
-    """Dense nodes of more than ``local`` members, cut by hash into parts that share ``CENTRAL`` members."""
+    """Nodes of more than ``local`` members, cut by hash into parts that share ``CENTRAL`` members."""
     parts = F.ceil(F.col("size") / (local // 2))
     draw = F.xxhash64("node", "cls")
     # by hash too: about CENTRAL members in all, each copied to every part
@@ -274,31 +296,99 @@ def grouped(n: int, linked: Callable[[int, np.ndarray], np.ndarray]) -> tuple[np
 
 
 def _clusters(join: Join):
-    """Groups of look-alikes in the nodes of a lot, each named by its members, so equal groups fold."""
+    """Groups of look-alikes in the nodes of a lot, and all members of cut nodes, each named by its members."""
     likely = join.likely
 
     def compare(table: pa.Table) -> pa.Table:
         node = table["node"].to_numpy()
         order = np.argsort(node, kind="stable")
-        node, cls = node[order], table["cls"].to_numpy()[order]
+        node, cls, level = node[order], table["cls"].to_numpy()[order], table["level"].to_numpy()[order]
         tokens = _tokens(table["sketch"])[order]
         bounds = np.append(np.flatnonzero(np.diff(node, prepend=~node[:1])), len(node))
         sizes = np.diff(bounds)
         twos = bounds[:-1][sizes == 2]
         twos = twos[(tokens[twos] == tokens[twos + 1]).sum(1) >= likely]
         groups = list(np.stack([cls[twos], cls[twos + 1]], 1))
+        whole = []
         for a, b in zip(bounds[:-1][sizes > 2], bounds[1:][sizes > 2], strict=True):
-            for leaf in leaves(tokens[a:b], int(node[a]) % 2**64, join):
+            for leaf, is_cut in leaves(tokens[a:b], int(node[a]) % 2**64, join, int(level[a])):
+                if is_cut:
+                    if level[a] <= join.levels:
+                        whole.append(cls[a:b][leaf])
+                    continue
                 own = tokens[a:b][leaf]
                 component, spanning = grouped(len(leaf), lambda u, rest, own=own: (own[rest] == own[u]).sum(1) >= likely)
                 for root in {component[u] for u, _ in spanning}:
                     groups.append(cls[a:b][leaf[component == root]])
-        if not groups:
-            return pa.table({"cluster": pa.array([], pa.int64()), "cls": pa.array([], pa.int64())})
-        names = [int(mix(np.add.reduce(mix(g.view(np.uint64)), keepdims=True)).view(np.int64)[0]) for g in groups]
-        return pa.table(
-            {"cluster": np.repeat(np.array(names, np.int64), [len(g) for g in groups]), "cls": np.concatenate(groups)}
-        )
+        cut = np.repeat([False, True], [sum(map(len, groups)), sum(map(len, whole))])
+        return _named(groups + whole).append_column("cut", pa.array(cut))
+
+    return compare
+
+
+def _named(groups: list[np.ndarray]) -> pa.Table:
+    """Rows of groups of classes, each group named by its members, so equal groups fold."""
+    if not groups:
+        return pa.table({"cluster": pa.array([], pa.int64()), "cls": pa.array([], pa.int64())})
+    names = [int(mix(np.add.reduce(mix(g.view(np.uint64)), keepdims=True)).view(np.int64)[0]) for g in groups]
+    return pa.table(
+        {"cluster": np.repeat(np.array(names, np.int64), [len(g) for g in groups]), "cls": np.concatenate(groups)}
+    )
+
+
+def _blocks(cut: DataFrame, labels: DataFrame, leaf: int) -> DataFrame:
+    """Blocks of about ``leaf`` members of cut nodes in which any two of different components meet.
+
+    Members outside a node's largest component meet each other and those in it; these need not meet
+    among themselves.
+    """
+    rooted = cut.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select(
+        "cluster", "cls", F.coalesce("root", "cls").alias("root")
+    )
+    rooted = stored(rooted, "rooted")
+    counts = rooted.groupBy("cluster", "root").agg(F.count("*").alias("n"))
+    largest = counts.groupBy("cluster").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n"))
+    half = max(1, leaf // 2)
+    split = largest.where("n > top.n").select(
+        "cluster",
+        F.col("top.root").alias("top"),
+        F.ceil((F.col("n") - F.col("top.n")) / half).alias("outer"),
+        F.ceil(F.col("top.n") / half).alias("inner"),
+    )
+    draw = F.xxhash64("cls")
+    outer, inner = (F.sequence(F.lit(0).cast("long"), F.col(c) - 1) for c in ("outer", "inner"))
+    own_outer, own_inner = F.pmod(draw, F.col("outer")), F.pmod(draw, F.col("inner"))
+    pair = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
+    among = F.transform(outer, lambda j: pair(F.least(own_outer, j), F.greatest(own_outer, j)))
+    across = F.transform(inner, lambda j: pair(own_outer, -1 - j))
+    to_outer = F.transform(outer, lambda i: pair(i, -1 - own_inner))
+    apart = F.col("root") != F.col("top")
+    met = F.explode(F.when(apart, F.concat(among, across)).otherwise(to_outer))
+    rows = rooted.join(split, "cluster").select("cluster", "cls", "root", apart.alias("apart"), met.alias("at"))
+    return rows.select(F.xxhash64("cluster", "at.a", "at.b").alias("block"), "cls", "root", "apart")
+
+
+def _unmet(join: Join):
+    """Members of the blocks of a lot that look like one of another component."""
+    likely = join.likely
+
+    def compare(table: pa.Table) -> pa.Table:
+        block = table["block"].to_numpy()
+        order = np.argsort(block, kind="stable")
+        block, cls, root = block[order], table["cls"].to_numpy()[order], table["root"].to_numpy()[order]
+        apart = table["apart"].to_numpy()[order]
+        tokens = _tokens(table["sketch"])[order]
+        bounds = np.append(np.flatnonzero(np.diff(block, prepend=~block[:1])), len(block))
+        groups = []
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            own, alike = tokens[a:b], np.zeros(b - a, bool)
+            for u in np.flatnonzero(apart[a:b]):
+                yes = ((own == own[u]).sum(1) >= likely) & (root[a:b] != root[a + u])
+                alike |= yes
+                alike[u] |= yes.any()
+            if alike.any():
+                groups.append(np.sort(cls[a:b][alike]))
+        return _named(groups)
 
     return compare
 
@@ -364,36 +454,63 @@ def _texts_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> Dat
     return rows.mapInArrow(keyed, "cls long, text string")
 
 
-def _links(docs: DataFrame, classes: DataFrame, join: Join, doc_id: str, text: str) -> DataFrame:
+def _confirmed(
+    docs: DataFrame, classes: DataFrame, clusters: DataFrame, join: Join, doc_id: str, text: str
+) -> DataFrame:
+    """Links that span the components of each cluster."""
+    wanted = classes.select("cls", "first_doc").join(clusters.select("cls").distinct(), "cls", "left_semi")
+    texts = _texts_of(docs, wanted, doc_id, text)
+    once = texts.join(wanted.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text"))
+    lots = F.lit(8 * partitions(docs.sparkSession))
+    links = (
+        clusters.join(once, "cls")
+        .groupBy(F.pmod("cluster", lots).alias("lot"))
+        .applyInArrow(_confirm(join), "u long, v long")
+    )
+    return stored(links, "links")
+
+
+def _labels(docs: DataFrame, classes: DataFrame, join: Join, doc_id: str, text: str) -> DataFrame:
+    """``(node, root)`` for each class that links with another."""
     spark = docs.sparkSession
     sketched = classes.select("cls", "sketch")
     nodes = _shared(sketched.mapInArrow(_roots(join.trees, join.threshold), "node long, cls long"))
-    small = nodes.where(F.col("size") <= join.local)
+    small = nodes.where(F.col("size") <= join.local).withColumn("level", F.lit(1))
     large = nodes.where(F.col("size") > join.local)
-    for _ in range(join.far):
+    for level in range(2, min(join.far + 1, join.levels) + 1):
         if large.isEmpty():
             break
         below = large.join(sketched, "cls").mapInArrow(_deeper(join.threshold), "node long, cls long")
         nodes = _shared(below.distinct())
-        small = small.unionByName(nodes.where(F.col("size") <= join.local))
+        small = small.unionByName(nodes.where(F.col("size") <= join.local).withColumn("level", F.lit(level)))
         large = nodes.where(F.col("size") > join.local)
-    small = small.unionByName(_cut(large, join.local))
+    # parts of nodes that are cut as a whole, a level further down
+    small = small.unionByName(_cut(large, join.local).withColumn("level", F.lit(join.levels + 1)))
     lots = F.lit(8 * partitions(spark))
-    clusters = (
+    found = (
         small.join(sketched, "cls")
         .groupBy(F.pmod("node", lots).alias("lot"))
-        .applyInArrow(_clusters(join), "cluster long, cls long")
+        .applyInArrow(_clusters(join), "cluster long, cls long, cut boolean")
+        .unionByName(large.select(F.col("node").alias("cluster"), "cls", F.lit(True).alias("cut")))
         .distinct()
     )
-    clusters = stored(clusters, "clusters")
-    wanted = classes.select("cls", "first_doc").join(clusters.select("cls").distinct(), "cls", "left_semi")
-    texts = _texts_of(docs, wanted, doc_id, text)
-    once = texts.join(wanted.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text"))
-    return (
-        clusters.join(once, "cls")
-        .groupBy(F.pmod("cluster", lots).alias("lot"))
-        .applyInArrow(_confirm(join), "u long, v long")
+    found = stored(found, "clusters")
+    clusters, cut = found.where("not cut").drop("cut"), found.where("cut").drop("cut")
+    labels = connected(_confirmed(docs, classes, clusters, join, doc_id, text))
+    if cut.isEmpty():
+        return labels
+    blocks = (
+        _blocks(cut, labels, join.leaf)
+        .join(sketched, "cls")
+        .groupBy(F.pmod("block", lots).alias("lot"))
+        .applyInArrow(_unmet(join), "cluster long, cls long")
+        .distinct()
     )
+    blocks = stored(blocks, "unmet")
+    if blocks.isEmpty():
+        return labels
+    more = _confirmed(docs, classes, blocks, join, doc_id, text)
+    return connected(labels.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
 
 
 def _components(docs: DataFrame, join: Join, doc_id: str, text: str) -> DataFrame:
@@ -405,7 +522,7 @@ def _components(docs: DataFrame, join: Join, doc_id: str, text: str) -> DataFram
         .agg(F.min("doc_id").alias("first_doc"), F.first("sketch").alias("sketch")),
         "classes",
     )
-    labels = connected(stored(_links(docs, classes, join, doc_id, text), "links"))
+    labels = _labels(docs, classes, join, doc_id, text)
     rooted = (
         classes.select("cls", "first_doc")
         .join(labels.withColumnRenamed("node", "cls"), "cls", "left")

@@ -370,6 +370,41 @@ def test_near_duplicates(spark, join):
     assert collected(neardup.near_duplicates(frame(spark, rows), join)) == want
 
 
+def template_rows(n, seed, words=505, changes=5):
+    """One text with a few words changed in each copy: most pairs are just below the threshold, few above."""
+    rng = random.Random(seed)
+    base = [f"t{i}" for i in range(words)]
+    rows = []
+    for i in range(n):
+        copy = base[:]
+        for at in rng.sample(range(words), changes):
+            copy[at] = f"z{i}_{at}"
+        rows.append((i, " ".join(copy)))
+    return rows
+
+
+def test_near_duplicates_in_a_large_template_group(spark):
+    rows = template_rows(300, 6)
+    want = sorted(brute.components(rows), key=str)
+    assert len({c for _, _, c, _ in want}) == 33
+    assert collected(neardup.near_duplicates(frame(spark, rows), neardup.Join(leaf=32, local=64))) == want
+
+
+def test_cut_nodes_come_before_the_recall_is_lost():
+    rng = random.Random(1)
+    for percent in (80, 85, 90):
+        join = neardup.Join(percent=percent)
+        s, two, met, n = join.threshold, 1 / join.threshold - 1, 0.0, 4000
+        for _ in range(n):  # a sketch of a pair at the threshold, and its chance in the trees
+            share = sum(rng.random() < s for _ in range(neardup.COORDINATES)) / neardup.COORDINATES
+            never = 0.0
+            for _ in range(join.levels):
+                miss = 1 - share * (1 - never)
+                never = (1 - two) * miss + two * miss**2
+            met += (1 - never**join.trees) / n
+        assert join.levels >= 2 and met >= join.recall - 0.001
+
+
 def test_drop_near_duplicates_keeps_one_of_each(spark):
     rows = near_rows(2)
     docs = frame(spark, rows)
