@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlog.llm import chat, decontaminate, mixing, neardup, pieces, quality, substrings, toxicity, urls, warc
+from flowlog.llm import (
+    chat,
+    decontaminate,
+    mixing,
+    neardup,
+    pieces,
+    quality,
+    substrings,
+    tokenfile,
+    toxicity,
+    urls,
+    warc,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +75,10 @@ def op10_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.written(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
@@ -74,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": op8_url_filters,
     "op9_preference_pairs": op9_preference_pairs,
     "op10_minhash_neardup": op10_minhash_neardup,
+    "op11_token_ids": op11_token_ids,
 }
 
 ORACLES: dict[str, str] = {}
