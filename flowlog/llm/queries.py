@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from flowlog.llm import (
     chat,
     decontaminate,
+    divergence,
     mixing,
     neardup,
     pieces,
@@ -79,6 +80,10 @@ def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.written(table(spark, sf_dir, "documents"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_preference_pairs": op9_preference_pairs,
     "op10_minhash_neardup": op10_minhash_neardup,
     "op11_token_ids": op11_token_ids,
+    "op12_source_divergence": op12_source_divergence,
 }
 
 ORACLES: dict[str, str] = {}
@@ -253,3 +259,40 @@ SELECT pair_id, count(*) FILTER (WHERE turn < cut)::INTEGER AS prompt_turns,
     FILTER (WHERE turn >= cut AND role = 'assistant'), '') AS rejected_trained
 FROM m GROUP BY pair_id
 """
+
+ORACLES["op12_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), o AS (
+  SELECT row_id, lang, source, unnest(terms) AS term FROM d
+), kept AS (
+  SELECT lang, term, count(*)::HUGEINT AS lang_count FROM o GROUP BY lang, term HAVING count(DISTINCT row_id) >= 3
+), c AS (
+  SELECT lang, source, term, count(*)::HUGEINT AS n FROM o JOIN kept USING (lang, term) GROUP BY lang, source, term
+), g AS (
+  SELECT g.lang, g.source, coalesce(n, 0) AS n, coalesce(v, 0) AS v, coalesce(lang_n, 0) AS lang_n
+  FROM (SELECT DISTINCT lang, source FROM d) g
+  LEFT JOIN (SELECT lang, source, sum(n)::HUGEINT AS n FROM c GROUP BY lang, source) USING (lang, source)
+  LEFT JOIN (SELECT lang, count(*)::HUGEINT AS v, sum(lang_count)::HUGEINT AS lang_n FROM kept GROUP BY lang) USING (lang)
+), p AS (
+  SELECT g.lang, g.source, term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.n + g.v) AS p,
+         1 + (1000000000::HUGEINT * (lang_count + 1)) // (g.lang_n + g.v) AS q
+  FROM g JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p)::BIGINT AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pair.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (((p - q) * (p - q)) // q)::BIGINT FROM p WHERE n > 0 AND p > q
+), k AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM r
+)
+SELECT lang, source, part, item, value, rank FROM k WHERE part = 'pair' OR rank <= 200
+"""
