@@ -1,9 +1,10 @@
 """Source divergence audit: how far the terms of each source are from those of the other sources of its language.
 
 Term frequencies come from single-pass in-memory indexing. A task reads its documents once and keeps postings (term, source,
-occurrences, documents) in memory; when ``BLOCK_POSTINGS`` of them are there, the block is spilled as runs in term order, one a hash
-shard of the terms, and the next block begins. A shard's runs are then merged by a heap into one posting list a term. Spilled
-runs are rows that Spark shuffles, so no local file holds them, and a term of very many documents is one posting a block.
+occurrences, documents) in memory; when ``BLOCK_POSTINGS`` of them are there, the block is spilled as runs in term order,
+one a language and hash shard of the terms, and the next block begins. A shard's runs are then merged by a heap into one
+posting list a term. Spilled runs are rows that Spark shuffles, so no local file holds them, and a term of very many
+documents is one posting a block and source.
 
 A language keeps the terms of at least ``min_docs`` of its documents. With V of them, and N occurrences of these in a group,
 a term of that group has p = 1 + floor(10^9 (count + 1) / (N + V)); a language is a group of all its sources. The divergence of
@@ -19,12 +20,12 @@ the item's UTF-8 bytes. An empty table gives an empty result. All arithmetic is
 from __future__ import annotations
 
 import heapq
+import pickle
 import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import groupby
-from operator import itemgetter
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -46,59 +47,60 @@ CHUNK_PAIRS = 1 << 20
 # Letters of ASCII, lower case here, and all that is not ASCII.
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 
-_RUN = pa.schema(
-    [("lang", pa.binary()), ("term", pa.binary()), ("source", pa.binary()), ("count", pa.int64()), ("docs", pa.int64())]
-)
-
 
-def _packed(postings: list[tuple]) -> bytes:
-    sink = pa.BufferOutputStream()
-    columns = list(zip(*postings, strict=True))
-    with pa.ipc.new_stream(sink, _RUN, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-        writer.write_batch(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _RUN, strict=True)], schema=_RUN))
-    return sink.getvalue().to_pybytes()
+def _packed(sources: list[bytes], terms: list[bytes], source: np.ndarray, counts: np.ndarray, docs: np.ndarray) -> bytes:
+    numbers = [x.astype(np.min_scalar_type(int(x.max()))) for x in (source, counts, docs)]
+    return pickle.dumps((sources, b"\n".join(terms), *[(x.dtype.str, x.tobytes()) for x in numbers]))
 
 
-def _unpacked(run: bytes) -> Iterator[tuple]:
-    """The postings of a run, in order."""
-    for batch in pa.ipc.open_stream(run):
-        yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+def _unpacked(run: bytes) -> tuple[list[bytes], list[bytes], list[int], list[int], list[int]]:
+    """A run's sources, and of each posting in term order: term, place of the source, occurrences, documents."""
+    sources, terms, *numbers = pickle.loads(run)
+    return sources, terms.split(b"\n"), *[np.frombuffer(data, kind).tolist() for kind, data in numbers]
 
 
 class Block:
     """Postings of the documents read since the last spill."""
 
     def __init__(self) -> None:
-        self.counts: defaultdict[tuple[bytes, bytes], Counter] = defaultdict(Counter)
-        self.docs: defaultdict[tuple[bytes, bytes], Counter] = defaultdict(Counter)
+        self.counts: dict[bytes, defaultdict[bytes, Counter]] = defaultdict(lambda: defaultdict(Counter))
+        self.docs: dict[bytes, defaultdict[bytes, Counter]] = defaultdict(lambda: defaultdict(Counter))
         self.size = 0
 
     def add(self, lang: bytes, source: bytes, text: bytes) -> None:
         terms = _TERM.findall(text.lower())
-        counts = self.counts[lang, source]
+        counts = self.counts[lang][source]
         before = len(counts)
         counts.update(terms)
-        self.docs[lang, source].update(set(terms))
+        self.docs[lang][source].update(set(terms))
         self.size += len(counts) - before
 
-    def runs(self, shards: int) -> Iterator[tuple[int, bytes]]:
-        """The postings by shard, each shard's in order of language, term and source."""
-        parts: list[list[tuple]] = [[] for _ in range(shards)]
-        for (lang, source), counts in self.counts.items():
-            docs = self.docs[lang, source]
-            for term, count in counts.items():
-                parts[zlib.crc32(term) % shards].append((lang, term, source, count, docs[term]))
-        for shard, postings in enumerate(parts):
-            if postings:
-                postings.sort()
-                yield shard, _packed(postings)
+    def runs(self, shards: int) -> Iterator[tuple[bytes, int, bytes]]:
+        """The postings by language and shard, in order of term and source."""
+        for lang, by_source in self.counts.items():
+            sources = sorted(by_source)
+            terms = [t for s in sources for t in by_source[s]]
+            if not terms:
+                continue
+            counts = np.array([n for s in sources for n in by_source[s].values()], np.int64)
+            docs = np.array([n for s in sources for n in map(self.docs[lang][s].__getitem__, by_source[s])], np.int64)
+            source = np.repeat(np.arange(len(sources)), [len(by_source[s]) for s in sources])
+            shard = np.fromiter(map(zlib.crc32, terms), np.int64, len(terms)) % shards
+            order = np.array(sorted(range(len(terms)), key=terms.__getitem__))
+            order = order[np.argsort(shard[order], kind="stable")]
+            bounds = np.searchsorted(shard[order], np.arange(shards + 1)).tolist()
+            for i, (low, high) in enumerate(pairwise(bounds)):
+                if low < high:
+                    own = order[low:high]
+                    yield lang, i, _packed(sources, [terms[k] for k in own.tolist()], source[own], counts[own], docs[own])
 
 
 def _indexer(shards: int, block_postings: int):
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def spill(block: Block) -> Iterator[pa.RecordBatch]:
-            for shard, run in block.runs(shards):
-                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([run], pa.binary())], ["shard", "run"])
+            for lang, shard, run in block.runs(shards):
+                columns = [pa.array([lang.decode()], pa.string()), pa.array([shard], pa.int32()), pa.array([run], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "shard", "run"])
 
         block = Block()
         for batch in batches:
@@ -121,29 +123,49 @@ _MERGED_DDL = "lang string, term string, postings array<struct<source: string, c
 _MERGED_ROWS = 20_000
 
 
-def merged(runs: list[bytes], min_docs: int) -> Iterator[tuple[bytes, bytes, list[tuple[bytes, int]]]]:
-    """Language, term and (source, occurrences) of the terms in enough documents, in order."""
-    stream = heapq.merge(*map(_unpacked, runs))
-    for (lang, term), postings in groupby(stream, itemgetter(0, 1)):
-        sources: list[tuple[bytes, int]] = []
-        in_docs = 0
-        for source, own in groupby(postings, itemgetter(2)):
-            count = 0
-            for posting in own:
-                count += posting[3]
-                in_docs += posting[4]
-            sources.append((source, count))
-        if in_docs >= min_docs:
-            yield lang, term, sources
+def merged(runs: list[bytes], min_docs: int) -> Iterator[tuple[bytes, dict[bytes, int]]]:
+    """The terms in enough documents, in order, with the occurrences by source: a heap of the runs' next terms."""
+    opened = [_unpacked(run) for run in runs]
+    ahead = [iter(terms) for _, terms, *_ in opened]
+    heap = [(next(terms), r) for r, terms in enumerate(ahead)]
+    heapq.heapify(heap)
+    at = [0] * len(opened)
+    term, found, in_docs = b"", [], 0
+
+    def counts() -> dict[bytes, int]:
+        by_source: Counter = Counter()
+        for r, k in found:
+            sources, _, source, count, _ = opened[r]
+            by_source[sources[source[k]]] += count[k]
+        return by_source
+
+    while heap:
+        least, r = heap[0]
+        if least != term:
+            if in_docs >= min_docs:
+                yield term, counts()
+            term, found, in_docs = least, [], 0
+        k = at[r]
+        at[r] = k + 1
+        found.append((r, k))
+        in_docs += opened[r][4][k]
+        following = next(ahead[r], None)
+        if following is None:
+            heapq.heappop(heap)
+        else:
+            heapq.heapreplace(heap, (following, r))
+    if in_docs >= min_docs:
+        yield term, counts()
 
 
 def _merger(min_docs: int):
     def merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lang = key[0].as_py()
         runs = [run for batch in batches for run in batch["run"].to_pylist()]
         rows: list[dict] = []
-        for lang, term, sources in merged(runs, min_docs):
-            postings = [{"source": s.decode(), "count": n} for s, n in sources]
-            rows.append({"lang": lang.decode(), "term": term.decode(), "postings": postings})
+        for term, counts in merged(runs, min_docs):
+            postings = [{"source": s.decode(), "count": n} for s, n in counts.items()]
+            rows.append({"lang": lang, "term": term.decode(), "postings": postings})
             if len(rows) >= _MERGED_ROWS:
                 yield pa.RecordBatch.from_pylist(rows, _MERGED)
                 rows = []
@@ -160,8 +182,9 @@ def term_frequencies(
     ``docs`` has ``lang``, ``source`` and ``text``, none of them null.
     """
     shards = shards or partitions(docs.sparkSession)
-    runs = docs.select("lang", "source", "text").mapInArrow(_indexer(shards, block_postings), "shard int, run binary")
-    return runs.groupBy("shard").applyInArrow(_merger(min_docs), _MERGED_DDL)
+    index = _indexer(shards, block_postings)
+    runs = docs.select("lang", "source", "text").mapInArrow(index, "lang string, shard int, run binary")
+    return runs.groupBy("lang", "shard").applyInArrow(_merger(min_docs), _MERGED_DDL)
 
 
 def _rate(count: Column, size: Column) -> Column:

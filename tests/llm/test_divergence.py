@@ -82,8 +82,10 @@ def test_runs_are_in_order_and_merge_to_all_counts():
     blocks = [divergence.Block() for _ in range(3)]
     for i, block in enumerate(blocks):
         block.add(b"en", b"s%d" % (i % 2), b"b a a c " * (i + 1))
-    runs = [run for block in blocks for _, run in block.runs(1)]
+        block.add(b"en", b"s2", b"A d")
+    runs = [run for block in blocks for _, _, run in block.runs(1)]
     for run in runs:
-        postings = list(divergence._unpacked(run))
-        assert postings == sorted(postings)
-    assert list(divergence.merged(runs, 3)) == [(b"en", b"a", [(b"s0", 8), (b"s1", 4)]), (b"en", b"b", [(b"s0", 4), (b"s1", 2)]), (b"en", b"c", [(b"s0", 4), (b"s1", 2)])]
+        terms = divergence._unpacked(run)[1]
+        assert terms == sorted(terms)
+    found = {term: dict(counts) for term, counts in divergence.merged(runs, 3)}
+    assert found == {b"a": {b"s0": 8, b"s1": 4, b"s2": 3}, b"b": {b"s0": 4, b"s1": 2}, b"c": {b"s0": 4, b"s1": 2}, b"d": {b"s2": 3}}
