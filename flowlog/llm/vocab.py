@@ -87,12 +87,12 @@ def encoder(vocabulary: str = BYTE_BPE, dtype: str = "<u4") -> Encoder:
     return Encoder(vocabulary, dtype)
 
 
-def lots(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
-    """Consecutive texts of about ``BATCH_CHARS`` characters, with the index of the first."""
+def lots(texts: list[str], chars: int = BATCH_CHARS) -> Iterator[tuple[int, list[str]]]:
+    """Consecutive texts of about ``chars`` characters, with the index of the first."""
     first = size = 0
     for i, text in enumerate(texts):
         size += len(text)
-        if size >= BATCH_CHARS:
+        if size >= chars:
             yield first, texts[first : i + 1]
             first, size = i + 1, 0
     if first < len(texts):
