@@ -18,9 +18,8 @@ from __future__ import annotations
 
 import functools
 import hashlib
-from collections import Counter
+import struct
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,15 +38,18 @@ REMEMBERED = 300_000
 LOT_PAIRS = 1_000_000
 _LOT_CHARS = 1 << 20
 
-#: Groups, links, groups as text, and linked pairs (A id in the high 32 bits) of a window.
-Window = tuple[int, int, str, tuple[int, ...]]
+#: Groups, links, groups as text, and the linked pairs (A id in the high 32 bits) as bytes of 64-bit integers.
+Window = tuple[int, int, str, bytes]
 
 
-def align(a: list[int], b: list[int], bytes_a: list[bytes], bytes_b: list[bytes]) -> Window:
+def align(a: list[int], b: list[int], length_a: list[int], length_b: list[int]) -> Window:
     """The alignment of tokens that cover the same bytes."""
+    if len(a) == len(b) and [length_a[x] for x in a] == [length_b[y] for y in b]:  # each is a group of its own
+        both = list(zip(a, b, strict=True))
+        return len(a), len(a), ";".join([f"{x}|{y}" for x, y in both]), _pairs([x << 32 | y for x, y in both])
     groups, pairs = [], []
     i = j = first_a = first_b = 0
-    end_a, end_b = len(bytes_a[a[0]]), len(bytes_b[b[0]])
+    end_a, end_b = length_a[a[0]], length_b[b[0]]
     while True:
         pairs.append(a[i] << 32 | b[j])
         if end_a == end_b:
@@ -55,15 +57,19 @@ def align(a: list[int], b: list[int], bytes_a: list[bytes], bytes_b: list[bytes]
             i, j = i + 1, j + 1
             first_a, first_b = i, j
             if i == len(a):
-                return len(groups), len(pairs), ";".join(groups), tuple(pairs)
-            end_a += len(bytes_a[a[i]])
-            end_b += len(bytes_b[b[j]])
+                return len(groups), len(pairs), ";".join(groups), _pairs(pairs)
+            end_a += length_a[a[i]]
+            end_b += length_b[b[j]]
         elif end_a < end_b:
             i += 1
-            end_a += len(bytes_a[a[i]])
+            end_a += length_a[a[i]]
         else:
             j += 1
-            end_b += len(bytes_b[b[j]])
+            end_b += length_b[b[j]]
+
+
+def _pairs(pairs: list[int]) -> bytes:
+    return struct.pack(f"={len(pairs)}q", *pairs)
 
 
 class Aligner:
@@ -86,6 +92,7 @@ class Aligner:
         ]
         self.length_a, self.length_b = (np.array([len(x) for x in t]) for t in (self.bytes_a, self.bytes_b))
         self.blank_a, self.blank_b = (np.array([x[:1] == b" " for x in t]) for t in (self.bytes_a, self.bytes_b))
+        self.sizes_a, self.sizes_b = self.length_a.tolist(), self.length_b.tolist()
         self.windows: dict[tuple[bytes, bytes], Window] = {}
 
     def tokens(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -111,18 +118,19 @@ class Aligner:
 
     def aligned(self, a: np.ndarray, b: np.ndarray) -> list[Window]:
         """The document's windows in order."""
-        known, raw_a, raw_b = self.windows, a.tobytes(), b.tobytes()
-        found = []
-        i = j = 0
-        for end_a, end_b in zip(*self.cut(a, b), strict=True):
-            key = raw_a[4 * i : 4 * end_a], raw_b[4 * j : 4 * end_b]
-            window = known.get(key)
-            if window is None:
-                window = align(a[i:end_a].tolist(), b[j:end_b].tolist(), self.bytes_a, self.bytes_b)
-                if len(known) < REMEMBERED:
-                    known[key] = window
-            found.append(window)
-            i, j = end_a, end_b
+        cut_a, cut_b = self.cut(a, b)
+        raw_a, raw_b = a.tobytes(), b.tobytes()
+        ends = list(zip([0, *cut_a], cut_a, [0, *cut_b], cut_b, strict=False))
+        keys = [(raw_a[4 * i : 4 * j], raw_b[4 * k : 4 * m]) for i, j, k, m in ends]
+        found = list(map(self.windows.get, keys))
+        if None in found:
+            ids_a, ids_b, lengths = a.tolist(), b.tolist(), (self.sizes_a, self.sizes_b)
+            for n, window in enumerate(found):
+                if window is None:
+                    i, j, k, m = ends[n]
+                    found[n] = self.windows.get(keys[n]) or align(ids_a[i:j], ids_b[k:m], *lengths)
+                    if len(self.windows) < REMEMBERED:
+                        self.windows[keys[n]] = found[n]
         return found
 
 
@@ -149,11 +157,11 @@ def _aligning(vocabulary_a: str, vocabulary_b: str):
                 for a, b in worker.tokens(texts):
                     windows = worker.aligned(a, b) if len(a) else []
                     groups, links, names, pairs = zip(*windows, strict=True) if windows else ((), (), (), ())
-                    held = Counter(chain.from_iterable(pairs))
+                    held, often = np.unique(np.frombuffer(b"".join(pairs), np.int64), return_counts=True)
                     digest = hashlib.sha256(";".join(names).encode()).hexdigest() if windows else ""
                     rows.append((len(a), len(b), sum(groups), sum(links), digest))
-                    keys.append(np.fromiter(held, np.int64, len(held)))
-                    times.append(np.fromiter(held.values(), np.int32, len(held)))
+                    keys.append(held)
+                    times.append(often.astype(np.int32))
                     bounds.append(bounds[-1] + len(held))
                 key, ends = np.concatenate(keys), pa.array(bounds, pa.int32())
                 lists = [(key >> 32).astype(np.int32), key.astype(np.int32), np.concatenate(times)]
