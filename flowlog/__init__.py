@@ -49,6 +49,7 @@ from .sources.logs import (
     list_log_files,
     parse_listing,
     read_log,
+    read_log_rows,
     read_log_tail,
     read_logs,
     rejected_paths,

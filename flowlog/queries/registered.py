@@ -822,6 +822,15 @@ def read_nsg_log(spark, sf_dir):
     return events.select("file", "pos.record_pos", "pos.tuple_pos", c("extension_text").alias("extension"))
 
 
+@query(with_(documents(long=True), "SELECT file, i AS record_pos, t AS tuple_pos, ext AS extension FROM dev"))
+def read_split_log(spark, sf_dir):
+    """Documents above 20 kB are cut into chunks and read by several tasks, the others whole."""
+    root = _documents(spark, sf_dir, _container(spark, "read_split_log"), long=True)
+    rows = logs.read_log_rows(spark, logs.list_log_files(spark, root), root, split_bytes=20_000)
+    events = flow.flow_events(logs.log_records(rows))
+    return events.select("file", "pos.record_pos", "pos.tuple_pos", c("extension_text").alias("extension"))
+
+
 @query(with_(documents(hours=2), "SELECT file AS name, 'NSG-' || k AS nsg_name, start_epoch AS log_epoch FROM doc"))
 def list_log_files(spark, sf_dir):
     listing = logs.parse_listing(logs.list_log_files(spark, _documents(spark, sf_dir, _container(spark, "list_log_files"), hours=2), "resourceId="))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ from ..functions.paths import (
 )
 from ..operators.records import dispatch_operation
 from ..schemas import LISTING_DDL, LOG_DDL, POS_TYPE
+from .ranges import CHUNK_BYTES, Opener, open_path, read_ranges, split_rows
 
 RECORD_COLUMNS = [
     "file",
@@ -191,6 +193,31 @@ def _file_error():
     )
 
 
+def parsed_documents(texts: DataFrame) -> DataFrame:
+    """What ``read_log_files`` gives, from whole documents as ``file, text``."""
+    log = F.from_json("text", LOG_DDL, {"mode": "PERMISSIVE"}).alias("log")
+    return texts.select("file", log).select("file", "log.records", "log._corrupt_record").select("*", _file_error().alias("error"))
+
+
+def read_log_rows(
+    spark: SparkSession, listing: DataFrame, root: str | None = None, split_bytes: int | None = None, **options
+) -> DataFrame:
+    """``log_rows`` of listed files, ``path``, ``name`` and ``length``; files above ``split_bytes`` are read by several tasks.
+
+    The driver holds the paths of the files listed, one batch. ``options`` are those of ``split_rows``.
+    """
+    split_bytes = CHUNK_BYTES if split_bytes is None else split_bytes
+    found = listing.select("path", "length").collect()
+    small = [glob_literal(r["path"]) for r in found if r["length"] <= split_bytes]
+    parts = []
+    if small or not found:
+        parts.append(log_rows(read_log_files(spark, small, root) if small else parsed_documents(spark.createDataFrame([], "file STRING, text STRING"))))
+    if len(small) < len(found):
+        large = listing.where(F.col("length") > split_bytes).select("path", F.col("name").alias("file"), "length")
+        parts.append(split_rows(large, min(split_bytes, CHUNK_BYTES), **options))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def log_rows(files: DataFrame) -> DataFrame:
     """One row per record of a good file, in file order, and one row per file without records.
 
@@ -257,35 +284,18 @@ def unread_range(length, last_end):
     return F.struct(start.alias("Start"), length.alias("End"))
 
 
-def read_log_tail(spark: SparkSession, listing: DataFrame, root: str) -> DataFrame:
+def read_log_tail(spark: SparkSession, listing: DataFrame, root: str, opener: Opener = open_path) -> DataFrame:
     """One row per file as ``read_log_files`` gives, from the bytes past ``last_end`` up to ``length``.
 
-    ``listing`` is one batch of listed files: ``path``, ``name`` below ``root``, ``length`` and
-    ``last_end`` (NULL or 0 for a new file); the driver holds it, as it holds any batch of paths. Files
-    without new bytes are not read, and what was appended after the listing is left for the next
-    range. Text starts at the first ``"time"``: keys standing before it in that record are lost,
+    ``listing`` has ``path``, ``name`` below ``root``, ``length`` and ``last_end`` (NULL or 0 for a new file). Tasks
+    fetch these bytes and no others, and files without new bytes are not opened; what was appended after the listing
+    is left for the next range. Text starts at the first ``"time"``: keys standing before it in that record are lost,
     which costs gateway logs, whose records start with the resource id, the first record of every read.
     Whole-file reads do not.
     """
-    start = F.coalesce("last_end", F.lit(0)).cast("bigint").alias("start")
-    due = listing.select("path", F.col("name").alias("file"), start, F.col("length").cast("bigint").alias("stop"))
-    rows = [tuple(r) for r in due.where("stop > start").collect()]
-    ends = spark.createDataFrame([r[1:] for r in rows], "file STRING, start BIGINT, stop BIGINT")
-    if not rows:
-        return ends.select(
-            "file", F.lit(None).cast(f"STRUCT<{LOG_DDL}>").alias("log"), F.lit(None).cast("string").alias("error")
-        ).select("file", "log.records", "log._corrupt_record", "error")
-    content = (
-        spark.read.format("binaryFile")
-        .load([glob_literal(r[0]) for r in rows])
-        .select(relative_name(read_path(), root).alias("file"), "content")
-    )
-    # The ends are rows of the driver, so Spark knows their size and contents stay where they are read.
-    # Offsets count bytes, and bytes of an array are numbered by INT: both ends lie inside the content.
-    own = "substring(content, CAST(start + 1 AS INT), CAST(least(stop, octet_length(content)) - start AS INT))"
-    tails = content.join(ends, "file").where("start < octet_length(content)").select(
-        "file", F.decode(F.expr(own), "UTF-8").alias("tail")
-    )
+    start = F.coalesce("last_end", F.lit(0)).alias("start")
+    due = listing.select("path", F.col("name").alias("file"), start, F.col("length").alias("stop"))
+    tails = read_ranges(due, opener).select("file", F.decode("content", "UTF-8").alias("tail"))
     first = F.instr("tail", '"time"')
     framed = tails.select(
         "file",
