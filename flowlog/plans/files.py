@@ -1,4 +1,7 @@
-"""Small files and folders of a job's state, through the file systems Spark reads."""
+"""Small files and folders of a job's state, through the file systems Spark reads.
+
+This goes through the session's JVM, so runs need a classic session, not Spark Connect.
+"""
 
 from __future__ import annotations
 
@@ -22,6 +25,19 @@ def touch(spark: SparkSession, path: str) -> None:
     system.create(place, True).close()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    system, place = _place(spark, path)
+    return system.exists(place)
+
+
+def folder_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders in a folder, none if it is not there."""
+    system, place = _place(spark, folder)
+    if not system.exists(place):
+        return []
+    return [s.getPath().getName() for s in system.listStatus(place) if s.isDirectory()]
+
+
 def file_names(spark: SparkSession, folder: str) -> list[str]:
     """Names of the files in a folder, none if it is not there."""
     system, place = _place(spark, folder)

@@ -4,32 +4,31 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
-from itertools import islice
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.paths import CONTAINERS, NSG_FLOW_OPERATION
 from ..operators.events import union_events
 from ..operators.families import family_events, rejects
 from ..operators.progress import file_progress
-from ..schemas import EVENT_DDL, POS_TYPE, RECORD_FIELDS, SELECTED_COLUMNS, SELECTED_DDL, STATUS_DDL
+from ..schemas import EVENT_DDL, LISTING_DDL, POS_TYPE, RECORD_FIELDS, SELECTED_COLUMNS, SELECTED_DDL, STATUS_DDL
 from ..sources.logs import (
     family_of,
     file_rejects,
-    glob_literal,
     impossible_hours,
     list_log_files,
-    log_rows,
+    listing_rows,
     parse_listing,
-    path_not_found,
-    read_log_files,
+    read_log_rows,
     rejected_paths,
     unread_range,
 )
+from ..sources.ranges import CHUNK_BYTES
+from .files import exists, folder_names, remove
 from .status import StatusTable, begin_time_filter, begin_time, unprocessed_files
 
 _STAGED_DDL = (
@@ -37,6 +36,7 @@ _STAGED_DDL = (
 )
 STAGED_EVENT_DDL = f"file STRING, pos {POS_TYPE}, epoch BIGINT, {EVENT_DDL}, extension_text STRING"
 _PROGRESS_DDL = f"{STATUS_DDL}, event_count BIGINT, first_epoch BIGINT, last_epoch BIGINT"
+_STARTED_DDL = "version BIGINT, files BIGINT, records BIGINT, events BIGINT"
 _REJECT_DDL = f"file STRING, pos {POS_TYPE}, kind STRING, message STRING, raw STRING, version BIGINT"
 
 
@@ -74,7 +74,8 @@ class Job:
     ``resume`` says what counts as new in a file read before: ``time`` takes records later than the
     last one seen, ``position`` those past the number of records seen. ``root`` is what the names of
     the listing are relative to. All a job keeps lies below ``state_path``: status, rejects and the
-    batch in work.
+    batches in work. A batch ends with the file that reaches ``bytes_per_batch`` or ``files_per_batch``; documents above
+    ``split_bytes`` are read by several tasks.
     """
 
     spark: SparkSession
@@ -84,7 +85,9 @@ class Job:
     container: str = CONTAINERS[NSG_FLOW_OPERATION]
     begin: str | datetime | None = None
     resume: str = "time"
-    files_per_batch: int = 20_000
+    files_per_batch: int = 200_000
+    bytes_per_batch: int = 64 << 30
+    split_bytes: int = CHUNK_BYTES
     root: str | None = None
     status: StatusTable = field(init=False)
 
@@ -101,52 +104,88 @@ class Job:
     def process(self, listing: DataFrame) -> Run:
         """Convert what is new in the listed files.
 
-        Selected files are taken oldest hour first in batches, each committed on its own. The
-        driver holds the paths of one batch at a time; file contents stay on the executors.
+        The listing is evaluated once, into a staged table. Selected files are dealt into batches in a plan table,
+        oldest hour first, each committed on its own and in order; while one is emitted the next is
+        staged. The driver holds the paths of these batches; file contents stay on the executors.
         """
         run = Run(self.name, datetime.now(timezone.utc))
-        self._finish_started_batch(run)
+        self._finish_started_batches(run)
+        listing.write.mode("overwrite").parquet(self._staged("listing"))
+        listing = self._read(self._staged("listing"), LISTING_DDL)
         self._reject_paths(listing)
         due = begin_time_filter(parse_listing(listing), self.begin)
-        selected = unprocessed_files(due, self.status.read()).select(SELECTED_COLUMNS)
-        for rows in _batches(selected.orderBy("log_time", "name"), self.files_per_batch):
-            version = self.status.next_version()
-            self._stage(rows, version)
-            self._emit(version, run)
+        batches = self._plan(unprocessed_files(due, self.status.read()).select(SELECTED_COLUMNS))
+        first = self.status.next_version()
+        with ThreadPoolExecutor(1) as pool:
+            staged = pool.submit(self._stage, batches[0], first) if batches else None
+            for n in range(len(batches)):
+                staged.result()
+                if n + 1 < len(batches):
+                    staged = pool.submit(self._stage, batches[n + 1], first + n + 1)
+                self._emit(first + n, run)
         run.end_time, run.state = datetime.now(timezone.utc), "COMPLETE"
         return run
 
+    def _plan(self, selected: DataFrame) -> list[int]:
+        """Write the selected files with the batch each belongs to, and give the batches.
+
+        A file's batch is that of the bytes before it, in the order of hours. These are sums within ranges of hours,
+        and of whole ranges, so no task sees all files. A file counts as its share of ``files_per_batch`` at least.
+        """
+        order = ["log_time", "name"]
+        ranged = selected.repartitionByRange(*order).withColumn("range", F.spark_partition_id())
+        ranged.write.mode("overwrite").parquet(self._staged("selected"))
+        rows = self._read(self._staged("selected"), f"{SELECTED_DDL}, range INT")
+        least = -(-self.bytes_per_batch // self.files_per_batch)
+        rows = rows.withColumn("cost", F.greatest(F.col("length"), F.lit(least)))
+        ranges = rows.groupBy("range").agg(F.sum("cost").alias("total"))
+        earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+        ranges = ranges.select("range", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("before"))
+        within = Window.partitionBy("range").orderBy(*order)
+        place = F.col("before") + F.sum("cost").over(within) - F.col("cost")
+        planned = rows.join(ranges, "range").withColumn("batch", F.floor(place / F.lit(self.bytes_per_batch)))
+        path = self._staged("plan")
+        planned.select(*SELECTED_COLUMNS, "batch").write.mode("overwrite").partitionBy("batch").parquet(path)
+        return sorted(int(n.removeprefix("batch=")) for n in folder_names(self.spark, path) if n.startswith("batch="))
+
     def _reject_paths(self, listing: DataFrame) -> None:
-        """Record the files no run will read, once each, under a version of their own."""
+        """Record the files no run will read, once each, under a version of their own and apart from other rejects."""
         found = union_events(rejected_paths(listing), impossible_hours(listing))
-        known = self._read(self.rejects_path, _REJECT_DDL).where("kind IN ('path', 'hour')").select("file", "kind")
+        folder = f"{self.rejects_path}/of=paths"
+        known = self._read(folder, _REJECT_DDL).select("file", "kind")
         none = F.lit(None)
         new = found.join(known, ["file", "kind"], "left_anti").select(
             "file", none.cast(POS_TYPE).alias("pos"), "kind", "message", none.cast("string").alias("raw")
         )
         if not new.isEmpty():
             version = self.status.next_version()
-            new.write.mode("overwrite").parquet(f"{self.rejects_path}/version={version}")
+            new.write.mode("overwrite").parquet(f"{folder}/version={version}")
             self.status.commit(version)
 
     # A batch is read once, into staged tables below the state path: the rows of its files, the events
-    # made from them, and last the progress, whose folder says that all are whole. Sink and rejects
-    # are made from these. A file that grows meanwhile cannot get ahead of its recorded progress, and a
+    # made from them, the progress, and last a row that says that all are whole and what they amount to. Sink and
+    # rejects are made from these. A file that grows meanwhile cannot get ahead of its recorded progress, and a
     # batch that was staged but not committed is finished from the same rows, so a sink that
-    # overwrites by version or name writes the same output again.
+    # overwrites by version or name writes the same output again. A committed batch's tables are removed.
 
-    def _stage(self, selected: list[Row], version: int) -> None:
-        known = self.spark.createDataFrame(selected, SELECTED_DDL)
+    def _stage(self, batch: int, version: int) -> None:
+        known = self._read(f"{self._staged('plan')}/batch={batch}", SELECTED_DDL)
         since = known.select(
             F.col("name").alias("file"), F.col("last_processed_record").alias("after"), "known_count"
         )
-        rows = log_rows(read_log_files(self.spark, [glob_literal(row["path"]) for row in selected], self.root))
-        rows.join(since, "file").write.mode("overwrite").parquet(self._staged("rows"))
-        staged = self._staged_rows()
+
+        def keep(pieces: DataFrame) -> DataFrame:
+            path = self._staged("pieces", version)
+            pieces.write.mode("overwrite").parquet(path)
+            return self.spark.read.schema(pieces.schema).parquet(path)
+
+        rows = read_log_rows(self.spark, known, self.root, self.split_bytes, keep=keep)
+        rows.join(since, "file").write.mode("overwrite").parquet(self._staged("rows", version))
+        staged = self._staged_rows(version)
         family_events(self._due(staged), self.family, self._after()).write.mode("overwrite").parquet(
-            self._staged("events")
+            self._staged("events", version)
         )
-        progress = file_progress(staged.where("error IS NULL"), self._staged_events())
+        progress = file_progress(staged.where("error IS NULL"), self._staged_events(version))
         status = known.alias("k").join(progress.withColumnRenamed("file", "name"), "name").select(
             "name",
             "etag",
@@ -167,51 +206,63 @@ class Job:
             "first_epoch",
             "last_epoch",
         )
-        status.write.mode("overwrite").parquet(self._staged("progress"))
-        # Written last, one row says which batch the staged tables are.
-        started = self.spark.createDataFrame([(version,)], "version BIGINT").coalesce(1)
-        started.write.mode("overwrite").parquet(self._staged("started"))
+        totals = Observation()
+        counts = [F.count("*").alias("files"), F.sum("last_count").alias("records"), F.sum("event_count").alias("events")]
+        status.observe(totals, *counts).write.mode("overwrite").parquet(self._staged("progress", version))
+        row = (version, *(int(totals.get[n] or 0) for n in ("files", "records", "events")))
+        started = self.spark.createDataFrame([row], _STARTED_DDL).coalesce(1)
+        started.write.mode("overwrite").parquet(self._staged("started", version))
 
     def _emit(self, version: int, run: Run) -> None:
-        staged = self._staged_rows()
-        progress = self._read(self._staged("progress"), _PROGRESS_DDL)
+        staged = self._staged_rows(version)
+        progress = self._read(self._staged("progress", version), _PROGRESS_DDL)
         bounds = progress.where("event_count > 0").select(
             F.col("name").alias("file"), "first_epoch", "last_epoch", "event_count"
         )
-        self.sink(self._staged_events(), Batch(version, bounds))
+        self.sink(self._staged_events(version), Batch(version, bounds))
         bad = union_events(
             file_rejects(staged), rejects(self._due(staged), self.family, self._after())
         )
-        bad.write.mode("overwrite").parquet(f"{self.rejects_path}/version={version}")
-        totals = progress.agg(F.count("*"), F.sum("last_count"), F.sum("event_count")).first()
+        folder, found = f"{self.rejects_path}/of=batches/version={version}", Observation()
+        bad.observe(found, F.count("*").alias("rows")).write.mode("overwrite").parquet(folder)
+        if not found.get["rows"]:
+            remove(self.spark, folder)
+        started = self._read(self._staged("started", version), _STARTED_DDL).first()
         self.status.commit(version, progress)
+        for table in ("started", "rows", "events", "progress", "pieces"):
+            remove(self.spark, self._staged(table, version))
         run.batches += 1
-        run.files += totals[0]
-        run.records += totals[1] or 0
-        run.events += totals[2] or 0
-
-    def _finish_started_batch(self, run: Run) -> None:
-        started = self._read(self._staged("started"), "version BIGINT").agg(F.max("version")).first()[0]
-        if started is not None and started == self.status.next_version():
-            self._emit(started, run)
+        run.files += started["files"]
+        run.records += started["records"]
+        run.events += started["events"]
+
+    def _finish_started_batches(self, run: Run) -> None:
+        """Emit batches that were staged as a whole but not committed, and forget what else was staged."""
+        for table in ("started", "rows", "events", "progress", "pieces"):
+            versions = sorted(int(n.removeprefix("version=")) for n in folder_names(self.spark, self._staged(table)))
+            for version in versions:
+                if table != "started":
+                    remove(self.spark, self._staged(table, version))
+                elif version == self.status.next_version() and self._read(self._staged(table, version), _STARTED_DDL).count():
+                    self._emit(version, run)
+                else:
+                    remove(self.spark, self._staged(table, version))
 
     def _read(self, path: str, ddl: str) -> DataFrame:
         """A table that may not be there yet; a write that was cut short leaves it without rows."""
-        try:
-            return self.spark.read.schema(ddl).parquet(path)
-        except AnalysisException as error:
-            if path_not_found(error):
-                return self.spark.createDataFrame([], ddl)
-            raise
+        if not exists(self.spark, path):
+            return self.spark.createDataFrame([], ddl)
+        return self.spark.read.schema(ddl).parquet(path)
 
-    def _staged(self, table: str) -> str:
-        return f"{self.state_path.rstrip('/')}/stage/{self.name}/{table}"
+    def _staged(self, table: str, version: int | None = None) -> str:
+        path = f"{self.state_path.rstrip('/')}/stage/{self.name}/{table}"
+        return path if version is None else f"{path}/version={version}"
 
-    def _staged_rows(self) -> DataFrame:
-        return self._read(self._staged("rows"), _STAGED_DDL)
+    def _staged_rows(self, version: int) -> DataFrame:
+        return self._read(self._staged("rows", version), _STAGED_DDL)
 
-    def _staged_events(self) -> DataFrame:
-        return self._read(self._staged("events"), STAGED_EVENT_DDL)
+    def _staged_events(self, version: int) -> DataFrame:
+        return self._read(self._staged("events", version), STAGED_EVENT_DDL)
 
     def _due(self, staged: DataFrame) -> DataFrame:
         records = staged.where("record_pos IS NOT NULL")
@@ -223,12 +274,6 @@ class Job:
         return "after" if self.resume == "time" else None
 
 
-def _batches(selected: DataFrame, size: int) -> Iterator[list[Row]]:
-    rows = selected.toLocalIterator()
-    while batch := list(islice(rows, size)):
-        yield batch
-
-
 def run_incremental(
     spark: SparkSession,
     root: str,
@@ -240,16 +285,22 @@ def run_incremental(
     prefix: str | None = None,
     folders: str | None = None,
     open_hours: float | None = None,
+    listing: DataFrame | None = None,
     **options,
 ) -> Run:
     """Process everything new under ``root`` once.
 
+    ``listing`` replaces the walk over ``root`` by an inventory, rows of ``path``, ``last_modified`` and ``length``,
+    such as a stored table that the storage account keeps; prefix, folders and open hours are not looked at then.
+
     ``folders``, a glob of the folders that hold the hours (``RESOURCE_FOLDERS`` for the usual layout), lets
     the listing leave out the days before ``begin``. With ``open_hours`` it also leaves out days whose
     hours lie further back than that from the newest hour in the status; files that turn up or grow
     later than that are found by a run without ``open_hours`` only.
     """
     work = Job(spark, job, sink, state_path, begin=begin, root=root, **options)
+    if listing is not None:
+        return work.process(listing_rows(listing, root))
     return work.process(list_log_files(spark, root, prefix, _since(work, begin, open_hours), folders))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators.records import timestamp_column
 from ..schemas import STATUS_COLUMNS, STATUS_DDL
 from ..sources.logs import path_not_found
-from .files import file_names, remove, touch
+from .files import exists, file_names, remove, touch
 
 _COMMIT_DDL = f"{STATUS_DDL}, event_count BIGINT, version BIGINT"
 
@@ -37,12 +37,9 @@ class StatusTable:
         self.snapshot_markers = f"{base}/snapshot-commits/{job}"
 
     def _table(self, path: str, ddl: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(ddl).parquet(path)
-        except AnalysisException as error:
-            if path_not_found(error):
-                return self.spark.createDataFrame([], ddl)
-            raise
+        if not exists(self.spark, path):
+            return self.spark.createDataFrame([], ddl)
+        return self.spark.read.schema(ddl).parquet(path)
 
     def _marked(self, path: str) -> list[int]:
         """Versions that have a marker; at most ``compact_every`` of them outlive a compaction."""

@@ -860,6 +860,31 @@ def incremental_two_runs(spark, sf_dir):
     )
 
 
+@query(
+    with_(documents(grown=True), "SELECT file, epoch, CASE WHEN i > base_last THEN 1 ELSE 0 END AS round, ext FROM dev")
+)
+def incremental_inventory(spark, sf_dir):
+    """The files come from a stored inventory instead of a walk, in batches bounded by their bytes, of which the next is staged
+    while one is emitted; documents above 2,000 bytes are read in chunks. Two rounds over files that grow in between."""
+    root = _documents(spark, sf_dir, _container(spark, "incremental_inventory"))
+
+    def keep(events, batch):
+        events.select("file", "epoch", "extension_text").write.mode("overwrite").parquet(f"{out}/run={batch.version}")
+
+    for n in (0, 1):
+        if n:
+            _documents(spark, sf_dir, root, grown=True)
+        inventory, out = f"{_state(root)}/inventory/{n}", f"{_state(root)}/out/round={n}"
+        logs.list_log_files(spark, root).select("path", "last_modified", "length").write.parquet(inventory)
+        listed = spark.read.parquet(inventory)
+        half = listed.agg(F.sum("length")).first()[0] // 2 + 1
+        run_incremental(
+            spark, root, "queries", keep, _state(root), listing=listed, bytes_per_batch=half, split_bytes=2000
+        )
+    kept = spark.read.parquet(f"{_state(root)}/out")
+    return kept.select("file", "epoch", "round", c("extension_text").alias("ext"))
+
+
 DOC_STATUS = """SELECT d.file AS name, CAST(last + 1 AS INT) AS last_count, start_epoch + last * 60 AS record_epoch,
   max(epoch) AS last_processed_timestamp, 'NSG-' || d.k AS nsg_name, start_epoch AS log_epoch,
   count(*) AS event_count

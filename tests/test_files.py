@@ -199,6 +199,38 @@ def test_batches_go_oldest_hour_first(spark, tmp_path):
     assert [b[0][0][-17:-15] for b in sink.batches] == ["20", "21", "22"]
 
 
+def test_batches_are_bounded_by_bytes(spark, tmp_path):
+    for h in range(10, 20):
+        grow(tmp_path, 2 if h == 14 else 1, 1000, f"y=2019/m=03/d=02/h={h}/m=00")
+    root = str(tmp_path / "in")
+    listing = fl.list_log_files(spark, root).select("path", "last_modified", "length")
+    one = min(r["length"] for r in listing.collect())
+    sink = Collect()
+    run = fl.run_incremental(
+        spark, root, "job", sink, str(tmp_path / "state"), listing=listing, bytes_per_batch=one * 4, split_bytes=one
+    )
+    hours = [sorted({int(r[0][-17:-15]) for r in batch}) for batch in sink.batches]
+    assert hours == [[10, 11, 12, 13], [14, 15, 16, 17], [18, 19]] and run.files == 10 and run.events == 22
+    assert [r["version"] for r in fl.StatusTable(spark, str(tmp_path / "state"), "job").commits().select("version").distinct().orderBy("version").collect()] == [0, 1, 2]
+
+
+def test_a_batch_staged_ahead_is_finished_in_order(spark, tmp_path):
+    for h in (20, 21, 22):
+        grow(tmp_path, 1, 1000, f"y=2019/m=03/d=02/h={h}/m=00")
+    root, state, sink = str(tmp_path / "in"), str(tmp_path / "state"), Collect()
+
+    def crash(events, batch):
+        if batch.version == 0:
+            raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        fl.run_incremental(spark, root, "job", crash, state, files_per_batch=1)
+    run = fl.run_incremental(spark, root, "job", sink, state, files_per_batch=1)
+    assert run.batches == 3 and [b[0][0][-17:-15] for b in sink.batches] == ["20", "21", "22"]
+    # Neither staged tables nor empty reject folders stay.
+    assert not os.listdir(f"{state}/stage/job/rows") and not os.path.exists(f"{state}/rejects/job/of=batches/version=0")
+
+
 def test_begin_time_is_strict_and_must_parse(spark, tmp_path):
     for h in (20, 21):
         grow(tmp_path, 1, 1000, f"y=2019/m=03/d=02/h={h}/m=00")
