@@ -21,8 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest id."""
-    return neardup.drop_near_duplicates(docs)
+    """One document of each group of near duplicates, that with the smallest id; five words, a similarity of 0.8 or more."""
+    return neardup.drop_near_duplicates(docs, neardup.Join(percent=80))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
