@@ -23,7 +23,7 @@ def plain_stages(rows, items):
     """Ids, and words of the texts, that each stage but the last keeps of rows with unique ids."""
     kept = [r for r in rows if plain_quality(*r)[-1]]
     yield kept
-    kept = [r for r, c in zip(kept, brute.components(kept), strict=True) if c[3]]
+    kept = [r for r, c in zip(kept, brute.components(kept, percent=80), strict=True) if c[3]]
     yield kept
     first = {}
     for i, t in sorted(kept):
@@ -83,6 +83,22 @@ def test_stages_on_odd_rows(spark, tmp_path):
     compare(spark, frame(spark, rows), rows, items, str(tmp_path))
 
 
+def test_near_duplicates_from_four_fifths(spark, tmp_path):
+    """Pairs with a similarity from 0.80 up to 0.85 are near duplicates for the stage, those below 0.80 are not."""
+    rng = random.Random(4)
+    rows, lost = [], set()
+    for i in range(60):
+        own = prose(rng, 104, 5000).split()  # 100 shingles
+        n = rng.choice((4, 6, 9, 11, 12, 20))  # shingles that only one of the two has
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(own[: 104 - n] + [f"x{j}" for j in range(n)]))]
+        if 100 * (100 - n) >= 80 * (100 + n):
+            lost.add(2 * i + 1)
+    got = corpus_pipeline.near_duplicates(spark, frame(spark, rows), str(tmp_path))
+    assert {r.doc_id for r in got.collect()} == {i for i, _ in rows} - lost
+    assert lost == {r[0] for r in brute.components(rows, percent=80) if not r[3]}
+    assert lost > {r[0] for r in brute.components(rows) if not r[3]}
+
+
 def test_stages_take_empty_and_repeated_rows(spark, tmp_path):
     spark.createDataFrame([(1, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     empty = spark.createDataFrame([], SCHEMA)
