@@ -4,33 +4,45 @@ An item is found in a document if some stretch of it has an edit distance of at
 words (A-Z read as a-z). Candidates come from the CGK random walk, which maps edit distance to Hamming distance: step
 ``t`` writes the word it stands on and moves on if bit ``t`` of that word's hash is set, so two walks over
 texts that differ in one word soon run in step again. Bit-sampling LSH keys a window by the words written at a
-few sampled steps, at which the walk is still inside the window for sure. Windows are as long as two thirds of the item or somewhat less, by size class; all windows of an item
-are indexed, and every fourth or eighth of a document is looked up, so each passage has a window in step. Independent walks are repeated until
-the target recall is met; every candidate is then verified by exact edit distance.
-
-The index of the benchmark is broadcast in blocks of at most about ``BLOCK_WORDS`` words, each over all documents.
-
-Defined results: null or empty texts, and items under ``MIN_ITEM_WORDS`` words, match nothing. Items and
-rows that repeat are each reported; rows keep null ids. An empty table on either side gives an empty result.
+few sampled steps, at which the walk is still inside the window for sure. Windows are as long as two thirds of the item or somewhat
+less, by size class; all windows of an item are indexed, and those of a document that begin at every word, every fourth or every
+eighth are looked up. Independent walks are repeated until ``TARGET_RECALL`` is met for passages with as many edits as
+are allowed; every candidate is then verified by exact edit distance. Items under ``WALKED_WORDS`` words are too short
+for sampling: one word more of edits than allowed would be needed to spoil each of ``n // 5 + 1`` parts of an item, so
+their parts are looked up as they are, and none is missed.
+
+The index of the benchmark is broadcast in blocks of at most about ``BLOCK_WORDS`` words, each over all documents; with
+more than one, each pass is written before the next block is indexed, and its index let go.
+
+Defined results: null or empty texts, and items without words, match nothing. Items of one to four words are found
+where they stand verbatim. Items and rows that repeat are each reported; rows keep null ids. An empty table on either
+side gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlog.llm.words import WORD, Words, hashed_words, mix, stream
-
-MIN_ITEM_WORDS = 8
-#: Window sizes in words, and the stride at which documents are looked up for each.
-CLASSES = {4: 4, 8: 4, 12: 4, 16: 8, 24: 8, 32: 8, 48: 8}
-#: Independent walks, and words sampled from each; recall is measured in the tests.
-WALKS = 10
+from flowlog.llm.storage import stored
+from flowlog.llm.words import WORD, Words, hashed_words, mix, stream, windows
+
+#: Items of fewer words are looked up by their parts, others by walks.
+WALKED_WORDS = 8
+#: Chance that a passage with the most edits allowed meets its item, for each item length.
+TARGET_RECALL = 0.99
+#: Window sizes in words: the stride at which documents are looked up, and the chance that one walk more finds a passage
+#: with the most edits allowed, as measured on the item length of the class that is found least.
+CLASSES = {4: (1, 0.25), 8: (4, 0.17), 12: (4, 0.25), 16: (4, 0.25), 24: (8, 0.2), 32: (8, 0.2), 48: (8, 0.2)}
+#: Words sampled from each walk.
 SAMPLES = 5
 BLOCK_WORDS = 200_000
 #: Windows that walk together.
@@ -43,6 +55,17 @@ def window_words(n: int) -> int:
     return max(size for size in CLASSES if 3 * size <= 2 * n)
 
 
+def walks(size: int) -> int:
+    """Independent walks over windows of ``size`` words."""
+    return math.ceil(math.log(1 - TARGET_RECALL) / math.log(1 - CLASSES[size][1]))
+
+
+def parts(n: int) -> list[tuple[int, int]]:
+    """First word and number of words of the parts of an item of ``n`` words, one more than its allowed edits."""
+    cuts = np.linspace(0, n, n // 5 + 2).astype(int).tolist()
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
 def sampled_steps(walk: int, size: int) -> list[int]:
     """Steps of a walk over ``size`` words whose words make its key; no step takes it past the window."""
     order = np.argsort(stream(1000 * walk + size, size), kind="stable")
@@ -58,7 +81,7 @@ def walk_keys(
     padded = np.append(hashes, np.zeros(steps + 1, np.uint64))
     moves = [mix(padded ^ seed) for seed in stream(77 + walk, (steps - 1) // 64 + 1)]
     factor = stream(78, 1)[0] | np.uint64(1)
-    keys = {size: np.full(len(starts), size * WALKS + walk, np.uint64) for size in sizes}
+    keys = {size: np.full(len(starts), (size << 16) + walk, np.uint64) for size in sizes}
     bit = np.empty(_TOGETHER, np.uint64)
     for low in range(0, len(starts), _TOGETHER):
         at = starts[low : low + _TOGETHER].copy()
@@ -117,56 +140,74 @@ class Item:
         self.vocabulary = frozenset(self.words)
 
 
+def _part_keys(hashes: np.ndarray, size: int) -> np.ndarray:
+    return mix(hashes ^ stream(79, size)[-1])
+
+
 class Index:
-    """Keys of all windows of some items, for all walks."""
+    """Keys of all windows of some items for all walks, and of the parts of short items."""
 
     def __init__(self, items: list[Item]) -> None:
         self.items = items
         keys, owners, offsets = [], [], []
         by_size: dict[int, list[int]] = {}
+        by_part: dict[int, list[tuple[int, int]]] = {}
         for i, item in enumerate(items):
-            by_size.setdefault(window_words(len(item.words)), []).append(i)
-        self.sizes = sorted(by_size)
+            if len(item.words) >= WALKED_WORDS:
+                by_size.setdefault(window_words(len(item.words)), []).append(i)
+            else:
+                for first, size in parts(len(item.words)):
+                    by_part.setdefault(size, []).append((i, first))
+        self.sizes, self.part_sizes = sorted(by_size), sorted(by_part)
         for size, own in by_size.items():
             hashes = np.concatenate([np.array(items[i].words, np.uint64) for i in own])
             lengths = np.array([len(items[i].words) for i in own])
             first = np.repeat(np.cumsum(lengths) - lengths, lengths)
             place = np.arange(len(hashes)) - first
             starts = np.flatnonzero(place <= np.repeat(lengths, lengths) - size)
-            for walk in range(WALKS):
+            for walk in range(walks(size)):
                 keys.append(walk_keys(hashes, starts, [size], walk)[size])
                 owners.append(np.repeat(np.array(own), lengths)[starts])
                 offsets.append(place[starts])
+        for size, own in by_part.items():
+            flat = np.array([items[i].words[first : first + size] for i, first in own], np.uint64).reshape(-1)
+            keys.append(_part_keys(windows(flat, np.arange(len(own) + 1) * size, size)[0], size))
+            owners.append(np.array([i for i, _ in own]))
+            offsets.append(np.array([first for _, first in own]))
         found = [np.concatenate(x) for x in (keys, owners, offsets)] if keys else [np.empty(0, np.uint64)] * 3
         order = np.argsort(found[0], kind="stable")
         self.keys, self.owners, self.offsets = (x[order] for x in found)
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         self.filter[(self.keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
 
+    def _met(self, starts: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Rows of first word in the buffer, item and first word in the item, for the windows whose keys are indexed."""
+        hit = np.flatnonzero(self.filter[(keys >> np.uint64(64 - _FILTER_BITS)).view(np.int64)])
+        low = np.searchsorted(self.keys, keys[hit])
+        n = np.searchsorted(self.keys, keys[hit], side="right") - low
+        which = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        start = np.repeat(starts[hit], n)
+        return np.stack([start, self.owners[which].astype(np.int64), self.offsets[which].astype(np.int64)], 1)
+
     def candidates(self, words: Words) -> np.ndarray:
         """Rows of text, item and first word of the item in the text, each once."""
         lengths = np.diff(words.offsets)
         place = np.arange(len(words.hashes)) - np.repeat(words.offsets[:-1], lengths)
         left = np.repeat(lengths, lengths) - place
         found = []
-        for stride in (4, 8):
-            # every eighth window is looked up for all sizes, those between for the small ones
-            sizes = [s for s in self.sizes if stride == 8 or CLASSES[s] == 4]
-            at = place % 8 == (0 if stride == 8 else 4)
-            if not sizes:
-                continue
+        strides = sorted({CLASSES[size][0] for size in self.sizes})
+        for stride, wider in zip(strides, [*strides[1:], None], strict=False):
+            # windows at multiples of a wider stride are looked up for all sizes at once
+            sizes = [s for s in self.sizes if CLASSES[s][0] <= stride]
+            at = place % stride == 0 if wider is None else (place % stride == 0) & (place % wider > 0)
             starts = np.flatnonzero(at & (left >= sizes[0]))
-            for walk in range(WALKS):
-                for size, keys in walk_keys(words.hashes, starts, sizes, walk).items():
-                    hit = np.flatnonzero(self.filter[(keys >> np.uint64(64 - _FILTER_BITS)).view(np.int64)])
-                    hit = hit[left[starts[hit]] >= size]
-                    low = np.searchsorted(self.keys, keys[hit])
-                    n = np.searchsorted(self.keys, keys[hit], side="right") - low
-                    which = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    start = np.repeat(starts[hit], n)
-                    found.append(
-                        np.stack([start, self.owners[which].astype(np.int64), self.offsets[which].astype(np.int64)], 1)
-                    )
+            for walk in range(max(map(walks, sizes))):
+                for size, keys in walk_keys(words.hashes, starts, [s for s in sizes if walk < walks(s)], walk).items():
+                    fits = left[starts] >= size
+                    found.append(self._met(starts[fits], keys[fits]))
+        for size in self.part_sizes:
+            hashes, starts = windows(words.hashes, words.offsets, size)
+            found.append(self._met(starts, _part_keys(hashes, size)))
         if not found:
             return np.empty((0, 3), np.int64)
         rows = np.concatenate(found)
@@ -206,7 +247,7 @@ def _items(rows) -> list[Item]:
     for words in hashed_words(texts, lower=True):
         for i in range(len(words)):
             a, b = words.offsets[i : i + 2]
-            if b - a >= MIN_ITEM_WORDS:
+            if b > a:
                 out.append(Item(ids[words.first + i], words.hashes[a:b].tolist()))
     return out
 
@@ -246,27 +287,37 @@ def item_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "tex
             yield items
 
 
-def leaks_column(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Column | None:
-    """An array of the items found in each text, null if there is no item to look for."""
-    found = None
-    for items in item_blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(Index(items))
-        more = _finder(shared)(F.col(f"`{text}`").cast("string"))
-        found = more if found is None else F.concat(found, more)
-    return found
+def _passes(docs: DataFrame, benchmark: DataFrame, text: str) -> Iterator[tuple[Column, Broadcast, bool]]:
+    """For each block, an array of its items found in each text, the index in use, and whether it is the last."""
+    blocks = item_blocks(benchmark)
+    items = next(blocks, None)
+    while items is not None:
+        shared, items = docs.sparkSession.sparkContext.broadcast(Index(items)), next(blocks, None)
+        yield _finder(shared)(F.col(f"`{text}`").cast("string")), shared, items is None
 
 
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """One row per document and benchmark item found in it, with the best stretch and its distance."""
-    found = leaks_column(docs, benchmark, text)
-    found = F.lit(None).cast(_LEAKS_DDL) if found is None else found
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), found.alias("leaks"))
-    return rows.select("doc_id", F.inline("leaks"))
+    passes = []
+    for found, shared, last in _passes(docs, benchmark, text):
+        rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), found.alias("leaks")).select("doc_id", F.inline("leaks"))
+        if not last:
+            rows = stored(rows, "leaks")
+            shared.unpersist()
+        passes.append(rows)
+    if not passes:
+        none = F.lit(None).cast(_LEAKS_DDL).alias("leaks")
+        return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), none).select("doc_id", F.inline("leaks"))
+    return reduce(DataFrame.unionAll, passes)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents in which no benchmark item is found."""
-    found = leaks_column(docs, benchmark, text)
-    return docs if found is None else docs.where(F.size(found) == 0)
+    for found, shared, last in _passes(docs, benchmark, text):
+        docs = docs.where(F.size(found) == 0)
+        if not last:
+            docs = stored(docs, "clean")
+            shared.unpersist()
+    return docs
