@@ -9,7 +9,8 @@ the window's score. A text is cut into windows of ``WINDOW`` words, each overlap
 are scored and the highest counts, through a logistic curve fitted on the training documents.
 
 Training is multiple-instance learning on a bounded sample: at most ``TRAIN_DOCS`` clean and toxic documents,
-the first by hash of their id, and of each at most ``TRAIN_WINDOWS`` windows spread evenly. A toxic document
+the first by hash of their id, the longest of which are left out while those of a label have more than ``TRAIN_WORDS``
+words; of the others, all windows. A toxic document
 teaches by its highest window, a clean one by its two highest and a random one. Labels and texts are the only inputs;
 documents whose crc32(id) leaves 1 when divided by 3 are held out.
 
@@ -26,13 +27,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlog.llm.words import Words, hash_texts, hashed_words, span_hashes, stream
+from flowlog.llm.words import WORD, Words, hash_texts, hashed_words, span_hashes, stream
 
 WINDOW, STRIDE = 48, 24
-TRAIN_DOCS, TRAIN_WINDOWS = (2000, 1000), 16
+#: Documents of either label, and words of whole documents a label, that training takes at most.
+TRAIN_DOCS, TRAIN_WORDS = (2000, 1000), 1_500_000
 #: Training words that have a vector of their own; n-grams share theirs by hash.
 WORD_VECTORS, GRAM_VECTORS, GRAMS = 20_000, 1 << 17, (3, 4, 5)
 WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 8, 8, 8, 8
@@ -378,17 +380,14 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
 
 
-def _spread_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         columns = batch["doc_id"].to_pylist(), batch["toxic"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist()
         for doc, toxic, text in zip(*columns, strict=True):
             words = (text or b"").split()
             starts = window_starts(len(words))
-            every = np.unique(np.linspace(0, len(starts) - 1, min(len(starts), TRAIN_WINDOWS)).astype(int)) if len(starts) else []
-            for i in every:
-                window = b" ".join(words[starts[i] : starts[i] + WINDOW])
-                out.append({"doc_id": doc, "toxic": toxic, "window": window})
+            out += [{"doc_id": doc, "toxic": toxic, "window": b" ".join(words[i : i + WINDOW])} for i in starts]
         schema = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("window", pa.binary())])
         yield pa.RecordBatch.from_pylist(out, schema)
 
@@ -404,9 +403,9 @@ def _train_on_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(network)], pa.binary())], ["network"])
 
 
-def train_on(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> Network | None:
-    """A network trained, in one task, on a bounded sample of labelled documents that are not held out; None if a
-    label is missing."""
+def sample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> DataFrame | None:
+    """``(doc_id, toxic, text)`` of the bounded sample of labelled documents that are not held out; None if a label is
+    missing."""
     known = (
         labels.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{toxic}`").cast("int").alias("toxic"))
         .where("doc_id IS NOT NULL AND toxic IN (0, 1)")
@@ -422,7 +421,18 @@ def train_on(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     texts = docs.select(
         F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")
     ).join(F.broadcast(ids), "doc_id")  # at most sum(TRAIN_DOCS) ids
-    windows = texts.select("doc_id", "toxic", "text").mapInArrow(_spread_windows, "doc_id long, toxic int, window binary")
+    texts = texts.withColumn("n_words", F.regexp_count("text", F.lit(WORD))).where(F.col("n_words") <= TRAIN_WORDS).distinct()
+    shortest = Window.partitionBy("toxic").orderBy("n_words", F.xxhash64("doc_id"), "doc_id", "text")
+    whole = texts.withColumn("total", F.sum("n_words").over(shortest)).where(F.col("total") <= TRAIN_WORDS)
+    return whole.select("doc_id", "toxic", "text")
+
+
+def train_on(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> Network | None:
+    """A network trained, in one task, on all windows of the sample; None if a label is missing."""
+    whole = sample(docs, labels, doc_id, text, toxic)
+    if whole is None:
+        return None
+    windows = whole.mapInArrow(_windows, "doc_id long, toxic int, window binary")
     found = windows.repartition(1).mapInArrow(_train_on_all, "network binary").collect()
     return pickle.loads(found[0]["network"]) if found else None
 
