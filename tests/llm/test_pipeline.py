@@ -39,7 +39,7 @@ def plain_stages(rows, items):
             cut.append((i, " ".join(left)))
     kept = cut
     yield kept
-    wanted = [low(t) for _, t in items if len(low(t)) >= 8]
+    wanted = [low(t) for _, t in items if low(t)]
     clean = []
     for i, t in kept:
         own = low(t)
