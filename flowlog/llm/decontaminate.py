@@ -41,9 +41,9 @@ WALKED_WORDS = 8
 TARGET_RECALL = 0.99
 #: Window sizes in words: the stride at which documents are looked up, and the chance that one walk more finds a passage
 #: with the most edits allowed, as measured on the item length of the class that is found least.
-CLASSES = {4: (1, 0.25), 8: (4, 0.17), 12: (4, 0.25), 16: (4, 0.25), 24: (8, 0.2), 32: (8, 0.2), 48: (8, 0.2)}
+CLASSES = {4: (1, 0.44), 8: (4, 0.23), 12: (4, 0.37), 16: (4, 0.37), 24: (8, 0.24), 32: (8, 0.35), 48: (8, 0.35)}
 #: Words sampled from each walk.
-SAMPLES = 5
+SAMPLES = 4
 BLOCK_WORDS = 200_000
 #: Windows that walk together.
 _TOGETHER = 1 << 13
