@@ -144,6 +144,11 @@ def _part_keys(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(hashes ^ stream(79, size)[-1])
 
 
+def _own_word(item: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Place in ``Index.holds`` of a word of an item."""
+    return (mix(hashes + item.astype(np.uint64) * stream(80, 1)[0]) >> np.uint64(64 - _FILTER_BITS)).view(np.int64)
+
+
 class Index:
     """Keys of all windows of some items for all walks, and of the parts of short items."""
 
@@ -179,6 +184,11 @@ class Index:
         self.keys, self.owners, self.offsets = (x[order] for x in found)
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         self.filter[(self.keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
+        self.lengths = np.array([len(item.words) for item in items], np.int64)
+        self.holds = np.zeros(1 << _FILTER_BITS, bool)
+        if items:
+            all_words = np.concatenate([np.array(item.words, np.uint64) for item in items])
+            self.holds[_own_word(np.repeat(np.arange(len(items)), self.lengths), all_words)] = True
 
     def _met(self, starts: np.ndarray, keys: np.ndarray) -> np.ndarray:
         """Rows of first word in the buffer, item and first word in the item, for the windows whose keys are indexed."""
@@ -215,11 +225,25 @@ class Index:
         begin = rows[:, 0] - words.offsets[text] - rows[:, 2]
         return np.unique(np.stack([text, rows[:, 1], begin], 1), axis=0)
 
+    def _promising(self, words: Words, rows: np.ndarray) -> np.ndarray:
+        """The candidates without most of those whose region lacks more words of the item than edits are allowed."""
+        kept = [rows[:0]]
+        for at in range(0, len(rows), _TOGETHER):
+            text, item, begin = rows[at : at + _TOGETHER].T
+            n, first = self.lengths[item], words.offsets[text]
+            low = np.maximum(first, first + begin - 2 * (n // 5))
+            size = np.minimum(words.offsets[text + 1], first + begin + n + 2 * (n // 5)) - low
+            place = np.cumsum(size) - size
+            word = words.hashes[np.arange(size.sum()) + np.repeat(low - place, size)]
+            own = np.add.reduceat(self.holds[_own_word(np.repeat(item, size), word)], place, dtype=np.int64)
+            kept.append(rows[at : at + _TOGETHER][own >= n - n // 5])
+        return np.concatenate(kept)
+
     def leaks(self, words: Words) -> dict[int, dict[int, tuple[int, int, int]]]:
         """By text and item: the smallest distance, and first word and number of words of the stretch."""
         out: dict[int, dict[int, tuple[int, int, int]]] = {}
         seen: dict[tuple[int, int], int] = {}
-        for text, item, begin in self.candidates(words).tolist():
+        for text, item, begin in self._promising(words, self.candidates(words)).tolist():
             own = self.items[item].words
             n, slack = len(own), len(own) // 5
             if begin - seen.get((text, item), -(10**9)) <= slack // 2:
