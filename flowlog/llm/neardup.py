@@ -12,9 +12,12 @@ Links are only followed to tell classes apart: inside a node a member already co
 again, and a node passes on a spanning forest of its links, never all pairs of a group. Nodes with more
 members than a task should hold are branched by shuffle; smaller ones in the task that has them. A large
 node whose members are as alike on average as linked ones would never end branching, and below ``Join.levels`` the
-trees no longer meet the recall: such a node is cut. It is first cut by hash into small nodes that share its
-``CENTRAL`` most alike members, which connects most of a group of copies. Then every two members of it that
-are still in different components are compared, in blocks of ``leaf`` members that cover all such pairs.
+trees no longer meet the recall: such a node is cut, and its members are joined exactly. Cut nodes that share
+members are one group over all trees, and each member's set is read once. What most of the group has cancels out: a
+member is kept as its differences from that, the shingles it lacks and those few others have too. Members that differ
+little link with the one that differs least; the others meet by prefixes of their differences, ordered by rarity in
+the group, and are counted on whole differences, which gives the intersection of the whole sets. A group is dealt
+into blocks only where its differences are more than ``Join.block``, by parts that cover all pairs of different components.
 
 Defined results: null texts and texts without words have the empty set and link with nothing; null ids are
 never the smallest id of a component unless it has no other, then its id is null and all its rows are
@@ -40,8 +43,8 @@ from flowlog.llm.words import Words, hashed_words, mix, stream, windows
 SHINGLE_WORDS = 5
 COORDINATES = 64
 _LAST = 2**63 - 1
-#: Members that all parts of a dense node share.
-CENTRAL = 64
+#: Members of a group that one copy of its usual shingles is joined with.
+SHARE = 50_000
 _TOKENS = stream(17, COORDINATES) | np.uint64(1)
 _EMPTY = -1
 
@@ -54,6 +57,7 @@ class Join:
     the threshold meets. ``leaf``: members a node may have to be compared exhaustively. ``local``: members
     a node may have to be branched inside one task, a sketch of 256 bytes each. ``far`` and ``depth``:
     levels branched by shuffle and inside a task, ``levels`` in all at most, after which a node is cut.
+    ``block``: differences of cut members that a task compares at a time.
     """
 
     percent: int = 85
@@ -62,6 +66,7 @@ class Join:
     local: int = 50_000
     far: int = 8
     depth: int = 48
+    block: int = 4_000_000
 
     @property
     def threshold(self) -> float:
@@ -241,12 +246,6 @@ def leaves(tokens: np.ndarray, node: int, join: Join, level: int = 1) -> Iterato
             alike += (n[own] - 1) / (len(at) - 1) / COORDINATES
         if depth >= deepest or alike.mean() >= join.threshold:
             yield at, True
-            shared = min(CENTRAL, join.leaf // 2)
-            order = np.argsort(-alike, kind="stable")
-            others = at[order[shared:]]
-            others = others[np.argsort(mix(stream(key & 0xFFFFFFFF, len(others))), kind="stable")]
-            for begin in range(0, len(others), join.leaf - shared):
-                yield np.append(at[order[:shared]], others[begin : begin + join.leaf - shared]), False
             continue
         for j in chosen(key, join.threshold):
             own = tokens[at, j]
@@ -258,19 +257,6 @@ def leaves(tokens: np.ndarray, node: int, join: Join, level: int = 1) -> Iterato
                     pending.append((at[np.sort(group)], int(child[0]), depth + 1))
 
 
-def _cut(large: DataFrame, local: int) -> DataFrame:
-    """Nodes of more than ``local`` members, cut by hash into parts that share ``CENTRAL`` members."""
-    parts = F.ceil(F.col("size") / (local // 2))
-    draw = F.xxhash64("node", "cls")
-    # by hash too: about CENTRAL members in all, each copied to every part
-    central = F.pmod(F.xxhash64("cls", "node"), F.col("size")) < CENTRAL
-    every = F.sequence(F.lit(0).cast("long"), parts - 1)
-    part = F.explode(F.when(central, every).otherwise(F.array(F.pmod(draw, parts))))
-    return large.select("node", "cls", "size", part.alias("part")).select(
-        F.xxhash64("node", "part").alias("node"), "cls", "size"
-    )
-
-
 def grouped(n: int, linked: Callable[[int, np.ndarray], np.ndarray]) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Component of each of ``n`` members, and links that span them.
 
@@ -313,8 +299,7 @@ def _clusters(join: Join):
         for a, b in zip(bounds[:-1][sizes > 2], bounds[1:][sizes > 2], strict=True):
             for leaf, is_cut in leaves(tokens[a:b], int(node[a]) % 2**64, join, int(level[a])):
                 if is_cut:
-                    if level[a] <= join.levels:
-                        whole.append(cls[a:b][leaf])
+                    whole.append(cls[a:b][leaf])
                     continue
                 own = tokens[a:b][leaf]
                 component, spanning = grouped(len(leaf), lambda u, rest, own=own: (own[rest] == own[u]).sum(1) >= likely)
@@ -336,63 +321,6 @@ def _named(groups: list[np.ndarray]) -> pa.Table:
     )
 
 
-def _blocks(cut: DataFrame, labels: DataFrame, leaf: int) -> DataFrame:
-    """Blocks of about ``leaf`` members of cut nodes in which any two of different components meet.
-
-    Members outside a node's largest component meet each other and those in it; these need not meet
-    among themselves.
-    """
-    rooted = cut.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "cluster", "cls", F.coalesce("root", "cls").alias("root")
-    )
-    rooted = stored(rooted, "rooted")
-    counts = rooted.groupBy("cluster", "root").agg(F.count("*").alias("n"))
-    largest = counts.groupBy("cluster").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n"))
-    half = max(1, leaf // 2)
-    split = largest.where("n > top.n").select(
-        "cluster",
-        F.col("top.root").alias("top"),
-        F.ceil((F.col("n") - F.col("top.n")) / half).alias("outer"),
-        F.ceil(F.col("top.n") / half).alias("inner"),
-    )
-    draw = F.xxhash64("cls")
-    outer, inner = (F.sequence(F.lit(0).cast("long"), F.col(c) - 1) for c in ("outer", "inner"))
-    own_outer, own_inner = F.pmod(draw, F.col("outer")), F.pmod(draw, F.col("inner"))
-    pair = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
-    among = F.transform(outer, lambda j: pair(F.least(own_outer, j), F.greatest(own_outer, j)))
-    across = F.transform(inner, lambda j: pair(own_outer, -1 - j))
-    to_outer = F.transform(outer, lambda i: pair(i, -1 - own_inner))
-    apart = F.col("root") != F.col("top")
-    met = F.explode(F.when(apart, F.concat(among, across)).otherwise(to_outer))
-    rows = rooted.join(split, "cluster").select("cluster", "cls", "root", apart.alias("apart"), met.alias("at"))
-    return rows.select(F.xxhash64("cluster", "at.a", "at.b").alias("block"), "cls", "root", "apart")
-
-
-def _unmet(join: Join):
-    """Members of the blocks of a lot that look like one of another component."""
-    likely = join.likely
-
-    def compare(table: pa.Table) -> pa.Table:
-        block = table["block"].to_numpy()
-        order = np.argsort(block, kind="stable")
-        block, cls, root = block[order], table["cls"].to_numpy()[order], table["root"].to_numpy()[order]
-        apart = table["apart"].to_numpy()[order]
-        tokens = _tokens(table["sketch"])[order]
-        bounds = np.append(np.flatnonzero(np.diff(block, prepend=~block[:1])), len(block))
-        groups = []
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            own, alike = tokens[a:b], np.zeros(b - a, bool)
-            for u in np.flatnonzero(apart[a:b]):
-                yes = ((own == own[u]).sum(1) >= likely) & (root[a:b] != root[a + u])
-                alike |= yes
-                alike[u] |= yes.any()
-            if alike.any():
-                groups.append(np.sort(cls[a:b][alike]))
-        return _named(groups)
-
-    return compare
-
-
 def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links that span the components of some sets, each confirmed on its two whole sets."""
     _, codes = np.unique(np.concatenate(sets), return_inverse=True)
@@ -439,11 +367,15 @@ def _confirm(join: Join):
     return links
 
 
-def _texts_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """One text for each wanted class, looked up by the class's smallest id and told by its set."""
+def _rows_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The texts of the smallest ids of the wanted classes."""
     number, words = F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`").cast("string")
     ids = wanted.select(F.coalesce("first_doc", F.lit(_LAST)).alias("id")).distinct()
-    rows = docs.select(F.coalesce(number, F.lit(_LAST)).alias("id"), words.alias("text")).join(ids, "id", "left_semi")
+    return docs.select(F.coalesce(number, F.lit(_LAST)).alias("id"), words.alias("text")).join(ids, "id", "left_semi")
+
+
+def _texts_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """One text for each wanted class, looked up by the class's smallest id and told by its set."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -451,7 +383,22 @@ def _texts_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> Dat
                 own = batch["text"].slice(w.first, len(w))
                 yield pa.RecordBatch.from_arrays([pa.array(set_keys(shingle_sets(w))), own], ["cls", "text"])
 
-    return rows.mapInArrow(keyed, "cls long, text string")
+    return _rows_of(docs, wanted, doc_id, text).mapInArrow(keyed, "cls long, text string")
+
+
+def _sets_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The set of each wanted class, now and then more than once, besides those of classes with the same id."""
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for w in hashed_words(batch["text"], lower=True):
+                sets = shingle_sets(w)
+                ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+                flat = np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([pa.array(set_keys(sets)), lists], ["cls", "shingles"])
+
+    return _rows_of(docs, wanted, doc_id, text).mapInArrow(keyed, "cls long, shingles array<long>")
 
 
 def _confirmed(
@@ -470,6 +417,178 @@ def _confirmed(
     return stored(links, "links")
 
 
+def _differences(
+    docs: DataFrame, classes: DataFrame, cut: DataFrame, labels: DataFrame, join: Join, doc_id: str, text: str
+) -> DataFrame:
+    """Members of groups of cut nodes that are still in different components, by their differences.
+
+    The usual shingles ``R`` of a group are those that more than half of its members have, so there are at most twice as
+    many as an average member has. ``excess`` is ``(100 + percent) * |set xor R| - (100 - percent) * |set|``: two
+    members link if ``2 * (100 + percent)`` times the number of differences they share is at least the sum of
+    theirs. ``tokens`` are the differences that can be shared: usual shingles the member lacks, and others that
+    two members or more have.
+    """
+    groups = connected(cut.select(F.col("cluster").alias("u"), F.col("cls").alias("v")))
+    placed = (
+        cut.select("cls")
+        .distinct()
+        .join(groups.select(F.col("node").alias("cls"), F.col("root").alias("group")), "cls")
+        .join(labels.withColumnRenamed("node", "cls"), "cls", "left")
+        .select("cls", "group", F.coalesce("root", "cls").alias("root"))
+    )
+    placed = stored(placed, "placed")
+    several = placed.groupBy("group").agg(
+        F.count("*").alias("members"), F.min("root").alias("least"), F.max("root").alias("most")
+    )
+    placed = placed.join(several.where("least < most").select("group", "members"), "group")
+    wanted = classes.select("cls", "first_doc").join(placed.select("cls"), "cls", "left_semi")
+    sets = _sets_of(docs, wanted, doc_id, text).join(placed, "cls").dropDuplicates(["cls"])
+    sets = stored(sets, "sets")
+    single = sets.select("group", "members", "cls", F.explode("shingles").alias("shingle"))
+    counts = single.groupBy("group", "members", "shingle").agg(F.count("*").alias("n")).where("n > 1")
+    counts = stored(counts, "shared")
+
+    copies = F.ceil(F.col("members") / SHARE)
+    usual = (
+        counts.where("2 * n > members")
+        .groupBy("group", "members")
+        .agg(
+            F.count("*").alias("usual"),
+            F.collect_list(F.when(F.col("n") < F.col("members"), F.col("shingle"))).alias("often"),
+        )
+        .select("group", "usual", "often", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)).alias("copy"))
+    )
+    seldom = counts.where("2 * n <= members").select("group", "shingle")
+    own = single.join(seldom, ["group", "shingle"]).groupBy("cls").agg(F.collect_list("shingle").alias("own"))
+    none = F.array().cast("array<long>")
+    size, lacks = F.size("shingles").cast("long"), F.array_except(F.coalesce("often", none), "shingles")
+    differ = F.col("n") - F.coalesce("usual", F.lit(0)) + 2 * F.size("lacks")
+    found = (
+        sets.withColumn("copy", F.pmod("cls", copies))
+        .join(usual, ["group", "copy"], "left")
+        .join(own, "cls", "left")
+        .select("group", "cls", "root", "own", "usual", size.alias("n"), lacks.alias("lacks"))
+        .select(
+            "group",
+            "cls",
+            "root",
+            ((100 + join.percent) * differ - (100 - join.percent) * F.col("n")).alias("excess"),
+            F.concat("lacks", F.coalesce("own", none)).alias("tokens"),
+        )
+    )
+    return stored(found, "differences")
+
+
+def _blocks(rooted: DataFrame, block: int) -> DataFrame:
+    """Blocks of about ``block`` differences in which any two members of a group of different components meet.
+
+    Members outside a group's largest component meet each other and those in it; these need not meet
+    among themselves.
+    """
+    counts = rooted.groupBy("group", "root").agg(F.sum(F.size("tokens") + 1).alias("n"))
+    largest = counts.groupBy("group").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n"))
+    half = max(1, block // 2)
+    split = largest.where("n > top.n").select(
+        "group",
+        F.col("top.root").alias("top"),
+        F.ceil((F.col("n") - F.col("top.n")) / half).alias("outer"),
+        F.ceil(F.col("top.n") / half).alias("inner"),
+    )
+    draw = F.xxhash64("cls")
+    outer, inner = (F.sequence(F.lit(0).cast("long"), F.col(c) - 1) for c in ("outer", "inner"))
+    own_outer, own_inner = F.pmod(draw, F.col("outer")), F.pmod(draw, F.col("inner"))
+    pair = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
+    among = F.transform(outer, lambda j: pair(F.least(own_outer, j), F.greatest(own_outer, j)))
+    across = F.transform(inner, lambda j: pair(own_outer, -1 - j))
+    to_outer = F.transform(outer, lambda i: pair(i, -1 - own_inner))
+    apart = F.col("root") != F.col("top")
+    met = F.explode(F.when(apart, F.concat(among, across)).otherwise(to_outer))
+    rows = rooted.join(split, "group").select("group", "cls", "root", "excess", "tokens", apart.alias("apart"), met.alias("at"))
+    return rows.select(F.xxhash64("group", "at.a", "at.b").alias("block"), "cls", "root", "excess", "tokens", "apart")
+
+
+def difference_links(
+    tokens: list[np.ndarray], excess: np.ndarray, root: np.ndarray, apart: np.ndarray, percent: int
+) -> list[tuple[int, int]]:
+    """Links that span the components of the members of a block, where one of the two is ``apart``.
+
+    A pair must share ``(excess + excess) / (2 * (100 + percent))`` differences, at least one. Prefixes are as long as
+    the smallest excess of the block asks for.
+    """
+    unit = 2 * (100 + percent)
+    size = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    _, codes, counts = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(tokens)), size)
+    both = counts[codes] > 1
+    owner, rank = owner[both], np.argsort(np.argsort(counts, kind="stable"), kind="stable")[codes[both]]
+    order = np.lexsort((rank, owner))
+    owner, rank = owner[order], rank[order]
+    size = np.bincount(owner, minlength=len(tokens))
+    begin = np.cumsum(size) - size
+
+    asked = np.maximum(1, -(-(excess + excess.min()) // unit))
+    prefix = np.maximum(0, size - asked + 1)
+    held = np.flatnonzero(np.arange(len(owner)) - begin[owner] < prefix[owner])
+    held = held[np.argsort(rank[held], kind="stable")]
+    posted, posted_rank = owner[held], rank[held]
+    first = np.searchsorted(posted_rank, np.arange(len(counts) + 1))
+
+    mark = np.zeros(len(counts), bool)
+    _, component = np.unique(root, return_inverse=True)
+    component = component.copy()
+    spanning: list[tuple[int, int]] = []
+    for u in np.flatnonzero(apart & (prefix > 0)).tolist():
+        met = [posted[first[r] : first[r + 1]] for r in rank[begin[u] : begin[u] + prefix[u]].tolist()]
+        others = np.unique(np.concatenate(met))
+        others = others[(component[others] != component[u]) & (~apart[others] | (others > u))]
+        need = np.maximum(1, -(-(excess[others] + excess[u]) // unit))
+        fits = np.minimum(size[others], size[u]) >= need
+        others, need = others[fits], need[fits]
+        if not len(others):
+            continue
+        n = size[others]
+        ends = np.cumsum(n)
+        at = np.arange(ends[-1]) + np.repeat(begin[others] - (ends - n), n)
+        mark[rank[begin[u] : begin[u] + size[u]]] = True
+        shared = np.add.reduceat(mark[rank[at]].astype(np.int64), ends - n)
+        mark[rank[begin[u] : begin[u] + size[u]]] = False
+        for v in others[shared >= need].tolist():
+            if component[u] != component[v]:
+                component[component == component[v]] = component[u]
+                spanning.append((u, v))
+    return spanning
+
+
+def _by_differences(join: Join):
+    """The spanning links of a block."""
+
+    def links(table: pa.Table) -> pa.Table:
+        lists = table["tokens"].combine_chunks()
+        tokens = np.split(lists.flatten().to_numpy(), lists.value_lengths().to_numpy().cumsum()[:-1])
+        excess, root, apart = (table[c].to_numpy() for c in ("excess", "root", "apart"))
+        found = np.array(difference_links(tokens, excess, root, apart, join.percent), np.int64).reshape(-1, 2)
+        cls = table["cls"].to_numpy()
+        return pa.table({"u": cls[found[:, 0]], "v": cls[found[:, 1]]})
+
+    return links
+
+
+def _linked(differences: DataFrame, join: Join) -> DataFrame:
+    """Links that span the components of cut members."""
+    least = differences.groupBy("group").agg(F.min(F.struct("excess", "cls", "root")).alias("least"))
+    # Two members whose excess is 0 or less together link whatever they share, and so do both with the least one.
+    near = F.col("excess") + F.col("least.excess") <= 0
+    rooted = differences.join(least, "group")
+    close = rooted.where(near & (F.col("cls") != F.col("least.cls"))).select(
+        F.col("cls").alias("u"), F.col("least.cls").alias("v")
+    )
+    able = 2 * (100 + join.percent) * F.size("tokens").cast("long") >= F.col("excess") + F.col("least.excess")
+    rooted = rooted.where(able & (F.size("tokens") > 0)).withColumn("root", F.when(near, F.col("least.root")).otherwise(F.col("root")))
+    blocks = _blocks(stored(rooted.select("group", "cls", "root", "excess", "tokens"), "able"), join.block)
+    met = blocks.groupBy("block").applyInArrow(_by_differences(join), "u long, v long")
+    return stored(close.unionByName(met), "links")
+
+
 def _labels(docs: DataFrame, classes: DataFrame, join: Join, doc_id: str, text: str) -> DataFrame:
     """``(node, root)`` for each class that links with another."""
     spark = docs.sparkSession
@@ -484,8 +603,6 @@ def _labels(docs: DataFrame, classes: DataFrame, join: Join, doc_id: str, text:
         nodes = _shared(below.distinct())
         small = small.unionByName(nodes.where(F.col("size") <= join.local).withColumn("level", F.lit(level)))
         large = nodes.where(F.col("size") > join.local)
-    # parts of nodes that are cut as a whole, a level further down
-    small = small.unionByName(_cut(large, join.local).withColumn("level", F.lit(join.levels + 1)))
     lots = F.lit(8 * partitions(spark))
     found = (
         small.join(sketched, "cls")
@@ -499,17 +616,7 @@ def _labels(docs: DataFrame, classes: DataFrame, join: Join, doc_id: str, text:
     labels = connected(_confirmed(docs, classes, clusters, join, doc_id, text))
     if cut.isEmpty():
         return labels
-    blocks = (
-        _blocks(cut, labels, join.leaf)
-        .join(sketched, "cls")
-        .groupBy(F.pmod("block", lots).alias("lot"))
-        .applyInArrow(_unmet(join), "cluster long, cls long")
-        .distinct()
-    )
-    blocks = stored(blocks, "unmet")
-    if blocks.isEmpty():
-        return labels
-    more = _confirmed(docs, classes, blocks, join, doc_id, text)
+    more = _linked(_differences(docs, classes, cut, labels, join, doc_id, text), join)
     return connected(labels.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
 
 
