@@ -12,8 +12,8 @@ Links are only followed to tell classes apart: inside a node a member already co
 again, and a node passes on a spanning forest of its links, never all pairs of a group. Nodes with more
 members than a task should hold are branched by shuffle; smaller ones in the task that has them. A large
 node whose members are as alike on average as linked ones would never end branching, and below ``Join.levels`` the
-trees no longer meet the recall: such a node is cut, and its members are joined exactly. Cut nodes that share
-members are one group over all trees, and each member's set is read once. What most of the group has cancels out: a
+trees no longer meet the recall: such a node is cut, and its members are joined exactly. Cut nodes of the same
+texts are one group over all trees, and a member's set is read once for a group. What most of the group has cancels out: a
 member is kept as its differences from that, the shingles it lacks and those few others have too. Members that differ
 little link with the one that differs least; the others meet by prefixes of their differences, ordered by rarity in
 the group, and are counted on whole differences, which gives the intersection of the whole sets. A group is dealt
@@ -428,11 +428,15 @@ def _differences(
     theirs. ``tokens`` are the differences that can be shared: usual shingles the member lacks, and others that
     two members or more have.
     """
-    groups = connected(cut.select(F.col("cluster").alias("u"), F.col("cls").alias("v")))
+    # A cut node goes to the least of the least members of all cut nodes that share a member with it: nodes of the same
+    # texts come together, and every node stays whole, so a member may be in more groups than one.
+    heads = cut.groupBy("cluster").agg(F.min("cls").alias("head"))
+    least = cut.join(heads, "cluster").groupBy("cls").agg(F.min("head").alias("head"))
+    groups = cut.join(least, "cls").groupBy("cluster").agg(F.min("head").alias("group"))
     placed = (
-        cut.select("cls")
+        cut.join(groups, "cluster")
+        .select("cls", "group")
         .distinct()
-        .join(groups.select(F.col("node").alias("cls"), F.col("root").alias("group")), "cls")
         .join(labels.withColumnRenamed("node", "cls"), "cls", "left")
         .select("cls", "group", F.coalesce("root", "cls").alias("root"))
     )
@@ -442,7 +446,7 @@ def _differences(
     )
     placed = placed.join(several.where("least < most").select("group", "members"), "group")
     wanted = classes.select("cls", "first_doc").join(placed.select("cls"), "cls", "left_semi")
-    sets = _sets_of(docs, wanted, doc_id, text).join(placed, "cls").dropDuplicates(["cls"])
+    sets = _sets_of(docs, wanted, doc_id, text).join(placed, "cls").dropDuplicates(["group", "cls"])
     sets = stored(sets, "sets")
     single = sets.select("group", "members", "cls", F.explode("shingles").alias("shingle"))
     counts = single.groupBy("group", "members", "shingle").agg(F.count("*").alias("n")).where("n > 1")
@@ -459,14 +463,14 @@ def _differences(
         .select("group", "usual", "often", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)).alias("copy"))
     )
     seldom = counts.where("2 * n <= members").select("group", "shingle")
-    own = single.join(seldom, ["group", "shingle"]).groupBy("cls").agg(F.collect_list("shingle").alias("own"))
+    own = single.join(seldom, ["group", "shingle"]).groupBy("group", "cls").agg(F.collect_list("shingle").alias("own"))
     none = F.array().cast("array<long>")
     size, lacks = F.size("shingles").cast("long"), F.array_except(F.coalesce("often", none), "shingles")
     differ = F.col("n") - F.coalesce("usual", F.lit(0)) + 2 * F.size("lacks")
     found = (
         sets.withColumn("copy", F.pmod("cls", copies))
         .join(usual, ["group", "copy"], "left")
-        .join(own, "cls", "left")
+        .join(own, ["group", "cls"], "left")
         .select("group", "cls", "root", "own", "usual", size.alias("n"), lacks.alias("lacks"))
         .select(
             "group",
