@@ -49,6 +49,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return folder
 
 
+def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of ``supplier``, a small file, spread over all cores, as much is made of each."""
+    keys = table(spark, sf_dir, "supplier").select("s_suppkey")
+    return keys.repartition(spark.sparkContext.defaultParallelism, "s_suppkey")
+
+
 def _text(*parts) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
@@ -386,7 +392,7 @@ def log_documents(
     if timeless:
         records = F.concat(records, F.array(record(last.cast("bigint") + 1, timed=False)))
     return (
-        table(spark, sf_dir, "supplier")
+        suppliers(spark, sf_dir)
         .select("s_suppkey", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(hours)])).alias("h"))
         .select(
             source_path(resource_id, F.timestamp_seconds(start)).alias("name"),
@@ -424,7 +430,7 @@ def gateway_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     records = F.transform(F.sequence(F.lit(0).cast("bigint"), 1 + k % 5), record)
-    return table(spark, sf_dir, "supplier").select(
+    return suppliers(spark, sf_dir).select(
         source_path(resource_id, F.timestamp_seconds(start)).alias("name"),
         F.to_json(F.struct(records.alias("records"))).alias("text"),
     )
