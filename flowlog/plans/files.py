@@ -13,6 +13,14 @@ def _place(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system, as Spark's readers give the paths of files."""
+    system, place = _place(spark, path)
+    uri = system.makeQualified(place).toUri()
+    authority = uri.getAuthority()
+    return f"{uri.getScheme()}:{f'//{authority}' if authority else ''}{uri.getPath()}"
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a file or folder, if it is there."""
     system, place = _place(spark, path)
@@ -30,6 +38,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
+def any_path(spark: SparkSession, glob: str) -> bool:
+    """Whether a path glob has any match."""
+    system, place = _place(spark, glob)
+    return bool(system.globStatus(place))
+
+
 def folder_names(spark: SparkSession, folder: str) -> list[str]:
     """Names of the folders in a folder, none if it is not there."""
     system, place = _place(spark, folder)

@@ -25,8 +25,10 @@ from ..functions.paths import (
     tokens_time,
 )
 from ..operators.records import dispatch_operation
+from ..plans.files import any_path
 from ..schemas import LISTING_DDL, LOG_DDL, POS_TYPE
-from .ranges import CHUNK_BYTES, Opener, open_path, read_ranges, split_rows
+from .folders import in_tasks, walk_files
+from .ranges import CHUNK_BYTES, Opener, open_path, read_documents, read_ranges, split_rows
 
 RECORD_COLUMNS = [
     "file",
@@ -69,6 +71,8 @@ def list_log_files(
         if prefix:
             raise ValueError("a listing of days has no prefix; narrow its folders instead")
         location = f"{root.rstrip('/')}/{folders}/{{{','.join(_days(since, datetime.now(timezone.utc)))}}}"
+    if in_tasks(spark, root):
+        return listing_rows(walk_files(spark, [location]), root)
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(location)
     except AnalysisException as error:
@@ -172,6 +176,26 @@ def read_log_files(spark: SparkSession, paths: str | list[str], root: str | None
     ``file`` is the path below ``root``, or from ``resourceId=`` on without a root. The blob layout
     names two path levels ``m``, so partition discovery must stay off.
     """
+    globs = [paths] if isinstance(paths, str) else paths
+    if globs and all(in_tasks(spark, p) for p in globs):
+        for p in globs:
+            if not any_path(spark, p):
+                spark.read.text(p)  # fails as any reader does
+        found = walk_files(spark, globs)
+        file = blob_name(F.col("path")) if root is None else relative_name(F.col("path"), root)
+        plain = read_listed(found.where(~_packed()).select("path", file.alias("file"), "length"))
+        packed = [glob_literal(r["path"]) for r in found.where(_packed()).select("path").collect()]
+        return plain.unionByName(_read_files(spark, packed, root)) if packed else plain
+    return _read_files(spark, paths, root)
+
+
+def _packed():
+    """Files that Spark unpacks by their ending."""
+    return F.col("path").rlike(r"\.(gz|bz2|deflate|zst|lz4|snappy)$")
+
+
+def _read_files(spark: SparkSession, paths: str | list[str], root: str | None) -> DataFrame:
+    """``read_log_files`` by Spark's reader, whose listing is on the driver."""
     files = (
         spark.read.schema(LOG_DDL)
         .option("multiLine", True)
@@ -193,6 +217,20 @@ def _file_error():
     )
 
 
+def read_listed(files: DataFrame, opener: Opener = open_path) -> DataFrame:
+    """What ``read_log_files`` gives of files listed as ``path, file, length``, without any path on the driver."""
+    log = F.from_json("text", LOG_DDL, {"mode": "PERMISSIVE"})
+    # A document that is an array has a row for each item, as in Spark's reader of files.
+    items = F.from_json("text", f"ARRAY<STRUCT<{LOG_DDL}>>", {"mode": "PERMISSIVE"})
+    many = F.when(F.col("text").rlike(r"^[ \t\r\n]*\["), items)
+    logs = F.explode(F.coalesce(many, F.array(log))).alias("log")
+    raw = F.coalesce(F.col("raw").cast("string"), "text")
+    bad = F.col("log").isNull() | F.col("log._corrupt_record").isNotNull()
+    rows = read_documents(files, opener).select("file", "text", "raw", logs)
+    rows = rows.select("file", "log.records", F.when(bad, raw).alias("_corrupt_record"))
+    return rows.select("*", _file_error().alias("error"))
+
+
 def parsed_documents(texts: DataFrame) -> DataFrame:
     """What ``read_log_files`` gives, from whole documents as ``file, text``."""
     log = F.from_json("text", LOG_DDL, {"mode": "PERMISSIVE"}).alias("log")
@@ -204,15 +242,18 @@ def read_log_rows(
 ) -> DataFrame:
     """``log_rows`` of listed files, ``path``, ``name`` and ``length``; files above ``split_bytes`` are read by several tasks.
 
-    The driver holds the paths of the files listed, one batch. ``options`` are those of ``split_rows``.
+    The driver holds the paths of files that tasks cannot open, one batch. ``options`` are those of ``split_rows``.
     """
     split_bytes = CHUNK_BYTES if split_bytes is None else split_bytes
-    found = listing.select("path", "length").collect()
-    small = [glob_literal(r["path"]) for r in found if r["length"] <= split_bytes]
-    parts = []
-    if small or not found:
-        parts.append(log_rows(read_log_files(spark, small, root) if small else parsed_documents(spark.createDataFrame([], "file STRING, text STRING"))))
-    if len(small) < len(found):
+    own = F.col("path").startswith("file:") | (F.col("path").startswith("/") & F.lit(in_tasks(spark, "/")))
+    own = own & ~_packed()
+    small = F.col("length") <= split_bytes
+    file = blob_name(F.col("path")) if root is None else relative_name(F.col("path"), root)
+    parts = [log_rows(read_listed(listing.where(own & small).select("path", file.alias("file"), "length")))]
+    others = [glob_literal(r["path"]) for r in listing.where(~own & small).select("path").collect()]
+    if others:
+        parts.append(log_rows(_read_files(spark, others, root)))
+    if not listing.where(~small).isEmpty():
         large = listing.where(F.col("length") > split_bytes).select("path", F.col("name").alias("file"), "length")
         parts.append(split_rows(large, min(split_bytes, CHUNK_BYTES), **options))
     return reduce(DataFrame.unionByName, parts)
