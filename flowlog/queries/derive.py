@@ -8,6 +8,7 @@ this package computes the flat answers from the same tables directly, without an
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,78 +89,86 @@ def flow_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     hour = order % 4
     epoch = F.unix_date(F.to_date("l_shipdate")).cast("bigint") * 86400 + hour * 3600 + 33
     year_start = F.unix_date(F.to_date(F.trunc("l_shipdate", "year"))).cast("bigint") * 86400
-    rule = F.concat("l_returnflag", "l_linestatus")
+    count = 1 + line % 3
+    # Texts are made below the nested values, and what they share below them, so that none is made twice. A filter has all
+    # below it interpreted, and code beyond 8,000 bytes a step is never compiled.
+    middle = F.concat_ws(
+        ",",
+        _text("10.", part % 256, ".0.1"),
+        _text("172.16.", k % 256, ".9"),
+        (1024 + part % 60000).cast("string"),
+        F.when(line % 2 == 0, "443").otherwise("80"),
+    )
+    decision = F.when(c("l_returnflag") == "A", "A").when(c("l_returnflag") == "N", "D").otherwise("Z")
+    shared = li.select(
+        *columns,
+        epoch.alias("epoch"),
+        F.timestamp_seconds(year_start + hour * 3600).alias("file_hour"),
+        middle.alias("middle"),
+        decision.alias("decision"),
+        nsg_resource_id(k).alias("resourceId"),
+    )
 
     def flow_tuple(j: int) -> Column:
         slot = order + j
-        epoch_token = (
-            F.when(slot % 101 == 0, "abcde")
-            .when(slot % 103 == 0, " 12")
-            .otherwise((epoch + line + j).cast("string"))
-        )
-        direction = F.when((part + j) % 17 == 0, "Z").when(c("l_linestatus") == "O", "O").otherwise("I")
-        decision = F.when(c("l_returnflag") == "A", "A").when(c("l_returnflag") == "N", "D").otherwise("Z")
         return F.concat_ws(
             ",",
-            epoch_token,
-            _text("10.", part % 256, ".0.1"),
-            _text("172.16.", k % 256, ".9"),
-            (1024 + part % 60000).cast("string"),
-            F.when(line % 2 == 0, "443").otherwise("80"),
+            F.when(slot % 101 == 0, "abcde")
+            .when(slot % 103 == 0, " 12")
+            .otherwise((c("epoch") + line + j).cast("string")),
+            c("middle"),
             F.when((line + j) % 3 == 0, "T").when((line + j) % 3 == 1, "U").otherwise("X"),
-            direction,
-            F.when(slot % 97 != 0, decision),
+            F.when((part + j) % 17 == 0, "Z").when(c("l_linestatus") == "O", "O").otherwise("I"),
+            F.when(slot % 97 != 0, c("decision")),
         )
 
-    count = 1 + line % 3
-    first_tuples = F.filter(
-        F.array(
-            _variant(flow_tuple(0)),
-            F.when(count >= 2, _variant(flow_tuple(1))),
-            F.when(order % 401 == 7, _variant(F.lit(12345))),
-        ),
-        F.isnotnull,
+    texts = shared.select(
+        *["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "resourceId", "file_hour"],
+        F.when(order % 59 != 0, F.timestamp_seconds("epoch")).alias("time"),
+        F.concat("l_returnflag", "l_linestatus").alias("rule"),
+        flow_tuple(0).alias("tuple_0"),
+        F.when(count >= 2, flow_tuple(1)).alias("tuple_1"),
+        F.when(count == 3, flow_tuple(2)).alias("tuple_2"),
     )
     mac = F.when(~((k % 10 == 7) & (hour == 3)), F.lpad(F.hex(k), 12, "0"))
+    rule, odd_rule, odd_tuple = c("rule"), order % 211 == 5, order % 401 == 7
 
     def group(mac_col: Column, tuples: Column) -> Column:
-        return F.struct(_variant(mac_col).alias("mac"), tuples.alias("flowTuples"))
+        return F.struct(mac_col.alias("mac"), tuples.alias("flowTuples"))
 
     def flow(rule_col: Column, *groups: Column) -> Column:
         return F.struct(rule_col.alias("rule"), F.array(*groups).alias("flows"))
 
-    first_rule = F.when(order % 211 == 5, _variant(F.lit(5))).otherwise(_variant(rule))
-    no_tuples = F.array().cast("array<variant>")
-    flows = F.filter(
-        F.array(
-            flow(first_rule, group(mac, first_tuples), group(F.lit("EMPTY"), no_tuples)),
-            F.when(
-                count == 3,
-                flow(
-                    _variant(F.concat(F.lit("DefaultRule_"), rule)),
-                    group(F.hex(part), F.array(_variant(flow_tuple(2)))),
-                ),
-            ),
-        ),
-        F.isnotnull,
-    )
-    version = F.lit(1).alias("Version")
-    properties = F.when(order % 307 == 3, F.to_variant_object(F.struct(version))).otherwise(
-        F.to_variant_object(F.struct(version, flows.alias("flows")))
-    )
-    resource_id = nsg_resource_id(k)
-    return li.select(
-        source_path(resource_id, F.timestamp_seconds(year_start + hour * 3600)).alias("file"),
+    def properties(leaf: Callable[[Column], Column], kind: str, rule_col: Column, *more: Column) -> Column:
+        """The nested values, whose texts are as ``leaf`` makes them; ``more`` follows the first group's tuples."""
+        first_tuples = F.filter(F.array(leaf(c("tuple_0")), leaf(c("tuple_1")), *more), F.isnotnull)
+        empty = group(leaf(F.lit("EMPTY")), F.array().cast(f"array<{kind}>"))
+        first = flow(rule_col, group(leaf(mac), first_tuples), empty)
+        second = flow(
+            leaf(F.concat(F.lit("DefaultRule_"), rule)), group(leaf(F.hex(part)), F.array(leaf(c("tuple_2"))))
+        )
+        flows = F.when(count == 3, F.array(first, second)).otherwise(F.array(first))
+        return F.to_variant_object(F.struct(F.lit(1).alias("Version"), flows.alias("flows")))
+
+    wrong_type = properties(
+        _variant, "variant", F.when(odd_rule, _variant(F.lit(5))).otherwise(_variant(rule)),
+        F.when(odd_tuple, _variant(F.lit(12345))),
+    )
+    return texts.select(
+        source_path(c("resourceId"), c("file_hour")).alias("file"),
         ((order * 8 + line) * 1000 + part % 1000).alias("record_pos"),
-        F.when(order % 59 != 0, F.timestamp_seconds(epoch)).alias("time"),
+        "time",
         F.when(k % 4 != 0, _text("sys-", k)).alias("systemId"),
         F.lit("NetworkSecurityGroupFlowEvent").alias("category"),
-        resource_id.alias("resourceId"),
+        "resourceId",
         F.when(order % 29 == 0, NSG_RULE_OPERATION)
         .when(order % 31 == 0, "Other")
         .otherwise(NSG_FLOW_OPERATION)
         .alias("operationName"),
-        properties.alias("properties"),
+        F.when(order % 307 == 3, F.to_variant_object(F.struct(F.lit(1).alias("Version"))))
+        .when(odd_rule | odd_tuple, wrong_type)
+        .otherwise(properties(lambda text: text, "string", rule))
+        .alias("properties"),
     )
 
 
@@ -339,13 +348,14 @@ def log_documents(
     grown: bool = False,
     long: bool = False,
     timeless: bool = False,
+    of: Column | None = None,
 ) -> DataFrame:
     """Flow log documents, one per ``supplier`` row and hour: ``name`` and JSON ``text``.
 
     A file has 2 to 6 records a minute apart, three more once it has ``grown``; every record has one
     group of three tuples, the second without its last token in some. Of ``long`` documents some have
     76 or 521 records, and two resources each, in different groups, share a name. ``timeless`` ones end
-    with a record that has no time.
+    with a record that has no time. ``of`` says of which suppliers.
     """
     k, h = c("s_suppkey"), c("h")
     start = F.lit(1500000000 - 1500000000 % 3600).cast("bigint") + h * 3600
@@ -393,6 +403,7 @@ def log_documents(
         records = F.concat(records, F.array(record(last.cast("bigint") + 1, timed=False)))
     return (
         suppliers(spark, sf_dir)
+        .where(F.lit(True) if of is None else of)
         .select("s_suppkey", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(hours)])).alias("h"))
         .select(
             source_path(resource_id, F.timestamp_seconds(start)).alias("name"),
@@ -452,3 +463,16 @@ def write_documents(documents: DataFrame, root: str) -> None:
                 out.write(row["text"].encode("utf-8"))
 
     documents.foreachPartition(write)
+
+
+def remove_documents(documents: DataFrame, root: str) -> None:
+    """Remove the resource folders of ``write_documents`` with all they hold, in tasks."""
+
+    def delete(rows) -> None:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+        for row in rows:
+            store.delete_dir(f"{base}/{row['folder']}")
+
+    documents.select(F.substring_index("name", "/y=", 1).alias("folder")).distinct().foreachPartition(delete)
