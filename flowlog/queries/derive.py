@@ -466,13 +466,17 @@ def write_documents(documents: DataFrame, root: str) -> None:
 
 
 def remove_documents(documents: DataFrame, root: str) -> None:
-    """Remove the resource folders of ``write_documents`` with all they hold, in tasks."""
+    """Remove the resource folders of ``log_documents`` that were written, with all they hold. A folder's documents are in one
+    task, one after the other."""
 
     def delete(rows) -> None:
         from pyarrow import fs
 
         store, base = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+        last = None
         for row in rows:
-            store.delete_dir(f"{base}/{row['folder']}")
+            if row["folder"] != last and store.get_file_info(f"{base}/{row['folder']}").type != fs.FileType.NotFound:
+                store.delete_dir(f"{base}/{row['folder']}")
+            last = row["folder"]
 
-    documents.select(F.substring_index("name", "/y=", 1).alias("folder")).distinct().foreachPartition(delete)
+    documents.select(F.substring_index("name", "/y=", 1).alias("folder")).foreachPartition(delete)

@@ -1050,7 +1050,7 @@ def list_log_files_since(spark, sf_dir):
     return spark.read.schema("name STRING").parquet(f"{listed}/lot=*")
 
 
-LISTED_SUPPLIERS = 2500
+LISTED_SUPPLIERS = 5000
 
 
 GATEWAY_RECORDS = f"""

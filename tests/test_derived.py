@@ -53,6 +53,7 @@ def test_flow_records_keep_odd_rows_and_nulls(spark, tmp_path):
 def test_listed_documents_are_there_a_lot_at_a_time(spark, tmp_path, monkeypatch):
     spark.createDataFrame([(k,) for k in [*range(1, 11), 4]], "s_suppkey long").write.parquet(f"{tmp_path}/supplier.parquet")
     monkeypatch.setattr(registered, "LISTED_SUPPLIERS", 3)
+    monkeypatch.setattr(registered.D, "scratch", lambda spark, name: f"{tmp_path}/{name}")
     seen, walk = [], registered.logs.list_log_files
 
     def listing(spark, root, *args, **options):
@@ -63,4 +64,5 @@ def test_listed_documents_are_there_a_lot_at_a_time(spark, tmp_path, monkeypatch
     monkeypatch.setattr(registered.logs, "list_log_files", listing)
     names = [r["name"] for r in registered.QUERIES["list_log_files_since"](spark, str(tmp_path)).collect()]
     assert len(names) == len(set(names)) == 10 * 26  # 26 of the 48 hours lie on the 15th and 16th
+    assert not list(tmp_path.rglob("PT1H.json"))
     assert len(seen) == 4 and sum(map(len, seen)) == 10 and max(map(len, seen)) < 10
