@@ -3,8 +3,13 @@
 Each text is tokenised whole by A (byte-level BPE, of a blank and the text) and by B (BPE with byte fallback, which adds
 the blank). Ends of tokens are offsets in bytes. Where an A token and a B token both end and the next token of either
 begins with a blank, the document is cut: between two such anchors lies a window, in practice a word, whose alignment depends on
-its ids alone. Windows repeat, so a worker remembers the alignments of the first ``REMEMBERED`` by their tuples of ids. Inside a
-window, shared ends cut the tokens into groups, and an A token is linked with every B token whose byte range overlaps its own.
+its ids alone. Inside a window, shared ends cut the tokens into groups, and an A token is linked with every B token whose byte
+range overlaps its own.
+
+Windows repeat. Neither vocabulary merges across a single blank or line end between words (for B that is looked up in its pieces,
+for A see ``vocab``), so both always end before one: a text cut there has the same tokens as the whole, and a worker asks for and
+aligns each such word once and remembers the first ``REMEMBERED`` by their text. Texts with other white space, or with a
+word whose tokens are not its bytes, are tokenised whole and their windows remembered by their tuples of ids.
 
 The documents that hold a linked pair of ids are counted over all documents. The pairs' counts then go back to the documents in lots
 of at most ``LOT_PAIRS`` pairs, each broadcast and its sums written before the next, so memory does not grow with the pairs.
@@ -33,13 +38,15 @@ from flowlog.llm.storage import stored
 
 #: BPE with byte fallback, 32,000 ids.
 PIECE_BPE = "piece_bpe_32k.model"
-REMEMBERED = 300_000
+REMEMBERED = 450_000
 #: Pairs of ids whose counts are broadcast at a time.
 LOT_PAIRS = 1_000_000
 _LOT_CHARS = 1 << 20
 
 #: Groups, links, groups as text, and the linked pairs (A id in the high 32 bits) as bytes of 64-bit integers.
 Window = tuple[int, int, str, bytes]
+#: A tokens and B tokens of a word, and what its alignment has.
+Word = tuple[int, int, int, int, str, bytes]
 
 
 def align(a: list[int], b: list[int], length_a: list[int], length_b: list[int]) -> Window:
@@ -94,6 +101,35 @@ class Aligner:
         self.blank_a, self.blank_b = (np.array([x[:1] == b" " for x in t]) for t in (self.bytes_a, self.bytes_b))
         self.sizes_a, self.sizes_b = self.length_a.tolist(), self.length_b.tolist()
         self.windows: dict[tuple[bytes, bytes], Window] = {}
+        pieces = map(self.b.id_to_piece, range(self.b.get_piece_size()))
+        #: Whether no piece of B has a blank after something else, or a line end.
+        self.by_words = not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces)
+        self.words: dict[str, Word | None] = {}
+
+    def by_word(self, texts: list[str]) -> Iterator[list[Word] | None]:
+        """The words of each text in order; None for one that has to be tokenised whole."""
+        cut = [t.replace("\n", " \n").split(" ") if self.by_words and t and vocab.plain(" " + t) else None for t in texts]
+        known = self.words
+        missing = list(set().union(*(set(c).difference(known) for c in cut if c)))
+        known |= zip(missing, self._new_words(missing), strict=True)
+        for words in cut:
+            found = list(map(known.__getitem__, words)) if words else None
+            yield None if found and None in found else found
+        for _ in range(len(known) - REMEMBERED):  # the last to come are the rarest
+            known.popitem()
+
+    def _new_words(self, words: list[str]) -> Iterator[Word | None]:
+        """A blank and each word, or a word that begins with a line end, aligned; None where tokens are not the bytes."""
+        whole = [w if w.startswith("\n") else " " + w for w in words]
+        found = self.a.tokenizer.encode_batch_fast(whole, add_special_tokens=False)
+        for text, tokens, b in zip(whole, found, self.b.encode(words, num_threads=1), strict=True):
+            a, raw = tokens.ids, text.encode()
+            if raw[:1] == b"\n" and b and self.bytes_b[b[0]] == b" ":
+                del b[0]  # the blank that B adds
+            if b"".join(map(self.bytes_a.__getitem__, a)) == raw == b"".join(map(self.bytes_b.__getitem__, b)):
+                yield len(a), len(b), *align(a, b, self.sizes_a, self.sizes_b)
+            else:
+                yield None
 
     def tokens(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids by A and by B, both empty where their bytes are not a blank and the text."""
@@ -133,6 +169,16 @@ class Aligner:
                         self.windows[keys[n]] = found[n]
         return found
 
+    def rows(self, texts: list[str]) -> Iterator[list[Word]]:
+        """The aligned words or windows of each text in order, none where its tokens are not a blank and the text."""
+        for text, words in zip(texts, self.by_word(texts), strict=True):
+            if words is None:
+                (a, b), = self.tokens([text])
+                windows = self.aligned(a, b) if len(a) else []
+                # The tokens of the text stand in its first window.
+                words = [(*((len(a), len(b)) if not n else (0, 0)), *w) for n, w in enumerate(windows)]
+            yield words
+
 
 @functools.cache
 def aligner(vocabulary_a: str, vocabulary_b: str) -> Aligner:
@@ -154,12 +200,11 @@ def _aligning(vocabulary_a: str, vocabulary_b: str):
             doc_ids = batch["doc_id"]
             for first, texts in vocab.lots([t or "" for t in batch["text"].to_pylist()], _LOT_CHARS):
                 rows, keys, times, bounds = [], [], [], [0]
-                for a, b in worker.tokens(texts):
-                    windows = worker.aligned(a, b) if len(a) else []
-                    groups, links, names, pairs = zip(*windows, strict=True) if windows else ((), (), (), ())
+                for words in worker.rows(texts):
+                    n_a, n_b, groups, links, names, pairs = zip(*words, strict=True) if words else ((),) * 6
                     held, often = np.unique(np.frombuffer(b"".join(pairs), np.int64), return_counts=True)
-                    digest = hashlib.sha256(";".join(names).encode()).hexdigest() if windows else ""
-                    rows.append((len(a), len(b), sum(groups), sum(links), digest))
+                    digest = hashlib.sha256(";".join(names).encode()).hexdigest() if words else ""
+                    rows.append((sum(n_a), sum(n_b), sum(groups), sum(links), digest))
                     keys.append(held)
                     times.append(often.astype(np.int32))
                     bounds.append(bounds[-1] + len(held))

@@ -37,10 +37,15 @@ def place(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def plain(text: str) -> bool:
+    """Whether a text has no white space but single blanks and single line ends, and no NUL."""
+    return "\0" not in text and not any(odd in text for odd in _ODD)
+
+
 def pieces(text: str) -> list[str]:
     """The text cut before each run of white space. A piece that begins with NUL is what follows the NUL, one that
     begins with a line end is itself, and any other stands for a blank and itself."""
-    if "\0" in text or any(odd in text for odd in _ODD):
+    if not plain(text):
         return ["\0" + piece for piece in _PIECE.findall(text)]
     return ("\0" + text).replace("\n", " \n").split(" ")
 

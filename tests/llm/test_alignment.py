@@ -100,6 +100,26 @@ def test_windows_are_words_and_are_remembered():
     assert sum(w[0] for w in windows) == len(";".join(w[2] for w in windows).split(";"))
 
 
+def test_words_go_to_the_libraries_once():
+    worker = alignment.Aligner(vocab.BYTE_BPE, alignment.PIECE_BPE)
+    library, asked = worker.b, []
+
+    class Asked:
+        def encode(self, texts, **options):
+            asked.extend(texts)
+            return library.encode(texts, **options)
+
+        def __getattr__(self, name):
+            return getattr(library, name)
+
+    worker.b = Asked()
+    plain_text, odd = "red apples\nred apples", "two  blanks"
+    first = [list(worker.rows([t]))[0] for t in (plain_text, odd)]
+    assert sorted(asked) == ["\nred", "apples", "red", odd]
+    asked.clear()
+    assert [list(worker.rows([t]))[0] for t in (plain_text, odd)] == first and asked == [odd]
+
+
 def test_empty_table(spark):
     assert alignment.report(frame(spark, [])).collect() == []
 
