@@ -22,6 +22,7 @@ side gives an empty result.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -101,11 +102,14 @@ def walk_keys(
     return {size: mix(key) for size, key in keys.items()}
 
 
-def edit_end(item: list[int], text: list[int]) -> tuple[int, int]:
-    """Smallest edit distance of ``item`` to a stretch of ``text``, and where the first such stretch ends."""
+def edit_end(item: list[int], text: list[int], least: int = 0) -> tuple[int, int]:
+    """Smallest edit distance of ``item`` to a stretch of ``text``, and where the first such stretch ends.
+
+    ``least`` is a distance known to be the smallest possible; nothing is looked at past a stretch that has it.
+    """
     n = len(item)
-    if not n:
-        return 0, 0
+    if n <= least:
+        return n, 0
     has: dict[int, int] = {}
     for i, word in enumerate(item):
         has[word] = has.get(word, 0) | 1 << i
@@ -113,7 +117,15 @@ def edit_end(item: list[int], text: list[int]) -> tuple[int, int]:
     up, down, score = all_bits, 0, n
     best, end = n, 0
     for j, word in enumerate(text, 1):
-        eq = has.get(word, 0)
+        eq = has.get(word)
+        if eq is None:  # a word that the item lacks; up and down have no bit in common
+            plus = all_bits ^ up
+            if plus & top:
+                score += 1
+            plus = plus << 1 & all_bits
+            up = all_bits & ~(down | plus)
+            down &= plus
+            continue
         x = eq | down
         d = (((x & up) + up) ^ up) | x
         plus = down | (~(d | up) & all_bits)
@@ -128,6 +140,8 @@ def edit_end(item: list[int], text: list[int]) -> tuple[int, int]:
         down = d & plus
         if score < best:
             best, end = score, j
+            if best <= least:
+                break
     return best, end
 
 
@@ -137,8 +151,17 @@ class Item:
     words: list[int]
 
     def __post_init__(self) -> None:
+        self.counts = Counter(self.words)
         self.vocabulary = frozenset(self.words)
 
+    def lacking(self, region: list[int]) -> int:
+        """Of the item's words, each as often as it has it, how many the region lacks; at least, where that is many."""
+        distinct = len(self.vocabulary.difference(region))
+        if distinct > len(self.words) // 5:
+            return distinct
+        has = Counter(region)
+        return sum(n - has[word] for word, n in self.counts.items() if has[word] < n)
+
 
 def _part_keys(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(hashes ^ stream(79, size)[-1])
@@ -251,13 +274,13 @@ class Index:
             a, b = words.offsets[text : text + 2].tolist()
             low, high = max(a, a + begin - 2 * slack), min(b, a + begin + n + 2 * slack)
             region = words.hashes[low:high].tolist()
-            if sum(map(self.items[item].vocabulary.__contains__, region)) < n - slack:
+            if self.items[item].lacking(region) > slack:
                 continue  # each word of the item that the region lacks is an edit
             distance, end = edit_end(own, region)
             if distance > slack:
                 continue
             seen[text, item] = begin
-            back, length = edit_end(own[::-1], region[:end][::-1])
+            back, length = edit_end(own[::-1], region[end - 1 :: -1] if end else [], distance)
             assert back == distance
             hit = (distance, low - a + end - length, length)
             best = out.setdefault(text, {})

@@ -10,6 +10,7 @@ import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -447,6 +448,27 @@ def test_components(spark):
 # decontamination
 
 
+def test_runs_of_a_word_are_not_taken_for_an_item(monkeypatch):
+    item = decontaminate._items([{"item_id": 1, "text": "w " * 16 + "a b c d e f g h"}])[0]
+    index, verified = decontaminate.Index([item]), []
+    exact = decontaminate.edit_end
+    monkeypatch.setattr(decontaminate, "edit_end", lambda *args: verified.append(1) or exact(*args))
+    run, = words.hashed_words(pa.array(["w " * 300]), lower=True)
+    assert len(index.candidates(run)) > 100 and index.leaks(run) == {} and not verified
+    found, = words.hashed_words(pa.array(["x " + "w " * 16 + "a b c d e f g"]), lower=True)
+    assert index.leaks(found) == {0: {0: (1, 1, 23)}}
+
+
+def test_edit_end_stops_at_the_least_distance_and_lacking_is_a_lower_bound():
+    rng = random.Random(6)
+    for _ in range(3000):
+        item = [rng.randrange(6) for _ in range(rng.randint(1, 40))]
+        text = [rng.randrange(8) for _ in range(rng.randint(0, 60))]
+        distance, end = decontaminate.edit_end(item, text)
+        assert decontaminate.edit_end(item, text, distance) == (distance, end)
+        assert decontaminate.Item(1, item).lacking(text) <= distance
+
+
 def test_leaks_are_found_with_their_exact_distance(spark):
     rng = random.Random(6)
     items = [(i, prose(rng, rng.choice([8, 9, 12, 17, 25, 40, 55, 90, 130]), 3000)) for i in range(60)]
