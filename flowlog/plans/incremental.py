@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
+from itertools import count
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -174,10 +175,12 @@ class Job:
             F.col("name").alias("file"), F.col("last_processed_record").alias("after"), "known_count"
         )
 
-        def keep(pieces: DataFrame) -> DataFrame:
-            path = self._staged("pieces", version)
-            pieces.write.mode("overwrite").parquet(path)
-            return self.spark.read.schema(pieces.schema).parquet(path)
+        number = count()
+
+        def keep(rows: DataFrame) -> DataFrame:
+            path = f"{self._staged('pieces', version)}/{next(number)}"
+            rows.write.mode("overwrite").parquet(path)
+            return self.spark.read.schema(rows.schema).parquet(path)
 
         rows = read_log_rows(self.spark, known, self.root, self.split_bytes, keep=keep)
         rows.join(since, "file").write.mode("overwrite").parquet(self._staged("rows", version))

@@ -28,7 +28,9 @@ from ..schemas import RECORD_FIELDS
 
 #: Bytes a task reads, and what opening a file counts as.
 TASK_BYTES = 128 << 20
-OPEN_BYTES = 1 << 20
+OPEN_BYTES = 128 << 10
+#: Bytes that are worth a task while there are cores without one.
+_LEAST_BYTES = 8 << 20
 #: Documents longer than this are cut into chunks of this length.
 CHUNK_BYTES = 64 << 20
 _BLOCK = 1 << 20
@@ -58,9 +60,13 @@ def open_path(path: str):
 
 
 def task_count(ranges: DataFrame, size, task_bytes: int = TASK_BYTES) -> int:
-    """Tasks that the ranges need by their bytes; ``size`` is a range's number of bytes."""
-    total = ranges.agg(F.sum(size + F.lit(OPEN_BYTES))).first()[0] or 0
-    return max(1, -(-int(total) // task_bytes))
+    """Tasks that the ranges need by their bytes, or one for each core as long as it has some; ``size`` is a range's number of bytes.
+
+    A task costs about as much as opening thousands of small files, so many small files share one.
+    """
+    total = int(ranges.agg(F.sum(size + F.lit(OPEN_BYTES))).first()[0] or 0)
+    cores = ranges.sparkSession.sparkContext.defaultParallelism
+    return max(1, -(-total // task_bytes), min(cores, total // min(task_bytes, _LEAST_BYTES)))
 
 
 def read_ranges(ranges: DataFrame, opener: Opener = open_path) -> DataFrame:
@@ -70,14 +76,28 @@ def read_ranges(ranges: DataFrame, opener: Opener = open_path) -> DataFrame:
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files: list[str] = []
+        contents: list[bytes] = []
+        held = 0
+
+        def given() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(files, pa.string()), pa.array(contents, pa.binary())], ["file", "content"])
+
         for batch in batches:
             for path, file, start, stop in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 with opener(path) as source:
                     source.seek(start)
                     content = source.read(stop - start)
-                if content:
-                    columns = [pa.array([file], pa.string()), pa.array([content], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, ["file", "content"])
+                if not content:
+                    continue
+                files.append(file)
+                contents.append(content)
+                held += len(content)
+                if held >= _READ_BYTES or len(files) >= _READ_ROWS:
+                    yield given()
+                    files, contents, held = [], [], 0
+        if files:
+            yield given()
 
     due = ranges.select("path", "file", F.col("start").cast("bigint"), F.col("stop").cast("bigint")).where("stop > start")
     tasks = task_count(due, F.col("stop") - F.col("start"))
@@ -105,7 +125,7 @@ def read_documents(files: DataFrame, opener: Opener = open_path) -> DataFrame:
                     content, raw = content.decode(encoding, "replace").encode(), content
                 rows.append((file, content, raw))
                 held += len(content)
-                if held >= _READ_BYTES or len(rows) >= 1000:
+                if held >= _READ_BYTES or len(rows) >= _READ_ROWS:
                     yield _documents(rows)
                     rows, held = [], 0
         if rows:
@@ -115,7 +135,9 @@ def read_documents(files: DataFrame, opener: Opener = open_path) -> DataFrame:
     return files.select("path", "file").repartition(tasks, "path").mapInArrow(read, "file string, text string, raw binary")
 
 
+#: Bytes and rows given at a time.
 _READ_BYTES = 4 << 20
+_READ_ROWS = 1000
 
 
 def _documents(rows: list[tuple]) -> pa.RecordBatch:
@@ -310,15 +332,25 @@ def _cutter(opener: Opener):
     """Records with their position, and the chunk's part of the skeleton without one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        held = 0
+
+        def given() -> pa.RecordBatch:
+            columns = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _CUT, strict=True)], schema=_CUT)
+
         for batch in batches:
             for row in batch.to_pylist():
                 with opener(row["path"]) as source:
                     records, between = cut(source, *(row[n] for n in ("low", "high", "length", "quoted", "depth")))
-                texts = [_text(x) for x in [*records, between]]
-                positions = [*range(row["records_before"], row["records_before"] + len(records)), None]
-                same = [pa.array([row[n]] * len(texts), t) for n, t in (("file", pa.string()), ("chunk", pa.int64()))]
-                columns = [*same, pa.array(positions, pa.int64()), pa.array(texts, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, schema=_CUT)
+                rows += ((row["file"], row["chunk"], n, _text(x)) for n, x in enumerate(records, row["records_before"]))
+                rows.append((row["file"], row["chunk"], None, _text(between)))
+                held += sum(map(len, records)) + len(between)
+                if held >= _READ_BYTES or len(rows) >= _READ_ROWS:
+                    yield given()
+                    rows, held = [], 0
+        if rows:
+            yield given()
 
     return run
 
@@ -347,8 +379,8 @@ def split_rows(
     """What ``log_rows`` gives of whole-file reads, for large documents listed as ``path, file, length``.
 
     Records of one document come from as many tasks as it has chunks. Documents that cannot be cut are read whole.
-    Files are judged by all their records before any is given, so they are read twice, unless ``keep`` writes the
-    records it is given and reads them back.
+    Files are judged by all their records before any is given, so they are read and judged more than once, unless
+    ``keep`` writes the rows it is given, first the records and then the names of good files, and reads them back.
     """
     from .logs import log_rows, parsed_documents
 
@@ -376,6 +408,7 @@ def split_rows(
         & (F.size("frame.records") == F.col("records"))
         & F.forall("frame.records", lambda x: x == 0)
     ).select("file")
+    good = keep(good) if keep else good
     none = F.lit(None).cast("string")
     fields = [f"record.{f.split()[0]}" for f in RECORD_FIELDS.split(", ")]
     records = pieces.where(is_record).join(good, "file", "left_semi")

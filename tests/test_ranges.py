@@ -157,3 +157,31 @@ def test_paths_with_odd_characters(spark, tmp_path):
     for text in (str(path), f"file:{path}", f"file://{path}"):
         with ranges.open_path(text) as source:
             assert source.read(3) == b"xyz"
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    for files, most in ((100, cores), (200_000, 200)):
+        assert ranges.task_count(spark.range(files), F.lit(2000)) <= most
+    (tmp_path / "f").write_bytes(b"0123456789")
+    rows = spark.range(500).select(F.lit(str(tmp_path / "f")).alias("path"), F.col("id").cast("string").alias("file"), F.lit(1).alias("start"), F.lit(3).alias("stop"))
+    found = ranges.read_ranges(rows)
+    assert found.rdd.getNumPartitions() <= cores
+    assert sorted((int(r["file"]), bytes(r["content"])) for r in found.collect()) == [(i, b"12") for i in range(500)]
+
+
+def test_a_kept_split_judges_files_once(spark, tmp_path):
+    texts = documents()
+    paths = [(str(tmp_path / name), name, len(text.encode())) for name, text in texts.items()]
+    for path, name, _ in paths:
+        with open(path, "w", encoding="utf-8") as out:
+            out.write(texts[name])
+    listing, kept = spark.createDataFrame(paths, "path string, file string, length long"), []
+
+    def keep(rows):
+        kept.append(rows.columns)
+        rows.write.parquet(str(tmp_path / f"kept{len(kept)}"))
+        return spark.read.schema(rows.schema).parquet(str(tmp_path / f"kept{len(kept)}"))
+
+    assert comparable(ranges.split_rows(listing, 1000, keep=keep)) == comparable(ranges.split_rows(listing, 1000))
+    assert kept[1:] == [["file"]]
