@@ -45,6 +45,16 @@ def test_memory_of_pieces_is_bounded(monkeypatch):
         assert len(encoder.known) <= 50
 
 
+def test_the_library_gets_many_new_pieces_as_one_text(monkeypatch):
+    encoder, rng, given = vocab.Encoder(), random.Random(5), []
+    ask = encoder.ask
+    monkeypatch.setattr(encoder, "ask", lambda texts: (given.extend(texts), ask(texts))[1])
+    texts = [prose(rng, 500).replace(" abc", "\nabc") + end for end in ("", " ", "\n", "é", "\t x", "\0")]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts[:4])] == plain_ids(texts[:4])
+    assert len(given) < 20 < len(encoder.known)
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == plain_ids(texts)
+
+
 def blocks_of(rng):
     yield np.zeros(1, np.uint32)
     yield np.full(4096, 7, np.uint32)
