@@ -7,9 +7,15 @@ this package computes the flat answers from the same tables directly, without an
 
 from __future__ import annotations
 
+import contextlib
+import os
+import shutil
 import tempfile
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +26,7 @@ from ..functions.paths import (
     NSG_RULE_OPERATION,
     source_path,
 )
-from ..plans.files import remove
+from ..plans.files import folder_names, remove
 
 c = F.col
 
@@ -447,36 +453,133 @@ def gateway_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_documents(documents: DataFrame, root: str) -> None:
-    """Write ``name, text`` rows as files below ``root``, at exactly these names, which no Spark
-    writer can choose. Test data for the queries over files, written a file at a time by the tasks; the
-    library itself writes with Spark's writers only."""
+def _each(rows: DataFrame, body: Callable[[Iterator[pa.RecordBatch]], None]) -> None:
+    """Run ``body`` over the batches of every partition."""
 
-    def write(rows) -> None:
-        from pyarrow import fs
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        body(batches)
+        return iter(())
+
+    rows.mapInArrow(run, "none int").foreach(lambda _: None)
+
+
+def _store(root: str):
+    """The Arrow file system of a folder, and the folder's name there."""
+    from pyarrow import fs
 
-        store, base = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
-        for row in rows:
-            path = f"{base}/{row['name']}"
-            store.create_dir(path.rsplit("/", 1)[0])
-            with store.open_output_stream(path) as out:
-                out.write(row["text"].encode("utf-8"))
+    return fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
 
-    documents.foreachPartition(write)
 
+def _resource(name: str) -> str:
+    """The folder of a document's resource."""
+    return name.split("/y=", 1)[0]
 
-def remove_documents(documents: DataFrame, root: str) -> None:
-    """Remove the resource folders of ``log_documents`` that were written, with all they hold. A folder's documents are in one
-    task, one after the other."""
 
-    def delete(rows) -> None:
+def write_documents(documents: DataFrame, root: str, spare: str | None = None) -> None:
+    """Write ``name, text`` rows as files below ``root``, at exactly these names, which no Spark
+    writer can choose. Test data for the queries over files, written a file at a time by the tasks; the
+    library itself writes with Spark's writers only.
+
+    On a local or mounted path a resource that is not there yet takes over a folder that ``remove_documents`` put below
+    ``spare``, as to make and remove folders costs far more than to write into them. What that held besides is removed.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> None:
         from pyarrow import fs
 
-        store, base = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
-        last = None
-        for row in rows:
-            if row["folder"] != last and store.get_file_info(f"{base}/{row['folder']}").type != fs.FileType.NotFound:
-                store.delete_dir(f"{base}/{row['folder']}")
-            last = row["folder"]
+        store, base = _store(root)
+        local = isinstance(store, fs.LocalFileSystem)
+        spares = _spares(spare) if local and spare is not None else []
+        last, before, written = None, set(), set()
+        for batch in batches:
+            for name, text in zip(batch["name"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist(), strict=True):
+                path = f"{base}/{name}"
+                if not local:
+                    store.create_dir(path.rsplit("/", 1)[0])
+                    with store.open_output_stream(path) as out:
+                        out.write(text)
+                    continue
+                if spare is not None and (folder := f"{base}/{_resource(name)}") != last:
+                    last = folder
+                    if spares and not os.path.exists(folder):
+                        before |= _taken(spares.pop(), folder)
+                _put(path, text)
+                if before:
+                    written.add(path)
+        for path in before - written:
+            os.remove(path)
+            with contextlib.suppress(OSError):
+                os.removedirs(os.path.dirname(path))  # as far as they are empty
+
+    _each(documents.select("name", "text"), write)
+
+
+def _spares(spare: str) -> list[str]:
+    """The folders this task may take over: those that the task of its number put aside."""
+    own = f"{_store(spare)[1]}/{TaskContext.get().partitionId()}"
+    return [f"{own}/{name}" for name in os.listdir(own)] if os.path.isdir(own) else []
+
+
+def _taken(old: str, folder: str) -> set[str]:
+    """Make a folder that was put aside another one, and give the files it holds."""
+    held = [os.path.relpath(os.path.join(at, name), old) for at, _, names in os.walk(old) for name in names]
+    os.makedirs(os.path.dirname(folder), exist_ok=True)
+    try:
+        os.rename(old, folder)
+    except OSError:  # meanwhile another task has written below it
+        return set()
+    return {f"{folder}/{name}" for name in held}
+
+
+def _put(path: str, content: bytes) -> None:
+    """Write a file. What is there already is written over in place."""
+    flags = os.O_WRONLY | os.O_CREAT | os.O_CLOEXEC
+    try:
+        out = os.open(path, flags, 0o666)
+    except FileNotFoundError:
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        out = os.open(path, flags, 0o666)
+    with os.fdopen(out, "wb") as file:
+        file.write(content)
+        file.truncate()
+
+
+def remove_documents(documents: DataFrame, root: str, spare: str | None = None) -> None:
+    """Remove the resource folders of ``log_documents`` that were written, with all they hold, or put them below ``spare``, for
+    ``write_documents`` with as many tasks. A folder's documents are in one task."""
+
+    def delete(batches: Iterator[pa.RecordBatch]) -> None:
+        from pyarrow import fs
 
-    documents.select(F.substring_index("name", "/y=", 1).alias("folder")).foreachPartition(delete)
+        store, base = _store(root)
+        local, seen = isinstance(store, fs.LocalFileSystem), set()
+        own = f"{_store(spare)[1]}/{TaskContext.get().partitionId()}" if local and spare is not None else None
+        if own is not None:
+            os.makedirs(own, exist_ok=True)
+        for batch in batches:
+            for folder in {_resource(name) for name in batch["name"].to_pylist()} - seen:
+                seen.add(folder)
+                path = f"{base}/{folder}"
+                if own is not None:
+                    with contextlib.suppress(FileNotFoundError):
+                        os.rename(path, f"{own}/{uuid.uuid4().hex}")
+                elif local:
+                    shutil.rmtree(path, ignore_errors=True)
+                elif store.get_file_info(path).type != fs.FileType.NotFound:
+                    store.delete_dir(path)
+
+    _each(documents.select("name"), delete)
+
+
+def remove_spare(spark: SparkSession, spare: str) -> None:
+    """Remove what ``remove_documents`` has put aside, the folders of a task by a task."""
+    names = folder_names(spark, spare)
+
+    def delete(batches: Iterator[pa.RecordBatch]) -> None:
+        for batch in batches:
+            for n in batch["id"].to_pylist():
+                shutil.rmtree(f"{_store(spare)[1]}/{names[n]}")
+
+    if names:
+        _each(spark.range(0, len(names), 1, len(names)), delete)
+    remove(spark, spare)

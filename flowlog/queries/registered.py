@@ -1036,17 +1036,19 @@ def list_log_files_since(spark, sf_dir):
     """Days before the one of the given time are not listed: here, those before 2017-07-15.
 
     A file lies in folders of its own, so that 48 of a supplier take 0.6 MB of disk. The documents of ``LISTED_SUPPLIERS`` are
-    there at a time: they are written, listed, and removed once their listing is stored.
+    there at a time: they are written, listed, and removed from the container once their listing is stored; the next ones are
+    written into their folders.
     """
     root = _container(spark, "list_log_files_since")
-    listed, since = f"{_state(root)}/listed", datetime(2017, 7, 15, 22)
+    listed, spare, since = f"{_state(root)}/listed", f"{_state(root)}/spare", datetime(2017, 7, 15, 22)
     lots = -(-D.table(spark, sf_dir, "supplier").count() // LISTED_SUPPLIERS) or 1
     for lot in range(lots):
         documents = D.log_documents(spark, sf_dir, hours=48, of=F.pmod(F.xxhash64("s_suppkey"), F.lit(lots)) == lot)
-        D.write_documents(documents, root)
+        D.write_documents(documents, root, spare)
         found = logs.list_log_files(spark, root, since=since, folders=logs.RESOURCE_FOLDERS)
         found.select("name").write.parquet(f"{listed}/lot={lot}")
-        D.remove_documents(documents, root)
+        D.remove_documents(documents, root, spare)
+    D.remove_spare(spark, spare)
     return spark.read.schema("name STRING").parquet(f"{listed}/lot=*")
 
 

@@ -7,6 +7,7 @@ Tasks list through Arrow, on file systems that need no credentials of Spark's co
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 
@@ -19,11 +20,12 @@ from ..plans.files import qualified
 #: Folders a first task leaves to the others, at least, where there are as many.
 SPREAD = 1024
 _BATCH = 10_000
-_FOUND_DDL = "seed int, depth int, path string, file boolean, length long, modified long"
+_FOUND_DDL = "nodes array<int>, path string, file boolean, length long, modified long"
 _FOUND = pa.schema(
-    [("seed", pa.int32()), ("depth", pa.int32()), ("path", pa.string()), ("file", pa.bool_()), ("length", pa.int64()),
-     ("modified", pa.int64())]
+    [("nodes", pa.list_(pa.int32())), ("path", pa.string()), ("file", pa.bool_()), ("length", pa.int64()), ("modified", pa.int64())]
 )
+#: Stands for a place of a glob below which everything counts.
+_BELOW = -1
 
 
 def in_tasks(spark: SparkSession, path: str) -> bool:
@@ -92,38 +94,106 @@ def _literal(name: str) -> str | None:
 
 
 def _seed(glob: str) -> tuple[str, list[str]]:
-    """The folder a glob without braces starts from, and an expression for each name below it."""
+    """The folder a glob without braces starts from, and the globs of the names below it."""
     names = glob.split("/")
     fixed = 0
     while fixed < len(names) and _literal(names[fixed]) is not None:
         fixed += 1
-    return "/".join(_literal(n) for n in names[:fixed]) or "/", [_expression(n) for n in names[fixed:] if n]
-
-
-def _children(info_of, seed: int, depth: int, path: str, wanted: list[re.Pattern]) -> Iterator[tuple]:
-    """Files and folders right below a folder, as far as the expressions let them pass."""
-    for info in info_of(path):
-        name, is_file = info.base_name, info.is_file
-        if depth < len(wanted) and not wanted[depth].fullmatch(name):
-            continue
-        if is_file and (hidden(name, True) or depth + 1 < len(wanted)) or depth >= len(wanted) and hidden(name, is_file):
-            continue
-        yield seed, depth + 1, f"{path.rstrip('/')}/{name}", is_file, info.size if is_file else 0, (info.mtime_ns or 0) // 1_000_000
-
-
-def _walker(wanted: dict[int, list[str]], spread: int | None):
+    return "/".join(_literal(n) for n in names[:fixed]) or "/", [n for n in names[fixed:] if n]
+
+
+class _Node:
+    """A place that globs have come to: what may follow by name or expression, and how many of them end here."""
+
+    def __init__(self):
+        self.named: dict[str, int] = {}
+        self.matched: dict[str, int] = {}
+        self.ends = 0
+
+
+def _merged(seeds: list[tuple[str, list[str]]]) -> tuple[dict[str, int], list[_Node]]:
+    """Globs as trees that share what they begin with, so that a folder is listed once for all: the node of each base, and all nodes."""
+    nodes: list[_Node] = []
+
+    def new() -> int:
+        nodes.append(_Node())
+        return len(nodes) - 1
+
+    bases: dict[str, int] = {}
+    for base, names in seeds:
+        if base not in bases:
+            bases[base] = new()
+        at = bases[base]
+        for name in names:
+            literal = _literal(name)
+            following = nodes[at].matched if literal is None else nodes[at].named
+            key = _expression(name) if literal is None else literal
+            if key not in following:
+                following[key] = new()
+            at = following[key]
+        nodes[at].ends += 1
+    return bases, nodes
+
+
+def _arrived(nodes: list[_Node], at: int) -> list[int]:
+    """Where a folder is that has come to a node: there, if more may follow, and below each glob that ends there."""
+    node = nodes[at]
+    return [at] * bool(node.named or node.matched) + [_BELOW] * node.ends
+
+
+def _entries(path: str) -> Iterator[tuple[str, bool, int, int]]:
+    """Name, whether it is a file, length and milliseconds of change of all right below a folder, which may have gone."""
+    from pyarrow import fs
+
+    from .ranges import file_system
+
+    system, name = file_system(path)
+    if not isinstance(system, fs.LocalFileSystem):
+        for info in system.get_file_info(fs.FileSelector(name, allow_not_found=True)):
+            yield info.base_name, info.is_file, info.size if info.is_file else 0, (info.mtime_ns or 0) // 1_000_000
+        return
+    try:
+        found = os.scandir(name)
+    except FileNotFoundError:
+        return
+    with found:
+        for entry in found:
+            if not entry.is_file():
+                yield entry.name, False, 0, 0
+                continue
+            try:
+                stat = entry.stat()
+            except FileNotFoundError:
+                continue
+            yield entry.name, True, stat.st_size, stat.st_mtime_ns // 1_000_000
+
+
+def _children(nodes: list[_Node], patterns: dict[str, re.Pattern], folder: tuple) -> Iterator[tuple]:
+    """Files and folders right below a folder, as far as the globs let them pass; a file as often as globs have it."""
+    at, path, *_ = folder
+    below, path = at.count(_BELOW), path.rstrip("/")
+    at = [nodes[n] for n in at if n != _BELOW]
+    for name, is_file, length, modified in _entries(path or "/"):
+        unseen = hidden(name, is_file)
+        reached = [] if unseen else [_BELOW] * below
+        for node in at:
+            following = [node.named[name]] if name in node.named else []
+            following += [n for expression, n in node.matched.items() if patterns[expression].fullmatch(name)]
+            for n in following:
+                reached += ([] if unseen else [_BELOW] * nodes[n].ends) if is_file else _arrived(nodes, n)
+        if is_file:
+            yield from [([], f"{path}/{name}", True, length, modified)] * len(reached)
+        elif reached:
+            yield reached, f"{path}/{name}", False, 0, 0
+
+
+def _walker(nodes: list[_Node], spread: int | None):
     """Goes down level by level until there are ``spread`` folders or none is left."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
         from .ranges import file_system
 
-        def info_of(path: str):
-            system, name = file_system(path)
-            return system.get_file_info(fs.FileSelector(name, allow_not_found=True))
-
-        compiled = {seed: [re.compile(e, re.DOTALL) for e in names] for seed, names in wanted.items()}
+        patterns = {e: re.compile(e, re.DOTALL) for node in nodes for e in node.matched}
         done: list[tuple] = []
 
         def given() -> pa.RecordBatch:
@@ -135,12 +205,12 @@ def _walker(wanted: dict[int, list[str]], spread: int | None):
         folders: list[tuple] = []
         for batch in batches:
             for row in batch.to_pylist():
-                if not row["depth"]:  # a seed may be a file
+                if row["length"] < 0:  # a base may be a file
                     system, name = file_system(row["path"])
                     info = system.get_file_info(name)
                     if info.is_file:
-                        if not (compiled.get(row["seed"]) or hidden(info.base_name, True)):
-                            done.append((row["seed"], 0, row["path"], True, info.size, (info.mtime_ns or 0) // 1_000_000))
+                        times = 0 if hidden(info.base_name, True) else row["nodes"].count(_BELOW)
+                        done.extend([([], row["path"], True, info.size, (info.mtime_ns or 0) // 1_000_000)] * times)
                         continue
                 (done if row["file"] else folders).append(tuple(row[f.name] for f in _FOUND))
                 if len(done) >= _BATCH:
@@ -148,12 +218,12 @@ def _walker(wanted: dict[int, list[str]], spread: int | None):
         while folders and (spread is None or len(folders) < spread):
             # To the end depth first, so that a task holds few folders at a time.
             level, folders = (folders, []) if spread is not None else ([folders.pop()], folders)
-            for seed, depth, path, *_ in level:
-                for found in _children(info_of, seed, depth, path, compiled.get(seed, [])):
-                    (done if found[3] else folders).append(found)
+            for folder in level:
+                for found in _children(nodes, patterns, folder):
+                    (done if found[2] else folders).append(found)
                 if len(done) >= _BATCH:
                     yield given()
-        done.extend(folders)
+        done.extend((at, path, is_file, 0, 0) for at, path, is_file, *_ in folders)
         yield given()
 
     return walk
@@ -161,13 +231,12 @@ def _walker(wanted: dict[int, list[str]], spread: int | None):
 
 def walk_files(spark: SparkSession, globs: list[str]) -> DataFrame:
     """``path, last_modified, length`` of all files at or below path globs, as they are now."""
-    seeds = [_seed(x) for glob in globs for x in alternatives(glob)]
-    wanted = {n: names for n, (_, names) in enumerate(seeds) if names}
-    rows = [(n, 0, qualified(spark, base), False, 0, 0) for n, (base, _) in enumerate(seeds)]
+    bases, nodes = _merged([_seed(x) for glob in globs for x in alternatives(glob)])
+    rows = [(_arrived(nodes, at), qualified(spark, base), False, -1, 0) for base, at in bases.items()]
     cores = spark.sparkContext.defaultParallelism
     first = spark.createDataFrame(rows, _FOUND_DDL).repartition(max(1, min(cores, len(rows) // SPREAD)), "path")
-    dealt = first.mapInArrow(_walker(wanted, SPREAD), _FOUND_DDL).repartition(4 * cores, "path")
-    files = dealt.mapInArrow(_walker(wanted, None), _FOUND_DDL)
+    dealt = first.mapInArrow(_walker(nodes, SPREAD), _FOUND_DDL).repartition(4 * cores, "path")
+    files = dealt.mapInArrow(_walker(nodes, None), _FOUND_DDL)
     # Spark's readers leave out empty files as well.
     found = files.where("length > 0").select("path", F.timestamp_millis("modified").alias("last_modified"), "length")
     # A listing is what there was when it was made, however often it is looked at.

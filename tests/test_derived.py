@@ -66,3 +66,44 @@ def test_listed_documents_are_there_a_lot_at_a_time(spark, tmp_path, monkeypatch
     assert len(names) == len(set(names)) == 10 * 26  # 26 of the 48 hours lie on the 15th and 16th
     assert not list(tmp_path.rglob("PT1H.json"))
     assert len(seen) == 4 and sum(map(len, seen)) == 10 and max(map(len, seen)) < 10
+
+
+def texts(root):
+    return {str(p.relative_to(root)): p.read_text() for p in root.rglob("*") if p.is_file()}
+
+
+def test_documents_written_into_spare_folders_are_those_alone(spark, tmp_path):
+    root, spare = tmp_path / "in", str(tmp_path / "spare")
+
+    def documents(keys, hours, text):
+        names = [(f"resourceId=/S/N-{k}/y=2017/m=07/d=14/h={h:02d}/m=00/PT1H.json", text * k) for k in keys for h in range(hours)]
+        return spark.createDataFrame(names, "name string, text string").coalesce(1)
+
+    first, second = documents(range(1, 7), 3, "long text"), documents([3, 8, 9], 2, "é")
+    D.write_documents(first, str(root), spare)
+    assert len(texts(root)) == 18
+    inodes = {p.stat().st_ino for p in root.rglob("PT1H.json")}
+    D.remove_documents(first, str(root), spare)
+    assert not texts(root)
+    D.write_documents(second, str(root), spare)
+    assert texts(root) == {r["name"]: r["text"] for r in second.collect()}  # no hour and no end of a text from before
+    assert {p.stat().st_ino for p in root.rglob("PT1H.json")} < inodes  # written into the folders that were there
+    D.write_documents(documents([3], 1, "new"), str(root), spare)
+    assert len(texts(root)) == 6  # a resource that is there keeps its other documents
+    D.remove_documents(second, str(root), spare)
+    D.remove_spare(spark, spare)
+    assert not [p for p in tmp_path.rglob("*") if p.is_file()]
+
+
+def test_documents_of_a_resource_without_key_leave_the_others(spark, tmp_path):
+    root, spare = tmp_path / "in", str(tmp_path / "spare")
+
+    def documents(*keys):
+        names = [(f"resourceId={k}/y=2017/m=07/d=14/h=00/m=00/PT1H.json", f"text of {k}") for k in keys]
+        return spark.createDataFrame(names, "name string, text string").coalesce(1)
+
+    for lot in (documents("/S/N-1", "", "/S/N-2"), documents("/S/N-3", "/S/N-4", "/S/N-5"), documents("", "/S/N-6")):
+        D.write_documents(lot, str(root), spare)
+        assert texts(root) == {r["name"]: r["text"] for r in lot.collect()}
+        D.remove_documents(lot, str(root), spare)
+        assert not texts(root)

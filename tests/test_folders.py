@@ -3,6 +3,7 @@
 import gzip
 import json
 import os
+from datetime import datetime, timezone
 
 import pytest
 from conftest import blob_path, flow_record, write_log
@@ -66,3 +67,32 @@ def test_documents_read_by_tasks_are_as_spark_reads_them(spark, tmp_path):
 
     mine, own = rows(logs.read_log_files(spark, root, root)), rows(logs._read_files(spark, root, root))
     assert mine == own
+
+
+def test_globs_that_begin_alike_share_a_walk(spark, tmp_path, monkeypatch):
+    for name in NAMES:
+        put(str(tmp_path / name), name.encode())
+    bases, nodes = folders._merged([folders._seed(x) for x in folders.alternatives(f"{tmp_path}/[ay]*/{{m=07,m=0*,m=0[78],m=07,?.json}}")])
+    seen, entries = [], folders._entries
+
+    def listed(path):
+        seen.append(path)
+        return entries(path)
+
+    monkeypatch.setattr(folders, "_entries", listed)
+    rows = [(folders._arrived(nodes, at), f"file:{base}", False, -1, 0) for base, at in bases.items()]
+    batch = folders.pa.RecordBatch.from_arrays([folders.pa.array(c, f.type) for c, f in zip(zip(*rows), folders._FOUND)], schema=folders._FOUND)
+    found = [r["path"].removeprefix(f"file:{tmp_path}/") for out in folders._walker(nodes, None)(iter([batch])) for r in out.to_pylist()]
+    # A file comes as often as globs have it, as from Spark's readers.
+    assert sorted(found) == ["a/b.json"] + ["y=1/m=07/e.json"] * 4 + ["y=1/m=08/f.json"] * 2 + ["y=2/g.json"]
+    assert len(bases) == 1 and len(seen) == len(set(seen))  # no folder is listed again for each glob
+
+
+def test_days_of_a_listing_cost_a_resource_one_look(spark, tmp_path):
+    for n in range(3):
+        write_log(blob_path(tmp_path, f"/SUBSCRIPTIONS/S/RESOURCEGROUPS/G/PROVIDERS/M/K/N-{n}"), [flow_record(tuples=[])])
+    location = f"{tmp_path}/{logs.RESOURCE_FOLDERS}/{{{','.join(logs._days(datetime(2017, 7, 15), datetime(2026, 12, 4, tzinfo=timezone.utc)))}}}"
+    bases, nodes = folders._merged([folders._seed(x) for x in folders.alternatives(location)])
+    assert len(bases) == 1 and len(folders.alternatives(location)) > 40
+    rows = logs.list_log_files(spark, str(tmp_path), since=datetime(2017, 7, 15), folders=logs.RESOURCE_FOLDERS)
+    assert rows.count() == 3
