@@ -183,13 +183,13 @@ def read_log_files(spark: SparkSession, paths: str | list[str], root: str | None
                 spark.read.text(p)  # fails as any reader does
         found = walk_files(spark, globs)
         file = blob_name(F.col("path")) if root is None else relative_name(F.col("path"), root)
-        plain = read_listed(found.where(~_packed()).select("path", file.alias("file"), "length"))
-        packed = [glob_literal(r["path"]) for r in found.where(_packed()).select("path").collect()]
+        plain = read_listed(found.where(~is_packed()).select("path", file.alias("file"), "length"))
+        packed = [glob_literal(r["path"]) for r in found.where(is_packed()).select("path").collect()]
         return plain.unionByName(_read_files(spark, packed, root)) if packed else plain
     return _read_files(spark, paths, root)
 
 
-def _packed():
+def is_packed():
     """Files that Spark unpacks by their ending."""
     return F.col("path").rlike(r"\.(gz|bz2|deflate|zst|lz4|snappy)$")
 
@@ -246,7 +246,7 @@ def read_log_rows(
     """
     split_bytes = CHUNK_BYTES if split_bytes is None else split_bytes
     own = F.col("path").startswith("file:") | (F.col("path").startswith("/") & F.lit(in_tasks(spark, "/")))
-    own = own & ~_packed()
+    own = own & ~is_packed()
     small = F.col("length") <= split_bytes
     file = blob_name(F.col("path")) if root is None else relative_name(F.col("path"), root)
     parts = [log_rows(read_listed(listing.where(own & small).select("path", file.alias("file"), "length")))]

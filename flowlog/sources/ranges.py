@@ -14,10 +14,11 @@ reason are read whole, so that they are rejected, or accepted, exactly as any ot
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from json import detect_encoding
 from typing import Any
-from urllib.parse import urlsplit
+from urllib.parse import quote, urlsplit
 
 import numpy as np
 import pyarrow as pa
@@ -154,6 +155,46 @@ def _documents(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(files, pa.string()), texts, pa.array(raws, pa.binary())], ["file", "text", "raw"])
 
 
+def read_lines(files: DataFrame, opener: Opener = open_path) -> DataFrame:
+    """``path, value`` for the lines of files listed as ``path, length``, each read whole; the path as Spark's readers give it.
+
+    As for them, a line ends with any of the usual ends, and a byte order mark is no part of the first.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        paths: list[str] = []
+        lines: list[list[bytes]] = []
+        held = 0
+
+        def given() -> pa.RecordBatch:
+            columns = [pa.array(paths, pa.string()), pa.array(lines, pa.list_(pa.binary()))]
+            return pa.RecordBatch.from_arrays(columns, ["path", "lines"])
+
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                with opener(path) as source:
+                    content = source.read()
+                paths.append(_url(path))
+                lines.append(content.removeprefix(b"\xef\xbb\xbf").splitlines())
+                held += len(content)
+                if held >= _READ_BYTES or len(paths) >= _READ_ROWS:
+                    yield given()
+                    paths, lines, held = [], [], 0
+        if paths:
+            yield given()
+
+    tasks = task_count(files, F.col("length"))
+    found = files.select("path").repartition(tasks, "path").mapInArrow(read, "path string, lines array<binary>")
+    return found.select("path", F.explode("lines").alias("line")).select("path", F.col("line").cast("string").alias("value"))
+
+
+def _url(path: str) -> str:
+    """A path of a file system as ``_metadata.file_path`` has it."""
+    scheme, _, place = path.partition(":")
+    quoted = re.sub(r"[^!$&-;=@-Z_a-z~\x80-\U0010ffff]|[\x80-\x9f\s]", lambda found: quote(found[0], safe=""), place)
+    return f"{scheme}:{quoted}"
+
+
 # --- chunks of a document -----------------------------------------------------------------------
 
 
