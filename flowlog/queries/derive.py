@@ -460,7 +460,7 @@ def _each(rows: DataFrame, body: Callable[[Iterator[pa.RecordBatch]], None]) ->
         body(batches)
         return iter(())
 
-    rows.mapInArrow(run, "none int").foreach(lambda _: None)
+    rows.mapInArrow(run, "none int").write.format("noop").mode("overwrite").save()
 
 
 def _store(root: str):

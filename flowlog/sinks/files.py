@@ -146,7 +146,8 @@ def _write_in_tasks(rows: DataFrame, data_path: str, folders: list[str]) -> None
     try:
         lines.mapInArrow(stage, names).write.parquet(moves)
         tasks = 4 * spark.sparkContext.defaultParallelism
-        spark.read.schema(names).parquet(glob_literal(moves)).repartition(tasks, "folder").mapInArrow(move, "none int").foreach(lambda _: None)
+        placed = spark.read.schema(names).parquet(glob_literal(moves)).repartition(tasks, "folder")
+        placed.mapInArrow(move, "none int").write.format("noop").mode("overwrite").save()
     finally:
         remove(spark, f"file:{aside}")
 
